@@ -183,7 +183,7 @@ def _with_sets(promising: DataFrame, docs: DataFrame, p: MinHashParams) -> DataF
     of_item = promising.groupBy("item").agg(
         F.collect_list(F.struct("bucket", "left", "right", "side")).alias("tasks")
     )
-    texts = docs.select(F.col("id").alias("item"), "text").join(of_item, "item")
+    texts = docs.select(F.col("id").alias("item"), "text").join(of_item.hint("merge"), "item")
 
     def run(batches):
         table = WordHashes()
