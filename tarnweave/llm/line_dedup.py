@@ -126,7 +126,7 @@ def remove_repeated_chunks(
         .groupBy("id", "th")
         .agg(F.collect_list(F.struct("start", "lines")).alias("places"))
     )
-    texts = plain.join(places, _same(plain, places)).select(plain["*"], "places")
+    texts = plain.join(places.hint("merge"), _same(plain, places)).select(plain["*"], "places")
     bodies = stash(_bodies(texts).distinct())
     place = F.struct("id", "th", "start", "lines")
     equal = bodies.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -140,7 +140,7 @@ def remove_repeated_chunks(
     others = [docs[c] for c in docs.columns if c not in (text_col, "n_lines", "n_removed_lines")]
     removed = F.aggregate("cuts", F.lit(0), lambda n, c: n + c["lines"])
     joined = docs.join(
-        cuts,
+        cuts.hint("merge"),
         docs[id_col].cast("long").eqNullSafe(F.col("cut_id")) & (F.xxhash64(docs[text_col]) == F.col("cut_th")),
         "left",
     )

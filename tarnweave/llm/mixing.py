@@ -168,7 +168,7 @@ def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col:
     """The columns of ``docs``, each row as often as the mix takes it."""
     copies = mixed.select("mix_id", "mix_text", "copies").where("copies > 0").distinct()
     taken = docs.join(
-        copies, docs[id_col].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs[text_col]) == F.col("mix_text"))
+        copies.hint("merge"), docs[id_col].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs[text_col]) == F.col("mix_text"))
     )
     times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     return taken.select(*docs.columns, times.alias("mix_copy")).drop("mix_copy")

@@ -275,7 +275,7 @@ def replace_pii(
         F.flatten(F.zip_with(gaps, F.concat("new", F.array(F.lit(""))), lambda g, s: F.array(g, s))), ""
     )
     replaced = holders.join(
-        lists, F.col("id").eqNullSafe(F.col("new_id")) & (F.col("th") == F.col("new_th"))
+        lists.hint("merge"), F.col("id").eqNullSafe(F.col("new_id")) & (F.col("th") == F.col("new_th"))
     ).select("id", mended.alias("text"), F.size("new").cast("long").alias("n_entities"))
     untouched = plain.where(~some).withColumn("n_entities", F.lit(0).cast("long"))
     return untouched.unionByName(replaced).select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_entities")
