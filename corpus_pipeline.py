@@ -38,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates stays; so do documents without an id."""
     kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.join(kept, "doc_id").withColumn("copy", F.row_number().over(first)).where("copy = 1")
+    named = docs.join(kept.hint("merge"), "doc_id").withColumn("copy", F.row_number().over(first)).where("copy = 1")
     return named.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
