@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
+import unicodedata
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,67 +20,92 @@ from pyspark.sql import functions as F
 from tarnweave.llm.text import _GAPS
 from tarnweave.session import stash
 
-#: Bytes of words and ids that a worker's table holds before it starts anew.
-TABLE_BYTES = 96 << 20
+#: Bytes that a worker's table of parts holds before it starts anew.
+TABLE_BYTES = 224 << 20
 
 
 @dataclass(frozen=True)
 class PackParams:
-    """``tokenizer``: path of a tokenizers JSON file. ``by_word``: the tokenizer drops white space
-    and no token spans it, so words can be encoded once each. ``parts``: into how many parts
+    """``tokenizer``: path of a tokenizers JSON file. ``by_part``: let a worker remember what the
+    tokenizer makes of each part that its pattern splits off. ``parts``: into how many parts
     pieces of one length are numbered side by side, ``full_parts`` those of ``capacity``."""
 
     tokenizer: str
     capacity: int = 2048
     end_id: int = 0
-    by_word: bool = True
+    by_part: bool = True
     parts: int = 16
     full_parts: int = 1024
 
 
+class _Table(dict):
+    """key -> bytes by ``make``, remembered up to about ``limit`` bytes."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.held = make, limit, 0
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        self.held += 180 + len(key) + len(value)
+        if self.held > self.limit:
+            self.clear()
+            self.held = 0
+        self[key] = value
+        return value
+
+
 class Encoder:
-    """Texts -> little-endian unsigned 32-bit ids, ``end_id`` not added."""
+    """Texts -> little-endian unsigned 32-bit ids, ``end_id`` not added.
+
+    Where ``parts`` allows it and the tokenizer lower-cases, splits by a pattern and maps bytes,
+    these steps are taken here for texts up to extended Latin, and what the model makes of a part
+    is remembered. Other texts and those with special tokens go through the tokenizer whole."""
 
     def __init__(self, p: PackParams):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(p.tokenizer)
-        self.by_word = p.by_word
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
-        self.mark = special[-1] if special else None
-        self.mark_id = self.tokenizer.token_to_id(self.mark) if special else None
-        self.specials = special
-        self.table: dict[str, bytes] = {}
-        self.held = 0
+        self.model = self.tokenizer.model
+        spec = json.loads(self.tokenizer.to_str())
+        split = self._split(spec) if p.by_part else None
+        self.find = split.findall if split else None
+        special = "|".join(re.escape(x["content"]) for x in spec["added_tokens"])
+        #: Controls (the libraries differ on which are white space), other scripts, special tokens.
+        self.odd = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u0130\u0250-\U0010ffff]" + (f"|{special}" if special else ""))
+        self.table = _Table(self._part, TABLE_BYTES)
+
+    def _split(self, spec: dict) -> re.Pattern | None:
+        """The tokenizer's pattern over the alphabet below U+0250, if its steps are those known."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        before = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if before != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+            return None
+        first, second = steps
+        if first["behavior"] != "Removed" or not first["invert"] or second["use_regex"] or second["add_prefix_space"]:
+            return None
+        mapped = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: mapped.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x250)}
+        pattern = first["pattern"]["Regex"]
+        for name in ("L", "N"):
+            members = "".join(re.escape(c) for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == name)
+            pattern = pattern.replace(rf"\p{{{name}}}", members)
+        return None if r"\p" in pattern else re.compile(pattern)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word or self.mark is None:
-            return [self.whole(t) for t in texts]
-        split = [t.translate(_GAPS).split(" ") for t in texts]
-        self.learn({w for words in split for w in words} - self.table.keys())
-        return [b"".join(map(self.table.__getitem__, words)) for words in split]
-
-    def learn(self, words: set[str]) -> None:
-        """Encode new words in one call, a special token between each two."""
-        plain = [w for w in words if not any(s in w for s in self.specials)]
-        ids = np.array(self.tokenizer.encode(f" {self.mark} ".join(plain), add_special_tokens=False).ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
-        start = 0
-        for word, end in zip(plain, ends, strict=True):
-            self.table[word] = ids[start:end].tobytes()
-            start = end + 1
-        for word in words.difference(plain):
-            self.table[word] = self.whole(word)
-        self.held += sum(map(len, words)) + 4 * len(ids) + 150 * len(words)
-
-    def start_anew(self) -> None:
-        if self.held > TABLE_BYTES:
-            self.table.clear()
-            self.held = 0
+    def _part(self, part: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.bytes_of))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def text(self, text: str) -> bytes:
+        if self.find is None or self.odd.search(text):
+            return self.whole(text)
+        return b"".join(map(self.table.__getitem__, self.find(text.lower())))
 
 
 def _pieces(docs: DataFrame, p: PackParams, with_ids: bool) -> DataFrame:
@@ -89,11 +119,9 @@ def _pieces(docs: DataFrame, p: PackParams, with_ids: bool) -> DataFrame:
         for batch in batches:
             keys, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             for k in range(0, len(keys), 64):
-                encoder.start_anew()
                 rows = []
-                encoded = encoder.texts([t or "" for t in texts[k : k + 64]])
-                for key, raw in zip(keys[k : k + 64], encoded, strict=True):
-                    raw += end
+                for key, text in zip(keys[k : k + 64], texts[k : k + 64], strict=True):
+                    raw = encoder.text(text or "") + end
                     for piece, at in enumerate(range(0, len(raw), step)):
                         part = raw[at : at + step]
                         row = (key, piece, at // 4, len(part) // 4, zlib.crc32(part))
