@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnweave.llm import sql
 from tarnweave.llm.chat import formatted
 from tarnweave.llm.embedding_dedup import near_vectors
 from tarnweave.llm.html_extract import extract
@@ -77,4 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_embedding_near_dedup": sql.NEAR_VECTORS,
+        "op5_minhash_near_dedup": sql.NEAR_DUPLICATES,
+        "op7_source_mixing": sql.MIX,
+        "op9_chat_formatting": sql.FORMATTED,
+    }
