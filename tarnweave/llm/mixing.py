@@ -165,8 +165,11 @@ def mix(
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns of ``docs``, each row as often as the mix takes it."""
-    copies = mixed.select("mix_id", "mix_text", "copies").where("copies > 0").distinct()
+    """The columns of ``docs``, each row as often as the mix takes it.
+
+    Rows of equal id and text are one document here: where the mix takes some of them more often
+    than others, all are repeated as often as the one taken most."""
+    copies = mixed.where("copies > 0").groupBy("mix_id", "mix_text").agg(F.max("copies").alias("copies"))
     taken = docs.join(
         copies.hint("merge"), docs[id_col].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs[text_col]) == F.col("mix_text"))
     )

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnweave.llm.text import _GAPS
 from tarnweave.session import stash
 
 #: Bytes that a worker's table of parts holds before it starts anew.

@@ -122,6 +122,8 @@ def test_quality_threshold_parts_labelled_kinds(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
     rows = quality_rules.quality_rules(docs(spark, texts), labels).where("not base_failed").collect()
     assert all(r["kept"] == bool(r["doc_id"] % 2) for r in rows) and len(rows) > 100
+    twice = quality_rules.quality_rules(docs(spark, texts).union(docs(spark, texts)), labels).where("not base_failed")
+    assert sorted(r["doc_id"] for r in twice.where("kept").collect()) == sorted([r["doc_id"] for r in rows if r["kept"]] * 2)
 
 
 def test_likelihood_ratio_by_hand():
@@ -231,6 +233,15 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
 
 
+def test_repeat_of_equal_rows(spark):
+    table = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c"), (None, "d"), (None, None)], "doc_id long, text string")
+    mixed = table.select(
+        F.col("doc_id").alias("mix_id"), F.xxhash64("text").alias("mix_text"),
+        F.expr("case when doc_id = 1 then row_number() over (partition by doc_id order by text) when text = 'd' then 3 else 0 end").alias("copies"),
+    )
+    assert sorted(r["text"] for r in mixing.repeat(table, mixed).collect()) == ["a b"] * 4 + ["d"] * 3
+
+
 def test_sharding(spark):
     texts = TEXTS + ["again"] * 40
     rows = sharding.shard(docs(spark, texts), sharding.ShardParams(shards=3, crowd=8)).collect()
