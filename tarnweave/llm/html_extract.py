@@ -75,12 +75,13 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         unseen, aside, main = self.state()
+        outermost = tag in ("html", "body", "main") or (tag == "article" and not main)
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         if tag in _MAIN and not aside and not main:
             self.regions += 1
             main = self.regions
         aside = aside or (tag in _ASIDE and not (tag == "header" and main)) or (
-            tag not in ("html", "body", "article", "main") and bool(named) and bool(_OTHER.search(named))
+            not outermost and bool(named) and bool(_OTHER.search(named))
         )
         if any(k == "hidden" for k, _ in attrs) and tag not in ("html", "body"):
             unseen = True
@@ -113,11 +114,20 @@ class _Lines(HTMLParser):
             if tag not in _CLOSES_P and tag not in _UNSEEN and (name in _CLOSES_P):
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """Sections of kinds that the base class refuses are comments up to the next ``>``."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         if not self.state()[0]:
             self.parts.append(data)
 
     def finish(self):
+        if self.rawdata.startswith("<!"):  # a comment without an end lasts to the end
+            self.rawdata = ""
         self.close()
         self.end_line()
         return self.lines

@@ -289,6 +289,8 @@ def test_prefix_trees(spark):
     ("<nav>menu</nav><article><h1>T</h1><p>one\n two<p>three&amp;four</article><footer>foot</footer>", "T one two three&four"),
     ("<div class=sidebar>side</div><main><p>short.</p><p>" + "long " * 50 + "</p><form>x</form><div class='comments'><p>me too</p></div></main>", "short. " + "long " * 49 + "long"),
     ("<script>var a='<p>no</p>';</script><style>p{}</style><article><p>a<b>b</b>c<br>d</p></article><div class='cookie-notice'>ok?</div>", "abc d"),
+    ("<article><p>" + "long " * 50 + "</p><article class='comment'><p>me too</p></article></article>", "long " * 49 + "long"),
+    ("<p>kept <![odd[x]]> text<!-- never closed <p>x", "kept text"),
 ])
 def test_main_text(html, text):
     assert html_extract.main_text(html) == text
