@@ -28,14 +28,15 @@ _ENDINGS = {
 _START = r"(?<![\p{L}\p{N}_])"
 _PATTERNS = {
     "name": rf"{_START}(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
-    "secret": _START + r"(?:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{12,}",
+    "secret": _START + r"(?i:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{12,}",
     "access_key": _START + r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": _START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+    r"|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3}(?!\.?[0-9]))?)(?![0-9])",
 }
 PATTERN = "|".join(_PATTERNS.values())
 
@@ -93,7 +94,8 @@ def _draw(stream: Column, i: Column, n: int) -> Column:
 
 
 def _substituted(norm: Column, stream: Column, hexadecimal: Column, first: Column) -> Column:
-    """Each ASCII letter and digit from ``first`` on replaced by another of its class."""
+    """Each Latin letter and digit from ``first`` on drawn anew, of its class; letters beyond ASCII
+    become one of a to z."""
 
     def char(i: Column) -> Column:
         c = F.substring(norm, i + 1, 1)
@@ -102,7 +104,8 @@ def _substituted(norm: Column, stream: Column, hexadecimal: Column, first: Colum
             F.when(i < first, c)
             .when(c.between("0", "9"), _draw(stream, i, 10).cast("string"))
             .when(c.between("a", "z"), F.when(hexadecimal, letter(97, 6)).otherwise(letter(97, 26)))
-            .when(c.between("A", "Z"), letter(65, 26))
+            .when(c.between("A", "Z"), F.when(hexadecimal, letter(65, 6)).otherwise(letter(65, 26)))
+            .when(c.rlike(r"\p{IsLatin}"), letter(97, 26))
             .otherwise(c)
         )
 
@@ -150,7 +153,7 @@ def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         .when(kind == "card", card)
         .when(kind == "iban", sub(norm, 2))
         .when(kind == "access_key", sub(norm, 4))
-        .when(kind == "secret", sub(norm, 0, norm.rlike("^[0-9a-f]+$")))
+        .when(kind == "secret", sub(norm, 0, norm.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
         .otherwise(sub(norm))
     )
 

@@ -195,7 +195,8 @@ def test_packing(spark):
 
 def test_surrogates(spark):
     texts = [None, "", "Write to Jane.Roe@mail.example.org, or jane.roe@mail.example.org.", "Call +1 (512) 555-0199 or 512-555-0199; card 4539 1488 0343 6467",
-             "Frau Anna Schmidt und Herr SCHMIDT, Господин Иванов", 'token = "0123456789abcdef0123" from 10.20.30.40', "nothing 3.14 here 2024-01-01", "Mr. Lee met Mr. Lee"]
+             "Frau Anna Schmidt und Herr SCHMIDT, Господин Иванов", 'token = "0123456789abcdef0123" from 10.20.30.40', "nothing 3.14 here 2024-01-01", "Mr. Lee met Mr. Lee",
+             'TOKEN = "9233A8ECF7C5B09FE591" ñdoñ.34@mail7.example.com 4845168114407329 190.137.223.204 4539 1488 0343 6467 10.9.8.7']
     got = {r["doc_id"]: r for r in pii.replace_pii(docs(spark, texts)).collect()}
     assert got[0]["text"] is None and got[1]["text"] == "" and got[6]["text"] == texts[6]
     mails = re.findall(r"[\w.]+@[\w.]+\.org", got[2]["text"])
@@ -208,6 +209,8 @@ def test_surrogates(spark):
     assert names[1].upper() == names[2] and names[0].endswith("lia") and re.fullmatch("[а-яА-Я]+", names[3])
     assert re.fullmatch(r'token = "[0-9a-f]{20}" from \d+\.\d+\.\d+\.\d+', got[5]["text"]) and "0123456789abcdef" not in got[5]["text"]
     assert len(set(re.findall(r"Mr\. (\w+)", got[7]["text"]))) == 1
+    assert re.fullmatch(r'TOKEN = "[0-9A-F]{20}" [a-z]{4}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com \d{16} \d+\.\d+\.\d+\.\d+ \d{4} \d{4} \d{4} \d{4} \d+\.\d+\.\d+\.\d+', got[8]["text"])
+    assert got[8]["n_entities"] == 6 and not any(x in got[8]["text"] for x in ("9233A8", "ñ", "4845168", "137.223", "190", "4539", "9.8.7"))
     many = spark.createDataFrame([("ip", f"10.0.{i // 200}.{i % 200 + 1}") for i in range(900)], "kind string, norm string")
     cores = [r["core"] for r in pii.surrogates(many, "k").collect()]
     assert len(set(cores)) == 900 and not set(cores) & {r["norm"] for r in many.collect()}
