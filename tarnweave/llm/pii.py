@@ -24,21 +24,26 @@ _ENDINGS = {
     "cyrillic": {"m": "рин", "f": "лия", "x": "рель", "family": "нко"},
     "greek": {"m": "ρος", "f": "λια", "x": "ρελ", "family": "δης"},
 }
-#: What entities look like, those that hold others first.
-_START = r"(?<![\p{L}\p{N}_])"
-_PATTERNS = {
-    "name": rf"{_START}(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
-    "secret": _START + r"(?i:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{12,}",
-    "access_key": _START + r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": _START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+#: What entities look like, those that hold others first; the first kinds begin a word.
+_WORDS = {
+    "name": rf"(?=\p{{Lu}})(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+    "secret": r"(?=[AaPpSsTt])(?i:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{12,}",
+    "access_key": r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
+    "email": r"(?<![\p{M}.%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+}
+_NUMBERS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
     r"|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3}(?!\.?[0-9]))?)(?![0-9])",
 }
-PATTERN = "|".join(_PATTERNS.values())
+_PATTERNS = _WORDS | _NUMBERS
+#: Most places in a text are passed by after one look at two characters.
+PATTERN = (
+    rf"(?=[\p{{L}}\p{{N}}])(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(_WORDS.values())})|(?=[0-9+(])(?:{'|'.join(_NUMBERS.values())})"
+)
 
 
 @dataclass(frozen=True)
@@ -250,9 +255,13 @@ def replace_pii(
     p = params or SurrogateParams()
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     some = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    holders = plain.where(some).withColumn("th", F.xxhash64("text"))
+    holders = stash(
+        plain.where(some)
+        .withColumn("th", F.xxhash64("text"))
+        .withColumn("entities", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
+    )
     found = stash(
-        holders.select("id", "th", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("entities"))
+        holders.select("id", "th", "entities")
         .distinct()
         .select("id", "th", F.posexplode("entities").alias("at", "entity"))
         .withColumn("kind", _kind(F.col("entity")))
