@@ -129,9 +129,8 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda a, x: a + x)
 
 
-def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a part, of its type and shape."""
-    stream = _stream(kind, norm, attempt, key)
+def _core(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column:
+    """The surrogate of a part, of its type and shape, drawn from its stream of digits."""
     sub = lambda s, first=0, hexa=None: _substituted(s, stream, F.lit(False) if hexa is None else hexa, F.lit(first))
     tail = F.regexp_extract(norm, r"(\.[a-z]+)$", 1)
     octets = F.concat_ws(".", *((1 + _draw(stream, F.lit(i), 254)).cast("string") for i in range(4)))
@@ -180,7 +179,9 @@ def surrogates(parts: DataFrame, key: str) -> DataFrame:
     real = stash(parts.select("kind", "norm").distinct())
     pending, taken = real.withColumn("attempt", F.lit(0)), None
     while True:
-        drawn = stash(pending.withColumn("core", _core(F.col("kind"), F.col("norm"), F.col("attempt"), key)))
+        seeded = pending.withColumn("stream", _stream(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+        core = _core(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("stream"))
+        drawn = stash(seeded.withColumn("core", core).drop("stream"))
         winners = drawn.groupBy("kind", "core").agg(F.min("norm").alias("norm"))
         free = winners.join(real.select("kind", F.col("norm").alias("core")), ["kind", "core"], "left_anti")
         if taken is not None:
