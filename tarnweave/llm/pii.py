@@ -255,12 +255,9 @@ def replace_pii(
     table gives an empty result. Other columns are ignored."""
     p = params or SurrogateParams()
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    some = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    holders = stash(
-        plain.where(some)
-        .withColumn("th", F.xxhash64("text"))
-        .withColumn("entities", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    )
+    searched = stash(plain.withColumn("entities", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))))
+    some = F.coalesce(F.size("entities"), F.lit(0)) > 0
+    holders = searched.where(some).withColumn("th", F.xxhash64("text"))
     found = stash(
         holders.select("id", "th", "entities")
         .distinct()
@@ -290,5 +287,5 @@ def replace_pii(
     replaced = holders.join(
         lists.hint("merge"), F.col("id").eqNullSafe(F.col("new_id")) & (F.col("th") == F.col("new_th"))
     ).select("id", mended.alias("text"), F.size("new").cast("long").alias("n_entities"))
-    untouched = plain.where(~some).withColumn("n_entities", F.lit(0).cast("long"))
+    untouched = searched.where(~some).select("id", "text", F.lit(0).cast("long").alias("n_entities"))
     return untouched.unionByName(replaced).select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_entities")
