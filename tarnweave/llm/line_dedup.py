@@ -1,4 +1,4 @@
-"""Line dedup: content-defined chunks of lines; repeated multi-line chunks are removed."""
+"""Line dedup: rolling hashes over line hashes anchor repeated runs of lines, which are removed."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.llm.text import mix64
@@ -18,83 +18,86 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class ChunkParams:
-    """A chunk ends after a line where the rolling hash over the last ``window`` line hashes is a
-    multiple of ``divisor``; so its ends depend on those lines alone, wherever they stand. Chunks
-    of fewer than ``min_lines`` lines or ``min_words`` words are never removed."""
+    """A chunk is ``window`` lines in a row, and one begins at every line: so any repeated run of
+    that many lines is a union of repeated chunks, rims and all, wherever it stands. Runs of fewer
+    than ``min_lines`` lines or ``min_words`` words are never removed."""
 
     window: int = 2
-    divisor: int = 3
     min_lines: int = 2
     min_words: int = 1
 
 
-def chunk_ends(lines: list[str], p: ChunkParams) -> np.ndarray:
-    """Index after the last line of each chunk."""
+def rolling_hashes(lines: list[str], p: ChunkParams) -> np.ndarray:
+    """Hash of each chunk, in order of its first line."""
     h = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines))
-    rolling = np.zeros(len(h), np.uint64)
-    for back in range(p.window):
-        shifted = np.zeros(len(h), np.uint64)
-        shifted[back:] = h[: len(h) - back]
-        rolling = rolling * _BASE + shifted
-    cut = mix64(rolling) % np.uint64(p.divisor) == 0
-    cut[-1] = True
-    return np.flatnonzero(cut) + 1
+    n = max(0, len(h) - p.window + 1)
+    rolling = np.zeros(n, np.uint64)
+    for k in range(p.window):
+        rolling = rolling * _BASE + h[k : k + n]
+    return mix64(rolling)
 
 
 def chunks_of(text: str | None, p: ChunkParams) -> list[tuple[int, int, str]]:
-    """(first line, number of lines, text) of each chunk that may be removed."""
-    if not text:
-        return []
-    lines = text.split("\n")
-    if len(lines) < p.min_lines:
-        return []
-    out, start = [], 0
-    for end in chunk_ends(lines, p).tolist():
-        if end - start >= p.min_lines:
-            body = "\n".join(lines[start:end])
-            if len(body.split(None, p.min_words)) >= p.min_words:
-                out.append((start, end - start, body))
-        start = end
-    return out
-
-
-_PLACE = "id long, th long, start int, lines int"
-
-
-def _chunk_digests(docs: DataFrame, p: ChunkParams) -> DataFrame:
+    """(first line, number of lines, text) of each chunk."""
+    lines = text.split("\n") if text else []
+    return [(k, p.window, "\n".join(lines[k : k + p.window])) for k in range(len(lines) - p.window + 1)]
+
+
+def _chunk_hashes(docs: DataFrame, p: ChunkParams) -> DataFrame:
     def run(batches):
         for batch in batches:
-            rows: list[tuple] = []
-            for key, th, text in zip(*(batch[c].to_pylist() for c in ("id", "th", "text")), strict=True):
-                rows += (
-                    (key, th, s, n, xxhash.xxh3_128_digest(body.encode("utf-8", "surrogatepass")))
-                    for s, n, body in chunks_of(text, p)
-                )
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["id", "th", "start", "lines", "digest"],
-                )
-
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return docs.mapInArrow(run, f"{_PLACE}, digest binary")
-
-
-def _bodies(candidates: DataFrame) -> DataFrame:
-    """Text of each candidate chunk of (id, th, text, places) rows."""
-    body = lambda place: F.array_join(
-        F.slice(F.split("text", "\n", -1), place["start"] + 1, place["lines"]), "\n"
+            hashes = [rolling_hashes(t.split("\n") if t else [], p) for t in batch["text"].to_pylist()]
+            sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
+            if not sizes.sum():
+                continue
+            at = pa.array(np.repeat(np.arange(len(hashes)), sizes))
+            start = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"].take(at), batch["th"].take(at), pa.array(start), pa.array(np.concatenate(hashes).view(np.int64))],
+                ["id", "th", "start", "hash"],
+            )
+
+    return docs.mapInArrow(run, "id long, th long, start int, hash long")
+
+
+def _with_lines(text: Column, use) -> Column:
+    """``use(lines)``, the lines of ``text`` split once."""
+    return F.element_at(F.transform(F.array(F.split(text, "\n", -1)), use), 1)
+
+
+def _bodies(candidates: DataFrame, p: ChunkParams) -> DataFrame:
+    """Text of each candidate chunk of (id, th, text, starts) rows."""
+    body = lambda lines, s: F.array_join(F.slice(lines, s + 1, F.lit(p.window)), "\n")
+    chunks = _with_lines(
+        F.col("text"),
+        lambda lines: F.transform("starts", lambda s: F.struct(s.alias("start"), body(lines, s).alias("body"))),
     )
-    return candidates.select("id", "th", "text", F.explode("places").alias("place")).select(
-        "id", "th", "place.*", body(F.col("place")).alias("body")
+    return candidates.select("id", "th", F.inline(chunks))
+
+
+def _runs(starts: Column, window: int) -> Column:
+    """array<struct<start, stop>> of the runs that chunks at sorted ``starts`` form by sharing lines."""
+    begins = F.filter(starts, lambda s, i: (i == 0) | (s >= F.get(starts, i - 1) + window))
+    ends = F.filter(starts, lambda s, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1) >= s + window))
+    return F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("start"), (b + window).alias("stop")))
+
+
+def _cut(lines: Column, runs: Column, p: ChunkParams) -> Column:
+    """struct<text, removed>: what is left without the runs that are long enough."""
+    words = lambda r: F.size(
+        F.filter(F.split(F.array_join(F.slice(lines, r["start"] + 1, r["stop"] - r["start"]), " "), r"(?U)\s+"), lambda w: w != "")
     )
+    long_enough = F.filter(runs, lambda r: (r["stop"] - r["start"] >= p.min_lines) & (words(r) >= p.min_words))
 
+    def without(gone: Column) -> Column:
+        # runs that touch come in order and don't overlap, so what lies between them stays
+        lows = F.concat(F.array(F.lit(0)), F.transform(gone, lambda r: r["stop"]))
+        highs = F.concat(F.transform(gone, lambda r: r["start"]), F.array(F.size(lines)))
+        kept = F.flatten(F.zip_with(lows, highs, lambda a, b: F.slice(lines, a + 1, b - a)))
+        removed = F.aggregate(gone, F.lit(0), lambda n, r: n + r["stop"] - r["start"])
+        return F.struct(F.array_join(kept, "\n").alias("text"), removed.alias("removed"))
 
-def _kept_lines(text, cuts):
-    """``text`` without the lines of ``cuts``, (start, lines) of each."""
-    gone = F.flatten(F.transform(cuts, lambda c: F.sequence(c["start"], c["start"] + c["lines"] - 1)))
-    lines = F.split(text, "\n", -1)
-    return F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone, i)), "\n")
+    return F.element_at(F.transform(F.array(long_enough), without), 1)
 
 
 def _same(left: DataFrame, right: DataFrame):
@@ -108,8 +111,10 @@ def remove_repeated_chunks(
     n_removed_lines.
 
     A chunk's first occurrence (by id, then text hash, then line) stays; every later one whose
-    bytes are equal goes. Chunks whose hash alone repeats stay. Lines that repeat outside of a
-    repeated chunk stay.
+    bytes are equal goes, one line at its rim or all of a document included. Chunks whose hash
+    alone repeats stay, and so do lines that repeat without a neighbour. The first occurrence of a
+    line is never removed, so no line is lost; of a line that is repeated three times or more in
+    direct succession, one stays.
 
     Null texts stay null with no lines; a text all of whose lines go becomes empty; single-line
     texts stay. Rows of equal id and text are one document and get one result. Null ids are ids
@@ -119,34 +124,30 @@ def remove_repeated_chunks(
     plain = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")
     )
-    chunks = stash(_chunk_digests(plain, p).distinct())
-    repeated = chunks.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    places = (
-        chunks.join(repeated, "digest")
-        .groupBy("id", "th")
-        .agg(F.collect_list(F.struct("start", "lines")).alias("places"))
-    )
-    texts = plain.join(places.hint("merge"), _same(plain, places)).select(plain["*"], "places")
-    bodies = stash(_bodies(texts).distinct())
-    place = F.struct("id", "th", "start", "lines")
+    chunks = stash(_chunk_hashes(plain, p).distinct())
+    repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    starts = chunks.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("start").alias("starts"))
+    texts = plain.join(starts.hint("merge"), _same(plain, starts)).select(plain["*"], "starts")
+    bodies = stash(_bodies(texts, p).distinct())
+    place = F.struct("id", "th", "start")
     equal = bodies.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     cuts = (
         bodies.join(equal, "body")
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("id", "th")
-        .agg(F.collect_list(F.struct("start", "lines")).alias("cuts"))
-        .select(F.col("id").alias("cut_id"), F.col("th").alias("cut_th"), "cuts")
+        .agg(F.array_sort(F.collect_list("start")).alias("starts"))
+        .select(F.col("id").alias("cut_id"), F.col("th").alias("cut_th"), _runs(F.col("starts"), p.window).alias("runs"))
     )
     others = [docs[c] for c in docs.columns if c not in (text_col, "n_lines", "n_removed_lines")]
-    removed = F.aggregate("cuts", F.lit(0), lambda n, c: n + c["lines"])
     joined = docs.join(
         cuts.hint("merge"),
         docs[id_col].cast("long").eqNullSafe(F.col("cut_id")) & (F.xxhash64(docs[text_col]) == F.col("cut_th")),
         "left",
     )
-    return joined.select(
-        *others,
-        F.when(F.col("cuts").isNull(), docs[text_col]).otherwise(_kept_lines(docs[text_col], F.col("cuts"))).alias(text_col),
-        F.when(docs[text_col].isNull(), 0).otherwise(F.size(F.split(docs[text_col], "\n", -1))).cast("long").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed_lines"),
+    cut = F.when(F.col("runs").isNotNull(), _with_lines(docs[text_col], lambda lines: _cut(lines, F.col("runs"), p)))
+    return joined.select(*others, docs[text_col].alias("__text"), cut.alias("__cut")).select(
+        *(c for c in docs.columns if c not in (text_col, "n_lines", "n_removed_lines")),
+        F.when(F.col("__cut").isNull(), F.col("__text")).otherwise(F.col("__cut.text")).alias(text_col),
+        F.when(F.col("__text").isNull(), 0).otherwise(F.size(F.split("__text", "\n", -1))).cast("long").alias("n_lines"),
+        F.coalesce("__cut.removed", F.lit(0)).cast("long").alias("n_removed_lines"),
     )

@@ -156,6 +156,31 @@ def test_line_dedup(spark):
     assert line_dedup.remove_repeated_chunks(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_takes_whole_runs(spark):
+    passages = [[SAY(30) for _ in range(n)] for n in (2, 3, 5, 9)] + [["lead in", "", "", "", "after blanks"]]
+    mixed = ["\n".join([SAY(5) for _ in range(k)] + q + [SAY(5) for _ in range(3)]) for k in range(4) for q in passages]
+    copies = ["\n\n\n" + SAY(9) + "\n" + SAY(4) + "\n\n\n"] * 2 + ["a b\na b\na b", "lone\n" + SAY(5), "lone\n" + SAY(5), "\n\n", "x\n\n\n"]
+    texts = mixed + copies
+    lines = [t.split("\n") for t in texts]
+    places = [(i, k) for i, x in enumerate(lines) for k in range(len(x))]
+    gone: dict[int, set] = {i: set() for i in range(len(texts))}
+    for i, k in places:  # every later run of two equal lines or more, by comparing all places
+        for j, m in places:
+            n = 0
+            while (j, m) < (i, k) and k + n < len(lines[i]) and m + n < len(lines[j]) and lines[i][k + n] == lines[j][m + n]:
+                n += 1
+            if n >= 2 and "".join(lines[i][k : k + n]).strip():
+                gone[i] |= set(range(k, k + n))
+    got = {r["doc_id"]: r for r in line_dedup.remove_repeated_chunks(docs(spark, texts)).collect()}
+    assert {i: (r["text"], r["n_removed_lines"]) for i, r in got.items()} == {
+        i: ("\n".join(x for k, x in enumerate(lines[i]) if k not in gone[i]), len(gone[i])) for i in gone
+    }
+    for i in range(len(passages), len(mixed)):
+        assert got[i]["n_removed_lines"] == len(passages[i % len(passages)])
+    whole, twice = len(mixed) + 1, len(mixed) + 2
+    assert got[whole]["text"] == "" and got[whole]["n_removed_lines"] == got[whole]["n_lines"] and got[twice]["text"] == "a b"
+
+
 @given(st.lists(st.integers(1, 40), max_size=60))
 def test_combinations_use_every_piece_once(lengths):
     counts = np.bincount(lengths, minlength=41)[:41]
