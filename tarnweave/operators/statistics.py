@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 PCA_DIMS, CLUSTERS, RESTARTS = 10, range(2, 9), 10
 NULL_TRIALS, NULL_QUANTILE = 20, 0.99
-#: Rows between which a silhouette is measured, at most; more are sampled by hash.
-SILHOUETTE_ROWS = 5000
+#: Rows of a block, between two of which distances are measured at once, and parts
+#: that the blocks on one side of the comparison are dealt to.
+BLOCK_ROWS, BLOCK_PARTS = 512, 8
 
 
 def benjamini_hochberg(tests: DataFrame, p: str, key: str, alpha: float) -> DataFrame:
@@ -45,22 +46,77 @@ def normalised_mutual_information(df: DataFrame, a: str, b: str) -> DataFrame:
     return sums.select(F.when(mean > 0, F.col("mi") / mean).otherwise(1.0).alias("nmi"))
 
 
+def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``x`` from all of ``y``; close ones are measured by difference."""
+    centre = y.mean(axis=0)
+    x, y = x - centre, y - centre
+    size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+    square = np.maximum(size - 2 * (x @ y.T), 0)
+    near = np.argwhere(square < 1e-4 * size)
+    for at in range(0, len(near), 1 << 15):
+        i, j = near[at : at + (1 << 15)].T
+        square[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(square)
+
+
+def _blocks(rows: DataFrame, n: int) -> DataFrame:
+    """(ks, cs, v, d): rows without nulls in blocks of about BLOCK_ROWS, the vectors end to end."""
+    block = F.pmod(F.xxhash64("k", "v", F.lit("block")), F.lit(max(1, -(-n // BLOCK_ROWS))))
+    packed = rows.groupBy(block.alias("block"), F.size("v").alias("d")).agg(F.collect_list(F.struct("k", "c", "v")).alias("r"))
+    return packed.select("d", F.col("r.k").alias("ks"), F.col("r.c").alias("cs"), F.flatten("r.v").alias("v"))
+
+
 def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
     """(silhouette): mean over rows of (b - a) / max(a, b), Euclidean; 0 for lone rows.
 
-    All pairs are compared by definition, of ``SILHOUETTE_ROWS`` rows at most."""
-    rows = df.select(F.col(key).alias("k"), F.col(vector).alias("v"), F.col(cluster).alias("c")).orderBy(F.xxhash64("k"), "k").limit(SILHOUETTE_ROWS)
-    other = rows.select(F.col("k").alias("k2"), F.col("v").alias("v2"), F.col("c").alias("c2"))
-    gap = F.sqrt(F.aggregate(F.zip_with("v", "v2", lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda n, x: n + x))
+    Every row is compared with every other, block by block: a task adds up the distances of the
+    rows on its left from the blocks on its right, by cluster, before they are shuffled. Rows
+    without a key don't count; those without a vector or cluster count as 0."""
+    named = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(cluster).alias("c")).where("k is not null")
+    whole = named.where(F.col("c").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+    n = named.count()
+    kinds = dict(named.dtypes)
+    left = _blocks(whole, n).repartition(-(-n // BLOCK_ROWS) or 1)
+    right = _blocks(whole, n).repartition(BLOCK_PARTS).select("d", F.struct("ks", "cs", "v").alias("o"))
+
+    def run(frames):
+        at, total = None, {}
+        for frame in frames:
+            for d, ks, cs, v, o in zip(frame["d"], frame["ks"], frame["cs"], frame["v"], frame["o"]):
+                keys, others = list(ks), pd.Index(o["ks"])
+                if at is None or at[0] != d or at[1] != keys:
+                    yield from sums(at, total)
+                    at, total = (d, keys, list(cs), np.asarray(v, float).reshape(len(keys), d), pd.Index(keys)), {}
+                gap = _gaps(at[3], np.asarray(o["v"], float).reshape(len(others), d))
+                counts = np.ones_like(gap)
+                if at[4].isin(others).any():  # rows of one key aren't compared
+                    same = at[4].to_numpy()[:, None] == others.to_numpy()
+                    gap[same], counts[same] = 0, 0
+                codes, names = pd.factorize(pd.Series(list(o["cs"])))
+                member = np.eye(len(names))[codes]
+                for name, s, c in zip(names, (gap @ member).T, (counts @ member).T):
+                    before = total.get(name, (0, 0))
+                    total[name] = (before[0] + s, before[1] + c)
+        yield from sums(at, total)
+
+    def sums(at, total):
+        for name, (s, c) in total.items():
+            met = c > 0
+            yield pd.DataFrame({
+                "k": pd.Series(at[1], dtype=object)[met], "c": pd.Series(at[2], dtype=object)[met], "c2": name, "s": s[met], "n": c[met].astype("int64"),
+            })
+
+    met = left.hint("shuffle_replicate_nl").join(right.withColumnRenamed("d", "d2"), F.col("d") == F.col("d2")).drop("d2")
+    gaps = met.mapInPandas(run, f"k {kinds['k']}, c {kinds['c']}, c2 {kinds['c']}, s double, n long")
     means = (
-        rows.crossJoin(other).where("k <> k2").groupBy("k", "c", "c2").agg(F.avg(gap).alias("d"))
+        gaps.groupBy("k", "c", "c2").agg((F.sum("s") / F.sum("n")).alias("d"))
         .groupBy("k").agg(
             F.max(F.when(F.col("c") == F.col("c2"), F.col("d"))).alias("a"),
             F.min(F.when(F.col("c") != F.col("c2"), F.col("d"))).alias("b"),
         )
     )
     worth = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return means.agg(F.avg(worth).alias("silhouette"))
+    return named.select("k").distinct().join(means, "k", "left").agg(F.avg(worth).alias("silhouette"))
 
 
 def rare_clusters(df: DataFrame, cluster: str, least: float = 0.01) -> DataFrame:

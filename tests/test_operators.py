@@ -1,6 +1,7 @@
 """Hand-made cases at the edges of each operator."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -135,3 +136,23 @@ def test_sample_and_membership(spark):
     assert catalog.stratified_sample(df, "size", "id", 10).count() == 10
     assert [r[0] for r in catalog.random_sample(df, "id", 5).collect()] == [r[0] for r in catalog.random_sample(df.repartition(3), "id", 5).collect()]
     assert spark.range(1).select(scalars.clip(F.lit(None).cast("double"), -4.0, 4.0)).first()[0] is None
+
+
+def test_silhouette_uses_every_row(spark):
+    rng = np.random.default_rng(3)
+    n = 5400  # more rows than a sample of 5,000, in blocks that don't come out even
+    c = rng.integers(0, 3, n)
+    x = rng.normal(size=(n, 3)) + 1.5 * c[:, None]
+    x[1:4], c[0:4], c[n - 1] = x[0], 1, 9  # equal points, and a cluster of one
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    means = np.array([d[:, c == k].sum(axis=1) / ((c == k).sum() - (c == k)).clip(1) for k in (0, 1, 2, 9)])
+    at = np.searchsorted([0, 1, 2, 9], c)
+    a = means[at, np.arange(n)]
+    means[at, np.arange(n)] = np.inf
+    b = means.min(axis=0)
+    expected = np.where(c == 9, 0, (b - a) / np.maximum(a, b)).mean()
+    rows = spark.createDataFrame(pd.DataFrame({"k": np.arange(n), "v": x.tolist(), "c": c}))
+    assert abs(statistics.silhouette(rows, "k", "v", "c").first()[0] - expected) < 1e-9
+    few = spark.createDataFrame([(1, [0.0], "a"), (2, [1.0], "b"), (3, [1.0], "b"), (4, None, "b"), (None, [9.0], "a")], "k long, v array<double>, c string")
+    assert statistics.silhouette(few, "k", "v", "c").first()[0] == 0.5
+    assert statistics.silhouette(few.limit(0), "k", "v", "c").first()[0] is None
