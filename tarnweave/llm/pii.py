@@ -14,6 +14,19 @@ from tarnweave.session import stash
 _MALE = "Mr|Mister|Herr|Monsieur|Señor|Sr|Don|Господин"
 _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Doña|Госпожа"
 _EITHER = "Dr|Prof"
+_TITLES = rf"(?:{_MALE}|{_FEMALE}|{_EITHER})\.? (?:(?:{_EITHER})\.? )*"
+#: Lower-case words within names, and the words of names: initials, or capitalised.
+_PARTICLES = (
+    "von|vom|van|zu|zur|zum|der|den|dem|de|del|dela|della|di|da|do|dos|das|du|des|la|las|le|les|los|ten|ter|te|af|av|el|al|bin|ibn|y|e|и"
+)
+_INITIALS = r"(?:\p{Lu}\.-?)*\p{Lu}(?:\.|(?![\p{L}\p{M}'’-]))"
+_NAME = rf"(?:{_INITIALS}|(?:\p{{Ll}}{{1,3}}['’-])?\p{{Lu}}[\p{{L}}\p{{M}}'’-]+)"
+_NEXT = rf"(?:(?:{_PARTICLES}) ){{0,4}}{_NAME}"
+#: Country codes, which surrogates of phone numbers keep.
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+_V4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
+_H = "[0-9A-Fa-f]{1,4}"
+_V6_END = r"(?![\p{L}\p{N}_:]|\.[0-9])"
 _SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga ge ka ke ko la le lo ma me mo na ne no pa ra re ro sa se so ta te va".split(),
     "cyrillic": "ба бе бо да де до ва ве га го ка ке ко ла ле ло ма ме мо на не но па ра ре ро са се со та те за".split(),
@@ -26,23 +39,32 @@ _ENDINGS = {
 }
 #: What entities look like, those that hold others first; the first kinds begin a word.
 _WORDS = {
-    "name": rf"(?=\p{{Lu}})(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+    "name": rf"(?=\p{{Lu}}){_TITLES}{_NEXT}(?: {_NEXT})*",
     "secret": r"(?=[AaPpSsTt])(?i:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{12,}",
     "access_key": r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
     "email": r"(?<![\p{M}.%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "ip6": rf"(?=[0-9A-Fa-f]{{1,4}}:)(?:(?:{_H}:){{6}}{_V4}|(?:{_H}:){{1,6}}(?::{_H}){{0,5}}:{_V4}|(?:{_H}:){{7}}{_H}"
+    rf"|(?:{_H}:){{1,6}}(?::{_H}){{1,6}}|(?=[A-Fa-f:]*[0-9])(?:{_H}:){{1,7}}:){_V6_END}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
 _NUMBERS = {
-    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
+    "ip": rf"(?<![0-9.]){_V4}(?!\.?[0-9])",
+    "ip6_short": rf"(?<![\p{{L}}\p{{N}}_:])::(?:(?:{_H}:){{0,5}}{_V4}|{_H}(?::{_H}){{0,6}}){_V6_END}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])(?:"
+    r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"  # 3-3-4
+    r"|(?:\+|00(?=[1-9][0-9]{0,2}[ ./-]))[1-9](?:[ ./-]?(?:\([0-9]{1,5}\)[ ./-]?)?[0-9]){7,14}"  # international
+    r"|(?:\(0[1-9][0-9]{1,4}\)|0[1-9][0-9]{1,4}(?=[ /-]))(?: ?[/-] ?| )?(?=(?:[ -]?[0-9]){5})[0-9]{2,8}(?:[ -][0-9]{1,5}){0,4}"
+    r"|0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4})"  # pairs
+    r"|[6-9][0-9]{2}(?:(?:[ -][0-9]{3}){2}|(?:[ .-][0-9]{2}){3})|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2}"  # nine digits
+    r")(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
     r"|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3}(?!\.?[0-9]))?)(?![0-9])",
 }
 _PATTERNS = _WORDS | _NUMBERS
 #: Most places in a text are passed by after one look at two characters.
 PATTERN = (
-    rf"(?=[\p{{L}}\p{{N}}])(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(_WORDS.values())})|(?=[0-9+(])(?:{'|'.join(_NUMBERS.values())})"
+    rf"(?=[\p{{L}}\p{{N}}])(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(_WORDS.values())})|(?=[0-9+(:])(?:{'|'.join(_NUMBERS.values())})"
 )
 
 
@@ -63,12 +85,22 @@ def _kind(entity: Column) -> Column:
     return F.coalesce(*(F.when(whole(k), F.lit(k)) for k in kinds))
 
 
+def _names(entity: Column) -> Column:
+    """The words after the titles."""
+    return F.split(F.regexp_replace(entity, f"^{_TITLES}", ""), " ")
+
+
+def _is_name(word: Column) -> Column:
+    return ~word.rlike(f"^(?:{_PARTICLES})$")
+
+
 def _parts(entity: Column, kind: Column) -> Column:
     """array<struct<kind, norm>> of what is replaced: equal parts are one person or thing."""
     one = lambda norm: F.array(F.struct(kind.alias("kind"), norm.alias("norm")))
     title = F.regexp_extract(entity, r"^([^. ]+)", 1)
     sex = F.when(title.rlike(f"^(?:{_MALE})$"), "m").when(title.rlike(f"^(?:{_FEMALE})$"), "f").otherwise("x")
-    names = F.split(F.regexp_replace(entity, r"^\S+ ", ""), " ")
+    names = F.filter(_names(entity), _is_name)
+    national = F.regexp_replace(_digits(F.regexp_replace(entity, rf"^(?:\+|00){_COUNTRY}", "")), "^0+", "")
     tokens = F.transform(
         names,
         lambda t, i: F.struct(
@@ -82,7 +114,8 @@ def _parts(entity: Column, kind: Column) -> Column:
         .when(kind == "email", one(F.lower(entity)))
         .when(kind == "iban", one(F.regexp_replace(entity, " ", "")))
         .when(kind.isin("ssn", "card"), one(_digits(entity)))
-        .when(kind == "phone", one(F.substring(_digits(entity), -10, 10)))
+        .when(kind == "phone", one(national))
+        .when(kind.startswith("ip6"), F.array(F.struct(F.lit("ip6").alias("kind"), F.lower(entity).alias("norm"))))
         .otherwise(one(entity))
     )
 
@@ -135,10 +168,13 @@ def _core(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column
     tail = F.regexp_extract(norm, r"(\.[a-z]+)$", 1)
     octets = F.concat_ws(".", *((1 + _draw(stream, F.lit(i), 254)).cast("string") for i in range(4)))
     line = sub(norm)
+    groups = F.concat_ws(":", *(F.lower(F.substring(stream, 4 * i + 1, 4)) for i in range(8)))
     phone = F.concat(
         (2 + _draw(stream, F.lit(0), 8)).cast("string"), F.substring(line, 2, 2),
         (2 + _draw(stream, F.lit(3), 8)).cast("string"), F.substring(line, 5, 6),
     )
+    lead = F.concat((1 + _draw(stream, F.lit(0), 9)).cast("string"), F.substring(line, F.lit(2), F.length(line)))
+    phone = F.when(F.length(norm) == 10, phone).otherwise(lead)
     number = sub(norm, 1)
     body = F.substring(number, F.lit(1), F.length(number) - 1)
     check = F.pmod(10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
@@ -153,6 +189,7 @@ def _core(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column
         F.when(kind.startswith("name:"), person)
         .when(kind == "email", F.concat(sub(F.substring(norm, F.lit(1), F.length(norm) - F.length(tail))), tail))
         .when(kind == "ip", octets)
+        .when(kind == "ip6", groups)
         .when(kind == "phone", phone)
         .when(kind == "card", card)
         .when(kind == "iban", sub(norm, 2))
@@ -216,10 +253,32 @@ def _cased(model: Column, s: Column) -> Column:
     return F.when(model.rlike(r"^\P{Ll}{2,}$"), F.upper(s)).when(model.rlike(r"^\p{Lu}"), F.initcap(s)).otherwise(by_letter)
 
 
+def _initials(model: Column, s: Column) -> Column:
+    """``model`` with letters of ``s`` in place of its own, none of which stays."""
+    char = lambda i: F.lower(F.substring(model, i, 1)) == F.substring(s, i, F.lit(1))
+    return F.array_join(
+        F.transform(
+            F.sequence(F.lit(1), F.length(model)),
+            lambda i: F.when(~F.substring(model, i, 1).rlike(r"\p{L}"), F.substring(model, i, 1)).otherwise(
+                F.upper(F.substring(s, F.when(char(i), i + 1).otherwise(i), F.lit(1)))
+            ),
+        ),
+        "",
+    )
+
+
 def _shaped(entity: Column, kind: Column, cores: Column) -> Column:
     core = F.element_at(cores, 1)
-    names = F.split(F.regexp_replace(entity, r"^\S+ ", ""), " ")
-    full = F.array_join(F.zip_with(names, cores, _cased), " ")
+    names = _names(entity)
+    nth = lambda i: F.get(cores, F.size(F.filter(F.slice(names, F.lit(1), i + 1), _is_name)) - 1)
+    initials = lambda w: w.rlike(f"^{_INITIALS}$")
+    full = F.array_join(
+        F.transform(
+            names,
+            lambda w, i: F.when(~_is_name(w), w).when(initials(w), _initials(w, nth(i))).otherwise(_cased(w, nth(i))),
+        ),
+        " ",
+    )
     same_length = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(core)),
@@ -230,7 +289,7 @@ def _shaped(entity: Column, kind: Column, cores: Column) -> Column:
         "",
     )
     return (
-        F.when(kind == "name", F.concat(F.regexp_extract(entity, r"^(\S+ )", 1), full))
+        F.when(kind == "name", F.concat(F.regexp_extract(entity, f"^({_TITLES})", 1), full))
         .when(kind == "email", same_length)
         .when(kind == "secret", F.concat(F.substring(entity, F.lit(1), F.length(entity) - F.length(core)), core))
         .when(kind.isin("phone", "ssn", "card"), _slots(entity, core, "0-9"))
@@ -244,8 +303,10 @@ def replace_pii(
 ) -> DataFrame:
     """Every row's id (under the name of ``id_col``), text with surrogates, and n_entities.
 
-    Names after a title, e-mail and IP addresses, phone, card, social security and IBAN numbers,
-    access keys and assigned secrets are found by pattern. What is replaced depends on the key,
+    Names after a title (any number of words, initials and particles), e-mail, IPv4 and IPv6
+    addresses, phone numbers (international, or in the national groupings of North America,
+    Germany, France and Spain), card, social security and IBAN numbers, access keys and assigned
+    secrets are found by pattern. What is replaced depends on the key,
     the type and the normal form (case, spacing and punctuation aside) alone, so an entity gets
     one surrogate in all documents. Surrogates keep the type's shape: case, separators, title,
     script, given names' gender, country code, top-level domain, valid octets and check digits.

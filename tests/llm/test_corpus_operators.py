@@ -242,6 +242,24 @@ def test_surrogates(spark):
     assert pii.replace_pii(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("text, shape, gone", [
+    ("Frau Anna Maria Schmidt kam", r"Frau [A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+ kam", "Anna Maria Schmidt"),
+    ("Mr. J. Smith or Mr. J.R.R. Tolkien", r"Mr\. [A-Z]\. [A-Z][a-z]+ or Mr\. [A-Z]\.[A-Z]\.[A-Z]\. [A-Z][a-z]+", "J. Smith J.R.R. Tolkien"),
+    ("Herr von Neumann, Prof. Dr. Ada de la Cruz.", r"Herr von [A-Z][a-z]+, Prof\. Dr\. [A-Z][a-z]+ de la [A-Z][a-z]+\.", "Neumann Ada Cruz"),
+    ("Monsieur d'Artagnan; Mr. K Lee", r"Monsieur [A-Za-z]+; Mr\. [A-JL-Z] [A-Z][a-z]+", "Artagnan Lee"),
+    ("+49 30 1234567 = (030) 1234567 = 030/1234567", r"\+49 ([1-9]\d) (\d{7}) = \(0\1\) \2 = 0\1/\2", "1234567"),
+    ("+33 6 12 34 56 78, 06 12 34 56 78", r"\+33 ([1-9]) (\d\d \d\d \d\d \d\d), 0\1 \2", "12 34 56 78"),
+    ("+34 912 345 678 or 91 234 56 78 or 0171-2345678", r"\+34 \d{3} \d{3} \d{3} or \d\d \d{3} \d\d \d\d or 0\d{3}-\d{7}", "345 2345678 234"),
+    ("+442079460958 and +49 (0)30 1234567", r"\+44\d{10} and \+49 \(0\)\d\d \d{7}", "2079460958 1234567"),
+    ("at 2001:db8::8a2e:370:7334, ::ffff:10.1.2.3 or fe80::1.", r"at (\w{4}:){7}\w{4}, (\w{4}:){7}\w{4} or (\w{4}:){7}\w{4}\.", "2001:db8 8a2e 10.1.2.3 fe80"),
+    ("on 01.02.2024, 2024-01-01, 01/02/2024 at 12:30:45 std::dec 912.345.678 aa:bb:cc:dd:ee:ff", r"on 01\.02\.2024, 2024-01-01, .* ee:ff|.*ee:ff", ""),
+])
+def test_surrogates_of_other_forms(spark, text, shape, gone):
+    row = pii.replace_pii(docs(spark, [text])).first()
+    assert re.fullmatch(shape, row["text"]) and not any(re.search(rf"(?<!\w){re.escape(x)}(?!\w)", row["text"]) for x in gone.split())
+    assert gone or row["text"] == text and row["n_entities"] == 0
+
+
 def test_mixing(spark):
     texts = TEXTS[:6] + [SAY(n) for n in RNG.integers(1, 200, 300)]
     sources = {i: [None, "a", "b", "c"][min(3, i % 7)] for i in range(len(texts))}
