@@ -132,18 +132,22 @@ def _draw(stream: Column, i: Column, n: int) -> Column:
 
 
 def _substituted(norm: Column, stream: Column, hexadecimal: Column, first: Column) -> Column:
-    """Each Latin letter and digit from ``first`` on drawn anew, of its class; letters beyond ASCII
-    become one of a to z."""
+    """Each letter and digit from ``first`` on drawn anew, of its class: Cyrillic and Greek letters
+    from their own alphabets, those of other scripts, marks and Latin ones beyond ASCII from a to z."""
 
     def char(i: Column) -> Column:
         c = F.substring(norm, i + 1, 1)
         letter = lambda base, n: F.char(F.lit(base) + _draw(stream, i, n))
+        of = lambda alphabet: F.substring(F.lit(alphabet), _draw(stream, i, len(alphabet)) + 1, F.lit(1))
         return (
             F.when(i < first, c)
             .when(c.between("0", "9"), _draw(stream, i, 10).cast("string"))
             .when(c.between("a", "z"), F.when(hexadecimal, letter(97, 6)).otherwise(letter(97, 26)))
             .when(c.between("A", "Z"), F.when(hexadecimal, letter(65, 6)).otherwise(letter(65, 26)))
-            .when(c.rlike(r"\p{IsLatin}"), letter(97, 26))
+            .when(c.rlike(r"\p{IsCyrillic}"), of("абвгдежзиклмнопрстуфхцчшэюя"))
+            .when(c.rlike(r"\p{IsGreek}"), of("αβγδεζηθικλμνξοπρστυφχψω"))
+            .when(c.rlike(r"[\p{L}\p{M}]"), letter(97, 26))
+            .when(c.rlike(r"\p{N}"), _draw(stream, i, 10).cast("string"))
             .otherwise(c)
         )
 
@@ -282,7 +286,7 @@ def _shaped(entity: Column, kind: Column, cores: Column) -> Column:
     same_length = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(core)),
-            lambda i: F.when(F.substring(entity, i, 1).between("A", "Z"), F.upper(F.substring(core, i, 1))).otherwise(
+            lambda i: F.when(F.substring(entity, i, 1).rlike(r"\p{Lu}"), F.upper(F.substring(core, i, 1))).otherwise(
                 F.substring(core, i, 1)
             ),
         ),

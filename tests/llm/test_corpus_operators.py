@@ -260,6 +260,16 @@ def test_surrogates_of_other_forms(spark, text, shape, gone):
     assert gone or row["text"] == text and row["n_entities"] == 0
 
 
+def test_surrogates_of_mail_names_in_any_script(spark):
+    names = ["иван.петров", "Γιώργος_7", "山田太郎", "محمد", "Иван2"]
+    got = {r["doc_id"]: r for r in pii.replace_pii(docs(spark, [f"to {n}@mail.ru now" for n in names])).collect()}
+    for i, name in enumerate(names):
+        local = re.fullmatch(r"to (\S+)@[a-z]{4}\.ru now", got[i]["text"])[1]
+        assert got[i]["n_entities"] == 1 and len(local) == len(name)
+        assert not any(run.lower() in local.lower() for run in re.findall(r"[^\W\d_]+", name))
+    assert re.match("to [а-я]{4}[.][а-я]{6}@", got[0]["text"]) and re.match("to [А-Я][а-я]{3}[0-9]@", got[4]["text"])
+
+
 def test_mixing(spark):
     texts = TEXTS[:6] + [SAY(n) for n in RNG.integers(1, 200, 300)]
     sources = {i: [None, "a", "b", "c"][min(3, i % 7)] for i in range(len(texts))}
