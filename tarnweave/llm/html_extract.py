@@ -30,6 +30,17 @@ _OTHER = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+#: Class words that say how something is laid out, not what it is.
+_MODIFIER = re.compile(
+    r"(?:^|(?<=\s))(?:(?:has|with|without|no|is|show|hide)[-_]\S*|\S*[-_](?:fixed|sticky|open|closed|enabled|disabled|visible|hidden|layout))(?=\s|$)",
+    re.I,
+)
+#: Words of names that no wrapper of the main text has.
+_NEVER = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w+|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|comments?|disqus|repl\w+|related"
+    r"|shar\w+|social|newsletter|login|signup|search|pagination|pager|breadcrumbs?)(?:$|[\s_-])",
+    re.I,
+)
 _SPACE = re.compile(r"\s+")
 
 
@@ -47,20 +58,22 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int]] = []  # text, tags, aside, main region
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, unseen, aside, main region
+        self.lines: list[tuple[str, int, tuple[int, ...], int]] = []  # text, tags, asides, main region
+        self.open: list[tuple[str, bool, tuple[int, ...], int]] = []  # tag, unseen, asides, main region
+        self.wrappers: list[bool] = []  # by aside: may be a wrapper of the page's text
+        self.holders: set[int] = set()  # asides around a main element
         self.parts: list[str] = []
         self.tags = 0
         self.regions = 0
 
-    def state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+    def state(self) -> tuple[bool, tuple[int, ...], int]:
+        return self.open[-1][1:] if self.open else (False, (), 0)
 
     def end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            _, aside, main = self.state()
-            self.lines.append((text, self.tags, aside, main))
+            _, asides, main = self.state()
+            self.lines.append((text, self.tags, asides, main))
             self.tags = 0
         self.parts = []
 
@@ -74,18 +87,21 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _VOID:
             return
-        unseen, aside, main = self.state()
+        unseen, asides, main = self.state()
         outermost = tag in ("html", "body", "main") or (tag == "article" and not main)
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        if tag in _MAIN and not aside and not main:
+        other = not outermost and bool(named) and bool(_OTHER.search(_MODIFIER.sub(" ", named)))
+        if tag in _MAIN and not main:
             self.regions += 1
             main = self.regions
-        aside = aside or (tag in _ASIDE and not (tag == "header" and main)) or (
-            not outermost and bool(named) and bool(_OTHER.search(named))
-        )
+        if tag == "main":
+            self.holders.update(asides)
+        if other or (tag in _ASIDE and not (tag == "header" and main)):
+            self.wrappers.append((tag == "form" or tag not in _ASIDE) and not main and not _NEVER.search(named))
+            asides = (*asides, len(self.wrappers) - 1)
         if any(k == "hidden" for k, _ in attrs) and tag not in ("html", "body"):
             unseen = True
-        self.open.append((tag, unseen or tag in _UNSEEN, aside, main))
+        self.open.append((tag, unseen or tag in _UNSEEN, asides, main))
 
     def close_paragraph(self, tag):
         """A block ends an open paragraph (and a list item ends the one before it)."""
@@ -145,11 +161,32 @@ def smoothed(ratios: list[float], sigma: float) -> list[float]:
     return out
 
 
+def _set_apart(parser: _Lines, lines: list) -> list[bool]:
+    """Whether each line is within an aside that isn't a mere wrapper.
+
+    Where no article or main element is outside of all asides, a named element or form is a mere
+    wrapper if it holds the main element, or more text than is left outside of asides."""
+    if any(main and not asides for _, _, asides, main in lines):
+        return [bool(asides) for _, _, asides, _ in lines]
+    free: set[int] = set()
+    for w, may in enumerate(parser.wrappers):
+        if may:
+            inside = outside = 0
+            for text, _, asides, _ in lines:
+                left = [x for x in asides if x not in free]
+                inside += len(text) * (w in left and all(parser.wrappers[x] for x in left))
+                outside += len(text) * (not left)
+            if w in parser.holders or inside > outside:
+                free.add(w)
+    return [any(x not in free for x in asides) for _, _, asides, _ in lines]
+
+
 def main_text(html: str | None, p: ExtractParams = ExtractParams()) -> str:
     """The main text of a page.
 
     Lines within menus, headers, footers, sidebars, notices, adverts, forms and comments, by their
-    elements and names, are set apart. Of the others, lines whose smoothed text-to-tag ratio
+    elements and names, are set apart, unless what is named so is a wrapper of the main text; names
+    that only say how a wrapper is laid out don't count, and where all lines would go, none does. Of the others, lines whose smoothed text-to-tag ratio
     reaches the threshold are content; clusters of them decide which regions are: within an
     article or main element that holds content, every line is content (short paragraphs and
     headings too); outside of one, the lines from the first to the last of a cluster's run are."""
@@ -157,7 +194,8 @@ def main_text(html: str | None, p: ExtractParams = ExtractParams()) -> str:
         return ""
     parser = _Lines()
     parser.feed(html)
-    lines = [x for x in parser.finish() if not x[2]]
+    every = parser.finish()
+    lines = [x for x, apart in zip(every, _set_apart(parser, every), strict=True) if not apart] or every
     if not lines:
         return ""
     ratios = [len(text) / max(1, tags) for text, tags, _, _ in lines]

@@ -352,6 +352,23 @@ def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'>{}</div>", "<div id=page class='header-fixed'>{}</div>", "<form action=x>{}</form>",
+    "<div class='header wrapper'><form><nav>menu menu</nav>{}</form></div>", "<p>skip</p><div class=sidebar-right>{}<div class=comments>me too</div></div>",
+])
+@pytest.mark.parametrize("body", ["<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div><p>{}</p></div>"])
+def test_wrappers_of_the_main_text_stay(page, body):
+    said = "long " * 49 + "long"
+    assert html_extract.main_text(page.format(body.format(said))).removeprefix("skip ") == said
+
+
+def test_text_in_asides_only_is_kept_and_asides_beside_text_go():
+    assert html_extract.main_text("<header><p>all there is</p></header>") == "all there is"
+    said = "long " * 49 + "long"
+    assert html_extract.main_text(f"<article><p>{said}</p></article><div class=sidebar><article>{said} {said}</article></div>") == said
+    assert html_extract.main_text(f"<p>{said}</p><div class=comments><article>{said} {said}</article></div>") == said
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>x</p></article>"), (None, None, None)], "page_id long, url string, html string")
     assert [tuple(r) for r in html_extract.extract(pages).orderBy("page_id").collect()] == [(None, None, "", 0), (1, "u", "x", 1)]
