@@ -443,14 +443,14 @@ def random_sample(spark, sf_dir):
 @query()
 def outlier_pipeline(spark, sf_dir):
     d = _similarity(spark, sf_dir).select("episode", F.concat("sims", "steps").alias("shape"))
-    return statistics.cluster_outliers(d, "episode", "shape", ks=range(2, 4), restarts=2)
+    return statistics.cluster_outliers(d, "episode", "shape")
 
 
 @query()
 def ablation_sweep(spark, sf_dir):
     sums = ablation.gram(_windows(spark, sf_dir), "episode", ["o0_bytes", "o1_bytes", "o2_bytes"], ["a_bytes"])
     score = series.frame_quality(I.frames(spark, sf_dir)).select("episode", (F.col("episode") % 7).alias("operator"), (-F.col("size_cv")).alias("score"), F.lit(False).alias("hard"))
-    return ablation.sweep(sums, score, "episode", "operator", 3, 1, seeds=2, most=2)
+    return ablation.sweep(sums, score, "episode", "operator", 3, 1)
 
 
 def queries() -> dict[str, Query]:
