@@ -7,33 +7,84 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight
+from tarnweave.session import stash
+
+
+def _dealt(keyed: DataFrame, block: int) -> DataFrame:
+    """``keyed`` without buckets of one item, with the number of blocks of the bucket (``parts``),
+    the item's own (``own``) and the bucket's leading item (``lead``)."""
+    lead = F.min(F.struct(F.xxhash64("item", F.lit(72)).alias("h"), "item"))
+    sizes = stash(
+        keyed.groupBy("bucket").agg(F.count("*").alias("n"), lead.alias("lead")).where("n > 1").select("bucket", "n", "lead.item")
+        .withColumnRenamed("item", "lead")
+    )
+    parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    own = F.pmod(F.xxhash64("item", F.lit(71)), F.col("parts")).cast("int")
+    return join_by_weight(keyed, sizes, "bucket", "n").withColumn("parts", parts).withColumn("own", own)
+
+
+def _task(left, right, side):
+    return F.struct(left.cast("int").alias("left"), right.cast("int").alias("right"), side.cast("int").alias("side"))
+
+
+def _with_tasks(rows: DataFrame, tasks, columns: list[str]) -> DataFrame:
+    return rows.select(*columns, F.explode(tasks).alias("t")).select(*columns, "t.left", "t.right", "t.side")
+
 
 def block_pairs(keyed: DataFrame, block: int) -> DataFrame:
-    """(bucket, item) rows -> (item, bucket, left, right, side): the tasks in which an item meets
-    the others of its buckets.
+    """(bucket, item, ...) rows -> (item, bucket, ..., left, right, side): the tasks in which an
+    item meets the others of its buckets.
 
     Buckets of one item fall away. A bucket of up to ``block`` items is one task (left = right =
     0). A larger one is dealt into blocks by the item's hash, and each unordered pair of blocks is
     a task of about twice ``block`` items; ``side`` says whether the item stands left (0) or right
     (1), so every pair of items meets in exactly one task of the bucket."""
-    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("item", F.lit(71)), F.col("parts")).cast("int")
+    own = F.col("own")
     tasks = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda o: F.struct(
-            F.least(F.col("own"), o).alias("left"),
-            F.greatest(F.col("own"), o).alias("right"),
-            (F.col("own") > o).cast("int").alias("side"),
-        ),
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda o: _task(F.least(own, o), F.greatest(own, o), own > o)
     )
-    return (
-        keyed.join(sizes, "bucket")
-        .withColumn("parts", parts)
-        .withColumn("own", own)
-        .select("item", "bucket", F.explode(tasks).alias("t"))
-        .select("item", "bucket", "t.left", "t.right", "t.side")
+    return _with_tasks(_dealt(keyed, block), tasks, keyed.columns)
+
+
+def own_blocks(keyed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The tasks within blocks, and (item, bucket) of the buckets of several blocks.
+
+    Each item meets those of its own block and the bucket's leading item, which stands in every
+    block: so copies of one text are connected block by block, at a cost in proportion to the
+    bucket. What is left of a larger bucket is ``cross_blocks``."""
+    dealt = stash(_dealt(keyed, block))
+    here = lambda o: _task(o, o, F.lit(0))
+    tasks = F.when(F.col("item") == F.col("lead"), F.transform(F.sequence(F.lit(0), F.col("parts") - 1), here)).otherwise(
+        F.array(here(F.col("own")))
     )
+    return _with_tasks(dealt, tasks, ["item", "bucket"]), dealt.where("parts > 1").select("item", "bucket")
+
+
+def cross_blocks(large: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Tasks for the pairs of (item, bucket) rows that (item, label) doesn't connect yet.
+
+    In each bucket the items outside of its most frequent label are dealt into blocks and meet one
+    another and, block by block, those of that label, which needn't meet among themselves. A bucket
+    of one label only makes no task; one connected group and some others make tasks in proportion
+    to its size."""
+    labelled = stash(large.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item")))
+    counts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("n"))
+    sizes = stash(main.select("bucket", "n", F.col("m.label").alias("main"), (F.col("n") - F.col("m.c")).alias("rest")).where("rest > 0"))
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    rows = (
+        join_by_weight(labelled, sizes, "bucket", "n")
+        .withColumn("few", blocks(F.col("rest"))).withColumn("many", blocks(F.col("n") - F.col("rest")))
+        .withColumn("inside", F.col("label") == F.col("main"))
+        .withColumn("own", F.pmod(F.xxhash64("item", F.lit(73)), F.when(F.col("inside"), F.col("many")).otherwise(F.col("few"))).cast("int"))
+    )
+    own, few = F.col("own"), F.col("few")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    among = F.transform(upto(few), lambda o: _task(F.least(own, o), F.greatest(own, o), own > o))
+    across = F.transform(upto(F.col("many")), lambda d: _task(own, few + d, F.lit(0)))
+    back = F.transform(upto(few), lambda o: _task(o, few + own, F.lit(1)))
+    return _with_tasks(rows, F.when(F.col("inside"), back).otherwise(F.concat(among, across)), ["item", "bucket"])
 
 
 def meet(tasks: DataFrame) -> DataFrame:

@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.llm import buckets
-from tarnweave.llm.graph import components
+from tarnweave.llm.graph import class_links, component_of_each, components
+from tarnweave.llm.hot import join_by_weight
 from tarnweave.llm.text import mix64
 from tarnweave.session import stash
 
 
+#: Tables whose keys are drawn again at once, to see where a close pair met first.
+_TABLES_AT_ONCE = 16
+
+
 @dataclass(frozen=True)
 class PStableParams:
     """``cosine``: vectors link at this cosine or more. A key is ``projections`` quantised
@@ -73,15 +78,15 @@ def _classes(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, "id long, digest binary, raw binary")
 
 
-def _keys(unit: np.ndarray, k: int, tables: int, p: PStableParams) -> np.ndarray:
-    rng = np.random.default_rng([p.seed, len(unit[0])])
-    lines = rng.standard_normal((unit.shape[1], tables * k))
-    shift = rng.uniform(0, p.width, tables * k)
+def _keys(unit: np.ndarray, k: int, tables: range, p: PStableParams) -> np.ndarray:
+    """Keys of unit vectors in some of the tables, each drawn from a seed of its own."""
+    dims = unit.shape[1]
+    drawn = [np.random.default_rng([p.seed, dims, t]) for t in tables]
+    lines = np.concatenate([r.standard_normal((dims, k)) for r in drawn], axis=1)
+    shift = np.concatenate([r.uniform(0, p.width, k) for r in drawn])
     cells = np.floor((unit @ lines + shift) / p.width).astype(np.int64).view(np.uint64)
-    key = np.broadcast_to(
-        mix64(np.arange(1, tables + 1, dtype=np.uint64) + np.uint64(len(unit[0]) << 32)),
-        (len(unit), tables),
-    )
+    number = np.arange(tables.start + 1, tables.stop + 1, dtype=np.uint64)
+    key = np.broadcast_to(mix64(number + np.uint64(dims << 32)), (len(unit), len(tables)))
     for r in range(k):
         key = mix64(key ^ cells[:, r::k])
     return key.view(np.int64)
@@ -100,49 +105,65 @@ def _indexed(items: DataFrame, k: int, tables: int, p: PStableParams) -> DataFra
             keys: list = [None] * len(raw)
             for length in {len(r) for r in raw}:
                 at = [x for x, r in enumerate(raw) if len(r) == length]
-                for x, row in zip(at, _keys(_unit([raw[x] for x in at]), k, tables, p), strict=True):
+                for x, row in zip(at, _keys(_unit([raw[x] for x in at]), k, range(tables), p), strict=True):
                     keys[x] = row.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(keys, pa.list_(pa.int64()))], [*batch.schema.names, "keys"]
-            )
+            yield pa.RecordBatch.from_arrays([batch["item"], pa.array(keys, pa.list_(pa.int64()))], ["item", "keys"])
 
-    return items.mapInArrow(run, "item binary, first long, weight long, raw binary, keys array<long>")
+    return items.mapInArrow(run, "item binary, keys array<long>")
 
 
-def _linked(tasks: DataFrame, tables: int, p: PStableParams) -> DataFrame:
+def _met_before(unit: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray, k: int, p: PStableParams) -> np.ndarray:
+    """Whether rows i and j of each pair share the key of a table before the pair's own.
+
+    Keys are drawn again here, for close pairs only and some tables at a time, until the pair's
+    first shared table is known: task rows needn't carry keys."""
+    met = np.zeros(len(i), bool)
+    for start in range(0, int(table.max(initial=0)), _TABLES_AT_ONCE):
+        open_ = np.flatnonzero(~met & (table > start))
+        if not len(open_):
+            break
+        rows, place = np.unique(np.concatenate([i[open_], j[open_]]), return_inverse=True)
+        span = range(start, min(start + _TABLES_AT_ONCE, int(table.max())))
+        keys = _keys(unit[rows], k, span, p)
+        one, two = place[: len(open_)], place[len(open_) :]
+        earlier = np.arange(span.start, span.stop) < table[open_, None]
+        met[open_] = ((keys[one] == keys[two]) & earlier).any(axis=1)
+    return met
+
+
+def _linked(tasks: DataFrame, k: int, p: PStableParams) -> DataFrame:
     """(item, first, root, links): per task and item, how many vectors it links with there and an
     item of the task that it is connected with. A pair counts in the first table it shares."""
 
     def run(batches):
         for table, starts in buckets.whole_tasks(batches):
             raw = table["raw"].to_pylist()
-            weight, bucket = table["weight"].to_numpy(), table["bucket"].to_numpy()
+            weight, number = table["weight"].to_numpy(), table["table"].to_numpy()
             first = table["first"].to_numpy(zero_copy_only=False)
-            flat = pa.concat_arrays([c.flatten() for c in table["keys"].chunks])
-            keys = flat.to_numpy(zero_copy_only=False).reshape(-1, tables)
             links = np.zeros(table.num_rows, np.int64)
             label = np.arange(table.num_rows)
             ends = np.append(starts[1:], table.num_rows)
-            for k in range(0, len(starts), 512):
-                s, e = starts[k], ends[min(k + 511, len(starts) - 1)]
-                unit = {length: None for length in {len(r) for r in raw[s:e]}}
-                if len(unit) != 1:  # keys hold the length: only a chance meeting
-                    raise ValueError("vectors of different lengths share a key")
-                unit = _unit(raw[s:e])
-                part = table.slice(s, e - s)
-                found = []
-                for i, j in buckets.pairs(part, starts[k : k + 512] - s):
-                    close = np.einsum("ij,ij->i", unit[i], unit[j]) >= p.cosine
-                    i, j = i[close], j[close]
-                    at = (keys[s + i] == keys[s + j]).argmax(axis=1)
-                    own = keys[s + i, at] == bucket[s + i]
-                    i, j = i[own], j[own]
-                    np.add.at(links, s + i, weight[s + j])
-                    np.add.at(links, s + j, weight[s + i])
-                    found.append((i, j))
-                if found:
-                    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-                    label[s:e] = s + buckets.forest(e - s, i, j)
+            for at in range(0, len(starts), 512):
+                s, e = starts[at], ends[min(at + 511, len(starts) - 1)]
+                for length in {len(r) for r in raw[s:e]}:  # keys hold the length: vectors of one length meet
+                    rows = np.flatnonzero([len(r) == length for r in raw[s:e]])
+                    unit = _unit([raw[s + x] for x in rows])
+                    place = np.full(e - s, -1)
+                    place[rows] = np.arange(len(rows))
+                    found = []
+                    for i, j in buckets.pairs(table.slice(s, e - s), starts[at : at + 512] - s):
+                        same = (place[i] >= 0) & (place[j] >= 0)
+                        i, j = i[same], j[same]
+                        close = np.einsum("ij,ij->i", unit[place[i]], unit[place[j]]) >= p.cosine
+                        i, j = i[close], j[close]
+                        own = ~_met_before(unit, place[i], place[j], number[s + i], k, p)
+                        i, j = i[own], j[own]
+                        np.add.at(links, s + i, weight[s + j])
+                        np.add.at(links, s + j, weight[s + i])
+                        found.append((i, j))
+                    if found:
+                        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+                        label[s + rows] = s + buckets.forest(e - s, i, j)[rows]
             hit = links > 0
             yield pa.RecordBatch.from_arrays(
                 [
@@ -183,21 +204,24 @@ def near_vectors(
         )
     )
     k, tables = p.sized(items.count())
-    indexed = stash(_indexed(items, k, tables, p))
-    keyed = indexed.select("item", F.explode("keys").alias("bucket"))
-    tasks = buckets.block_pairs(keyed, p.block).join(indexed, "item")
-    found = stash(_linked(tasks, tables, p))
+    keyed = _indexed(items, k, tables, p).select("item", F.posexplode("keys").alias("table", "bucket"))
+    tasks = buckets.block_pairs(stash(keyed), p.block).join(items, "item")
+    found = stash(_linked(tasks, k, p))
     counts = found.groupBy("item").agg(F.sum("links").alias("others"))
     classes = items.select("item", "first", "weight").join(counts, "item", "left")
-    placed = good.select("id", F.col("digest").alias("item")).join(classes, "item")
-    copies = placed.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    reach = components(copies.union(found.select(F.col("first").alias("a"), F.col("root").alias("b"))), "a", "b")
-    linked = placed.select("id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    every = linked.unionByName(rows.where("digest is null").select("id", F.lit(0).cast("long").alias("n_links")))
-    component = F.coalesce("component", "id")
-    return every.join(reach.withColumnRenamed("node", "id"), "id", "left").select(
+    linked = (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links")
+    placed = stash(
+        join_by_weight(good.select("id", F.col("digest").alias("item")), stash(classes), "item", "weight").select("id", "first", linked)
+    )
+    links = class_links(placed).union(found.select(F.col("first").alias("a"), F.col("root").alias("b")))
+    reached = component_of_each(placed.where("first is not null"), components(links, "a", "b"))
+    alone = placed.where("first is null").select("id", "n_links").unionByName(
+        rows.where("digest is null").select("id", F.lit(0).cast("long").alias("n_links"))
+    )
+    every = reached.select("id", "n_links", "component").unionByName(alone.withColumn("component", F.col("id")))
+    return every.select(
         F.col("id").alias(id_col),
         "n_links",
-        component.alias("component_id"),
-        (F.col("id").isNull() | (F.col("id") == component)).alias("kept"),
+        F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"),
+        (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"),
     )

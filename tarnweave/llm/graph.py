@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight
 from tarnweave.session import stash
 
 
@@ -14,20 +15,25 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(h), F.lit(0))).first())
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (u > v)."""
+def _with_least(pairs: DataFrame, total: int) -> DataFrame:
+    """(u, v, m, n): each pair with the least v of its u. Hubs aren't gathered in one task."""
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return join_by_weight(pairs, least, "u", "n", total)
+
+
+def _stars(edges: DataFrame, total: int) -> DataFrame:
+    """One large-star and one small-star step over ``total`` edges (u > v)."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
     large = (
-        both.join(least, "u")
+        _with_least(both, 2 * total)
         .where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         .where(F.col("u") != F.col("v"))
         .distinct()
     )
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-    return small.union(least.select("u", F.col("m").alias("v"))).distinct()
+    small = _with_least(large, 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    least = large.groupBy("u").agg(F.min("v").alias("v"))
+    return small.union(least).distinct()
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -44,7 +50,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     before = _fingerprint(edges)
     while before[0]:
-        edges = stash(_stars(edges))
+        edges = stash(_stars(edges, before[0]))
         after = _fingerprint(edges)
         if after == before:
             break
@@ -52,3 +58,23 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def class_links(placed: DataFrame) -> DataFrame:
+    """(a, b): links between classes that some id stands in, from (id, first) rows, ``first`` being
+    the smallest id of a class. Ids of one class only, which are nearly all, give no link."""
+    copies = placed.where("id is not null and first is not null and id <> first").select("id", "first").distinct()
+    heads = placed.select(F.col("first").alias("id")).distinct()
+    several = copies.groupBy("id").agg(F.min("first").alias("least"), F.count("*").alias("n")).where("n > 1")
+    return (
+        copies.join(heads, "id", "left_semi").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    ).union(copies.join(several, "id").where("first <> least").select("least", "first"))
+
+
+def component_of_each(placed: DataFrame, reach: DataFrame) -> DataFrame:
+    """``placed`` (with columns id and first, not null) and ``component``: that of its class."""
+    classes = placed.groupBy("first").agg(F.count("*").alias("__n"))
+    labelled = classes.join(reach.withColumnRenamed("node", "first"), "first", "left").select(
+        "first", "__n", F.coalesce("component", "first").alias("component")
+    )
+    return join_by_weight(placed, stash(labelled), "first", "__n").drop("__n")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.llm import buckets
-from tarnweave.llm.graph import components
+from tarnweave.llm.graph import class_links, component_of_each, components
+from tarnweave.llm.hot import join_by_weight
 from tarnweave.llm.text import WordHashes, hash_array, lower_ascii, mix64, shingles, words_of
 from tarnweave.session import stash
 
@@ -187,11 +188,18 @@ def _with_sets(promising: DataFrame, docs: DataFrame, p: MinHashParams) -> DataF
 
     def run(batches):
         table = WordHashes()
+        last, seen = None, set()
         for batch in batches:
             for item, text, tasks in zip(batch["item"], batch["text"], batch["tasks"], strict=True):
                 s = document_set(table, text.as_py(), p.width)
                 if not len(s):
                     continue
+                if item != last:  # rows of one item come together
+                    last, seen = item, set()
+                digest = xxhash.xxh3_128_digest(s.tobytes())
+                if digest in seen:
+                    continue
+                seen.add(digest)
                 least = minima(s, p)
                 sig, bands, raw = signature(least), band_keys(least, p).tolist(), s.tobytes()
                 rows = tasks.as_py()
@@ -269,8 +277,13 @@ def near_duplicates(
 
     A document's set is its distinct ``width``-word shingles after lower-casing A-Z. Equal sets are
     one class, of which one item is indexed; items that share a band of minima are candidates;
-    candidates whose b-bit estimate is within reach are confirmed on both whole sets. Every
-    confirmed pair of different sets counts for the components, by whatever path they connect.
+    candidates whose b-bit estimate is within reach are confirmed on both whole sets, shingles
+    being compared by 64-bit hashes of their words. Every confirmed pair of different sets counts
+    for the components, by whatever path they connect.
+
+    A bucket of more than ``block`` items is compared block by block, its leading item in each;
+    blocks then meet only where their items aren't connected yet. Components are found over
+    classes, and no copy of a text is a link.
 
     Null, empty and blank texts have no shingles and link with nothing; a text of fewer words than
     ``width`` is one shingle. Rows that share an id are one document, linked with whatever one of
@@ -279,32 +292,38 @@ def near_duplicates(
     p = params or MinHashParams()
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     profile = stash(_profile(docs, p))
-    named = profile.where("id is not null and digest is not null")
+    there = F.col("id").isNotNull() & F.col("digest").isNotNull()
+    named = profile.where(there)
     classes = named.groupBy("digest").agg(
         F.min(F.struct("id", "signature", "bands")).alias("item"), F.count("*").alias("n")
     )
     items = stash(classes.select("digest", "n", "item.*"))
-    copies = (
-        named.select("id", "digest")
-        .join(items.where("n > 1").select("digest", F.col("id").alias("first")), "digest")
-        .where("id <> first")
-        .select(F.col("id").alias("a"), F.col("first").alias("b"))
+    placed = stash(
+        join_by_weight(
+            named.select("id", "n_shingles", "digest"), items.select("digest", F.col("id").alias("first"), "n"), "digest", "n"
+        ).select("id", "n_shingles", "first")
     )
     keyed = items.select(F.col("id").alias("item"), F.explode("bands").alias("bucket"))
-    tasks = buckets.block_pairs(keyed, p.block).join(
-        items.select(F.col("id").alias("item"), "signature", "bands"), "item"
-    )
-    promising = stash(_promising(tasks, p))
-    links = _confirmed(_with_sets(promising, docs, p), p)
-    reach = components(copies.union(links), "a", "b")
-    component = F.coalesce("component", "id")
+    within, large = buckets.own_blocks(keyed, p.block)
+    links = class_links(placed).union(_links(within, items, docs, p))
+    if not large.isEmpty():
+        links = stash(links)
+        labels = components(links, "a", "b").select(F.col("node").alias("item"), F.col("component").alias("label"))
+        links = links.union(_links(buckets.cross_blocks(large, labels, p.block), items, docs, p))
+    reached = component_of_each(placed, components(links, "a", "b"))
     return (
-        profile.select("id", "n_shingles")
-        .join(reach.withColumnRenamed("node", "id"), "id", "left")
+        reached.select("id", "n_shingles", "component")
+        .unionByName(profile.where(~there).select("id", "n_shingles", F.col("id").alias("component")))
         .select(
             F.col("id").alias(id_col),
             "n_shingles",
-            component.alias("component_id"),
-            (F.col("id").isNull() | (F.col("id") == component)).alias("kept"),
+            F.col("component").alias("component_id"),
+            (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"),
         )
     )
+
+
+def _links(tasks: DataFrame, items: DataFrame, docs: DataFrame, p: MinHashParams) -> DataFrame:
+    """(a, b): confirmed links that connect what the tasks' pairs connect."""
+    signed = tasks.join(items.select(F.col("id").alias("item"), "signature", "bands"), "item")
+    return _confirmed(_with_sets(stash(_promising(signed, p)), docs, p), p)
