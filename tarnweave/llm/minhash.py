@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,17 +56,26 @@ class MinHashParams:
         return math.floor(self.hashes * (1 - (chance + least * (1 - chance))))
 
 
+@lru_cache(8)
+def _functions(hashes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    mask, odd = np.random.default_rng(seed).integers(0, 2**32, (2, hashes, 1), dtype=np.uint32)
+    return mask, odd | np.uint32(1)
+
+
 def minima(sets: np.ndarray, p: MinHashParams) -> np.ndarray:
     """The minimum of each hash function over a non-empty set of 64-bit hashes."""
-    rng = np.random.default_rng(p.seed)
-    mask, odd = rng.integers(0, 2**32, (2, p.hashes, 1), dtype=np.uint32)
-    odd |= np.uint32(1)
+    mask, odd = _functions(p.hashes, p.seed)
     x = (sets >> np.uint64(32)).astype(np.uint32)
     least = np.full(p.hashes, 2**32 - 1, np.uint32)
-    for k in range(0, len(x), 8192):
-        h = (x[None, k : k + 8192] ^ mask) * odd
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x2C1B3C6D)
+    held = np.empty((2, p.hashes, min(len(x), 512)), np.uint32)
+    for k in range(0, len(x), 512):  # what is held fits into a core's cache
+        part = x[None, k : k + 512]
+        h, shifted = held[:, :, : part.shape[1]]
+        np.bitwise_xor(part, mask, out=h)
+        np.multiply(h, odd, out=h)
+        np.right_shift(h, np.uint32(15), out=shifted)
+        np.bitwise_xor(h, shifted, out=h)
+        np.multiply(h, np.uint32(0x2C1B3C6D), out=h)
         np.minimum(least, h.min(axis=1), out=least)
     return least
 
