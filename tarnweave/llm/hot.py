@@ -1,15 +1,15 @@
-"""Joins with one row per key, where one key may have a great share of all rows."""
+"""Joins where one key may have a great share of all rows, and where names may clash."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key is hot from this part of all rows on, so there are fewer hot keys than this number.
 PARTS = 4096
 
 
-def join_by_weight(rows: DataFrame, classes: DataFrame, key: str, weight: str, total: int | None = None) -> DataFrame:
+def join_by_weight(rows: DataFrame, classes: DataFrame, key: str | list[str], weight: str, total: int | None = None) -> DataFrame:
     """``rows`` joined with ``classes``, which has one row per key and says how many rows have it.
 
     Keys with more than one in ``PARTS`` of all rows are fewer than ``PARTS``, whatever the size of
@@ -18,7 +18,19 @@ def join_by_weight(rows: DataFrame, classes: DataFrame, key: str, weight: str, t
     least the sum of weights, counted here where not given."""
     if total is None:
         total = classes.agg(F.sum(weight)).first()[0] or 0
+    keys = [key] if isinstance(key, str) else key
     is_hot = F.col(weight) * PARTS > F.lit(total)
     hot = F.broadcast(classes.where(is_hot))
-    others = rows.join(F.broadcast(classes.where(is_hot).select(key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(others.join(classes.where(~is_hot).hint("merge"), key))
+    others = rows.join(F.broadcast(classes.where(is_hot).select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(others.join(classes.where(~is_hot).hint("merge"), keys))
+
+
+def packed(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """The columns of ``df`` as one struct, so that no name of theirs meets one of an operator's."""
+    chosen = [df[c] for c in df.columns if c not in without]
+    return F.struct(*chosen) if chosen else F.struct(F.lit(None).cast("string").alias("none"))
+
+
+def unpacked(df: DataFrame, row: str, without: tuple[str, ...] = ()) -> dict[str, Column]:
+    """The columns of ``df`` by name, taken out of the struct ``row``."""
+    return {c: F.col(row).getField(c).alias(c) for c in df.columns if c not in without}

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight, packed, unpacked
 from tarnweave.llm.text import mix64
 from tarnweave.session import stash
 
@@ -66,13 +67,11 @@ def _with_lines(text: Column, use) -> Column:
 
 
 def _bodies(candidates: DataFrame, p: ChunkParams) -> DataFrame:
-    """Text of each candidate chunk of (id, th, text, starts) rows."""
+    """Hash and text of each candidate chunk of (id, th, text, chunks) rows."""
     body = lambda lines, s: F.array_join(F.slice(lines, s + 1, F.lit(p.window)), "\n")
-    chunks = _with_lines(
-        F.col("text"),
-        lambda lines: F.transform("starts", lambda s: F.struct(s.alias("start"), body(lines, s).alias("body"))),
-    )
-    return candidates.select("id", "th", F.inline(chunks))
+    found = lambda lines, c: F.struct(c["start"].alias("start"), c["hash"].alias("hash"), body(lines, c["start"]).alias("body"))
+    every = _with_lines(F.col("text"), lambda lines: F.transform("chunks", lambda c: found(lines, c)))
+    return candidates.select("id", "th", F.inline(every))
 
 
 def _runs(starts: Column, window: int) -> Column:
@@ -126,28 +125,31 @@ def remove_repeated_chunks(
     )
     chunks = stash(_chunk_hashes(plain, p).distinct())
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    starts = chunks.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("start").alias("starts"))
-    texts = plain.join(starts.hint("merge"), _same(plain, starts)).select(plain["*"], "starts")
+    again = join_by_weight(chunks, repeated, "hash", "n", chunks.count())
+    found = again.groupBy("id", "th").agg(F.collect_list(F.struct("start", "hash")).alias("chunks"))
+    texts = plain.join(found.hint("merge"), _same(plain, found)).select(plain["*"], "chunks")
     bodies = stash(_bodies(texts, p).distinct())
     place = F.struct("id", "th", "start")
-    equal = bodies.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    equal = bodies.groupBy("hash", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     cuts = (
-        bodies.join(equal, "body")
+        join_by_weight(bodies, equal, ["hash", "body"], "n", bodies.count())
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("id", "th")
         .agg(F.array_sort(F.collect_list("start")).alias("starts"))
         .select(F.col("id").alias("cut_id"), F.col("th").alias("cut_th"), _runs(F.col("starts"), p.window).alias("runs"))
     )
-    others = [docs[c] for c in docs.columns if c not in (text_col, "n_lines", "n_removed_lines")]
-    joined = docs.join(
-        cuts.hint("merge"),
-        docs[id_col].cast("long").eqNullSafe(F.col("cut_id")) & (F.xxhash64(docs[text_col]) == F.col("cut_th")),
-        "left",
+    own = (text_col, "n_lines", "n_removed_lines")
+    rows = docs.select(
+        packed(docs, own).alias("row"), docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("th"),
+        docs[text_col].alias("text"),
+    )
+    joined = rows.join(
+        cuts.hint("merge"), F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("th") == F.col("cut_th")), "left"
     )
-    cut = F.when(F.col("runs").isNotNull(), _with_lines(docs[text_col], lambda lines: _cut(lines, F.col("runs"), p)))
-    return joined.select(*others, docs[text_col].alias("__text"), cut.alias("__cut")).select(
-        *(c for c in docs.columns if c not in (text_col, "n_lines", "n_removed_lines")),
-        F.when(F.col("__cut").isNull(), F.col("__text")).otherwise(F.col("__cut.text")).alias(text_col),
-        F.when(F.col("__text").isNull(), 0).otherwise(F.size(F.split("__text", "\n", -1))).cast("long").alias("n_lines"),
-        F.coalesce("__cut.removed", F.lit(0)).cast("long").alias("n_removed_lines"),
+    cut = F.when(F.col("runs").isNotNull(), _with_lines(F.col("text"), lambda lines: _cut(lines, F.col("runs"), p)))
+    return joined.select("row", "text", cut.alias("cut")).select(
+        *unpacked(docs, "row", own).values(),
+        F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.col("cut.text")).alias(text_col),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"),
+        F.coalesce("cut.removed", F.lit(0)).cast("long").alias("n_removed_lines"),
     )

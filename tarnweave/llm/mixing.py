@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import packed, unpacked
 from tarnweave.llm.text import WORD
 from tarnweave.session import stash
 
@@ -170,8 +171,9 @@ def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col:
     Rows of equal id and text are one document here: where the mix takes some of them more often
     than others, all are repeated as often as the one taken most."""
     copies = mixed.where("copies > 0").groupBy("mix_id", "mix_text").agg(F.max("copies").alias("copies"))
-    taken = docs.join(
-        copies.hint("merge"), docs[id_col].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs[text_col]) == F.col("mix_text"))
+    rows = docs.select(packed(docs).alias("row"), docs[id_col].alias("row_id"), F.xxhash64(docs[text_col]).alias("row_text"))
+    taken = rows.join(
+        copies.hint("merge"), F.col("row_id").eqNullSafe(F.col("mix_id")) & (F.col("row_text") == F.col("mix_text"))
     )
     times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return taken.select(*docs.columns, times.alias("mix_copy")).drop("mix_copy")
+    return taken.select("row", times.alias("time")).select(*unpacked(docs, "row").values())

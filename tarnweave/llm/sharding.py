@@ -10,18 +10,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight, packed, unpacked
 from tarnweave.session import stash
 
 
 @dataclass(frozen=True)
 class ShardParams:
     """``crowd``: groups that one task parts by itself, as long as that makes no more than
-    ``most_tasks`` tasks. ``cells``: parts in which a shard's rows are numbered side by side."""
+    ``most_tasks`` tasks. A shard's rows are numbered side by side in ``cells`` parts, or in so
+    many that a part has about ``cell_rows`` rows."""
 
     shards: int = 8
     crowd: int = 2048
     most_tasks: int = 65_536
     cells: int = 512
+    cell_rows: int = 65_536
 
 
 def differencing(parts: list[tuple[int, ...]]) -> tuple[list[list[int]], list[int]]:
@@ -64,14 +67,14 @@ def differencing(parts: list[tuple[int, ...]]) -> tuple[list[list[int]], list[in
 
 
 def _part_groups(groups: DataFrame, shards: int) -> DataFrame:
-    """(bucket, digest, local, bytes): each group's place in its bucket's own partition."""
+    """(bucket, digest, local, bytes, n): each group's place in its bucket's own partition."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bytes", "digest"], ascending=[False, True], kind="stable")
         places, _ = differencing([(b, *[0] * (shards - 1)) for b in rows["bytes"].tolist()])
-        return rows.assign(local=np.array([p[0] for p in places], np.int32))[["bucket", "digest", "local", "bytes"]]
+        return rows.assign(local=np.array([p[0] for p in places], np.int32))[["bucket", "digest", "local", "bytes", "n"]]
 
-    return groups.groupBy("bucket").applyInPandas(run, "bucket int, digest binary, local int, bytes long")
+    return groups.groupBy("bucket").applyInPandas(run, "bucket int, digest binary, local int, bytes long, n long")
 
 
 def shard(
@@ -98,7 +101,7 @@ def shard(
             F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b"null")).alias("digest"),
         )
     )
-    groups = stash(rows.groupBy("digest").agg(F.sum("size").alias("bytes")))
+    groups = stash(rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     buckets = max(1, min(p.most_tasks, -(-groups.count() // p.crowd)))
     dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("digest", F.lit(8)), F.lit(buckets)).cast("int"))
     local = stash(_part_groups(dealt, p.shards))
@@ -110,11 +113,13 @@ def shard(
         pd.DataFrame({"bucket": np.arange(buckets, dtype=np.int32), "moves": places}), "bucket int, moves array<int>"
     )
     placed = local.join(F.broadcast(moves), "bucket").select(
-        "digest", F.element_at("moves", F.col("local") + 1).alias("shard")
+        "digest", F.element_at("moves", F.col("local") + 1).alias("shard"), "n"
     )
+    many = rows.count()
+    cells = max(p.cells, many // (p.shards * p.cell_rows))
     sharded = stash(
-        rows.join(placed, "digest").withColumn(
-            "cell", F.pmod(F.xxhash64("id", "digest", F.lit(3)), F.lit(p.cells)).cast("int")
+        join_by_weight(rows, placed, "digest", "n", many).withColumn(
+            "cell", F.pmod(F.xxhash64("id", "digest", F.lit(3)), F.lit(cells)).cast("int")
         )
     )
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,13 +145,16 @@ def shard(
 
 
 def write_shards(docs: DataFrame, sharded: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write documents of unique ids as one folder per shard, in slot order within a file."""
+    """Write documents of unique ids as one folder per shard, in slot order within a file. Columns
+    of ``docs`` named shard or slot are replaced by the row's place."""
     places = sharded.select(F.col(id_col).alias("shard_id"), "shard", "slot").distinct()
+    own = ("shard", "slot")
     (
-        docs.join(places, docs[id_col].eqNullSafe(F.col("shard_id")))
-        .drop("shard_id")
+        docs.select(packed(docs, own).alias("row"), docs[id_col].alias("row_id"))
+        .join(places, F.col("row_id").eqNullSafe(F.col("shard_id")))
+        .select(*unpacked(docs, "row", own).values(), *own)
         .repartition("shard", F.floor(F.col("slot") / 100_000))
-        .sortWithinPartitions("shard", "slot")
+        .sortWithinPartitions(*own)
         .write.partitionBy("shard")
         .parquet(path)
     )
