@@ -16,11 +16,13 @@ from tarnweave.session import stash
 class MixParams:
     """``weights``: those of the sources in code point order, repeating, null last. ``most``: a
     source's target in units of its size, at most. ``bins``: cells of the sampling order in which
-    a source's words are summed, before the one cell where its quota ends is ordered exactly."""
+    a source's words are summed, before the one cell where its quota ends is ordered exactly.
+    ``near``: a share of the target; sums that are off by less count as equally near to it."""
 
     weights: tuple[int, ...] = (1, 2, 3)
     most: int = 3
-    bins: int = 1024
+    bins: int = 4096
+    near: float = 0.001
     seed: str = "mix"
 
 
@@ -65,14 +67,34 @@ def targets(sizes: DataFrame, p: MixParams) -> DataFrame:
     )
 
 
-def _closing(decided: DataFrame) -> DataFrame:
-    """(row, closes): of each source the document beyond the head whose words come nearest to what
-    the head leaves of the quota, where it brings the sum nearer."""
+def levels(sized: DataFrame, goal: DataFrame) -> DataFrame:
+    """(level_source, level): by which factor odds become inclusion probabilities, so that the words
+    that a source's documents contribute on average, sum(min(1, level * odds) * size), are its quota.
+
+    Documents of the largest odds are certain first: if those of some odds are, so are all of
+    larger ones. No level means that all are. One row per source and distinct odds is in order."""
+    by = Window.partitionBy("source").orderBy("odds")
+    cells = (
+        sized.where("size > 0 and odds > 0").groupBy("source", "odds").agg(F.sum("size").alias("words"))
+        .join(goal.select("goal_source", "quota"), F.col("source").eqNullSafe(F.col("goal_source")))
+        .withColumn("rest", F.sum(F.col("odds") * F.col("words")).over(by))
+        .withColumn("larger", F.sum("words").over(Window.partitionBy("source")) - F.sum("words").over(by))
+        .withColumn("free", F.col("quota") - F.col("larger"))
+    )
+    some = F.when(F.col("free") * F.col("odds") < F.col("rest"), F.struct("odds", (F.col("free") / F.col("rest")).alias("level")))
+    return cells.groupBy(F.col("source").alias("level_source")).agg(F.max(some)["level"].alias("level"))
+
+
+def _closing(decided: DataFrame, near: float) -> DataFrame:
+    """(row, closes): of each source the first document by rank, beyond the head, of those whose
+    words come nearest to what the head leaves of the quota (``near`` or less of the target apart
+    being equal), where they bring the sum nearer."""
     left = decided.groupBy("source").agg(
         (F.first("quota") - F.coalesce(F.sum(F.when(F.col("head"), F.col("size"))), F.lit(0))).alias("gap")
     )
     gaps = stash(left.select(F.col("source").alias("gap_source"), "gap"))
-    order = F.struct(F.abs(F.col("size") - F.col("gap")), "rank", "mix_id", "mix_text", "row")
+    off = F.greatest(F.abs(F.col("size") - F.col("gap")), F.col("target") * F.lit(near))
+    order = F.struct(off.alias("off"), "rank", "mix_id", "mix_text", "row")
     return (
         decided.where("not head and size > 0")
         .join(gaps, F.col("source").eqNullSafe(F.col("gap_source")))
@@ -95,12 +117,14 @@ def mix(
     and taken of every row.
 
     A source's documents are to be taken target / source_size times on average: each so many whole
-    copies for certain, the rest by Pareto order sampling. A document's odds are those of its
-    inclusion probability, the ratio's fraction times its affinity (0 to 1, null 1; without
-    ``affinity_col`` all alike); documents rank by u / (1 - u) over those odds, and the ranking's
-    head is taken as far as its words fit into what the copies leave of the target; one more
-    document, the one nearest in size to what is then left, closes the gap. u depends on the id
-    and the seed alone, so reruns agree.
+    copies for certain, the rest by Pareto order sampling with unequal probabilities. A document's
+    odds grow with the root of its size, or are what ``affinity_col`` says (0 to 1 in thousandths,
+    null 1); they are scaled to inclusion probabilities that fill the source's quota on average,
+    and those of 1 or more are certain. Documents rank by their random odds u / (1 - u) over those
+    of their probability; the ranking's head is taken as far as its words fit into what the copies
+    leave of the target, and one more document, by rank among those nearest in size to what is
+    then left, closes the gap. A sample's size is fixed in words, as targets are. u depends on the
+    id and the seed alone, so reruns agree.
 
     A source's ranking is never sorted as a whole: its words are summed per cell of the ranking,
     and only the cell in which the quota ends is put in order.
@@ -109,14 +133,16 @@ def mix(
     that share an id rank together, in order of their size and text. Other columns are ignored; an
     empty table gives an empty result."""
     p = params or MixParams()
-    affinity = F.coalesce(F.col(affinity_col).cast("double"), F.lit(1.0)) if affinity_col else F.lit(1.0)
+    words = word_count(F.col(text_col))
+    given = F.coalesce(F.col(affinity_col).cast("double"), F.lit(1.0)) if affinity_col else None
+    odds = F.sqrt(words.cast("double")) if given is None else F.ceil(F.least(F.lit(1.0), F.greatest(F.lit(0.0), given)) * 1000) / 1000.0
     sized = stash(
         docs.select(
             F.col(id_col).alias("mix_id"),
             F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
+            words.alias("size"),
             F.xxhash64(text_col).alias("mix_text"),
-            affinity.alias("affinity"),
+            odds.alias("odds"),
             F.monotonically_increasing_id().alias("row"),  # tells equal rows apart; they stay stored
         )
     )
@@ -125,15 +151,16 @@ def mix(
         targets(sums, p)
         .withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .withColumn("whole", F.floor("ratio"))
-        .withColumn("chance", F.col("ratio") - F.col("whole"))
         .withColumn("quota", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumnRenamed("source", "goal_source")
     )  # one row per source; whether it is broadcast is left to its known size
-    included = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), F.col("chance") * F.col("affinity")))
+    level = levels(sized, goal)
+    goal = stash(goal.join(level, F.col("goal_source").eqNullSafe(F.col("level_source")), "left").drop("level_source"))
+    included = F.least(F.lit(1.0), F.coalesce(F.col("level") * F.col("odds"), F.lit(1.0)))
     u = uniform(F.col("mix_id"), p.seed)
-    rank = (u / (1 - u)) / (included / (1 - included))
-    ranked = sized.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).withColumn("rank", rank).withColumn(
-        "bin", F.floor(F.col("rank") / (1 + F.col("rank")) * p.bins).cast("int"))
+    rank = F.when((F.col("size") > 0) & (included > 0), u * (1 - included) / ((1 - u) * included)).otherwise(F.lit(1e300))
+    cell = F.when(F.col("rank") == 0, 0).otherwise(1 + F.floor(F.col("rank") / (1 + F.col("rank")) * p.bins))
+    ranked = sized.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).withColumn("rank", rank).withColumn("bin", cell.cast("int"))
     until = Window.partitionBy("source").orderBy("bin")
     cells = (
         ranked.groupBy("source", "bin")
@@ -155,7 +182,7 @@ def mix(
     )
     columns = ["mix_id", "mix_text", "row", "size", "source", "source_size", "target", "whole", "quota", "rank", "head"]
     decided = stash(others.select(*columns).unionByName(ends.select(*columns)))
-    closing = _closing(decided)
+    closing = _closing(decided, p.near)
     decided = decided.join(closing, "row", "left").withColumn("extra", F.col("head") | F.col("closes").isNotNull())
     copies = (F.col("whole") + F.col("extra").cast("long")).cast("long")
     return decided.select(

@@ -41,13 +41,18 @@ f AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(bound) OVER before, 0))
 l AS (SELECT *, bound * heavy < free * weight AS filled FROM f),
 t AS (SELECT source, source_size, CASE WHEN filled THEN bound::DOUBLE ELSE weight * (SELECT free / heavy FROM l WHERE NOT filled ORDER BY bound / weight, source NULLS LAST LIMIT 1) END AS target FROM l),
 g AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t),
-q AS (SELECT *, floor(ratio) AS whole, target - floor(ratio) * source_size AS quota, least(1 - 1e-9, greatest(1e-9, ratio - floor(ratio))) AS chance FROM g),
-u AS (SELECT d.*, q.* EXCLUDE (source), (('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-r AS (SELECT *, u / (1 - u) / (chance / (1 - chance)) AS rank FROM u),
+q AS (SELECT *, floor(ratio) AS whole, target - floor(ratio) * source_size AS quota FROM g),
+o AS (SELECT source, sqrt(size::DOUBLE) AS odds, sum(size)::BIGINT AS words FROM d WHERE size > 0 GROUP BY 1, 2),
+lv AS (SELECT o.source, odds, sum(odds * words) OVER w AS rest, quota - (sum(words) OVER (PARTITION BY o.source) - sum(words) OVER w)::DOUBLE AS free
+ FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source WINDOW w AS (PARTITION BY o.source ORDER BY odds)),
+c AS (SELECT source, arg_max(free / rest, odds) FILTER (free * odds < rest) AS level FROM lv GROUP BY 1),
+u AS (SELECT d.*, q.* EXCLUDE (source), least(1, coalesce(level * sqrt(size::DOUBLE), 1)) AS chance, (('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
+ FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN c ON d.source IS NOT DISTINCT FROM c.source),
+r AS (SELECT *, CASE WHEN size > 0 AND chance > 0 THEN u * (1 - chance) / ((1 - u) * chance) ELSE 1e300 END AS rank FROM u),
 h AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id) <= quota AND quota > 0 AS head FROM r),
 e AS (SELECT *, quota - coalesce(sum(CASE WHEN head THEN size END) OVER (PARTITION BY source), 0) AS gap FROM h),
-c AS (SELECT *, NOT head AND size > 0 AND abs(size - gap) < gap AS may FROM e),
-z AS (SELECT *, may AND row_number() OVER (PARTITION BY source ORDER BY may DESC, abs(size - gap), rank, doc_id) = 1 AS closes FROM c)
+m AS (SELECT *, NOT head AND size > 0 AND abs(size - gap) < gap AS may FROM e),
+z AS (SELECT *, may AND row_number() OVER (PARTITION BY source ORDER BY may DESC, greatest(abs(size - gap), target * 0.001::DOUBLE), rank, doc_id) = 1 AS closes FROM m)
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN (whole + (head OR closes)::INT)::BIGINT * size ELSE 0 END AS taken FROM z
 """
 
