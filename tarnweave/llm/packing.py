@@ -137,64 +137,75 @@ def _pieces(docs: DataFrame, p: PackParams, with_ids: bool) -> DataFrame:
 
 
 class _Stock:
-    """How many pieces of each length are left, and which lengths sum to which gaps."""
+    """How many pieces of each length are left, and an index of the sums of one, two and three.
+
+    ``left[s]`` says how many single lengths make s; ``pair[s]`` and ``triple[s]`` hold the largest
+    length of two or three that do (0: none). Stock only shrinks, so an entry whose lengths have
+    run out moves on to the next smaller length and never back."""
 
     def __init__(self, counts: np.ndarray):
         self.left = counts.copy()
-        self._pairs: np.ndarray | None = None
+        self.pair, self.triple = np.zeros((2, len(counts)), np.int64)
+        lengths = np.flatnonzero(counts)
+        for index, addends in ((self.pair, lambda x: lengths[lengths <= x]), (self.triple, lambda x: np.flatnonzero(self.pair))):
+            for x in lengths:  # ascending: the largest stays
+                sums = x + addends(x)
+                index[sums[sums < len(counts)]] = x
 
     def take(self, lengths: tuple[int, ...]) -> int:
         need = Counter(lengths)
         times = min(int(self.left[n]) // m for n, m in need.items())
         for n, m in need.items():
             self.left[n] -= m * times
-            if not self.left[n]:
-                self._pairs = None
         return times
 
-    def pair_sums(self) -> np.ndarray:
-        """Whether two lengths in stock have this sum."""
-        if self._pairs is None:
-            there = (self.left > 0).astype(float)
-            size = 2 * len(there)
-            self._pairs = np.fft.irfft(np.fft.rfft(there, size) ** 2, size) > 0.5
-        return self._pairs
+    def has(self, lengths: tuple[int, ...]) -> bool:
+        return all(self.left[n] >= m for n, m in Counter(lengths).items())
 
     def one(self, gap: int) -> tuple[int, ...] | None:
-        return (gap,) if 0 < gap < len(self.left) and self.left[gap] else None
+        return (gap,) if gap > 0 and self.left[gap] else None
 
-    def two(self, gap: int) -> tuple[int, ...] | None:
-        if gap < 2 or not self.pair_sums()[gap]:
-            return None
-        large = np.arange(gap - 1, (gap - 1) // 2, -1)
+    def _pair_from(self, gap: int, x: int) -> int:
+        """The largest length up to x that makes ``gap`` with one no longer than it, 0 if none does."""
+        large = np.arange(x, (gap - 1) // 2, -1)
         fits = (self.left[large] > 0) & (self.left[gap - large] > (2 * large == gap))
-        at = int(fits.argmax())
-        return (int(large[at]), gap - int(large[at])) if fits[at] else None
+        return int(large[fits.argmax()]) if fits.any() else 0
+
+    def two(self, gap: int) -> tuple[int, ...] | None:
+        x = int(self.pair[gap]) if gap > 1 else 0
+        if x and not self.has((x, gap - x)):
+            x = self.pair[gap] = self._pair_from(gap, x - 1)
+        return (x, gap - x) if x else None
 
     def three(self, gap: int) -> tuple[int, ...] | None:
-        large = np.arange(gap - 2, (gap - 1) // 3, -1)
-        large = large[(self.left[large] > 0) & self.pair_sums()[gap - large]] if len(large) else large
-        for x in large.tolist():
-            self.left[x] -= 1
-            rest = self.two(gap - x)
-            self.left[x] += 1
+        x = int(self.triple[gap]) if gap > 2 else 0
+        while x:
+            rest = self.two(gap - x) if self.left[x] else None
+            if rest and not self.has((x, *rest)):  # x is one of the two as well: are there others?
+                self.left[x] -= 1
+                other = self._pair_from(gap - x, gap - x - 1)
+                self.left[x] += 1
+                rest = (other, gap - x - other) if other else None
             if rest:
                 return (x, *rest)
+            smaller = np.arange(x - 1, 0, -1)
+            fits = (self.left[smaller] > 0) & (self.pair[gap - smaller] > 0)
+            x = self.triple[gap] = int(smaller[fits.argmax()]) if fits.any() else 0
         return None
 
 
 def combinations(counts: np.ndarray) -> list[tuple[int, tuple[int, ...]]]:
     """(times, lengths): how often which lengths share a sequence; counts[n] pieces of length n.
 
-    Works on counts alone. Longest first, a length is completed by one, two or three others that
-    exactly fill its gap, as often as stock lasts; what finds no complement goes by best fit. Each
+    Works on counts alone. Longest first, a length is completed by one, two or three others whose
+    indexed sum is exactly its gap, as often as stock lasts; what finds no complement goes by best
+    fit. A length that none complete isn't part of any later exact combination either. Each
     combination uses up some length, so there are fewer than about twice as many as lengths."""
     capacity = len(counts) - 1
     stock, out = _Stock(counts), []
     for n in range(capacity, 0, -1):
         while stock.left[n]:
             gap = capacity - n
-            stock.pair_sums()  # of all in stock, this piece included
             stock.left[n] -= 1
             fill = () if not gap else stock.one(gap) or stock.two(gap) or stock.three(gap)
             stock.left[n] += 1
