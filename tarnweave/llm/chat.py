@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight
 from tarnweave.session import stash
 
 _OPEN, _MIDDLE, _CLOSE = "<|turn:", "|>", "<|end|>\n"
@@ -19,10 +21,12 @@ _TURN = re.compile(r"<\|turn:((?:[^|\\]|\\.)*)\|>((?:[^|\\]|\\.)*)<\|end\|>\n",
 
 @dataclass(frozen=True)
 class ChatParams:
-    """``crowd``: distinct conversations that one tree holds, before those that share a first turn
-    are dealt into several trees by their second. ``learned``: the role under the loss mask."""
+    """``crowd``, ``size``: distinct conversations that share turns, and code points of all their
+    turns, up to which they are one tree; beyond, the shared turns are a stem that several trees
+    stand on. ``learned``: the role under the loss mask."""
 
-    crowd: int = 512
+    crowd: int = 128
+    size: int = 4 << 20
     learned: str = "assistant"
 
 
@@ -56,9 +60,12 @@ def code_points(text: str) -> list[int]:
 
 
 class Tree:
-    """Conversations by shared initial turns. A segment is a turn that is emitted once."""
+    """Conversations by shared initial turns. A segment is a turn that is emitted once.
 
-    def __init__(self):
+    ``before``: names of the stems that the tree stands on, from the root; ``stem``: their turns."""
+
+    def __init__(self, name: str = "", before: Sequence[str] = (), stem: Sequence[tuple[str, str]] = ()):
+        self.name, self.before, self.stem = name, list(before), list(stem)
         self.children: list[dict[tuple[str, str], int]] = [{}]
         self.turns: list[tuple[str, str]] = [("", "")]
         self.ends: list[list] = [[]]
@@ -77,22 +84,20 @@ class Tree:
 
     def emit(self, encode: Callable[[str], list[int]], learned: str) -> dict:
         """Tokens depth-first, each with its position in its conversations and its loss mask; the
-        segments with the intervals of tokens that they attend to: their ancestors and their own
-        start; and the segment that each conversation ends with (-1: it has no turns)."""
+        segments with the intervals of the tree's tokens that they attend to: their ancestors and
+        their own start, after all tokens of the stems; and the segment that each conversation ends
+        with (-1: the last stem, or no turns)."""
         tokens: list[int] = []
         positions: list[int] = []
         mask: list[bool] = []
         segments: list[dict] = []
         leaves: list[dict] = [{"key": k, "segment": -1} for k in self.ends[0]]
-        todo = [(node, -1, 0) for node in reversed(self.children[0].values())]
+        base = sum(len(encode(part)) for turn in self.stem for part, _ in _parts(*turn, learned))
+        todo = [(node, -1, base) for node in reversed(self.children[0].values())]
         while todo:
             node, parent, depth = todo.pop()
-            role, text = self.turns[node]
             ids: list[int] = []
-            body = escape(text)
-            for part, learn in (
-                (f"{_OPEN}{escape(role)}{_MIDDLE}", False), (body, role == learned), (_CLOSE, False)
-            ):
+            for part, learn in _parts(*self.turns[node], learned):
                 encoded = encode(part)
                 ids += encoded
                 mask += [learn] * len(encoded)
@@ -108,7 +113,15 @@ class Tree:
             here = len(segments) - 1
             leaves += ({"key": k, "segment": here} for k in self.ends[node])
             todo += ((c, here, depth + len(ids)) for c in reversed(self.children[node].values()))
-        return {"tokens": tokens, "positions": positions, "loss_mask": mask, "segments": segments, "leaves": leaves}
+        return {
+            "tree_id": self.name, "before": self.before, "tokens": tokens, "positions": positions, "loss_mask": mask,
+            "segments": segments, "leaves": leaves,
+        }
+
+
+def _parts(role: str, text: str, learned: str) -> tuple[tuple[str, bool], ...]:
+    """What a turn is written as, part by part, and whether the part is learned."""
+    return (f"{_OPEN}{escape(role)}{_MIDDLE}", False), (escape(text), role == learned), (_CLOSE, False)
 
 
 _INTERVAL = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
@@ -116,12 +129,13 @@ _SEGMENT = pa.struct(
     [("start", pa.int32()), ("stop", pa.int32()), ("parent", pa.int32()), ("attends", pa.list_(_INTERVAL))]
 )
 _TREE = pa.schema(
-    [("tree_id", pa.string()), ("tokens", pa.list_(pa.int32())), ("positions", pa.list_(pa.int32()))]
+    [("tree_id", pa.string()), ("before", pa.list_(pa.string()))]
+    + [("tokens", pa.list_(pa.int32())), ("positions", pa.list_(pa.int32()))]
     + [("loss_mask", pa.list_(pa.bool_())), ("segments", pa.list_(_SEGMENT))]
     + [("leaves", pa.list_(pa.struct([("key", pa.string()), ("segment", pa.int32())])))]
 )
 _TREE_SQL = (
-    "tree_id string, tokens array<int>, positions array<int>, loss_mask array<boolean>, "
+    "tree_id string, before array<string>, tokens array<int>, positions array<int>, loss_mask array<boolean>, "
     "segments array<struct<start:int,stop:int,parent:int,attends:array<struct<start:int,stop:int>>>>, "
     "leaves array<struct<key:string,segment:int>>"
 )
@@ -139,52 +153,106 @@ def assembled(rows: DataFrame) -> DataFrame:
     return grouped.withColumn("key", F.sha2(F.to_json("turns"), 256))
 
 
+def _led(distinct: DataFrame) -> DataFrame:
+    """(key, turns, nodes, size): with a name for each initial run of a conversation's turns, and
+    its code points."""
+    def run(batches):
+        for batch in batches:
+            nodes, sizes = [], []
+            for turns in batch["turns"].to_pylist():
+                name, names, size = b"", [], 0
+                for t in turns:
+                    said = f"{len(t['role'])}:{t['role']}{t['text']}"
+                    size += len(said)
+                    name = xxhash.xxh3_128_digest(name + said.encode("utf-8", "surrogatepass"))
+                    names.append(name.hex())
+                nodes.append(names)
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(nodes, pa.list_(pa.string())), pa.array(sizes, pa.int64())],
+                ["key", "turns", "nodes", "size"],
+            )
+
+    return distinct.mapInArrow(run, "key string, turns array<struct<role:string,text:string>>, nodes array<string>, size long")
+
+
+def _stems(led: DataFrame, p: ChatParams) -> DataFrame:
+    """(node, n, parts, at, key): initial runs that too many conversations share for one tree, how
+    many do, in how many trees they go on, the last turn's place, and one of the conversations."""
+    shared = led.select("key", "size", F.posexplode("nodes").alias("at", "node")).groupBy("node").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"), F.first("at").alias("at"), F.min("key").alias("key")
+    )
+    parts = F.ceil(F.greatest(F.col("n") / p.crowd, F.col("size") / p.size)).cast("int")
+    return shared.where((F.col("n") > 1) & (parts > 1)).select("node", "n", parts.alias("parts"), "at", "key")
+
+
 def trees(
     conversations: DataFrame, params: ChatParams | None = None, encode: Callable[[str], list[int]] = code_points
 ) -> DataFrame:
-    """One row per prefix tree over the distinct conversations of ``assembled``: tokens, positions,
-    loss mask, segments with ancestor intervals, and the segment that each conversation ends with.
+    """One row per prefix tree over the distinct conversations of ``assembled``: tree_id, the stems
+    that come before it, tokens, positions, loss mask, segments with ancestor intervals, and the
+    segment that each conversation ends with.
 
     Equal conversations are merged before trees are dealt out. Those that share a first turn form
-    one tree; where there are more than ``crowd`` of them, several, told apart by the second turn
-    and then, beyond that, by the whole: each emits the first turn once."""
+    one tree. Turns that more than ``crowd`` conversations share, or larger ones than ``size``
+    together, are stems: rows of one turn, which come before trees by name, so that no turn is
+    emitted twice however many share it. What follows on a stem is dealt out by its next turn."""
     p = params or ChatParams()
-    distinct = conversations.groupBy("key").agg(F.first("turns").alias("turns"))
-    lead = lambda n: F.xxhash64(F.to_json(F.slice("turns", 1, n)))
-    led = stash(distinct.withColumn("lead1", lead(1)).withColumn("lead2", lead(2)))
-    crowds = [
-        led.groupBy(*keys).agg(F.count("*").alias(name)).where(F.col(name) > p.crowd)
-        for keys, name in ((["lead1"], "n1"), (["lead1", "lead2"], "n2"))
-    ]
-    parts = lambda n, by: F.coalesce(F.pmod(F.col(by), F.ceil(F.col(n) / p.crowd)), F.lit(-1))
-    dealt = (
-        led.join(crowds[0], "lead1", "left")
-        .join(crowds[1], ["lead1", "lead2"], "left")
-        .withColumn("part1", parts("n1", "lead2"))
-        .withColumn("whole", F.xxhash64("key"))
-        .withColumn("part2", F.when(F.col("n2").isNull(), -1).otherwise(parts("n2", "whole")))
-        .withColumn("tree_id", F.concat_ws("/", "lead1", "part1", F.when(F.col("n2").isNotNull(), F.col("lead2")), "part2"))
-        .select("tree_id", "key", "turns")
+    led = stash(_led(conversations.groupBy("key").agg(F.first("turns").alias("turns"))))
+    stems = stash(_stems(led, p))
+    steps = led.select("key", F.posexplode("nodes").alias("depth", "node"))
+    top = join_by_weight(steps, stems.select("node", "n", "parts"), "node", "n").groupBy("key").agg(
+        F.max(F.struct("depth", "node", "parts")).alias("top")
+    )
+    depth = F.coalesce(F.col("top.depth") + 1, F.lit(0))
+    following = F.pmod(F.xxhash64(F.get("nodes", depth)), F.col("top.parts"))
+    name = F.when(F.col("top").isNotNull(), F.concat_ws("/", "top.node", following)).otherwise(
+        F.coalesce(F.get("nodes", F.lit(0)), F.lit("none"))
     )
+    dealt = led.join(top, "key", "left").select(name.alias("tree_id"), "key", depth.alias("depth"), "turns", "nodes")
+    of_stems = stems.select("node", "at", "key").join(led, "key").select(
+        F.col("node").alias("tree_id"), F.lit(None).cast("string").alias("key"), F.col("at").alias("depth"),
+        F.slice("turns", F.lit(1), F.col("at") + 1).alias("turns"), "nodes",
+    )
+    rows = dealt.unionByName(of_stems).withColumn("before", F.slice("nodes", F.lit(1), F.col("depth"))).drop("nodes")
 
     def run(batches):
-        tree, name = Tree(), None
+        tree = None
         for batch in batches:
             for row in batch.to_pylist():
-                if name not in (None, row["tree_id"]):
-                    yield pa.RecordBatch.from_pylist([{"tree_id": name} | tree.emit(encode, p.learned)], _TREE)
-                    tree = Tree()
-                name = row["tree_id"]
-                tree.add([(t["role"], t["text"]) for t in row["turns"]], row["key"])
-        if name is not None:
-            yield pa.RecordBatch.from_pylist([{"tree_id": name} | tree.emit(encode, p.learned)], _TREE)
-
-    return dealt.repartition("tree_id").sortWithinPartitions("tree_id", "key").mapInArrow(run, _TREE_SQL)
+                turns = [(t["role"], t["text"]) for t in row["turns"]]
+                if tree is None or tree.name != row["tree_id"]:
+                    if tree:
+                        yield pa.RecordBatch.from_pylist([tree.emit(encode, p.learned)], _TREE)
+                    tree = Tree(row["tree_id"], row["before"], turns[: row["depth"]])
+                tree.add(turns[row["depth"] :], row["key"])
+        if tree:
+            yield pa.RecordBatch.from_pylist([tree.emit(encode, p.learned)], _TREE)
+
+    return rows.repartition("tree_id").sortWithinPartitions("tree_id", "key").mapInArrow(run, _TREE_SQL)
+
+
+def _with_stems(forest: DataFrame) -> DataFrame:
+    """``forest`` with stem_tokens and stem_mask: what comes before each tree."""
+    standing = forest.where(F.size("before") > 0)
+    names = standing.select(F.col("tree_id").alias("on"), F.posexplode("before").alias("no", "tree_id"))
+    uses = names.groupBy("tree_id").agg(F.count("*").alias("n"))
+    stems = forest.select("tree_id", "tokens", "loss_mask").join(uses, "tree_id")
+    of_tree = join_by_weight(names, stash(stems), "tree_id", "n").groupBy(F.col("on").alias("tree_id")).agg(
+        F.array_sort(F.collect_list(F.struct("no", "tokens", "loss_mask"))).alias("s")
+    )
+    joined = standing.join(
+        of_tree.select("tree_id", F.flatten("s.tokens").alias("stem_tokens"), F.flatten("s.loss_mask").alias("stem_mask")), "tree_id"
+    )
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    alone = forest.where(F.size("before") == 0).withColumns({"stem_tokens": none("int"), "stem_mask": none("boolean")})
+    return joined.unionByName(alone)
 
 
 def read_back(forest: DataFrame, decode: Callable[[list[int]], str] = lambda ids: "".join(map(chr, ids))) -> DataFrame:
     """Per distinct conversation: key, n_turns, turns_sha256, loss_chars, loss_sha256 and
-    formatted_chars, from the tokens that its last segment attends to and their loss mask."""
+    formatted_chars, from the tokens of its tree's stems, those that its last segment attends to,
+    and their loss mask."""
     schema = pa.schema(
         [("key", pa.string()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64())]
         + [("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
@@ -192,8 +260,8 @@ def read_back(forest: DataFrame, decode: Callable[[list[int]], str] = lambda ids
 
     def row(tree, leaf) -> dict:
         intervals = tree["segments"][leaf["segment"]]["attends"] if leaf["segment"] >= 0 else []
-        ids = [x for i in intervals for x in tree["tokens"][i["start"] : i["stop"]]]
-        mask = [x for i in intervals for x in tree["loss_mask"][i["start"] : i["stop"]]]
+        of = lambda name: [x for i in intervals for x in tree[name][i["start"] : i["stop"]]]
+        ids, mask = tree["stem_tokens"] + of("tokens"), tree["stem_mask"] + of("loss_mask")
         text = decode(ids)
         turns = parse(text)
         learned = unescape(decode([t for t, m in zip(ids, mask, strict=True) if m]))
@@ -208,9 +276,9 @@ def read_back(forest: DataFrame, decode: Callable[[list[int]], str] = lambda ids
         for batch in batches:
             for k in range(batch.num_rows):
                 tree = batch.slice(k, 1).to_pylist()[0]
-                yield pa.RecordBatch.from_pylist([row(tree, leaf) for leaf in tree["leaves"]], schema)
+                yield pa.RecordBatch.from_pylist([row(tree, leaf) for leaf in tree["leaves"] if leaf["key"] is not None], schema)
 
-    return forest.select("tokens", "loss_mask", "segments", "leaves").mapInArrow(
+    return _with_stems(forest).select("stem_tokens", "stem_mask", "tokens", "loss_mask", "segments", "leaves").mapInArrow(
         run,
         "key string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
@@ -228,6 +296,6 @@ def formatted(
         F.col(id_col).alias("conv_id"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
     )
     conversations = stash(assembled(rows))
-    said = read_back(trees(conversations, params))
+    said = read_back(stash(trees(conversations, params)))
     out = conversations.select("conv_id", "key").join(said, "key").drop("key")
     return out.withColumnRenamed("conv_id", id_col)

@@ -1,5 +1,6 @@
 """Corpus operators against brute force, and at their edges."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -332,14 +333,45 @@ def test_prefix_trees(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("key", F.lit("clash"))
     got = {r["conv_id"]: r for r in chat.formatted(table, chat.ChatParams(crowd=2)).collect()}
     assert got[4]["n_turns"] == 2 and got[4]["loss_chars"] == len("a1|\\<|end|>") and got[20]["loss_chars"] == 0 and len(got) == 12
-    tree = chat.trees(chat.assembled(table.drop("key").where("conv_id < 9"))).collect()[0]
+    forest = {r["tree_id"]: r for r in chat.trees(chat.assembled(table.drop("key").where("conv_id < 9"))).collect()}
+    assert len(forest) == 1
+    tree = next(iter(forest.values()))
     once = len(chat.format_turn("user", "hi"))
-    assert [s["start"] for s in tree["segments"]][:2] == [0, once] and len(tree["segments"]) == 4
+    assert [s["start"] for s in tree["segments"]][:2] == [0, once] and len(tree["segments"]) == 4 and tree["before"] == []
     last = tree["segments"][3]
     assert [tuple(x) for x in last["attends"]] == [(0, once), (last["start"], last["stop"])] and tree["positions"][last["start"]] == once
     assert chat.formatted(table.limit(0)).count() == 0
 
 
+def test_crowded_trees_stand_on_stems_and_emit_each_turn_once(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    encode = lambda s: tokenizer.encode(s, add_special_tokens=False).ids
+    decode = lambda ids: tokenizer.decode(ids, skip_special_tokens=False)
+    said = {i: [("user", "hi"), ("assistant", f"a{i % 3} <|endoftext|> ü|"), ("user", f"c{i % 20}"), ("assistant", SAY(3))][: 1 + i % 5] for i in range(60)}
+    rows = [(i, k, *t) for i, turns in said.items() for k, t in enumerate(turns)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for p in (chat.ChatParams(crowd=4), chat.ChatParams(size=60)):
+        conversations = chat.assembled(table)
+        forest = chat.trees(conversations, p, encode).cache()
+        prefixes = {tuple(v[: k + 1]) for v in said.values() for k in range(len(v))}
+        emitted = forest.collect()
+        assert sum(len(r["segments"]) for r in emitted) == len(prefixes) and any(r["before"] for r in emitted)
+        by_name = {r["tree_id"]: r for r in emitted}
+        for r in emitted:  # positions go on where the stems end
+            base = sum(len(by_name[b]["tokens"]) for b in r["before"])
+            assert not r["positions"] or min(r["positions"]) == base
+        got = {r["key"]: r for r in chat.read_back(forest, decode).collect()}
+        for r in conversations.collect():
+            turns = said[r["conv_id"]]
+            whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+            assert got[r["key"]]["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
+            learned = "".join(text for role, text in turns if role == "assistant")
+            assert (got[r["key"]]["loss_chars"], got[r["key"]]["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("<p>&lt;b&gt; plain", "<b> plain"),
     ("<nav>menu</nav><article><h1>T</h1><p>one\n two<p>three&amp;four</article><footer>foot</footer>", "T one two three&four"),
