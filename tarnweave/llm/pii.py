@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.llm.hot import join_by_weight
 from tarnweave.session import stash
 
 #: Titles by gender, and syllables by script.
@@ -68,6 +69,10 @@ PATTERN = (
 )
 
 
+#: Parts whose surrogates a task draws.
+_DRAWN = 2048
+
+
 @dataclass(frozen=True)
 class SurrogateParams:
     """``key``: secret that surrogates depend on; keep it to get the same ones again."""
@@ -80,9 +85,29 @@ def _digits(s: Column) -> Column:
 
 
 def _kind(entity: Column) -> Column:
+    """What is found, or null for digits that are no card number. A name without a title, found
+    again where it stands with one elsewhere in the text, is a name too."""
     whole = lambda k: entity.rlike(rf"\A(?:{_PATTERNS[k]})\z")
-    kinds = list(_PATTERNS)
-    return F.coalesce(*(F.when(whole(k), F.lit(k)) for k in kinds))
+    kind = F.coalesce(*(F.when(whole(k), F.lit(k)) for k in _PATTERNS), F.lit("name"))
+    return F.when((kind != "card") | (_luhn_sum(_digits(entity)) % 10 == 0), kind)
+
+
+def _again(text: Column, entities: Column) -> Column:
+    """A pattern for what ``PATTERN`` finds and the text's titled names where they stand without a
+    title: all their words, and each by itself that isn't also a word of the text in lower case.
+    Null where no name is found."""
+    named = F.filter(entities, lambda e: e.rlike(rf"^{_TITLES}"))
+    whole = F.array_distinct(F.transform(named, lambda e: F.regexp_replace(e, f"^{_TITLES}", "")))
+    word = lambda w: F.concat(F.lit(r"(?<!\p{L})\Q"), F.lower(w), F.lit(r"\E(?!\p{L})"))
+    alone = lambda w: (
+        (F.length(w) > 2) & w.rlike(rf"^(?!(?:{_MALE}|{_FEMALE}|{_EITHER})$)\p{{Lu}}") & ~w.rlike(f"^{_INITIALS}$") & ~F.regexp_like(text, word(w))
+    )
+    single = F.filter(F.array_distinct(F.flatten(F.transform(whole, lambda f: F.split(f, " ")))), alone)
+    every = F.concat(F.filter(whole, lambda f: f.contains(" ")), single)
+    longest_first = F.reverse(F.array_sort(F.transform(every, lambda f: F.struct(F.length(f), f.alias("f")))))
+    any_of = F.array_join(F.transform(longest_first, lambda f: f["f"]), r"\E|\Q")
+    pattern = F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{M}\p{N}_])(?:\Q"), any_of, F.lit(r"\E)(?![\p{L}\p{M}\p{N}_])"))
+    return F.when(F.size(every) > 0, pattern)
 
 
 def _names(entity: Column) -> Column:
@@ -95,19 +120,18 @@ def _is_name(word: Column) -> Column:
 
 
 def _parts(entity: Column, kind: Column) -> Column:
-    """array<struct<kind, norm>> of what is replaced: equal parts are one person or thing."""
-    one = lambda norm: F.array(F.struct(kind.alias("kind"), norm.alias("norm")))
+    """array<struct<kind, norm, given, sex>> of what is replaced: parts of equal kind and norm are
+    one person or thing. ``given``: a name with others after it, or, if null, by itself."""
+    part = lambda kind, norm, given=F.lit(False), sex=F.lit("x"): F.struct(
+        kind.alias("kind"), norm.alias("norm"), given.alias("given"), sex.alias("sex")
+    )
+    one = lambda norm: F.array(part(kind, norm))
     title = F.regexp_extract(entity, r"^([^. ]+)", 1)
     sex = F.when(title.rlike(f"^(?:{_MALE})$"), "m").when(title.rlike(f"^(?:{_FEMALE})$"), "f").otherwise("x")
     names = F.filter(_names(entity), _is_name)
     national = F.regexp_replace(_digits(F.regexp_replace(entity, rf"^(?:\+|00){_COUNTRY}", "")), "^0+", "")
-    tokens = F.transform(
-        names,
-        lambda t, i: F.struct(
-            F.when(i == F.size(names) - 1, F.lit("name:family")).otherwise(F.concat(F.lit("name:"), sex)).alias("kind"),
-            F.lower(t).alias("norm"),
-        ),
-    )
+    given = lambda i: F.when(F.size(names) > 1, i < F.size(names) - 1)
+    tokens = F.transform(names, lambda t, i: part(F.lit("name"), F.lower(t), given(i), sex))
     return (
         F.when(kind == "name", tokens)
         .when(kind == "secret", one(F.regexp_extract(entity, r"[=:]\s?\"?([^\"=:]+)$", 1)))
@@ -115,18 +139,23 @@ def _parts(entity: Column, kind: Column) -> Column:
         .when(kind == "iban", one(F.regexp_replace(entity, " ", "")))
         .when(kind.isin("ssn", "card"), one(_digits(entity)))
         .when(kind == "phone", one(national))
-        .when(kind.startswith("ip6"), F.array(F.struct(F.lit("ip6").alias("kind"), F.lower(entity).alias("norm"))))
+        .when(kind.startswith("ip6"), F.array(part(F.lit("ip6"), F.lower(entity))))
         .otherwise(one(entity))
     )
 
 
 def _stream(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """Keyed hexadecimal digits, four for each character of ``norm``."""
-    blocks = F.sequence(F.lit(0), (F.length(norm) / 32).cast("int"))
+    """Keyed hexadecimal digits, four for each character of ``norm`` and of what it may be widened by."""
+    blocks = F.sequence(F.lit(0), ((F.length(norm) + _wider(attempt)) / 32).cast("int"))
     seed = lambda b: F.concat_ws("\x1f", F.lit(key), kind, attempt.cast("string"), b.cast("string"), norm)
     return F.array_join(F.transform(blocks, lambda b: F.sha2(seed(b).cast("binary"), 512)), "")
 
 
+def _wider(attempt: Column) -> Column:
+    """By how many characters a surrogate is longer where shorter ones were taken again and again."""
+    return F.floor(attempt / 8).cast("int")
+
+
 def _draw(stream: Column, i: Column, n: int) -> Column:
     return F.pmod(F.conv(F.substring(stream, 4 * i + 1, 4), 16, 10).cast("int"), F.lit(n))
 
@@ -191,7 +220,7 @@ def _core(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column
     )
     return (
         F.when(kind.startswith("name:"), person)
-        .when(kind == "email", F.concat(sub(F.substring(norm, F.lit(1), F.length(norm) - F.length(tail))), tail))
+        .when(kind == "email", F.concat(sub(F.concat(F.repeat(F.lit("a"), _wider(attempt)), F.substring(norm, F.lit(1), F.length(norm) - F.length(tail)))), tail))
         .when(kind == "ip", octets)
         .when(kind == "ip6", groups)
         .when(kind == "phone", phone)
@@ -212,28 +241,53 @@ def _syllables(script: str, stream: Column, attempt: Column, ending: str) -> Col
     return F.concat(F.array_join(pick, ""), F.lit(ending))
 
 
-def surrogates(parts: DataFrame, key: str) -> DataFrame:
+def surrogates(parts: DataFrame, key: str, attempts: int = 64) -> DataFrame:
     """(kind, norm) rows -> (kind, norm, core), one row for each distinct part.
 
     No two parts of a kind get the same surrogate and none gets one that is itself a part: of
-    parts that do, the first by order keeps it and the others draw again, until none collides."""
+    parts that do, the first by order keeps it and the others draw again, names and mail addresses
+    growing longer. Parts that find none in ``attempts`` draws, as hardly any of their form is
+    free, are an error."""
     real = stash(parts.select("kind", "norm").distinct())
+    tasks = max(1, -(-real.count() // _DRAWN))
+    space = F.regexp_replace("kind", ":.*", "").alias("space")
+    theirs = real.select(space, F.col("norm").alias("core")).distinct()
     pending, taken = real.withColumn("attempt", F.lit(0)), None
-    while True:
-        seeded = pending.withColumn("stream", _stream(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+    for _ in range(attempts):
+        # few bytes, much work: the number of tasks is given, so that none are joined
+        seeded = pending.repartition(tasks, "kind", "norm").withColumn(
+            "stream", _stream(F.col("kind"), F.col("norm"), F.col("attempt"), key)
+        )
         core = _core(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("stream"))
         drawn = stash(seeded.withColumn("core", core).drop("stream"))
         winners = drawn.groupBy("kind", "core").agg(F.min("norm").alias("norm"))
-        free = winners.join(real.select("kind", F.col("norm").alias("core")), ["kind", "core"], "left_anti")
+        free = winners.withColumn("space", space).join(theirs, ["space", "core"], "left_anti").drop("space")
         if taken is not None:
             free = free.join(taken, ["kind", "core"], "left_anti")
-        good = free.select("kind", "norm", "core")
-        taken = stash(good if taken is None else taken.unionByName(good))
-        pending = drawn.join(taken, ["kind", "norm"], "left_anti").select(
-            "kind", "norm", (F.col("attempt") + 1).alias("attempt")
+        good = stash(free.select("kind", "norm", "core"))
+        taken = good if taken is None else taken.unionByName(good)
+        pending = stash(
+            drawn.join(good, ["kind", "norm"], "left_anti").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
         )
         if pending.isEmpty():
             return taken
+    kinds = [r["kind"] for r in pending.select("kind").distinct().collect()]  # a handful of kinds
+    raise RuntimeError(f"no surrogates of the same form are left for some of: {', '.join(sorted(kinds))}")
+
+
+def _formed(parts: DataFrame) -> DataFrame:
+    """``parts`` with the kind of a name saying which form it has wherever it stands: that of a
+    given name, by the titles that it goes with, or of a family name."""
+    names = parts.where("kind = 'name'")
+    sexed = lambda s: F.coalesce(F.max((F.col("sex") == s) & F.coalesce("given", F.lit(True))), F.lit(False))
+    by_norm = names.groupBy("norm").agg(
+        F.coalesce(F.max("given"), F.lit(False)).alias("first"), sexed("m").alias("m"), sexed("f").alias("f"), F.count("*").alias("n")
+    )
+    form = F.when(~F.col("first"), "family").when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("x")
+    forms = stash(by_norm.select("norm", F.concat(F.lit("name:"), form).alias("formed"), "n"))
+    plain = ["entity", "of", "no", "kind", "norm"]
+    formed = join_by_weight(names.drop("kind"), forms, "norm", "n").withColumn("kind", F.col("formed"))
+    return parts.where("kind <> 'name'").select(*plain).unionByName(formed.select(*plain))
 
 
 def _slots(entity: Column, core: Column, slot: str) -> Column:
@@ -307,13 +361,15 @@ def replace_pii(
 ) -> DataFrame:
     """Every row's id (under the name of ``id_col``), text with surrogates, and n_entities.
 
-    Names after a title (any number of words, initials and particles), e-mail, IPv4 and IPv6
-    addresses, phone numbers (international, or in the national groupings of North America,
-    Germany, France and Spain), card, social security and IBAN numbers, access keys and assigned
-    secrets are found by pattern. What is replaced depends on the key,
-    the type and the normal form (case, spacing and punctuation aside) alone, so an entity gets
-    one surrogate in all documents. Surrogates keep the type's shape: case, separators, title,
-    script, given names' gender, country code, top-level domain, valid octets and check digits.
+    Names after a title (any number of words, initials and particles), the same names and their
+    words elsewhere in the text, e-mail, IPv4 and IPv6 addresses, phone numbers (international, or
+    in the national groupings of North America, Germany, France and Spain), card numbers that pass
+    the Luhn check, social security and IBAN numbers, access keys and assigned secrets are found by
+    pattern. What is replaced depends on the key, the type and the normal form (case, spacing and
+    punctuation aside) alone, so an entity gets one surrogate in all documents, and so does each
+    word of a name, whatever its title. Surrogates keep the type's shape: case, separators, title,
+    script, given names' gender as titles show it, country code, top-level domain, valid octets and
+    check digits.
 
     Null texts stay null with no entities; texts without entities stay as they are. Rows of equal
     id and text get equal results, whatever their number; null ids are ids like others. An empty
@@ -322,35 +378,52 @@ def replace_pii(
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     searched = stash(plain.withColumn("entities", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))))
     some = F.coalesce(F.size("entities"), F.lit(0)) > 0
-    holders = searched.where(some).withColumn("th", F.xxhash64("text"))
+    again = _again(F.col("text"), F.col("entities"))
+    holders = searched.where(some).withColumn("th", F.xxhash64("text")).withColumn("again", again)
+    entities = F.when(F.col("again").isNotNull(), F.regexp_extract_all("text", F.col("again"), F.lit(0))).otherwise(F.col("entities"))
     found = stash(
-        holders.select("id", "th", "entities")
+        holders.select("id", "th", entities.alias("entities"))
         .distinct()
         .select("id", "th", F.posexplode("entities").alias("at", "entity"))
         .withColumn("kind", _kind(F.col("entity")))
     )
-    parts = stash(found.select("entity", "kind").distinct().withColumn("parts", _parts(F.col("entity"), F.col("kind"))))
-    every = parts.select("entity", F.col("kind").alias("of"), F.posexplode("parts").alias("no", "part")).select(
-        "entity", "of", "no", "part.*"
+    parts = stash(
+        found.where("kind is not null").groupBy("entity", "kind").agg(F.count("*").alias("n"))
+        .withColumn("parts", _parts(F.col("entity"), F.col("kind")))
+    )
+    every = stash(
+        _formed(
+            parts.select("entity", F.col("kind").alias("of"), F.posexplode("parts").alias("no", "part")).select(
+                "entity", "of", "no", "part.*"
+            )
+        )
     )
+    uses = every.groupBy("kind", "norm").agg(F.count("*").alias("uses"))
+    drawn = stash(surrogates(every, p.key).join(uses, ["kind", "norm"]))
     cores = (
-        every.join(surrogates(every, p.key), ["kind", "norm"])
+        join_by_weight(every, drawn, ["kind", "norm"], "uses")
         .groupBy("entity", "of")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("no", "core"))), lambda x: x["core"]).alias("cores"))
+        .join(parts.select("entity", "n"), "entity")
     )
-    shaped = stash(cores.select("entity", _shaped(F.col("entity"), F.col("of"), F.col("cores")).alias("surrogate")))
+    shaped = stash(cores.select("entity", "n", _shaped(F.col("entity"), F.col("of"), F.col("cores")).alias("surrogate")))
+    mentions = join_by_weight(found.where("kind is not null"), shaped, "entity", "n").select("id", "th", "at", "kind", "surrogate")
+    left = found.where("kind is null").select("id", "th", "at", "kind", F.col("entity").alias("surrogate"))
     lists = (
-        found.join(shaped, "entity")
+        mentions.unionByName(left)
         .groupBy("id", "th")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x["surrogate"]).alias("new"))
-        .select(F.col("id").alias("new_id"), F.col("th").alias("new_th"), "new")
+        .agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x["surrogate"]).alias("new"),
+            F.count("kind").alias("n_entities"),
+        )
+        .select(F.col("id").alias("new_id"), F.col("th").alias("new_th"), "new", "n_entities")
     )
-    gaps = F.split("text", PATTERN, -1)
+    gaps = F.when(F.col("again").isNotNull(), F.split("text", F.col("again"), -1)).otherwise(F.split("text", PATTERN, -1))
     mended = F.array_join(
         F.flatten(F.zip_with(gaps, F.concat("new", F.array(F.lit(""))), lambda g, s: F.array(g, s))), ""
     )
     replaced = holders.join(
         lists.hint("merge"), F.col("id").eqNullSafe(F.col("new_id")) & (F.col("th") == F.col("new_th"))
-    ).select("id", mended.alias("text"), F.size("new").cast("long").alias("n_entities"))
+    ).select("id", mended.alias("text"), "n_entities")
     untouched = searched.where(~some).select("id", "text", F.lit(0).cast("long").alias("n_entities"))
     return untouched.unionByName(replaced).select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_entities")

@@ -243,7 +243,7 @@ def test_surrogates(spark):
     assert pii.replace_pii(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("text, shape, gone", [
+FORMS = [
     ("Frau Anna Maria Schmidt kam", r"Frau [A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+ kam", "Anna Maria Schmidt"),
     ("Mr. J. Smith or Mr. J.R.R. Tolkien", r"Mr\. [A-Z]\. [A-Z][a-z]+ or Mr\. [A-Z]\.[A-Z]\.[A-Z]\. [A-Z][a-z]+", "J. Smith J.R.R. Tolkien"),
     ("Herr von Neumann, Prof. Dr. Ada de la Cruz.", r"Herr von [A-Z][a-z]+, Prof\. Dr\. [A-Z][a-z]+ de la [A-Z][a-z]+\.", "Neumann Ada Cruz"),
@@ -254,13 +254,55 @@ def test_surrogates(spark):
     ("+442079460958 and +49 (0)30 1234567", r"\+44\d{10} and \+49 \(0\)\d\d \d{7}", "2079460958 1234567"),
     ("at 2001:db8::8a2e:370:7334, ::ffff:10.1.2.3 or fe80::1.", r"at (\w{4}:){7}\w{4}, (\w{4}:){7}\w{4} or (\w{4}:){7}\w{4}\.", "2001:db8 8a2e 10.1.2.3 fe80"),
     ("on 01.02.2024, 2024-01-01, 01/02/2024 at 12:30:45 std::dec 912.345.678 aa:bb:cc:dd:ee:ff", r"on 01\.02\.2024, 2024-01-01, .* ee:ff|.*ee:ff", ""),
-])
-def test_surrogates_of_other_forms(spark, text, shape, gone):
-    row = pii.replace_pii(docs(spark, [text])).first()
+]
+
+
+@pytest.fixture(scope="module")
+def replaced_forms(spark):
+    return {r["doc_id"]: r for r in pii.replace_pii(docs(spark, [text for text, _, _ in FORMS])).collect()}
+
+
+@pytest.mark.parametrize("at", range(len(FORMS)))
+def test_surrogates_of_other_forms(replaced_forms, at):
+    (text, shape, gone), row = FORMS[at], replaced_forms[at]
     assert re.fullmatch(shape, row["text"]) and not any(re.search(rf"(?<!\w){re.escape(x)}(?!\w)", row["text"]) for x in gone.split())
     assert gone or row["text"] == text and row["n_entities"] == 0
 
 
+def test_surrogates_keep_persons_apart_and_together(spark):
+    texts = [
+        "Frau Anna Schmidt kam. Anna Schmidt ging. Dr. Anna Schmidt blieb. Frau Anna lachte, Schmidt's Hund nicht.",
+        "Mrs. Van der Berg; Mr. Smith The end. The end of the line. Smith left.", "Herr Anna und Herr Schmidt", "Prof. Kim Lee, Kim and Lee",
+        "order 4845168114407320 of 1234567890123 stays", "4539148803436467 and 4539 1488 0343 6468",
+    ]
+    got = {r["doc_id"]: r for r in pii.replace_pii(docs(spark, texts)).collect()}
+    n = re.fullmatch(r"Mrs\. (\w+) der (\w+); Mr\. (\w+) \w+ end\. The end of the line\. \3 left\.", got[1]["text"])
+    assert n and not {"Van", "Berg", "Smith"} & set(n.groups())
+    k = re.fullmatch(r"Frau (\w+) (\w+) kam\. \1 \2 ging\. Dr\. \1 \2 blieb\. Frau \1 lachte, \2's Hund nicht\.", got[0]["text"])
+    assert k and got[2]["text"] == f"Herr {k[1]} und Herr {k[2]}"
+    assert re.fullmatch(r"Prof\. (\w+) (\w+), \1 and \2", got[3]["text"]) and "Kim" not in got[3]["text"]
+    assert got[4]["text"] == texts[4] and got[4]["n_entities"] == 0
+    assert re.fullmatch(r"\d{16} and 4539 1488 0343 6468", got[5]["text"]) and got[5]["n_entities"] == 1 and "8803436467" not in got[5]["text"]
+
+
+def test_surrogates_end_where_a_form_is_used_up(spark):
+    every = spark.createDataFrame([("email", f"{i}@{j}.com") for i in range(10) for j in range(10)], "kind string, norm string")
+    cores = [r["core"] for r in pii.surrogates(every, "k").collect()]
+    assert len(set(cores)) == 100 and not set(cores) & {r["norm"] for r in every.collect()}
+    with pytest.raises(RuntimeError, match="ssn"):
+        pii.surrogates(spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, norm string"), "k", 2)
+
+
+def test_surrogates_at_the_edges(spark):
+    rows = [(None, "mail a.b@c.org"), (None, "mail a.b@c.org"), (1, None), (1, "x@y.org " * 3000 + LONG), (2, "1.2.3.4")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("entities", "th", "again", "new", "kind", "id", "at"):
+        table = table.withColumn(name, F.lit(7))
+    got = pii.replace_pii(table).collect()
+    assert len(got) == 5 and sorted((r["n_entities"]) for r in got) == [0, 1, 1, 1, 3000]
+    assert len({r["text"] for r in got if r["doc_id"] is None}) == 1
+
+
 def test_surrogates_of_mail_names_in_any_script(spark):
     names = ["иван.петров", "Γιώργος_7", "山田太郎", "محمد", "Иван2"]
     got = {r["doc_id"]: r for r in pii.replace_pii(docs(spark, [f"to {n}@mail.ru now" for n in names])).collect()}
