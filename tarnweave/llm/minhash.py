@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.llm import buckets
 from tarnweave.llm.graph import class_links, component_of_each, components
-from tarnweave.llm.hot import join_by_weight
+from tarnweave.llm.hot import join_by_weight, likely_among
 from tarnweave.llm.text import WordHashes, hash_array, lower_ascii, mix64, shingles, words_of
 from tarnweave.session import stash
 
@@ -194,7 +194,8 @@ def _with_sets(promising: DataFrame, docs: DataFrame, p: MinHashParams) -> DataF
     of_item = promising.groupBy("item").agg(
         F.collect_list(F.struct("bucket", "left", "right", "side")).alias("tasks")
     )
-    texts = docs.select(F.col("id").alias("item"), "text").join(of_item.hint("merge"), "item")
+    wanted = likely_among(docs.select(F.col("id").alias("item"), "text"), "item", promising.select("item"))
+    texts = wanted.join(of_item.hint("merge"), "item")
 
     def run(batches):
         table = WordHashes()
