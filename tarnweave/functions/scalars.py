@@ -51,9 +51,10 @@ def quaternion_step(q: Column, p: Column) -> Column:
 
 
 def linspace(lo: Column, hi: Column, n: int) -> Column:
-    """n whole numbers from lo to hi, evenly spaced and truncated."""
+    """n whole numbers from lo to hi, evenly spaced and truncated, the last exactly hi."""
     step = (hi - lo) / F.lit(n - 1.0)
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (lo + i * step).cast("long"))
+    at = lambda i: F.when(i == n - 1, hi).otherwise(lo + i * step)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: at(i).cast("long"))
 
 
 def object_path(c: Column) -> Column:
@@ -71,7 +72,16 @@ def split_flags(c: Column) -> Column:
 
 def fixed(c: Column, digits: int = 3) -> Column:
     """A number as text, or a dash."""
-    return F.coalesce(F.format_string(f"%.{digits}f", c), F.lit("—"))
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).otherwise("—")
+
+
+def exponential(c: Column, digits: int = 2) -> Column:
+    """A number as text with an exponent without leading zeros, or a dash."""
+    return F.when(c.isNotNull(), F.regexp_replace(F.format_string(f"%.{digits}e", c), r"e([+-])0(?=[0-9])", "e$1")).otherwise("—")
+
+
+def bar_is_bad(z: Column, limit: float = 1.25) -> Column:
+    return F.coalesce(z, F.lit(0.0)) > limit
 
 
 def bar_percent(z: Column) -> Column:

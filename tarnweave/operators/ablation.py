@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnweave.operators.ranking import running, running_by
+from tarnweave.session import stash
+
 RIDGE, MIN_STEPS, MIN_SUBSET = 1e-3, 8, 20
 
 
@@ -38,39 +43,75 @@ def squared_error(sums: dict, w: np.ndarray) -> float:
 def heldout_operators(df: DataFrame, group: str, most: int = 6) -> DataFrame:
     """Every third operator by number of rows, ``most`` of them."""
     counted = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), group)) - 1
-    return counted.withColumn("at", place).where((F.col("at") % 3 == 0) & (F.col("at") < 3 * most)).select(group)
+    largest = counted.orderBy(F.desc("n"), group).limit(3 * most)  # so few rows are left to number
+    place = F.row_number().over(Window.orderBy(F.desc("n"), group)) - 1
+    return largest.withColumn("at", place).where(F.col("at") % 3 == 0).select(group)
 
 
 def top_fraction(df: DataFrame, score: str, key: str, share: float, least: int = MIN_SUBSET) -> DataFrame:
     """The best max(floor(rows * share), least) rows by score."""
-    ordered = Window.partitionBy(F.lit(0)).orderBy(F.col(score).desc_nulls_last(), key)
-    every = Window.partitionBy(F.lit(0))
-    return (
-        df.withColumn("__at", F.row_number().over(ordered))
-        .withColumn("__n", F.count("*").over(every))
-        .where(F.col("__at") <= F.greatest(F.floor(F.col("__n") * F.lit(share)), F.lit(least)))
-        .drop("__at", "__n")
+    n = max(math.floor(df.count() * share), least)
+    return running(df, [F.col(score).desc_nulls_last(), F.col(key)], "__at").where(F.col("__at") <= n).drop("__at")
+
+
+def arms(pool: DataFrame, key: str, score: str, size: int, seeds: int) -> DataFrame:
+    """(key, arm): which rows each model is fitted on. Arm 100 * f holds the best of tenth f by
+    score, arm 100 * f + 1 + s a random part of that size that follows from key, tenth and s."""
+    sizes = {f: min(size, max(size * f // 10, MIN_SUBSET)) for f in range(1, 11)}
+    limit = F.create_map(*(F.lit(x) for f, n in sizes.items() for x in (f, n)))
+    best = running(pool.select(key, score), [F.col(score).desc_nulls_last(), F.col(key)], "at").select(
+        key, F.explode(F.array(*(F.lit(100 * f) for f in sizes))).alias("arm"), "at"
     )
+    drawn = pool.select(key, F.explode(F.array(*(F.lit(100 * f + 1 + s) for f in sizes for s in range(seeds)))).alias("arm"))
+    shuffled = running_by(drawn.withColumn("__h", F.xxhash64(F.col(key), "arm")), "arm", [F.col("__h"), F.col(key)], "at")
+    every = best.unionByName(shuffled.select(key, "arm", "at"))
+    return every.where(F.col("at") <= F.element_at(limit, F.floor(F.col("arm") / 100).cast("int"))).select(key, "arm")
 
 
 def sweep(sums: DataFrame, scores: DataFrame, key: str, group: str, x: int, y: int, seeds: int = 5, most: int = 6) -> DataFrame:
     """(keep_frac, n, quality_mse, random_mse, random_sd, gain): models of the best share of the
     pool against random ones of that size, judged on operators held out. ``sums``: rows of
-    ``gram``; ``scores``: key, group, score, hard (dropped by a rule, in neither arm)."""
-    spark = sums.sparkSession
-    known = sums.where(F.col("n") >= MIN_STEPS).join(scores, key).persist()
+    ``gram``; ``scores``: key, group, score, hard (dropped by a rule, in neither arm).
+
+    Sums add up over episodes: all models of the sweep come from one aggregate, one row each."""
+    known = stash(sums.where(F.col("n") >= MIN_STEPS).join(scores, key))
     held = heldout_operators(known, group, most)
     names = [c for c in sums.columns if c != key]
-    total = lambda df: df.agg(*(F.sum(c).alias(c) for c in names)).first().asDict()  # noqa: E731  one row
-    test = total(known.join(held, group, "left_semi"))
-    pool = known.join(held, group, "left_anti").where(~F.coalesce(F.col("hard"), F.lit(False))).persist()
-    size, rows = pool.count(), []
+    added = [F.sum(c).alias(c) for c in names]
+    test = known.join(held, group, "left_semi").agg(*added).first().asDict()
+    pool = stash(known.join(held, group, "left_anti").where(~F.coalesce(F.col("hard"), F.lit(False))))
+    size = pool.count()
+    chosen = arms(pool, key, "score", size, seeds).groupBy(key).agg(F.collect_list("arm").alias("arms"))
+    fitted = pool.select(key, *names).join(chosen, key).select(*names, F.explode("arms").alias("arm")).groupBy("arm").agg(*added)
+    mse = {r["arm"]: squared_error(test, solve(r.asDict(), x, y)) for r in fitted.collect()}  # one row per model
+    rows = []
     for tenth in range(1, 11):
+        others = [mse[100 * tenth + 1 + s] for s in range(seeds)]
+        best, mean = mse[100 * tenth], float(np.mean(others))
         n = min(size, max(size * tenth // 10, MIN_SUBSET))
-        fit = lambda df: squared_error(test, solve(total(df), x, y))
-        best = fit(pool.orderBy(F.col("score").desc_nulls_last(), key).limit(n))
-        others = [fit(pool.orderBy(F.xxhash64(F.col(key), F.lit(100 * s + tenth)), key).limit(n)) for s in range(seeds)]
-        mean = float(np.mean(others))
         rows.append((tenth / 10, n, best, mean, float(np.std(others)), 100 * (mean - best) / mean))
-    return spark.createDataFrame(rows, "keep_frac double, n long, quality_mse double, random_mse double, random_sd double, gain double")
+    return sums.sparkSession.createDataFrame(rows, "keep_frac double, n long, quality_mse double, random_mse double, random_sd double, gain double")
+
+
+def sweep_counts(sums: DataFrame, scores: DataFrame, key: str, group: str, most: int = 6) -> DataFrame:
+    """One row: usable episodes and operators, those held out with their steps, those of the pool,
+    and how many a rule keeps out of both arms."""
+    known = sums.where(F.col("n") >= MIN_STEPS).select(key, "n").join(scores, key)
+    held = heldout_operators(known, group, most).withColumn("held", F.lit(True))
+    marked = known.join(held, group, "left").withColumn("held", F.coalesce("held", F.lit(False)))
+    hard = F.coalesce(F.col("hard"), F.lit(False))
+    return marked.agg(
+        F.count("*").alias("usable"), F.countDistinct(group).alias("operators"), F.count_if("held").alias("held_out"),
+        F.countDistinct(F.when(F.col("held"), F.col(group))).alias("held_operators"),
+        F.coalesce(F.sum(F.when(F.col("held"), F.col("n"))), F.lit(0)).alias("held_steps"), F.count_if(~F.col("held")).alias("pool"),
+        F.countDistinct(F.when(~F.col("held"), F.col(group))).alias("pool_operators"), F.count_if(~F.col("held") & hard).alias("excluded"),
+    )
+
+
+def verdict(swept: DataFrame, full_mse: float) -> DataFrame:
+    """One row: the share of the largest gain over random parts, and the smallest share whose model
+    is no worse than that of all data (null if none is)."""
+    enough = F.when(F.col("quality_mse") <= full_mse, F.col("keep_frac"))
+    return swept.agg(
+        F.max_by(F.struct("keep_frac", "n", "gain"), F.struct("gain", -F.col("keep_frac"))).alias("best"), F.min(enough).alias("parity_frac")
+    ).select(F.col("best.keep_frac").alias("best_frac"), F.col("best.n").alias("best_n"), F.col("best.gain").alias("best_gain"), "parity_frac")

@@ -9,6 +9,8 @@ from tarnweave.functions.scalars import clip
 from tarnweave.operators.scoring import AXIS_LIMIT
 
 MIN_FRAMES, MIN_DIP, MIN_SPAN = 60, 0.02, 0.35
+#: What the integrity rules call the episodes that they drop.
+HARD_REASONS = ["too_short", "frame_count_mismatch", "no_visible_change", "mostly_dead_time"]
 
 
 def act_span(start: Column, end: Column) -> Column:
@@ -67,3 +69,15 @@ def decide(scored: DataFrame, outliers: DataFrame | None, key: str, axes: list[s
         .withColumn("reason", F.when(F.col("strange"), failure_label(axes)).otherwise(F.col("reason")))
         .drop("strange")
     )
+
+
+def trim_text(start: Column, end: Column, n: Column, declared: Column) -> Column:
+    """The trim as text: frames of how many, and their share in percent; a dash without either."""
+    total = F.coalesce(F.nullif(n, F.lit(0)), F.nullif(declared, F.lit(0)))
+    percent = F.round(100 * (end - start) / total).cast("long")
+    text = F.format_string("frames %d–%d of %d (%d%% of clip)", start, end, total, percent)
+    return F.when(percent.isNotNull(), text).otherwise("—")
+
+
+def clip_url(base: str, key: Column) -> Column:
+    return F.concat(F.lit(f"{base}/clip/"), key, F.lit(".mp4"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import clip, row_mean
@@ -27,46 +30,91 @@ AXES = {
 }
 
 
-def robust_z(value: Column, group: str) -> Column:
-    """(value - group median) / group sample deviation (1 if null or 0), within +-4; null for a
-    null group."""
-    within = Window.partitionBy(group)
-    spread = F.coalesce(F.nullif(F.stddev_samp(value).over(within), F.lit(0.0)), F.lit(1.0))
-    z = (value - F.median(value).over(within)) / spread
-    return F.when(F.col(group).isNotNull(), clip(z, -Z_LIMIT, Z_LIMIT))
+def with_robust_z(df: DataFrame, values: dict[str, Column], group: str) -> DataFrame:
+    """A column per value: (value - group median) / group sample deviation (1 if null or 0), within
+    +-4; null for a null group.
+
+    Medians and deviations are one row per group, joined back: small enough for a broadcast, which
+    is left to their measured size, and no row moves for it."""
+    held = df.select("*", *(v.cast("double").alias(f"__v_{n}") for n, v in values.items()))
+    of_group = held.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("__group")).agg(
+        *(f.alias(f"__{k}_{n}") for n in values for k, f in (("m", F.median(f"__v_{n}")), ("s", F.stddev_samp(f"__v_{n}"))))
+    )
+    spread = lambda n: F.coalesce(F.nullif(F.col(f"__s_{n}"), F.lit(0.0)), F.lit(1.0))
+    z = [clip((F.col(f"__v_{n}") - F.col(f"__m_{n}")) / spread(n), -Z_LIMIT, Z_LIMIT).alias(n) for n in values]
+    joined = held.join(of_group, F.col(group) == F.col("__group"), "left")
+    return joined.select(*(c for c in df.columns if c not in values), *z)
 
 
 def axis_scores(episodes: DataFrame, group: str, axes: dict[str, dict[str, int]] = AXES) -> DataFrame:
-    """``ax_`` columns: mean signed z of an axis's features, those that are null left out. All
-    windows share one partitioning, so one sort serves them."""
-    features = sorted({f for parts in axes.values() for f in parts})
-    scored = episodes.select("*", *(robust_z(F.col(f).cast("double"), group).alias(f"__z_{f}") for f in features))
-    made = [row_mean(*(s * F.col(f"__z_{f}") for f, s in parts.items())).alias(f"ax_{a}") for a, parts in axes.items()]
+    """``ax_`` columns: mean signed z of an axis's features; features that are null or aren't there
+    are left out, and an axis of none is null."""
+    features = sorted({f for parts in axes.values() for f in parts if f in episodes.columns})
+    scored = with_robust_z(episodes, {f"__z_{f}": F.col(f) for f in features}, group)
+    made = []
+    for a, parts in axes.items():
+        z = [s * F.col(f"__z_{f}") for f, s in parts.items() if f in features]
+        made.append((row_mean(*z) if z else F.lit(None).cast("double")).alias(f"ax_{a}"))
     return scored.select(*episodes.columns, *made)
 
 
 def eta_squared(episodes: DataFrame, features: list[str], group: str) -> DataFrame:
-    """(feature, eta2): the share of each feature's variance that lies between groups, 1 where it
-    doesn't vary. One pass over the features side by side."""
-    within = Window.partitionBy(group)
-    x = {f: F.when(F.col(group).isNotNull(), F.col(f).cast("double")) for f in features}
-    rest = [(c - F.avg(c).over(within)).alias(f"r_{f}") for f, c in x.items()]
-    parted = episodes.select(*(F.col(f).cast("double").alias(f) for f in features), *rest)
-    share = lambda f: F.when(F.var_samp(f) > 0, 1 - F.var_samp(f"r_{f}") / F.var_samp(f))
-    sums = parted.agg(*(F.coalesce(F.nanvl(share(f), F.lit(1.0)), F.lit(1.0)).alias(f) for f in features))
-    return sums.unpivot([], features, "feature", "eta2").withColumn(
-        "usage", F.when(F.col("eta2") <= ETA_LIMIT, "USE").otherwise("DROP")
+    """(feature, eta2, usage): the share of each feature's variance that lies between groups, 1 where
+    it doesn't vary, for features that are there and not all null.
+
+    From counts, means and population variances of each group: rows are read once and only one row
+    per group moves. Rows without a group count for the whole variance alone."""
+    there = [f for f in features if f in episodes.columns]
+    if not there:
+        return episodes.sparkSession.createDataFrame([], "feature string, eta2 double, usage string")
+    x = {f: F.col(f).cast("double") for f in there}
+    groups = episodes.groupBy(group).agg(
+        *(g.alias(f"{k}_{f}") for f, c in x.items() for k, g in (("n", F.count(c)), ("m", F.avg(c)), ("v", F.var_pop(c))))
     )
+    named = F.col(group).isNotNull()
+    weighed = lambda f, c: F.sum(F.col(f"n_{f}") * c)
+    inside = groups.agg(
+        *(
+            g.alias(f"{k}_{f}")
+            for f in there
+            for k, g in (
+                ("n", F.sum(f"n_{f}")), ("mean", F.try_divide(weighed(f, F.col(f"m_{f}")), F.sum(f"n_{f}"))),
+                ("within", weighed(f, F.col(f"v_{f}"))), ("rest", F.sum(F.when(named, F.col(f"n_{f}") * F.col(f"v_{f}")))),
+                ("named", F.sum(F.when(named, F.col(f"n_{f}")))),
+            )
+        )
+    )
+    # one row of sums; the spread of group means about the whole mean needs it first
+    whole = inside.first()
+    between = groups.agg(*(weighed(f, F.pow(F.col(f"m_{f}") - F.lit(whole[f"mean_{f}"]), 2)).alias(f) for f in there)).first()
+    rows = []
+    for f in there:
+        if whole[f"n_{f}"]:
+            total = (whole[f"within_{f}"] + between[f]) / (whole[f"n_{f}"] - 1) if whole[f"n_{f}"] > 1 else 0.0
+            rest = whole[f"rest_{f}"] / (whole[f"named_{f}"] - 1) if (whole[f"named_{f}"] or 0) > 1 else None
+            eta = 1.0 - rest / total if total > 0 and rest is not None else 1.0
+            rows.append((f, float(eta), "USE" if eta <= ETA_LIMIT else "DROP"))
+    return episodes.sparkSession.createDataFrame(rows, "feature string, eta2 double, usage string")
+
+
+def usable_features(episodes: DataFrame, signs: dict[str, int], group: str) -> list[str]:
+    """The features that pass the gate, in their order: a driver barrier of one number per feature."""
+    eta = {r["feature"]: r["eta2"] for r in eta_squared(episodes, list(signs), group).collect()}  # a row per feature
+    return [f for f in signs if f in eta and eta[f] <= ETA_LIMIT]
 
 
 def composite_score(episodes: DataFrame, signs: dict[str, int], group: str) -> DataFrame:
-    """``score``: mean signed z of the features that pass the gate (a driver barrier of one number
-    per feature), nulls filled with the median of all."""
-    gate = {r["feature"]: r["eta2"] for r in eta_squared(episodes, list(signs), group).collect()}  # one row per feature
-    used = [f for f in signs if gate[f] <= ETA_LIMIT]
-    middle = episodes.agg(*(F.median(F.col(f).cast("double")).alias(f) for f in used)).first() if used else None
-    filled = episodes
-    for f in used:
-        filled = filled.withColumn(f"__f_{f}", F.coalesce(F.col(f).cast("double"), F.lit(middle[f])))
-    z = [signs[f] * robust_z(F.col(f"__f_{f}"), group) for f in used]
-    return filled.withColumn("score", row_mean(*z) if z else F.lit(None).cast("double")).drop(*(f"__f_{f}" for f in used))
+    """``score``: mean signed z of the features that pass the gate, nulls filled with the median of
+    all; null where none does."""
+    used = usable_features(episodes, signs, group)
+    if not used:
+        return episodes.withColumn("score", F.lit(None).cast("double"))
+    middle = episodes.agg(*(F.median(F.col(f).cast("double")).alias(f) for f in used)).first()
+    filled = {f"__z_{f}": F.coalesce(F.col(f).cast("double"), F.lit(middle[f])) for f in used}
+    scored = with_robust_z(episodes, filled, group)
+    return scored.select(*episodes.columns, row_mean(*(signs[f] * F.col(f"__z_{f}") for f in used)).alias("score"))
+
+
+def axes_failed(axes: list[str], limit: float = AXIS_LIMIT) -> Column:
+    """How many axes are over the limit."""
+    return reduce(add, (F.coalesce((F.col(a) > limit).cast("int"), F.lit(0)) for a in axes))

@@ -6,44 +6,70 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.operators.ranking import running
+from tarnweave.session import stash
+
 PCA_DIMS, CLUSTERS, RESTARTS = 10, range(2, 9), 10
 NULL_TRIALS, NULL_QUANTILE = 20, 0.99
+ALPHAS = (0.01, 0.05, 0.10, 0.25)
 #: Rows of a block, between two of which distances are measured at once, and parts
 #: that the blocks on one side of the comparison are dealt to.
 BLOCK_ROWS, BLOCK_PARTS = 512, 8
+#: Fixed value: rows that the first centres of k-means are drawn from, at most.
+START_ROWS = 4096
+
+
+def cutoffs(tests: DataFrame, p: str, alphas: list[float]) -> dict[float, float | None]:
+    """For each level the largest p that is within alpha * rank / n, None if no p is.
+
+    Ranks are running counts of distinct p, so rows of equal p share the largest rank, which changes
+    no cutoff; nulls aren't ranked. One number per level reaches the driver."""
+    counted = tests.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("q")).agg(F.count("*").alias("c"))
+    n = tests.where(F.col(p).isNotNull()).count()
+    if not n:
+        return dict.fromkeys(alphas)
+    ranked = running(counted, ["q"], "rank", F.col("c"))
+    within = [F.max(F.when(F.col("q") <= F.lit(a) * F.col("rank") / F.lit(n), F.col("q"))) for a in alphas]
+    return dict(zip(alphas, ranked.agg(*within).first(), strict=True))
 
 
 def benjamini_hochberg(tests: DataFrame, p: str, key: str, alpha: float) -> DataFrame:
-    """Every row with ``flagged``: p up to the largest p that is within alpha * rank / n.
+    """Every row with ``flagged``: p up to the cutoff of the level; nulls are never flagged."""
+    cut = cutoffs(tests, p, [alpha])[alpha]
+    return tests.withColumn("flagged", F.coalesce(F.col(p) <= F.lit(cut).cast("double"), F.lit(False)))
 
-    Ranks come from cumulative counts of distinct p, so rows of equal p share the largest rank,
-    which changes no flag; nulls are never flagged."""
-    counted = tests.where(F.col(p).isNotNull()).groupBy(p).agg(F.count("*").alias("c"))
-    upto = Window.partitionBy(F.lit(0)).orderBy(p)
-    ranked = counted.select(F.col(p).alias("q"), F.sum("c").over(upto).alias("rank"), F.sum("c").over(Window.partitionBy(F.lit(0))).alias("n"))
-    cut = ranked.where(F.col("q") <= alpha * F.col("rank") / F.col("n")).agg(F.max("q").alias("cut"))
-    return tests.join(F.broadcast(cut)).withColumn("flagged", F.coalesce(F.col(p) <= F.col("cut"), F.lit(False))).drop("cut")
 
+def null_floor(tests: DataFrame, nulls: DataFrame, p: str = "p", alphas: tuple[float, ...] = ALPHAS) -> DataFrame:
+    """(alpha, flagged, floor): shares that false discovery control flags among the tests and among
+    p-values of data without outliers, which went through the same procedure."""
+    shares = []
+    for table in (tests, nulls):
+        cut = cutoffs(table, p, list(alphas))
+        flagged = [F.avg(F.coalesce(F.col(p) <= F.lit(cut[a]).cast("double"), F.lit(False)).cast("double")) for a in alphas]
+        shares.append(table.agg(*flagged).first())
+    return tests.sparkSession.createDataFrame(list(zip(alphas, *shares, strict=True)), "alpha double, flagged double, floor double")
 
-def normalised_mutual_information(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(nmi): mutual information of two labels over the mean of their entropies."""
+
+def normalised_mutual_information(df: DataFrame, a: str, b: str, limit: float = 0.3) -> DataFrame:
+    """(nmi, tracks): mutual information of two labels over the mean of their entropies, and whether
+    it is above the limit: the clusters follow the other label then."""
     cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("c"))
-    over = lambda *keys: F.sum("c").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
-    shared = cells.select(
-        (F.col("c") / over()).alias("p"), (over(a) / over()).alias("pa"), (over(b) / over()).alias("pb")
-    )
+    n = cells.agg(F.sum("c")).first()[0]
+    side = lambda k, name: cells.groupBy(k).agg((F.sum("c") / F.lit(n)).alias(name))
+    shared = cells.withColumn("p", F.col("c") / F.lit(n)).join(side(a, "pa"), a).join(side(b, "pb"), b)
     sums = shared.agg(
         F.sum(F.col("p") * F.log(F.col("p") / (F.col("pa") * F.col("pb")))).alias("mi"),
         (-F.sum(F.col("p") * F.log("pa"))).alias("ha"), (-F.sum(F.col("p") * F.log("pb"))).alias("hb"),
     )
     mean = (F.col("ha") + F.col("hb")) / 2
-    return sums.select(F.when(mean > 0, F.col("mi") / mean).otherwise(1.0).alias("nmi"))
+    nmi = sums.select(F.when(mean > 0, F.col("mi") / mean).otherwise(1.0).alias("nmi"))
+    return nmi.withColumn("tracks", F.col("nmi") > limit)
 
 
 def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -60,22 +86,23 @@ def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _blocks(rows: DataFrame, n: int) -> DataFrame:
-    """(ks, cs, v, d): rows without nulls in blocks of about BLOCK_ROWS, the vectors end to end."""
+    """(ks, cs, v, d): rows without nulls in blocks of about BLOCK_ROWS, labels and vectors end to end."""
     block = F.pmod(F.xxhash64("k", "v", F.lit("block")), F.lit(max(1, -(-n // BLOCK_ROWS))))
     packed = rows.groupBy(block.alias("block"), F.size("v").alias("d")).agg(F.collect_list(F.struct("k", "c", "v")).alias("r"))
-    return packed.select("d", F.col("r.k").alias("ks"), F.col("r.c").alias("cs"), F.flatten("r.v").alias("v"))
+    return packed.select("d", F.col("r.k").alias("ks"), F.flatten("r.c").alias("cs"), F.flatten("r.v").alias("v"))
 
 
-def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
-    """(silhouette): mean over rows of (b - a) / max(a, b), Euclidean; 0 for lone rows.
-
-    Every row is compared with every other, block by block: a task adds up the distances of the
-    rows on its left from the blocks on its right, by cluster, before they are shuffled. Rows
-    without a key don't count; those without a vector or cluster count as 0."""
-    named = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(cluster).alias("c")).where("k is not null")
-    whole = named.where(F.col("c").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
-    n = named.count()
-    kinds = dict(named.dtypes)
+def silhouettes(df: DataFrame, key: str, vector: str, labels: list[str]) -> DataFrame:
+    """(label, silhouette): for each labelling of the rows the mean of (b - a) / max(a, b),
+    Euclidean; 0 for lone rows.
+
+    Every row is compared with every other, block by block, once for all labellings: a task adds up
+    the distances of the rows on its left from the blocks on its right, by cluster, before they are
+    shuffled. Rows without a key don't count; those without a vector or a label count as 0."""
+    named = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.array(*labels).alias("c")).where("k is not null")
+    whole = named.where(F.col("v").isNotNull() & ~F.exists("c", lambda x: x.isNull()) & ~F.exists("v", lambda x: x.isNull()))
+    n, wide = named.count(), len(labels)
+    kind, label_kind = dict(named.dtypes)["k"], named.schema["c"].dataType.elementType.simpleString()
     left = _blocks(whole, n).repartition(-(-n // BLOCK_ROWS) or 1)
     right = _blocks(whole, n).repartition(BLOCK_PARTS).select("d", F.struct("ks", "cs", "v").alias("o"))
 
@@ -86,43 +113,56 @@ def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
                 keys, others = list(ks), pd.Index(o["ks"])
                 if at is None or at[0] != d or at[1] != keys:
                     yield from sums(at, total)
-                    at, total = (d, keys, list(cs), np.asarray(v, float).reshape(len(keys), d), pd.Index(keys)), {}
+                    at, total = (d, keys, np.array(list(cs), object).reshape(-1, wide), np.asarray(v, float).reshape(len(keys), d), pd.Index(keys)), {}
                 gap = _gaps(at[3], np.asarray(o["v"], float).reshape(len(others), d))
                 counts = np.ones_like(gap)
                 if at[4].isin(others).any():  # rows of one key aren't compared
                     same = at[4].to_numpy()[:, None] == others.to_numpy()
                     gap[same], counts[same] = 0, 0
-                codes, names = pd.factorize(pd.Series(list(o["cs"])))
-                member = np.eye(len(names))[codes]
-                for name, s, c in zip(names, (gap @ member).T, (counts @ member).T):
-                    before = total.get(name, (0, 0))
-                    total[name] = (before[0] + s, before[1] + c)
+                theirs = np.array(list(o["cs"]), object).reshape(-1, wide)
+                for j in range(wide):
+                    codes, names = pd.factorize(pd.Series(theirs[:, j]))
+                    member = np.eye(len(names))[codes]
+                    for name, s, c in zip(names, (gap @ member).T, (counts @ member).T):
+                        before = total.get((j, name), (0, 0))
+                        total[j, name] = (before[0] + s, before[1] + c)
         yield from sums(at, total)
 
     def sums(at, total):
-        for name, (s, c) in total.items():
+        for (j, name), (s, c) in total.items():
             met = c > 0
             yield pd.DataFrame({
-                "k": pd.Series(at[1], dtype=object)[met], "c": pd.Series(at[2], dtype=object)[met], "c2": name, "s": s[met], "n": c[met].astype("int64"),
+                "k": pd.Series(at[1], dtype=object)[met], "j": j, "c": pd.Series(at[2][:, j], dtype=object)[met], "c2": name, "s": s[met],
+                "n": c[met].astype("int64"),
             })
 
     met = left.hint("shuffle_replicate_nl").join(right.withColumnRenamed("d", "d2"), F.col("d") == F.col("d2")).drop("d2")
-    gaps = met.mapInPandas(run, f"k {kinds['k']}, c {kinds['c']}, c2 {kinds['c']}, s double, n long")
+    gaps = met.mapInPandas(run, f"k {kind}, j int, c {label_kind}, c2 {label_kind}, s double, n long")
     means = (
-        gaps.groupBy("k", "c", "c2").agg((F.sum("s") / F.sum("n")).alias("d"))
-        .groupBy("k").agg(
+        gaps.groupBy("k", "j", "c", "c2").agg((F.sum("s") / F.sum("n")).alias("d"))
+        .groupBy("k", "j").agg(
             F.max(F.when(F.col("c") == F.col("c2"), F.col("d"))).alias("a"),
             F.min(F.when(F.col("c") != F.col("c2"), F.col("d"))).alias("b"),
         )
     )
     worth = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return named.select("k").distinct().join(means, "k", "left").agg(F.avg(worth).alias("silhouette"))
+    added = means.groupBy("j").agg(F.sum(worth).alias("s"))
+    rows = named.select("k").distinct().count()
+    every = df.sparkSession.createDataFrame(list(enumerate(labels)), "j int, label string").join(added, "j", "left")
+    return every.select("label", F.when(F.lit(rows) > 0, F.coalesce("s", F.lit(0.0)) / F.lit(max(rows, 1))).alias("silhouette"))
+
+
+def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
+    """(silhouette) of one labelling; null for a table without rows."""
+    return silhouettes(df, key, vector, [cluster]).select("silhouette")
 
 
 def rare_clusters(df: DataFrame, cluster: str, least: float = 0.01) -> DataFrame:
     """Every row with ``rare``: its cluster has less than a share ``least`` of all rows."""
-    share = F.count("*").over(Window.partitionBy(cluster)) / F.count("*").over(Window.partitionBy(F.lit(0)))
-    return df.withColumn("rare", share < least)
+    sizes = df.groupBy(F.col(cluster).alias("__c")).agg(F.count("*").alias("__n"))  # one row per cluster
+    n = df.count()
+    marked = sizes.select("__c", (F.col("__n") / F.lit(max(n, 1)) < least).alias("rare"))
+    return df.join(marked, F.col(cluster).eqNullSafe(F.col("__c"))).drop("__c")
 
 
 def chi2_sf(x: np.ndarray, dims: int) -> np.ndarray:
@@ -192,57 +232,160 @@ def robust_distances(x: np.ndarray, rng: np.random.Generator, starts: int = 30)
     return d
 
 
-def robust_pvalues(x: np.ndarray, seed: int) -> np.ndarray:
-    """p-values of squared robust distances, scaled so that Gaussian data of the same shape has
-    the 99 % quantile that chi squared has."""
+def robust_pvalues(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """p-values of squared robust distances, scaled so that Gaussian data of the same shape has the
+    99 % quantile that chi squared has; and those of that data itself. Of rows that are all at one
+    place none is far."""
     n, p = x.shape
     rng = np.random.default_rng([seed, n, p])
     null = np.concatenate([robust_distances(rng.standard_normal((n, p)), rng, 10) for _ in range(NULL_TRIALS)])
-    scale = np.quantile(null, NULL_QUANTILE) / chi2_quantile(NULL_QUANTILE, p)
-    return chi2_sf(robust_distances(x, rng) / scale, p)
+    scale = np.quantile(null, NULL_QUANTILE) / chi2_quantile(NULL_QUANTILE, p) or 1.0
+    return chi2_sf(robust_distances(x, rng) / scale, p), chi2_sf(null / scale, p)
+
+
+def _first_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ (Arthur and Vassilvitskii 2007): each further centre with odds by squared distance."""
+    centres = [sample[rng.integers(len(sample))]]
+    near = ((sample - centres[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        odds = near / near.sum() if near.sum() > 0 else None
+        centres.append(sample[rng.choice(len(sample), p=odds)])
+        near = np.minimum(near, ((sample - centres[-1]) ** 2).sum(axis=1))
+    return np.array(centres)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    square = ((x[:, None] - centres) ** 2).sum(axis=2)
+    at = square.argmin(axis=1)
+    return at, square[np.arange(len(x)), at]
+
+
+def _vectors(column) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)).astype(float)
+
+
+def kmeans(points: DataFrame, key: str, vector: str, ks: list[int], restarts: int, seed: int = 0, rounds: int = 300, tolerance: float = 1e-4) -> dict[int, np.ndarray]:
+    """k -> the centres of the least cost of ``restarts`` runs from k-means++ starts.
+
+    All runs of all k go through the rows together, one job a round, until no run moves its centres
+    by more than ``tolerance`` of the vectors' variance; what reaches the driver is a count and a sum
+    per centre. Starts are drawn from a sample of START_ROWS rows at most; rounds take all rows."""
+    start = points.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(START_ROWS).select(vector).toPandas()
+    sample = np.stack(start[vector].to_numpy()).astype(float)
+    d = sample.shape[1]
+    runs = {(k, r): _first_centres(sample, k, np.random.default_rng([seed, k, r])) for k in ks for r in range(restarts)}
+    spread = points.agg(*(F.var_pop(F.element_at(vector, i + 1)) for i in range(d))).first()
+    least, costs, moving = tolerance * float(np.mean(spread)), {}, list(runs)
+    added = [F.sum(c).alias(c) for c in ("n", "cost", *(f"s{i}" for i in range(d)))]
+    for _ in range(rounds):
+        held = [runs[m] for m in moving]
+
+        def partial(batches, held=held):
+            sums = [np.zeros((len(c), d + 2)) for c in held]
+            for batch in batches:
+                x = _vectors(batch[0])
+                for c, total in zip(held, sums, strict=True):
+                    at, cost = _nearest(x, c)
+                    np.add.at(total, at, np.column_stack([np.ones(len(x)), cost, x]))
+            rows = [(m, j, *row) for m, total in enumerate(sums) for j, row in enumerate(total.tolist()) if row[0]]
+            if rows:
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *map(pa.array, columns[2:])], names)
+
+        names = ["m", "j", "n", "cost", *(f"s{i}" for i in range(d))]
+        schema = "m int, j int, " + ", ".join(f"{c} double" for c in names[2:])
+        found = points.select(vector).mapInArrow(partial, schema).groupBy("m", "j").agg(*added).toPandas()  # a row per centre
+        still = []
+        for m, run in enumerate(moving):
+            mine = found[found["m"] == m]
+            after = runs[run].copy()
+            after[mine["j"]] = mine[names[4:]].to_numpy() / mine[["n"]].to_numpy()
+            costs[run] = mine["cost"].sum()
+            if ((after - runs[run]) ** 2).sum() > least:
+                runs[run] = after
+                still.append(run)
+        moving = still
+        if not moving:
+            break
+    return {k: runs[min(((k, r) for r in range(restarts)), key=lambda x: costs[x])] for k in ks}
 
 
 def choose_clusters(df: DataFrame, key: str, vector: str, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> tuple[DataFrame, int]:
-    """(rows with ``cluster``, k): of k-means with each k, best of ``restarts``, the one of the best
-    silhouette, the smallest k of equal ones. Few numbers reach the driver."""
-    data = df.withColumn("__v", array_to_vector(vector)).persist()
-    n, best = data.count(), None
-    for k in (k for k in ks if k < n):
-        fits = [KMeans(featuresCol="__v", predictionCol="cluster", k=k, seed=seed + r).fit(data) for r in range(restarts)]
-        fit = min(fits, key=lambda m: m.summary.trainingCost)
-        worth = silhouette(fit.transform(data), key, vector, "cluster").first()[0]
-        if best is None or worth > best[0] + 1e-12:
-            best = (worth, k, fit)
-    if best is None:
+    """(rows with ``cluster``, k): of k-means with each k below the number of rows, best of
+    ``restarts``, the one of the best silhouette, the smallest k of equal ones."""
+    tried = [k for k in ks if k < df.count()]
+    if not tried:
         return df.withColumn("cluster", F.lit(0)), 1
-    return best[2].transform(data).drop("__v"), best[1]
-
-
-def cluster_outliers(df: DataFrame, key: str, vector: str, alpha: float = 0.01, least: float = 0.01, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
-    """(key, cluster, p, outlier): standardise, whiten by PCA, cluster, robust p-values within each
-    cluster (0 in rare ones), then false discovery control over all."""
-    rows = df.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias("__x"))
-    head = rows.agg(F.count("*").alias("n"), F.max(F.size("__x")).alias("d")).first()
-    if head["n"] < 4:
-        return rows.select(key, F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("double").alias("p"), F.lit(False).alias("outlier"))
-    dims = min(PCA_DIMS, head["d"], head["n"] - 1)
-    data = rows.withColumn("__a", array_to_vector("__x"))
+    centres = kmeans(df, key, vector, tried, restarts, seed)
+    kind = dict(df.dtypes)
+
+    def assign(batches):
+        for batch in batches:
+            x = _vectors(batch[batch.schema.names.index(vector)])
+            labels = [pa.array(_nearest(x, centres[k])[0].astype(np.int32)) for k in tried]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *labels], [*batch.schema.names, *(f"__k{k}" for k in tried)])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in kind.items()) + "".join(f", __k{k} int" for k in tried)
+    labelled = stash(df.mapInArrow(assign, schema))
+    worth = {r["label"]: r["silhouette"] for r in silhouettes(labelled, key, vector, [f"__k{k}" for k in tried]).collect()}
+    best = tried[0]
+    for k in tried[1:]:
+        if worth[f"__k{k}"] > worth[f"__k{best}"] + 1e-12:
+            best = k
+    return labelled.select(*df.columns, F.col(f"__k{best}").alias("cluster")), best
+
+
+def whitened(rows: DataFrame, key: str, vector: str, n: int, width: int) -> tuple[DataFrame, int]:
+    """(key, y) and its width: vectors standardised, then turned to as many principal components as
+    there may be, each of deviation 1."""
+    dims = min(PCA_DIMS, width, n - 1)
+    data = rows.withColumn("__a", array_to_vector(vector))
     data = StandardScaler(inputCol="__a", outputCol="__b", withMean=True, withStd=True).fit(data).transform(data)
     data = PCA(k=dims, inputCol="__b", outputCol="__c").fit(data).transform(data)
-    flat = data.select(key, vector_to_array("__c").alias("y"))
+    flat = stash(data.select(key, vector_to_array("__c").alias("y")))
     spread = flat.agg(*(F.stddev_samp(F.element_at("y", i + 1)).alias(f"s{i}") for i in range(dims))).first()
     white = F.array(*(F.element_at("y", i + 1) / F.lit(spread[i] or 1.0) for i in range(dims)))
-    labelled, _ = choose_clusters(flat.select(key, white.alias("y")), key, "y", seed, ks, restarts)
-    labelled = rare_clusters(labelled, "cluster", least)
+    return flat.select(key, white.alias("y")), dims
+
+
+def cluster_pvalues(labelled: DataFrame, key: str, dims: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(key, cluster, p) of rows (key, y, cluster, rare), and (p) of outlier-free data of the same
+    shapes. Rows of rare clusters have p 0 and no such data; the others' distances are taken in so
+    many dimensions that the smallest cluster can bear, two at least."""
     sizes = [r["count"] for r in labelled.where("not rare").groupBy("cluster").count().collect()]  # one row per cluster
-    used = max(2, min(dims, min(sizes, default=10) // 5))
-    kind = dict(df.dtypes)[key]
+    used = max(2, min(dims, min(sizes) // 5)) if sizes else dims
+    kind = dict(labelled.dtypes)[key]
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(part["y"].to_numpy())[:, :used]
-        few = part["rare"].iloc[0] or len(x) <= 2 * x.shape[1]
-        p = np.zeros(len(x)) if part["rare"].iloc[0] else np.ones(len(x)) if few else robust_pvalues(x, seed + int(part["cluster"].iloc[0]))
-        return pd.DataFrame({key: part[key], "cluster": part["cluster"].astype("int32"), "p": p})
+        cluster, null = int(part["cluster"].iloc[0]), np.empty(0)
+        p = np.zeros(len(x))
+        if not part["rare"].iloc[0]:
+            p, null = robust_pvalues(x, seed + cluster)
+        real = pd.DataFrame({key: part[key], "cluster": cluster, "p": p, "simulated": False})
+        return pd.concat([real, pd.DataFrame({key: None, "cluster": cluster, "p": null, "simulated": True})])
+
+    tested = stash(labelled.groupBy("cluster").applyInPandas(run, f"{key} {kind}, cluster int, p double, simulated boolean"))
+    return tested.where("not simulated").drop("simulated"), tested.where("simulated").select("p")
+
 
-    tested = labelled.groupBy("cluster").applyInPandas(run, f"{key} {kind}, cluster int, p double")
+def cluster_tests(df: DataFrame, key: str, vector: str, least: float = 0.01, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> tuple[DataFrame, DataFrame]:
+    """(key, cluster, p) of every row with a vector, and the (p) of the null floor.
+
+    Vectors are standardised and whitened by PCA, clustered, and tested by robust distance within
+    their cluster. K-means needs more rows than clusters: below three rows nothing can be tested,
+    and clusters and p are null."""
+    rows = df.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias("__x"))
+    head = rows.agg(F.count("*").alias("n"), F.max(F.size("__x")).alias("d")).first()
+    if head["n"] < 3:
+        none = rows.select(key, F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("double").alias("p"))
+        return none, none.select("p").limit(0)
+    points, dims = whitened(rows, key, "__x", head["n"], head["d"])
+    labelled, _ = choose_clusters(points, key, "y", seed, ks, restarts)
+    return cluster_pvalues(rare_clusters(labelled, "cluster", least), key, dims, seed)
+
+
+def cluster_outliers(df: DataFrame, key: str, vector: str, alpha: float = 0.01, least: float = 0.01, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
+    """(key, cluster, p, outlier): ``cluster_tests``, then false discovery control over all."""
+    tested, _ = cluster_tests(df, key, vector, least, seed, ks, restarts)
     return benjamini_hochberg(tested, "p", key, alpha).withColumnRenamed("flagged", "outlier")

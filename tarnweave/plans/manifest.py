@@ -5,27 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnweave.operators import rules
-from tarnweave.operators.scoring import axis_scores, composite_score
+from tarnweave.operators import catalog, rules, series, statistics
+from tarnweave.operators.scoring import AXES, SIGNS, axis_scores, composite_score
+from tarnweave.session import stash
 
 
-def build_manifest(episodes: DataFrame, signs: dict[str, int], axes: dict[str, dict[str, int]], key: str = "episode", group: str = "operator", outliers: DataFrame | None = None) -> DataFrame:
-    """Axis and composite scores, integrity rules, the outlier test's findings (key, cluster, p,
-    outlier) where there are any, decision, flags and trims. Axes and flags cover dropped episodes
-    too; trims don't."""
-    names = [f"ax_{a}" for a in axes]
-    scored = axis_scores(composite_score(episodes, signs, group), group, axes)
-    judged = scored.withColumn(
-        "reason",
-        rules.integrity_reason(
-            F.col("n_frames"), F.col("declared"), F.col("progress_dip").isNotNull(), F.col("progress_dip"), F.col("act_span")
-        ),
+def joined_scans(motion: DataFrame, visual: DataFrame, episodes: DataFrame, key: str = "episode", group: str = "operator") -> DataFrame:
+    """Both scans of each episode, the motion scan's columns first, and its demonstrator by the catalog."""
+    return catalog.with_operator(catalog.join_dropping_overlap(motion, visual.drop(group), key), episodes, key, group)
+
+
+def with_progress(joined: DataFrame, frames: DataFrame | None, key: str = "episode", order: str = "t", vector: str = "emb") -> tuple[DataFrame, DataFrame | None]:
+    """(episodes with progress_dip, progress_final and has_progress; (key, sims, steps, raw) of those
+    with embeddings). Without a table of embeddings nothing has progress, which shows in the column."""
+    if frames is None:
+        none = F.lit(None).cast("double")
+        return joined.withColumns({"progress_dip": none, "progress_final": none, "has_progress": F.lit(False)}), None
+    similar = stash(series.frame_similarity(frames, key, order, vector))
+    found = joined.drop("progress_dip", "progress_final").join(series.progress(similar, key), key, "left")
+    return found.withColumn("has_progress", F.col("progress_dip").isNotNull()), similar
+
+
+def judged(episodes: DataFrame, signs: dict[str, int], axes: dict[str, dict[str, int]], group: str = "operator") -> DataFrame:
+    """Axis and composite scores and the integrity rules' reason; axes cover dropped episodes too."""
+    known = stash(episodes)
+    scored = axis_scores(composite_score(known, signs, group), group, axes)
+    dip = F.col("progress_dip")
+    return scored.withColumn(
+        "reason", rules.integrity_reason(F.col("n_frames"), F.col("declared"), dip.isNotNull(), dip, F.col("act_span"))
     ).withColumn("hard", F.col("reason") != "")
-    decided = rules.decide(judged, outliers, key, names)
+
+
+def decided(scored: DataFrame, axes: dict[str, dict[str, int]], outliers: DataFrame | None = None, key: str = "episode", group: str = "operator") -> DataFrame:
+    """The manifest's columns: the outlier test's findings (key, cluster, p, outlier) joined where
+    there are any, decision, flags and trims."""
+    names = [f"ax_{a}" for a in axes]
+    found = rules.decide(scored, outliers, key, names)
     if outliers is None:
-        decided = decided.withColumn("cluster", F.lit(None).cast("int")).withColumn("p", F.lit(None).cast("double"))
+        found = found.withColumn("cluster", F.lit(None).cast("int")).withColumn("p", F.lit(None).cast("double"))
     trim = lambda c: rules.trim_frame(F.col(c), F.col("n_frames"), F.col("decision"))
-    return decided.select(
+    return found.select(
         key, group, "decision", "score", "reason", rules.flags(names).alias("flags"), trim("act_start").alias("trim_start"),
         trim("act_end").alias("trim_end"), "n_frames", "act_span", "progress_dip", "cluster", F.col("p").alias("outlier_p"), "hard", *names,
     )
+
+
+def build_manifest(episodes: DataFrame, signs: dict[str, int] = SIGNS, axes: dict[str, dict[str, int]] = AXES, key: str = "episode", group: str = "operator", outliers: DataFrame | None = None) -> DataFrame:
+    """Scores, integrity rules and, where given, the outlier test's findings, as a manifest."""
+    return decided(judged(episodes, signs, axes, group), axes, outliers, key, group)
+
+
+def keep_drop(
+    motion: DataFrame,
+    visual: DataFrame,
+    episodes: DataFrame,
+    frames: DataFrame | None,
+    representation: str = "shape",
+    alpha: float = 0.01,
+    least: float = 0.01,
+    seed: int = 0,
+    key: str = "episode",
+    group: str = "operator",
+    signs: dict[str, int] = SIGNS,
+    axes: dict[str, dict[str, int]] = AXES,
+) -> tuple[DataFrame, DataFrame | None]:
+    """(manifest, null floor): the two scans joined with the catalog and the embeddings, scored and
+    judged; what no rule drops and has an embedding is clustered and tested for outliers by its
+    ``shape`` or ``raw`` descriptor. The floor is null where nothing was tested."""
+    joined = joined_scans(motion, visual, episodes, key, group)
+    known, similar = with_progress(joined.withColumn("act_span", rules.act_span(F.col("act_start"), F.col("act_end"))), frames, key)
+    scored = stash(judged(known, signs, axes, group))
+    if similar is None:
+        return decided(scored, axes, None, key, group), None
+    eligible = scored.where("reason = '' and has_progress").select(key)
+    described = similar.select(key, (F.concat("sims", "steps") if representation == "shape" else F.col("raw")).alias("x"))
+    tests, nulls = statistics.cluster_tests(described.join(eligible, key, "left_semi"), key, "x", least, seed)
+    found = statistics.benjamini_hochberg(tests, "p", key, alpha).withColumnRenamed("flagged", "outlier")
+    return decided(scored, axes, found, key, group), statistics.null_floor(tests, nulls)

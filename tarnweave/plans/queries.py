@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars as S
-from tarnweave.operators import ablation, catalog, geometry, reports, rules, scoring, series, statistics
+from tarnweave.operators import ablation, catalog, geometry, ranking, reports, rules, scoring, series, statistics
+from tarnweave.plans import fixtures
+from tarnweave.plans import manifest as plan
 from tarnweave.plans import stand_ins as I
-from tarnweave.plans.manifest import build_manifest
 from tarnweave.session import read_table
-from tarnweave.sources import shards, tables
+from tarnweave.sources import arrays, files, shards, tables
 from tarnweave.streaming.events import windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +38,7 @@ def _sql_round(*names: str) -> str:
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_manifest(I.episodes(spark, sf_dir), I.SIGNS, I.AXES)
+    return plan.build_manifest(I.episodes(spark, sf_dir))
 
 
 _QUALITY = """st AS (SELECT episode, frame_idx, bytes, median(bytes) OVER w AS mid, coalesce(nullif(stddev_pop(bytes) OVER w, 0), 1) AS dev FROM fr WINDOW w AS (PARTITION BY episode)),
@@ -60,9 +61,9 @@ def longest_faint_run(spark, sf_dir):
     return series.frame_quality(I.frames(spark, sf_dir)).select("episode", "longest_faint_run")
 
 
-@query(f"WITH {I.EPISODES_SQL} SELECT episode, round({I._z('mean_price')}, 6) AS z FROM ep WINDOW w AS (PARTITION BY operator)")
+@query(f"WITH {I.EPISODES_SQL} SELECT episode, round({I._z('right_straightness')}, 6) AS z FROM ep WINDOW w AS (PARTITION BY operator)")
 def robust_z(spark, sf_dir):
-    return rounded(I.episodes(spark, sf_dir).select("episode", scoring.robust_z(F.col("mean_price"), "operator").alias("z")))
+    return rounded(scoring.with_robust_z(I.episodes(spark, sf_dir), {"z": F.col("right_straightness")}, "operator").select("episode", "z"))
 
 
 @query(f"WITH {I.AXES_SQL} SELECT episode, {_sql_round(*(f'ax_{a}' for a in I.AXES))} FROM ax")
@@ -70,15 +71,9 @@ def axis_scores(spark, sf_dir):
     return rounded(scoring.axis_scores(I.episodes(spark, sf_dir), "operator", I.AXES).select("episode", *(f"ax_{a}" for a in I.AXES)))
 
 
-_ETA = " UNION ALL ".join(
-    f"SELECT '{f}' AS feature, coalesce(1 - var_samp(r) / nullif(var_samp(x), 0), 1) AS eta2 FROM (SELECT {f}::DOUBLE AS x, {f}::DOUBLE - avg({f}::DOUBLE) OVER (PARTITION BY operator) AS r FROM ep)"
-    for f in I.SIGNS
-)
-
-
-@query(f"WITH {I.EPISODES_SQL} SELECT feature, round(eta2, 6) AS eta2, CASE WHEN eta2 <= 0.35 THEN 'USE' ELSE 'DROP' END AS usage FROM ({_ETA})")
+@query(f"WITH {I.EPISODES_SQL}, {I.ETA_SQL} SELECT feature, round(eta2, 6) AS eta2, CASE WHEN eta2 <= 0.35 THEN 'USE' ELSE 'DROP' END AS usage FROM et WHERE known > 0")
 def eta_squared(spark, sf_dir):
-    return rounded(scoring.eta_squared(I.episodes(spark, sf_dir), list(I.SIGNS), "operator"))
+    return rounded(scoring.eta_squared(I.episodes(spark, sf_dir), list(I.SIGNS), "operator").orderBy("eta2", "feature"))
 
 
 @query(f"WITH {I.EPISODES_SQL}, {I.SCORE_SQL} SELECT episode, round(score, 6) AS score FROM sc")
@@ -100,6 +95,18 @@ def failure_label(spark, sf_dir):
     return scoring.axis_scores(I.episodes(spark, sf_dir), "operator", I.AXES).select("episode", rules.failure_label(names).alias("label"))
 
 
+def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = statistics.benjamini_hochberg(I.outlier_rows(spark, sf_dir), "p", "episode", 0.1).withColumnRenamed("flagged", "outlier")
+    return plan.build_manifest(I.episodes(spark, sf_dir), outliers=found)
+
+
+@query(f"""WITH {I.TESTED_SQL} SELECT episode, operator, decision, round(score, 6) AS score, reason, flags, CASE WHEN decision <> 'drop' THEN round_even(act_start * (n_frames - 1), 0)::BIGINT END AS trim_start,
+ CASE WHEN decision <> 'drop' THEN round_even(act_end * (n_frames - 1), 0)::BIGINT END AS trim_end, n_frames, round(act_span, 6) AS act_span, round(progress_dip, 6) AS progress_dip, cluster, round(p, 6) AS outlier_p, hard,
+ {_sql_round(*(f'ax_{a}' for a in I.AXES))} FROM mf""")
+def manifest_with_outliers(spark, sf_dir):
+    return rounded(_tested(spark, sf_dir))
+
+
 @query(f"""WITH {I.MANIFEST_SQL} SELECT episode, flags, CASE WHEN decision <> 'drop' THEN round_even(act_start * (n_frames - 1), 0)::BIGINT END AS trim_start,
  CASE WHEN decision <> 'drop' THEN round_even(act_end * (n_frames - 1), 0)::BIGINT END AS trim_end FROM mf""")
 def flags_and_trim(spark, sf_dir):
@@ -108,15 +115,14 @@ def flags_and_trim(spark, sf_dir):
 
 @query(f"""WITH {I.MANIFEST_SQL} SELECT row_number() OVER (ORDER BY decision, score DESC NULLS LAST, episode) AS at_row, episode, operator, decision, round(score, 6) AS score, reason, flags FROM mf""")
 def manifest_sorted(spark, sf_dir):
-    ordered = _manifest(spark, sf_dir).orderBy("decision", F.desc_nulls_last("score"), "episode")
-    at = F.monotonically_increasing_id()
-    one = ordered.coalesce(1).select((at + 1).alias("at_row"), "episode", "operator", "decision", "score", "reason", "flags")
-    return rounded(one)
+    order = [F.col("decision"), F.desc_nulls_last("score"), F.col("episode")]
+    placed = ranking.running(_manifest(spark, sf_dir), order, "at_row")
+    return rounded(placed.select("at_row", "episode", "operator", "decision", "score", "reason", "flags"))
 
 
-@query("SELECT doc_id, source, lang FROM documents WHERE source = 'src0' AND lang = 'en' AND trim(coalesce(text, '')) <> ''")
+@query("SELECT doc_id, source, lang FROM documents WHERE source = 'src0' AND lang = 'en' AND trim(coalesce(text, '')) <> '' AND doc_id % 10 <> 0")
 def catalog_slice(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents").withColumn("is_deleted", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 10 == 0).otherwise(F.nullif(F.col("doc_id") % 10 == 0, F.lit(False))))
     return catalog.live_slice(d, F.col("source") == "src0", F.col("lang") == "en", "text", "is_deleted").select("doc_id", "source", "lang")
 
 
@@ -148,7 +154,7 @@ def crosstab_decision(spark, sf_dir):
     return catalog.crosstab(read_table(spark, sf_dir, "documents"), "source", "lang", ["en", "de"])
 
 
-@query(f"""WITH {I.MANIFEST_SQL} SELECT operator, count(*) AS n, round(avg((decision = 'keep')::INT), 6) AS keep_rate, round(avg((reason <> '')::INT), 6) AS hard_rate FROM mf GROUP BY 1""")
+@query(f"""WITH {I.MANIFEST_SQL} SELECT operator, count(*) AS n, round(avg((decision = 'keep')::INT), 6) AS keep_rate, round(avg(hard::INT), 6) AS hard_rate FROM mf WHERE operator IS NOT NULL GROUP BY 1""")
 def operator_fairness(spark, sf_dir):
     return rounded(reports.fairness(_manifest(spark, sf_dir), "operator"))
 
@@ -160,10 +166,11 @@ def cluster_report(spark, sf_dir):
     return rounded(reports.cluster_report(e, "label", "operator", F.col("vec_id") % 5 == 0, "score"))
 
 
-@query(f"""WITH {I.MANIFEST_SQL} SELECT count(*) AS total, count(*) FILTER (decision = 'keep') AS kept, count(*) FILTER (decision <> 'keep') AS dropped,
- round(coalesce(100.0 * count(*) FILTER (decision <> 'keep') / nullif(count(*), 0), 0), 6)::DOUBLE AS drop_pct, count(*) FILTER (reason IN ('too_short', 'mostly_dead_time')) AS named, count(DISTINCT operator) AS operators FROM mf""")
+@query(f"""WITH {I.TESTED_SQL} SELECT count(*) AS total, count(*) FILTER (decision = 'keep') AS kept, count(*) FILTER (decision <> 'keep') AS dropped,
+ round(100.0 * count(*) FILTER (decision = 'keep') / count(*), 6)::DOUBLE AS keep_pct, round(100.0 * count(*) FILTER (decision <> 'keep') / count(*), 6)::DOUBLE AS drop_pct,
+ count(*) FILTER (reason <> '') AS defect, count(DISTINCT operator) + max((operator IS NULL)::BIGINT) AS operators FROM mf""")
 def ui_summary(spark, sf_dir):
-    return rounded(reports.summary(_manifest(spark, sf_dir), ["too_short", "mostly_dead_time"], "operator"))
+    return rounded(reports.summary(_tested(spark, sf_dir), "operator"))
 
 
 @query(f"WITH {I.MANIFEST_SQL} SELECT reason, count(*) AS n FROM mf WHERE reason <> '' GROUP BY 1")
@@ -171,10 +178,40 @@ def ui_reasons(spark, sf_dir):
     return reports.reason_tally(_manifest(spark, sf_dir))
 
 
-@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, operator, round(score, 6) AS score FROM mf WHERE decision = 'keep' AND lower(episode::VARCHAR) LIKE '%1%' ORDER BY score ASC NULLS LAST, mf.episode LIMIT 300""")
+def _shown(spark: SparkSession, sf_dir: str, operator: str | None = None) -> DataFrame:
+    return reports.matching(_manifest(spark, sf_dir), "episode", decision="keep", reason="none", search=" 1 ", operator=operator)
+
+
+@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, operator, round(score, 6) AS score FROM mf WHERE decision = 'keep' AND lower(episode::VARCHAR) LIKE '%1%' ORDER BY mf.score ASC NULLS LAST, mf.episode LIMIT 300""")
 def ui_filter_sort_cap(spark, sf_dir):
-    shown = reports.listing(_manifest(spark, sf_dir), "episode", decision="keep", reason="none", search="1")
-    return rounded(shown.select("episode", "operator", "score"))
+    return rounded(reports.listing(_shown(spark, sf_dir), "episode").select("episode", "operator", "score"))
+
+
+@query(f"""WITH {I.MANIFEST_SQL}, h AS (SELECT episode, operator FROM mf WHERE decision = 'keep' AND episode::VARCHAR LIKE '%1%' AND operator = 7)
+(SELECT 'hash' AS sort, * FROM h ORDER BY episode LIMIT 5) UNION ALL (SELECT 'best', mf.episode, mf.operator FROM h JOIN mf USING (episode) ORDER BY score DESC NULLS LAST, mf.episode LIMIT 5)""")
+def ui_operator_orders(spark, sf_dir):
+    rows = _shown(spark, sf_dir, "7")
+    shown = [reports.listing(rows, "episode", sort, 5).select(F.lit(sort).alias("sort"), "episode", "operator") for sort in ("hash", "best")]
+    return shown[0].unionByName(shown[1])
+
+
+@query(f"WITH {I.MANIFEST_SQL} SELECT greatest(count(*) - 20, 0) AS overflow FROM mf WHERE decision = 'keep' AND episode::VARCHAR LIKE '%1%'")
+def ui_overflow(spark, sf_dir):
+    return reports.overflow(_shown(spark, sf_dir), 20)
+
+
+@query(f"""WITH {I.MANIFEST_SQL}, s AS (SELECT episode FROM mf WHERE decision = 'keep' AND episode::VARCHAR LIKE '%1%' ORDER BY score ASC NULLS LAST, episode LIMIT 1)
+SELECT 'known' AS asked, 17::BIGINT AS episode UNION ALL SELECT 'unknown', episode FROM s UNION ALL SELECT 'none', episode FROM s""")
+def ui_current(spark, sf_dir):
+    rows, shown = _manifest(spark, sf_dir), _shown(spark, sf_dir)
+    asked = {"known": "17", "unknown": "-1", "none": None}
+    every = [reports.current(rows, shown, "episode", k).select(F.lit(n).alias("asked"), "episode") for n, k in asked.items()]
+    return reduce(DataFrame.unionByName, every)
+
+
+@query(f"WITH {I.MANIFEST_SQL} SELECT DISTINCT operator FROM mf")
+def operator_list(spark, sf_dir):
+    return reports.operator_list(_manifest(spark, sf_dir))
 
 
 @query(f"WITH {I.MANIFEST_SQL}, f AS (SELECT unnest(string_split(flags, '+')) AS flag FROM mf) SELECT flag, count(*) AS n FROM f WHERE flag <> '' GROUP BY 1")
@@ -297,11 +334,22 @@ def raw_descriptor(spark, sf_dir):
     return rounded(raw.withColumn("i", F.col("i").cast("long")))
 
 
-@query(f"""WITH {I.FRAMES_SQL}, c AS (SELECT episode, frame_idx AS pos, count(*) OVER w AS n, sum(abs(bytes)) OVER (PARTITION BY episode ORDER BY frame_idx) / sum(abs(bytes)) OVER w AS share FROM fr WINDOW w AS (PARTITION BY episode)),
-b AS (SELECT *, coalesce(lag(share) OVER (PARTITION BY episode ORDER BY pos), 0) AS before FROM c) SELECT episode, pos AS frame FROM b WHERE n > 32 AND floor(share * 32 - 0.5) > floor(before * 32 - 0.5)""")
+_MOVES = "CASE WHEN episode % 10 = 0 THEN 0 ELSE abs(bytes) END::DOUBLE AS speed"
+
+
+@query(f"""WITH {I.FRAMES_SQL}, f AS (SELECT episode, frame_idx, {_MOVES}, count(*) OVER (PARTITION BY episode) AS n FROM fr),
+sp AS (SELECT episode, max(n) // 10 AS lo, CASE WHEN episode % 13 = 0 THEN max(n) // 10 ELSE max(n) - max(n) // 10 END AS hi FROM f GROUP BY 1),
+s AS (SELECT f.episode, frame_idx AS pos, lo, hi, CASE WHEN frame_idx >= lo AND frame_idx < hi THEN speed ELSE 0 END AS w FROM f JOIN sp ON f.episode = sp.episode WHERE f.episode % 11 <> 0 OR frame_idx < 3),
+c AS (SELECT episode, pos, count(*) OVER e AS n, sum(w) OVER e AS total, sum(w) OVER (PARTITION BY episode ORDER BY pos) AS upto FROM s WINDOW e AS (PARTITION BY episode)),
+m AS (SELECT episode, pos, upto / total AS share FROM c WHERE n >= 4 AND total > 0),
+t AS (SELECT unnest(range(32)) AS k), p AS (SELECT episode, min(pos) AS frame FROM m, t WHERE share >= (k + 0.5::DOUBLE) / 32 GROUP BY episode, k)
+SELECT DISTINCT episode, frame FROM p UNION ALL SELECT DISTINCT episode, CASE WHEN k = 31 THEN greatest(hi, lo + 1) ELSE trunc(lo + k * ((greatest(hi, lo + 1) - lo) / 31.0::DOUBLE))::BIGINT END FROM sp, t WHERE episode NOT IN (SELECT episode FROM m)""")
 def equal_motion_frames(spark, sf_dir):
-    f = I.frames(spark, sf_dir).withColumn("speed", F.abs("bytes"))
-    return series.equal_motion_frames(f, "episode", "frame_idx", "speed")
+    f = I.frames(spark, sf_dir).withColumn("speed", F.when(F.col("episode") % 10 == 0, 0.0).otherwise(F.abs("bytes")))
+    tenth = F.floor(F.count("*") / 10)
+    end = F.when(F.col("episode") % 13 == 0, tenth).otherwise(F.count("*") - tenth)
+    spans = f.groupBy("episode").agg(tenth.alias("lo"), end.alias("hi"))
+    return series.equal_motion_frames(spans, f.where("episode % 11 <> 0 or frame_idx < 3"), "episode", "frame_idx", "speed")
 
 
 _K = [[500.0, 0.0, 320.0, 0.0], [0.0, 500.0, 240.0, 0.0], [0.0, 0.0, 1.0, 0.0]]
@@ -310,12 +358,12 @@ _K = [[500.0, 0.0, 320.0, 0.0], [0.0, 500.0, 240.0, 0.0], [0.0, 0.0, 1.0, 0.0]]
 def _seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
     x = lambda i: F.col("embedding")[i].cast("double")
-    u, v, depth = geometry.project([x(0), x(1), x(2) + 1], [F.lit(0.1), F.lit(0.0), F.lit(0.0)], [F.lit(0.6), F.lit(0.0), F.lit(0.8), F.lit(0.0)], _K)
+    u, v, depth = geometry.project([x(0), x(1), x(2) + 1], [F.lit(0.1), F.lit(0.0), F.lit(0.0)], [F.lit(40 / 41), F.lit(0.0), F.lit(9 / 41), F.lit(0.0)], _K)
     return e.select((F.col("vec_id") % 50).alias("episode"), "vec_id", u.alias("u"), v.alias("v"), depth.alias("depth"))
 
 
 _SEEN = f"""w AS (SELECT vec_id, {_E[0]} - 0.1::DOUBLE AS dx, {_E[1]} AS dy, {_E[2]} + 1 AS dz FROM embeddings),
-c AS (SELECT vec_id, (1 - 2 * 0.64::DOUBLE) * dx - 0.96::DOUBLE * dz AS cx, dy AS cy, 0.96::DOUBLE * dx + (1 - 2 * 0.64::DOUBLE) * dz AS cz FROM w),
+c AS (SELECT vec_id, (1 - 162 / 1681.0::DOUBLE) * dx - 720 / 1681.0::DOUBLE * dz AS cx, dy AS cy, 720 / 1681.0::DOUBLE * dx + (1 - 162 / 1681.0::DOUBLE) * dz AS cz FROM w),
 pr AS (SELECT vec_id % 50 AS episode, vec_id, (500 * cx + 320 * cz) / nullif(cz, 0) AS u, (500 * cy + 240 * cz) / nullif(cz, 0) AS v, cz AS depth FROM c)"""
 
 
@@ -379,17 +427,17 @@ def bh_flags(spark, sf_dir):
     return statistics.benjamini_hochberg(_tests(spark, sf_dir), "p", "o_orderkey", 0.05).select("o_orderkey", "flagged")
 
 
-@query(f"""WITH t AS (SELECT {_P} * ({_P}) * ({_P}) AS p FROM orders), r AS (SELECT p, row_number() OVER (ORDER BY p) AS r, count(*) OVER () AS n FROM t), a AS (SELECT unnest([0.01::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE, 0.25::DOUBLE]) AS alpha)
-SELECT alpha, round(coalesce(max(r) FILTER (p <= alpha * r / n), 0)::DOUBLE / max(n), 6) AS rate FROM r, a GROUP BY 1""")
+@query(f"""WITH t AS (SELECT 'flagged' AS side, {_P} * ({_P}) * ({_P}) AS p FROM orders UNION ALL SELECT 'floor', {_P} FROM orders),
+r AS (SELECT side, p, row_number() OVER (PARTITION BY side ORDER BY p) AS r, count(*) OVER (PARTITION BY side) AS n FROM t), a AS (SELECT unnest([0.01::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE, 0.25::DOUBLE]) AS alpha),
+x AS (SELECT side, alpha, coalesce(max(r) FILTER (p <= alpha * r / n), 0)::DOUBLE / max(n) AS rate FROM r, a GROUP BY 1, 2)
+SELECT alpha, round(max(rate) FILTER (side = 'flagged'), 6) AS flagged, round(max(rate) FILTER (side = 'floor'), 6) AS floor FROM x GROUP BY 1""")
 def null_floor_report(spark, sf_dir):
-    rate = lambda a: statistics.benjamini_hochberg(_tests(spark, sf_dir), "p", "o_orderkey", a).agg(
-        F.lit(a).alias("alpha"), F.avg(F.col("flagged").cast("double")).alias("rate")
-    )
-    return rounded(reduce(DataFrame.union, map(rate, (0.01, 0.05, 0.1, 0.25))))
+    nulls = read_table(spark, sf_dir, "orders").select((F.pmod(F.col("o_orderkey") * 7919, F.lit(10007)) / F.lit(10007.0)).alias("p"))
+    return rounded(statistics.null_floor(_tests(spark, sf_dir), nulls))
 
 
 @query("""WITH c AS (SELECT source AS a, lang AS b, count(*)::DOUBLE AS c FROM documents GROUP BY 1, 2), p AS (SELECT c / sum(c) OVER () AS p, sum(c) OVER (PARTITION BY a) / sum(c) OVER () AS pa, sum(c) OVER (PARTITION BY b) / sum(c) OVER () AS pb FROM c)
-SELECT round(sum(p * ln(p / (pa * pb))) / ((-sum(p * ln(pa)) - sum(p * ln(pb))) / 2), 6) AS nmi FROM p""")
+SELECT round(sum(p * ln(p / (pa * pb))) / ((-sum(p * ln(pa)) - sum(p * ln(pb))) / 2), 6) AS nmi, sum(p * ln(p / (pa * pb))) / ((-sum(p * ln(pa)) - sum(p * ln(pb))) / 2) > 0.3 AS tracks FROM p""")
 def nmi(spark, sf_dir):
     return rounded(statistics.normalised_mutual_information(read_table(spark, sf_dir, "documents"), "source", "lang"))
 
@@ -405,23 +453,36 @@ def rare_cluster(spark, sf_dir):
     return statistics.rare_clusters(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", 0.12).select("doc_id", "rare")
 
 
-@query()
+@query(f"""WITH {I.FRAMES_SQL}, v AS (SELECT episode, {_MOVES}, row_number() OVER (PARTITION BY episode ORDER BY frame_idx) - 1 AS j, count(*) OVER (PARTITION BY episode) AS n FROM fr WHERE episode % 11 <> 0 OR frame_idx < 3),
+s AS (SELECT *, (16 * pow(2, length(bin(n - 1))))::BIGINT AS size FROM v WHERE n >= 4),
+k AS (SELECT episode, k, sqrt(sum(speed * cos(2 * pi() * (k * j % size) / size)) ** 2 + sum(speed * sin(2 * pi() * (k * j % size) / size)) ** 2) AS a FROM s, LATERAL (SELECT unnest(range((size / 3.0)::BIGINT + 1)) AS k) WHERE k <= size * 10 / 30.0 GROUP BY 1, 2),
+r AS (SELECT *, a / max(a) OVER (PARTITION BY episode) AS share FROM k WHERE episode IN (SELECT episode FROM s GROUP BY 1 HAVING max(speed) > 0)),
+l AS (SELECT *, min(CASE WHEN share >= 0.05 THEN k END) OVER w AS lo, max(CASE WHEN share >= 0.05 THEN k END) OVER w AS hi FROM r WINDOW w AS (PARTITION BY episode)),
+d AS (SELECT episode, sqrt((1.0::DOUBLE / (hi - lo)) ** 2 + (share - lag(share) OVER (PARTITION BY episode ORDER BY k)) ** 2) AS arc FROM l WHERE k BETWEEN lo AND hi AND lo < hi)
+SELECT e.episode, round(coalesce(-sum(arc), 0), 6) + 0 AS sparc FROM (SELECT DISTINCT episode FROM fr) e LEFT JOIN d ON e.episode = d.episode GROUP BY 1""")
 def sparc(spark, sf_dir):
-    f = I.frames(spark, sf_dir).withColumn("speed", F.abs("bytes"))
-    return rounded(series.spectral_smoothness(f, "episode"))
+    f = I.frames(spark, sf_dir).withColumn("speed", F.when(F.col("episode") % 10 == 0, 0.0).otherwise(F.abs("bytes")))
+    return rounded(series.spectral_smoothness(f.where("episode % 11 <> 0 or frame_idx < 3"), "episode"))
 
 
-@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, to_json({{'reason': nullif(reason, ''), 'decision': decision, 'n_frames': n_frames}})::VARCHAR AS json FROM mf""")
+@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, to_json({{'episode': episode, 'decision': decision, 'reason': nullif(reason, ''), 'n_frames': n_frames, 'act_span': CASE WHEN episode % 8 <> 0 THEN round(act_span, 3) + 0.25::DOUBLE END, 'has_clip': episode % 4 = 0}})::VARCHAR AS json FROM mf""")
 def json_manifest(spark, sf_dir):
-    rows = _manifest(spark, sf_dir)
-    return rows.select("episode", F.to_json(F.struct(F.nullif("reason", F.lit("")).alias("reason"), "decision", "n_frames"), {"ignoreNullFields": "false"}).alias("json"))
+    span = F.when(F.col("episode") % 8 == 0, F.lit(float("nan"))).otherwise(F.round("act_span", 3) + 0.25).alias("act_span")
+    rows = _manifest(spark, sf_dir).select("episode", "decision", "reason", "n_frames", span, F.lit("x").alias("mp4_path"))
+    stored = rows.where("episode % 4 = 0").select("episode")
+    served = tables.published(rows, stored, "episode", "mp4_path").select("episode", "decision", "reason", "n_frames", "act_span", "has_clip")
+    return tables.json_rows(served).select(F.get_json_object("json", "$.episode").cast("long").alias("episode"), "json")
 
 
-@query("SELECT doc_id, 100.0::DOUBLE * least(1, greatest(0, (n_chars::DOUBLE / 1000 - 4 + 4) / 8)) AS bar, substring(source || '-' || lang, 1, 12) AS short, coalesce(printf('%.3f', n_chars::DOUBLE / 7), '—') AS shown FROM documents")
+@query("""WITH d AS (SELECT *, CASE WHEN doc_id % 9 <> 0 THEN n_chars::DOUBLE / 1000 - 4 END AS z FROM documents)
+SELECT doc_id, 100.0::DOUBLE * least(1, greatest(0, (coalesce(z, 0) + 4) / 8)) AS bar, coalesce(z, 0) > 1.25 AS bad, substring(source || '-' || lang, 1, 12) AS short, CASE WHEN z IS NULL THEN '—' ELSE printf('%.3f', z) END AS shown,
+ CASE WHEN z IS NULL THEN '—' ELSE regexp_replace(printf('%.2e', z / 7), 'e([+-])0([0-9])', 'e\\1\\2') END AS small, 'https://x/clip/' || doc_id || '.mp4' AS url FROM d""")
 def display_functions(spark, sf_dir):
+    z = F.when(F.col("doc_id") % 9 != 0, F.col("n_chars") / 1000.0 - 4)
     return read_table(spark, sf_dir, "documents").select(
-        "doc_id", S.bar_percent(F.col("n_chars") / 1000.0 - 4).alias("bar"), F.substring(F.concat_ws("-", "source", "lang"), 1, 12).alias("short"), S.fixed(F.col("n_chars") / 7.0).alias("shown")
-    )
+        "doc_id", S.bar_percent(z).alias("bar"), S.bar_is_bad(z).alias("bad"), F.substring(F.concat_ws("-", "source", "lang"), 1, 12).alias("short"), S.fixed(z).alias("shown"),
+        S.exponential(z / 7).alias("small"), rules.clip_url("https://x", F.col("doc_id").cast("string")).alias("url"),
+    )
 
 
 @query("SELECT page_id, regexp_replace(regexp_replace(trim(url), '^[a-z0-9]+://[^/]+/', ''), '^/+|/+$', '', 'g') AS path FROM pages")
@@ -453,6 +514,319 @@ def ablation_sweep(spark, sf_dir):
     return ablation.sweep(sums, score, "episode", "operator", 3, 1)
 
 
+# --- the flagship plan and its parts ------------------------------------------------------------------
+
+
+@query()
+def keep_drop(spark, sf_dir):
+    made, _ = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir), "shape", 0.05)
+    return rounded(made)
+
+
+@query()
+def keep_drop_floor(spark, sf_dir):
+    _, floor = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir), "raw", 0.05)
+    return rounded(floor)
+
+
+def _scans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Motion scan, visual scan and catalog: the stand-in features, dealt to the two scans."""
+    e = I.episodes(spark, sf_dir)
+    visual = ["low_detail_frac", "faint_frac", "size_cv", "declared"]
+    motion = e.drop("operator", "progress_dip", "progress_final", "act_span", *visual)
+    seen = e.select("episode", "operator", *visual, (F.col("n_frames") + 1).alias("n_frames"))
+    return motion, seen, e.select("episode", "operator")
+
+
+def _frames_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select((F.floor(F.col("vec_id") / 10) + 1).alias("episode"), (F.col("vec_id") % 10).alias("t"), F.col("embedding").alias("emb"))
+
+
+@query(f"""WITH {I.EPISODES_SQL} SELECT episode, operator, n_frames, declared, round(size_cv, 6) AS size_cv FROM ep""")
+def joined_scans(spark, sf_dir):
+    return rounded(plan.joined_scans(*_scans(spark, sf_dir)).select("episode", "operator", "n_frames", "declared", "size_cv"))
+
+
+_DIPS = """v AS (SELECT vec_id // 10 + 1 AS episode, vec_id % 10 AS t, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (SELECT *, last(e) OVER (PARTITION BY episode ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS le FROM v),
+dp AS (SELECT episode, first(c ORDER BY t) - min(c) AS dip FROM (SELECT episode, t, list_inner_product(e, le) / sqrt(list_inner_product(e, e)) / sqrt(list_inner_product(le, le)) AS c FROM l) GROUP BY 1)"""
+
+
+@query(f"""WITH {I.EPISODES_SQL}, {_DIPS} SELECT ep.episode, round(dip, 6) AS progress_dip, dip IS NOT NULL AS has_progress FROM ep LEFT JOIN dp ON ep.episode = dp.episode""")
+def joined_progress(spark, sf_dir):
+    known, _ = plan.with_progress(I.episodes(spark, sf_dir), _frames_of(spark, sf_dir))
+    return rounded(known.select("episode", "progress_dip", "has_progress"))
+
+
+@query(f"""WITH {I.EPISODES_SQL}, {_DIPS} SELECT ep.episode FROM ep JOIN dp ON ep.episode = dp.episode WHERE ({I.REASON_SQL.replace('progress_dip', 'dip')}) = ''""")
+def eligible_rows(spark, sf_dir):
+    known, _ = plan.with_progress(I.episodes(spark, sf_dir), _frames_of(spark, sf_dir))
+    dip = F.col("progress_dip")
+    reason = rules.integrity_reason(F.col("n_frames"), F.col("declared"), F.col("has_progress"), dip, F.col("act_span"))
+    return known.where((reason == "") & F.col("has_progress")).select("episode")
+
+
+@query()
+def kmeans_choose_k(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("y"))
+    labelled, _ = statistics.choose_clusters(e, "vec_id", "y")
+    return labelled.select("vec_id", "cluster")
+
+
+@query()
+def mcd_pvalues(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("y"), F.lit(0).alias("cluster"), F.lit(False).alias("rare"))
+    tested, _ = statistics.cluster_pvalues(e, "vec_id", 4)
+    return rounded(tested.select("vec_id", "p"))
+
+
+# --- reports --------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {I.TESTED_SQL} SELECT decision, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM mf GROUP BY 1")
+def decision_shares(spark, sf_dir):
+    return rounded(reports.decisions(_tested(spark, sf_dir)))
+
+
+_FAILS = " + ".join(f"coalesce((ax_{a} > 1)::INT, 0)" for a in I.AXES)
+
+
+@query(f"WITH {I.TESTED_SQL} SELECT {_FAILS} AS failed, count(*) FILTER (decision = 'keep') AS keep, count(*) FILTER (decision = 'drop') AS \"drop\" FROM mf GROUP BY 1")
+def failed_axes(spark, sf_dir):
+    return reports.failed_axes(_tested(spark, sf_dir), [f"ax_{a}" for a in I.AXES])
+
+
+@query(f"""WITH {I.TESTED_SQL} SELECT round(count(*) FILTER (decision = 'keep' AND flags <> '')::DOUBLE / nullif(count(*) FILTER (decision = 'keep'), 0), 6) AS kept_flagged,
+ round(count(*) FILTER (reason = 'below_average')::DOUBLE / nullif(count(*) FILTER (reason <> '' AND NOT hard), 0), 6) AS no_defect, count(*) FILTER (progress_dip IS NULL) AS untested FROM mf""")
+def warning_shares(spark, sf_dir):
+    return rounded(reports.warnings(_tested(spark, sf_dir), rules.HARD_REASONS))
+
+
+@query(f"WITH {I.TESTED_SQL} SELECT round(min(k), 6) AS lowest, round(max(k), 6) AS highest FROM (SELECT avg((decision = 'keep')::INT) AS k FROM mf WHERE operator IS NOT NULL GROUP BY operator)")
+def fairness_spread(spark, sf_dir):
+    return rounded(reports.keep_rate_spread(_tested(spark, sf_dir), "operator"))
+
+
+@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, CASE WHEN decision <> 'drop' AND n_frames <> 0 THEN printf('frames %d–%d of %d (%d%% of clip)', round_even(act_start * (n_frames - 1), 0)::BIGINT, round_even(act_end * (n_frames - 1), 0)::BIGINT, n_frames,
+ round(100 * (round_even(act_end * (n_frames - 1), 0) - round_even(act_start * (n_frames - 1), 0)) / n_frames)::BIGINT) ELSE '—' END AS trim FROM mf""")
+def trim_texts(spark, sf_dir):
+    shown = rules.trim_text(F.col("trim_start"), F.col("trim_end"), F.col("n_frames"), F.lit(None).cast("long"))
+    return _manifest(spark, sf_dir).select("episode", shown.alias("trim"))
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").alias("episode"), (F.col("event_id") % 7 != 0).alias("ok"), (F.col("event_id") % 1000).alias("bytes"), F.abs("value").alias("fetch_s"),
+        F.abs(F.col("value") * 2 + 1).alias("gpu_s"), (F.col("event_id") % 3).alias("cropped"), F.sequence(F.lit(0), (F.col("event_id") % 5).cast("int")).alias("frame_idx"),
+    )
+
+
+@query("""SELECT round(median(abs(value)), 6) AS fetch, round(median(abs(value * 2 + 1)), 6) AS compute, round(median(abs(value * 2 + 1)) / (median(abs(value)) + median(abs(value * 2 + 1))), 6) AS share FROM events""")
+def timing_split(spark, sf_dir):
+    return rounded(reports.timings(_results(spark, sf_dir)))
+
+
+@query("SELECT count(*) FILTER (event_id % 7 <> 0) AS ok, count(*) FILTER (event_id % 7 = 0) AS failed, sum(event_id % 1000) FILTER (event_id % 7 <> 0)::BIGINT AS bytes FROM events")
+def transfer_totals(spark, sf_dir):
+    return reports.transfers(_results(spark, sf_dir))
+
+
+@query("SELECT user_id AS episode, sum(event_id % 100000)::BIGINT AS bytes, round(sum(event_id % 100000) / 1e6::DOUBLE, 2) AS mb FROM events GROUP BY 1")
+def cached_bytes(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("episode"), (F.col("event_id") % 100000).alias("bytes"))
+    return reports.cached(e, "episode")
+
+
+@query("SELECT sum(event_id % 3)::BIGINT AS cropped, sum(event_id % 5 + 1)::BIGINT AS fetched FROM events WHERE event_id % 7 <> 0")
+def crop_counts(spark, sf_dir):
+    return reports.crops(_results(spark, sf_dir))
+
+
+@query("(SELECT 'good' AS side, event_id AS episode FROM events WHERE event_id % 7 <> 0) UNION ALL (SELECT 'bad', event_id FROM events WHERE event_id % 7 = 0 ORDER BY event_id LIMIT 5)")
+def failure_rows(spark, sf_dir):
+    good, bad = catalog.first_failures(_results(spark, sf_dir), "episode")
+    return good.select(F.lit("good").alias("side"), "episode").unionByName(bad.select(F.lit("bad").alias("side"), "episode"))
+
+
+# --- catalog ----------------------------------------------------------------------------------------------
+
+
+@query("""SELECT c.column_name AS "column", c.kind, (SELECT count(*) FROM labels) AS rows FROM (VALUES ('doc_id', 'bigint'), ('quality', 'bigint'), ('toxic', 'bigint')) c(column_name, kind)""")
+def table_shape(spark, sf_dir):
+    l = read_table(spark, sf_dir, "labels")
+    return catalog.shape(l.select(*(F.col(c).cast("long") for c in ("doc_id", "quality", "toxic"))))
+
+
+@query("""SELECT 'source' AS "column", count(DISTINCT source) AS n FROM documents UNION ALL SELECT 'lang', count(DISTINCT lang) FROM documents""")
+def distinct_counts(spark, sf_dir):
+    return catalog.distinct_counts(read_table(spark, sf_dir, "documents"), ["source", "lang"])
+
+
+@query("""SELECT count(*) FILTER (quality <> 1) AS scored, count(*) FILTER (toxic > 0 AND quality <> toxic) AS mismatched FROM labels""")
+def conditional_counts(spark, sf_dir):
+    return catalog.count_where(read_table(spark, sf_dir, "labels"), scored=F.col("quality") != 1, mismatched=(F.col("toxic") > 0) & (F.col("quality") != F.col("toxic")))
+
+
+@query(f"WITH {I.EPISODES_SQL} SELECT episode, n_frames, 0.0::DOUBLE AS left_act_start FROM ep WHERE coalesce(n_frames, 0) >= 16")
+def usable_episodes(spark, sf_dir):
+    e = I.episodes(spark, sf_dir).withColumnRenamed("n_frames", "num_frames")
+    filled = catalog.filled_columns(e, n_frames=F.col("num_frames"), left_act_start=0.0, act_start=1.0)
+    return catalog.long_enough(filled).select("episode", "n_frames", "left_act_start")
+
+
+@query(f"""WITH {I.MANIFEST_SQL} SELECT episode, decision FROM mf WHERE decision = 'drop' AND episode % 6 <> 0 ORDER BY episode LIMIT 40""")
+def sync_rows(spark, sf_dir):
+    rows = _manifest(spark, sf_dir).withColumn("mp4_path", F.when(F.col("episode") % 6 != 0, "x"))
+    return catalog.to_sync(rows, "mp4_path", "episode", drops_only=True, limit=40).select("episode", "decision")
+
+
+@query("SELECT d.doc_id, b.source FROM documents d JOIN (SELECT doc_id, source FROM documents UNION ALL SELECT doc_id, 'again' FROM documents WHERE doc_id % 5 = 0) b ON d.doc_id = b.doc_id WHERE d.doc_id % 2 = 0 AND d.doc_id % 3 <> 0")
+def operator_fan_out(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    twice = d.unionByName(d.where("doc_id % 5 = 0").withColumn("source", F.lit("again"))).where("doc_id % 3 <> 0")
+    return catalog.with_operator(d.where("doc_id % 2 = 0"), twice, "doc_id", "source").select("doc_id", "source")
+
+
+@query("SELECT doc_id, url FROM (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) JOIN pages ON doc_id = page_id")
+def path_by_join(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id")
+    p = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
+    there = catalog.with_column_of(d.withColumn("url", F.lit("own")), p, "doc_id", "url")
+    return catalog.with_column_of(there.drop("url"), p, "doc_id", "url")
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def known_only(spark, sf_dir):
+    return catalog.only_known(read_table(spark, sf_dir, "documents").select("doc_id", "n_chars"), read_table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT doc_id, vec_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents) JOIN embeddings ON r = vec_id")
+def joined_by_position(spark, sf_dir):
+    d = ranking.running(read_table(spark, sf_dir, "documents").select("doc_id"), [F.col("doc_id")], "row").withColumn("row", F.col("row") - 1)
+    return catalog.by_position(d, read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("vec_id").alias("row"))).select("doc_id", "vec_id")
+
+
+@query("SELECT count(*) AS missing FROM documents WHERE doc_id NOT IN (SELECT page_id FROM pages)")
+def unmatched_rows(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
+    return catalog.joined_with_misses(read_table(spark, sf_dir, "documents").select("doc_id"), p, "doc_id", "url")[1]
+
+
+# --- series -------------------------------------------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT user_id AS episode, count(*) / ((max(event_id) - min(event_id)) / 30.0::DOUBLE) AS f FROM events GROUP BY 1) SELECT episode, abs(f - 30) / 30 > 0.1 AS off FROM r""")
+def rate_mismatch(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("episode"), "event_id", ((F.col("event_id") + 1) * 1_000_000_000 / 30).cast("double").alias("ns"))
+    return series.rate_check(series.true_rate(e, "episode", "event_id", "ns")).select("episode", "off")
+
+
+@query("""WITH e AS (SELECT vec_id // 20 AS episode, vec_id % 10 AS frame_idx, embedding[1]::DOUBLE AS s FROM embeddings WHERE vec_id % 20 < 10 OR vec_id % 3 <> 0) SELECT episode, frame_idx, round(max(s), 6) AS speed FROM e GROUP BY 1, 2""")
+def fastest_side(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    side = lambda rows: rows.select(F.floor(F.col("vec_id") / 20).alias("episode"), (F.col("vec_id") % 10).alias("frame_idx"), F.col("embedding")[0].cast("double").alias("speed"))
+    return rounded(series.fastest_side(side(e.where("vec_id % 20 < 10")), side(e.where("vec_id % 20 >= 10 and vec_id % 3 <> 0")), key="episode", order="frame_idx"))
+
+
+@query("""WITH e AS (SELECT vec_id // 50 AS episode, vec_id % 50 AS t, embedding[1]::DOUBLE AS l, CASE WHEN vec_id // 50 % 2 = 0 THEN embedding[2]::DOUBLE END AS r FROM embeddings),
+n AS (SELECT episode, CASE WHEN episode % 4 = 3 THEN 20 ELSE 50 END AS n, (episode % 10) / 10.0::DOUBLE AS a FROM e GROUP BY 1), s AS (SELECT *, floor(a * (n - 1)) AS lo FROM n WHERE n >= 24)
+SELECT e.episode, t AS frame_idx, round(l, 6) AS first, CASE WHEN r IS NULL THEN 1 ELSE 2 END AS width FROM e JOIN s ON e.episode = s.episode WHERE t BETWEEN lo AND greatest(floor(0.8::DOUBLE * (n - 1)), lo + 24) AND t < n""")
+def trajectory(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 50).alias("episode"), (F.col("vec_id") % 50).alias("frame_idx"), "embedding")
+    side = lambda rows, name, i: rows.select("episode", F.lit(name).alias("side"), "frame_idx", F.array(F.col("embedding")[i].cast("double")).alias("pose"))
+    poses = side(e, "left", 0).unionByName(side(e.where("episode % 2 = 0"), "right", 1))
+    n = F.when(F.col("episode") % 4 == 3, 20).otherwise(50).cast("long")
+    spans = e.select("episode").distinct().select("episode", n.alias("n"), (F.col("episode") % 10 / 10.0).alias("act_start"), F.lit(0.8).alias("act_end"))
+    made = series.trajectories(poses, spans, "episode")
+    return rounded(made.select("episode", "frame_idx", F.col("values")[0].alias("first"), F.size("values").alias("width")))
+
+
+@query(f"""WITH {_WINDOWS}, n AS (SELECT episode, count(*) AS n FROM hk GROUP BY 1 HAVING count(*) >= 8), k AS (SELECT n.*, episode % 7 AS operator, episode % 9 = 0 AS hard FROM n),
+h AS (SELECT operator, row_number() OVER (ORDER BY count(*) DESC, operator) - 1 AS pos FROM k GROUP BY 1), m AS (SELECT k.*, pos % 3 = 0 AND pos < 18 AS held FROM k JOIN h ON k.operator = h.operator)
+SELECT count(*) AS usable, count(DISTINCT operator) AS operators, count(*) FILTER (held) AS held_out, count(DISTINCT operator) FILTER (held) AS held_operators, coalesce(sum(n) FILTER (held), 0)::BIGINT AS held_steps,
+ count(*) FILTER (NOT held) AS pool, count(DISTINCT operator) FILTER (NOT held) AS pool_operators, count(*) FILTER (NOT held AND hard) AS excluded FROM m""")
+def sweep_counts(spark, sf_dir):
+    sums = ablation.gram(_windows(spark, sf_dir), "episode", ["o0_bytes"], ["a_bytes"])
+    scores = sums.select("episode", (F.col("episode") % 7).alias("operator"), F.lit(0.0).alias("score"), (F.col("episode") % 9 == 0).alias("hard"))
+    return ablation.sweep_counts(sums, scores, "episode", "operator")
+
+
+@query("""WITH s(keep_frac, n, quality_mse, gain) AS (SELECT (k + 1) / 10.0::DOUBLE, 10 * (k + 1), 2.0::DOUBLE - 0.1::DOUBLE * k, CASE WHEN k IN (3, 6) THEN 5.0::DOUBLE ELSE k END FROM (SELECT unnest(range(10)) AS k)),
+t AS (SELECT count(*) AS orders FROM region) SELECT 0.1::DOUBLE * 10 AS best_frac, 100::BIGINT AS best_n, 9.0::DOUBLE AS best_gain, (SELECT round(min(keep_frac), 6) FROM s WHERE quality_mse <= 1.45) AS parity_frac FROM t""")
+def sweep_verdict(spark, sf_dir):
+    k = F.col("id")
+    swept = spark.range(10).select(((k + 1) / 10.0).alias("keep_frac"), (10 * (k + 1)).alias("n"), (2.0 - 0.1 * k).alias("quality_mse"), F.when(k.isin(3, 6), 5.0).otherwise(k.cast("double")).alias("gain"))
+    return rounded(ablation.verdict(swept, 1.45))
+
+
+# --- files, shards and arrays -------------------------------------------------------------------------------
+
+
+_SHARDS = """sh AS (SELECT user_id AS episode, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS i, event_id % 40 + 5 AS bytes FROM events)"""
+
+
+@query(f"WITH {_SHARDS} SELECT lpad(lower(to_hex(episode + 1)), 24, '0') AS episode_hash, i // 20 * 1000 + i % 20 AS frame_idx, bytes FROM sh WHERE i % 7 <> 3")
+def shard_index(spark, sf_dir):
+    return shards.frame_sizes(spark, fixtures.shards(spark, sf_dir)).where("ok").select("episode_hash", "frame_idx", "bytes")
+
+
+@query(f"WITH {_SHARDS} SELECT lpad(lower(to_hex(episode + 1)), 24, '0') AS episode_hash, i // 20 * 1000 + i % 20 AS frame_idx, (bytes - 2)::BIGINT AS shown FROM sh WHERE i % 7 <> 3 AND i % 5 = 0")
+def shard_frames(spark, sf_dir):
+    index = shards.frame_sizes(spark, fixtures.shards(spark, sf_dir))
+    wanted = index.where("frame_idx % 5 = 0").select("episode_hash", "frame_idx").unionByName(index.select("episode_hash", F.lit(999).cast("long").alias("frame_idx")).distinct())
+    return shards.fetch_frames(index, wanted).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("shown"))
+
+
+@query("""SELECT lpad(lower(to_hex(vec_id // 10 + 1)), 24, '0') AS episode_hash, CASE WHEN vec_id // 10 % 3 = 0 THEN 'head' ELSE 'left' END AS body, vec_id % 10 AS frame_idx, round(embedding[1]::DOUBLE, 6) AS x, round(embedding[7]::DOUBLE, 6) AS qz FROM embeddings WHERE vec_id % 10 < 8""")
+def pose_arrays(spark, sf_dir):
+    found = arrays.read_arrays(spark, fixtures.pose_groups(spark, sf_dir))
+    return rounded(arrays.pose_rows(found).select("episode_hash", "body", "frame_idx", "x", F.element_at("q", 4).alias("qz")))
+
+
+@query("""WITH e AS (SELECT DISTINCT vec_id // 10 AS e FROM embeddings) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, CASE WHEN e % 3 = 0 THEN 'obs_head_pose' ELSE 'left.obs_ee_pose' END AS "array", '10x7' AS shape, 7 AS n_head FROM e UNION ALL SELECT lpad(lower(to_hex(e + 1)), 24, '0'), '', NULL, NULL FROM e""")
+def described_groups(spark, sf_dir):
+    found = arrays.described(spark, fixtures.pose_groups(spark, sf_dir))
+    size = F.when(F.col("shape").isNotNull(), F.concat_ws("x", F.col("shape").cast("array<string>")))
+    return found.select("episode_hash", "array", size.alias("shape"), F.array_size("head").alias("n_head"))
+
+
+@query("SELECT vec_id // 10 AS episode, vec_id % 10 AS row, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")
+def array_archives(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("episode"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    folder = fixtures.new_folder(spark)
+    files.write_npz(e, "episode", "vec_id", "v", folder).count()
+    back = files.read_npz(spark, folder)
+    return rounded(back.select(F.regexp_extract("path", r"(\d+)\.npz$", 1).cast("long").alias("episode"), "row", F.col("values")[0].alias("first")))
+
+
+@query("""SELECT p AS path, CASE WHEN p = '/manifest.json' THEN 200 WHEN p LIKE '/clip/%.mp4' AND NOT regexp_full_match(p, '/clip/[0-9a-f]{24}[.]mp4') THEN 400 WHEN p LIKE '/clip/%' AND p LIKE '%0.mp4' THEN 200 ELSE 404 END AS status
+FROM (SELECT CASE WHEN page_id % 5 = 0 THEN '/manifest.json' WHEN page_id % 5 = 1 THEN '/clip/x' || page_id || '.mp4' WHEN page_id % 5 = 2 THEN '/other' ELSE '/clip/' || lpad(page_id::VARCHAR, 24, '0') || '.mp4' END AS p FROM pages)""")
+def clip_routes(spark, sf_dir):
+    k = F.col("page_id")
+    key = F.lpad(k.cast("string"), 24, "0")
+    p = F.when(k % 5 == 0, "/manifest.json").when(k % 5 == 1, F.concat(F.lit("/clip/x"), k, F.lit(".mp4"))).when(k % 5 == 2, "/other").otherwise(F.concat(F.lit("/clip/"), key, F.lit(".mp4")))
+    pages = read_table(spark, sf_dir, "pages")
+    stored = pages.where("page_id % 10 = 0 or page_id % 10 = 8").select(F.concat(F.substring(key, 1, 23), F.lit("0")).alias("episode_hash")).unionByName(pages.where("page_id % 10 = 0").select(key.alias("episode_hash")))
+    return files.routed(pages.select(p.alias("path")), stored, True).select("path", "status")
+
+
+@query("SELECT user_id AS episode, true AS ok, 10::BIGINT AS bytes FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 3 <> 0 UNION ALL SELECT user_id, false, NULL FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 3 = 0")
+def synced_blobs(spark, sf_dir):
+    pairs = fixtures.blobs(spark, sf_dir)
+    files.copy_missing(pairs.where("episode % 2 = 0"), "episode").count()  # again below: those are there already
+    return files.copy_missing(pairs, "episode").select("episode", "ok", "bytes")
+
+
+@query("SELECT page_id, 8 AS width, true AS unit FROM pages")
+def encode_stub(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages").select("page_id", F.col("html").cast("binary").alias("content"))
+    e = shards.embedded(p, fixtures.byte_encoder)
+    length = F.aggregate("emb", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    return e.select("page_id", F.size("emb").alias("width"), (F.abs(length - 1) < 1e-5).alias("unit"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in _FOUND.items()}
 

@@ -5,11 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarnweave.operators.rules import act_span
+from tarnweave.operators.scoring import AXES, SIGNS
 from tarnweave.session import read_table
 
-#: Signs and axes of the stand-in features below.
-SIGNS = {"mean_price": 1, "sd_price": -1, "late_share": -1, "n_orders": 1}
-AXES = {"poor_image": {"sd_price": 1, "late_share": 1}, "jittery": {"mean_price": -1}, "incomplete": {"n_orders": -1, "act_span": -1}}
+#: Stand-ins of the features in terms of a customer's orders, the same in both dialects: one that
+#: isn't there at all (left_sparc), one all null, one constant, one that follows the operator.
+FEATURES = {
+    "right_sparc": "CAST(c_custkey * 37 % 101 AS DOUBLE) / 101",
+    "head_sparc": "CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey * 41 % 103 AS DOUBLE) END",
+    "right_jerk_rms": "sd_price",
+    "left_jerk_rms": "CAST(c_custkey * 43 % 107 AS DOUBLE)",
+    "head_jerk_rms": "CAST(c_custkey * 47 % 109 AS DOUBLE)",
+    "right_idle_frac": "late_share",
+    "left_idle_frac": "CAST(c_custkey * 53 % 113 AS DOUBLE) / 113",
+    "head_idle_frac": "CAST(NULL AS DOUBLE)",
+    "low_detail_frac": "CAST(c_custkey * 59 % 127 AS DOUBLE) / 127",
+    "faint_frac": "CAST(n_orders AS DOUBLE)",
+    "size_cv": "CAST(c_nationkey * 10 + c_custkey % 3 AS DOUBLE)",
+    "right_straightness": "mean_price",
+    "left_straightness": "CAST(5 AS DOUBLE)",
+    "progress_dip": "CASE WHEN c_custkey % 3 <> 0 THEN abs(CAST(c_acctbal AS DOUBLE)) / 10000 END",
+    "progress_final": "CAST(c_custkey * 61 % 131 AS DOUBLE) / 131",
+    "act_start": "CAST(c_custkey * 7 % 100 AS DOUBLE) / 100",
+    "act_end": "CAST(c_custkey * 13 % 150 AS DOUBLE) / 100",
+    "n_frames": "c_custkey * 11 % 400",
+    "declared": "CASE WHEN c_custkey % 5 <> 0 THEN c_custkey * 11 % 398 END",
+}
+_THERE = [f for f in SIGNS if f in FEATURES or f == "act_span"]
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +46,8 @@ FRAMES_SQL = "fr AS (SELECT user_id AS episode, row_number() OVER (PARTITION BY
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer as an episode, their nation as the operator, features of their orders."""
+    """A customer as an episode, their nation as the operator (every fiftieth has none), features
+    of their orders; one day in ten is deleted."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
     spent = o.groupBy("o_custkey").agg(
@@ -31,22 +55,17 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.stddev_pop("o_totalprice").alias("sd_price"),
         F.avg((F.col("o_orderstatus") == "O").cast("double")).alias("late_share"),
     )
-    return c.join(spent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        F.col("c_custkey").alias("episode"), F.col("c_nationkey").alias("operator"), "n_orders", "mean_price", "sd_price",
-        "late_share", (F.pmod(F.col("c_custkey") * 7, F.lit(100)) / F.lit(100.0)).alias("act_start"),
-        (F.pmod(F.col("c_custkey") * 13, F.lit(150)) / F.lit(100.0)).alias("act_end"),
-        F.pmod(F.col("c_custkey") * 11, F.lit(400)).alias("n_frames"),
-        F.when(F.col("c_custkey") % 5 != 0, F.pmod(F.col("c_custkey") * 11, F.lit(398))).alias("declared"),
-        F.when(F.col("c_custkey") % 3 != 0, F.abs("c_acctbal") / 10000).alias("progress_dip"),
-    ).withColumn("act_span", F.when(F.col("act_start").isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("act_end") - F.col("act_start")))))
+    made = [F.expr(e).alias(f) for f, e in FEATURES.items()]
+    known = c.join(spent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("episode"), F.expr(_OPERATOR).alias("operator"), *made
+    )
+    return known.withColumn("act_span", act_span(F.col("act_start"), F.col("act_end")))
 
 
-EPISODES_SQL = """sp AS (SELECT o_custkey, count(*) AS n_orders, avg(o_totalprice) AS mean_price, stddev_pop(o_totalprice) AS sd_price,
+_OPERATOR = "CASE WHEN c_custkey % 50 <> 0 THEN c_nationkey END"
+EPISODES_SQL = f"""sp AS (SELECT o_custkey, count(*) AS n_orders, avg(o_totalprice) AS mean_price, stddev_pop(o_totalprice) AS sd_price,
  avg(CASE WHEN o_orderstatus = 'O' THEN 1.0::DOUBLE ELSE 0 END) AS late_share FROM orders GROUP BY 1),
-ep0 AS (SELECT c_custkey AS episode, c_nationkey AS operator, n_orders, mean_price, sd_price, late_share,
- (c_custkey * 7 % 100)::DOUBLE / 100 AS act_start, (c_custkey * 13 % 150)::DOUBLE / 100 AS act_end, c_custkey * 11 % 400 AS n_frames,
- CASE WHEN c_custkey % 5 <> 0 THEN c_custkey * 11 % 398 END AS declared,
- CASE WHEN c_custkey % 3 <> 0 THEN abs(c_acctbal) / 10000 END AS progress_dip
+ep0 AS (SELECT c_custkey AS episode, {_OPERATOR} AS operator, {', '.join(f'{e} AS {f}' for f, e in FEATURES.items())}
  FROM customer LEFT JOIN sp ON c_custkey = o_custkey),
 ep AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, act_end - act_start)) AS act_span FROM ep0)"""
 
@@ -64,15 +83,25 @@ def _mean(parts: dict[str, int]) -> str:
     return f"({total}) / nullif({n}, 0)"
 
 
-_FEATURES = sorted({f for p in AXES.values() for f in p})
+def _eta(f: str) -> str:
+    return (
+        f"(SELECT CASE WHEN var_samp(x) > 0 THEN coalesce(1 - var_samp(r) / var_samp(x), 1) ELSE 1 END FROM (SELECT {f}::DOUBLE AS x,"
+        f" CASE WHEN operator IS NOT NULL THEN {f}::DOUBLE - avg({f}::DOUBLE) OVER (PARTITION BY operator) END AS r FROM ep))"
+    )
+
+
+_FEATURES = sorted({f for p in AXES.values() for f in p if f in _THERE})
+_AXES = {a: {f: s for f, s in p.items() if f in _THERE} for a, p in AXES.items()}
 AXES_SQL = (
     f"{EPISODES_SQL}, zs AS (SELECT *, {', '.join(f'{_z(f)} AS z_{f}' for f in _FEATURES)} FROM ep WINDOW w AS (PARTITION BY operator)),"
-    f" ax AS (SELECT *, {', '.join(f'{_mean(p)} AS ax_{a}' for a, p in AXES.items())} FROM zs)"
+    f" ax AS (SELECT *, {', '.join(f'{_mean(p)} AS ax_{a}' for a, p in _AXES.items())} FROM zs)"
 )
-_FILL = ", ".join(f"coalesce({f}::DOUBLE, (SELECT median({f}::DOUBLE) FROM ep)) AS {f}" for f in SIGNS)
+ETA_SQL = "et AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {_eta(f)} AS eta2, (SELECT count({f}) FROM ep) AS known" for f in _THERE) + ")"
+_FILL = ", ".join(f"coalesce({f}::DOUBLE, (SELECT median({f}::DOUBLE) FROM ep)) AS {f}" for f in _THERE)
+_GATED = ", ".join(f"CASE WHEN (SELECT known > 0 AND eta2 <= 0.35 FROM et WHERE feature = '{f}') THEN {_z(f)} END AS z_{f}" for f in _THERE)
 SCORE_SQL = (
-    f"filled AS (SELECT episode, operator, {_FILL} FROM ep), sz AS (SELECT episode, {', '.join(f'{_z(f)} AS z_{f}' for f in SIGNS)}"
-    f" FROM filled WINDOW w AS (PARTITION BY operator)), sc AS (SELECT episode, {_mean(SIGNS)} AS score FROM sz)"
+    f"{ETA_SQL}, filled AS (SELECT episode, operator, {_FILL} FROM ep), sz AS (SELECT episode, {_GATED}"
+    f" FROM filled WINDOW w AS (PARTITION BY operator)), sc AS (SELECT episode, {_mean({f: SIGNS[f] for f in _THERE})} AS score FROM sz)"
 )
 REASON_SQL = (
     "CASE WHEN n_frames < 60 THEN 'too_short' WHEN declared > 0 AND (n_frames IS NULL OR n_frames <> declared) THEN 'frame_count_mismatch'"
@@ -83,8 +112,29 @@ _WORST = ", ".join(f"CASE WHEN ax_{a} > 1 THEN {{'z': -ax_{a}, 'k': {k}, 'n': '{
 LABEL_SQL = (
     f"coalesce(nullif(array_to_string(list_transform(list_sort(list_filter([{_WORST}], lambda x: x IS NOT NULL))[1:2], lambda x: x.n), '+'), ''), 'below_average')"
 )
-MANIFEST_SQL = (
-    f"{AXES_SQL}, {SCORE_SQL}, mf AS (SELECT ax.episode, operator, CASE WHEN {REASON_SQL} <> '' THEN 'drop' ELSE 'keep' END AS decision, score,"
-    f" {REASON_SQL} AS reason, rtrim({FLAG_SQL}, '+') AS flags, act_start, act_end, n_frames, act_span, progress_dip,"
-    f" {', '.join(f'ax_{a}' for a in AXES)} FROM ax JOIN sc ON ax.episode = sc.episode)"
-)
+def outlier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(episode, cluster, p): findings of an outlier test that isn't run here, for some episodes."""
+    c = read_table(spark, sf_dir, "customer").where("c_custkey % 4 <> 0")
+    return c.select(F.col("c_custkey").alias("episode"), (F.col("c_custkey") % 3).cast("int").alias("cluster"), F.expr(_FOUND_P).alias("p"))
+
+
+_FOUND_P = "CASE WHEN c_custkey % 9 = 1 THEN CAST(1 AS DOUBLE) / (c_custkey * 1000) ELSE CAST(c_custkey * 67 % 137 AS DOUBLE) / 137 END"
+
+
+def manifest_sql(tested: bool) -> str:
+    """``mf``: the manifest, with or without the outlier findings above at a level of 0.1."""
+    strange = f"{REASON_SQL} = '' AND coalesce(o.p <= (SELECT cut FROM oc), false)"
+    found = (
+        f" op AS (SELECT c_custkey AS episode, c_custkey % 3 AS cluster, {_FOUND_P} AS p FROM customer WHERE c_custkey % 4 <> 0),"
+        " oc AS (SELECT max(p) AS cut FROM (SELECT p, row_number() OVER (ORDER BY p) AS r, count(*) OVER () AS n FROM op) WHERE p <= 0.1::DOUBLE * r / n),"
+    )
+    return (
+        f"{AXES_SQL}, {SCORE_SQL},{found} mf AS (SELECT ax.episode, operator,"
+        f" CASE WHEN {REASON_SQL} <> '' OR ({strange if tested else 'false'}) THEN 'drop' ELSE 'keep' END AS decision, score,"
+        f" CASE WHEN {strange if tested else 'false'} THEN {LABEL_SQL} ELSE {REASON_SQL} END AS reason, {REASON_SQL} <> '' AS hard,"
+        f" rtrim({FLAG_SQL}, '+') AS flags, act_start, act_end, n_frames, act_span, progress_dip, {'o.cluster, o.p' if tested else 'NULL::INT AS cluster, NULL::DOUBLE AS p'},"
+        f" {', '.join(f'ax_{a}' for a in AXES)} FROM ax JOIN sc ON ax.episode = sc.episode LEFT JOIN op o ON o.episode = ax.episode)"
+    )
+
+
+MANIFEST_SQL, TESTED_SQL = manifest_sql(False), manifest_sql(True)

@@ -1,12 +1,17 @@
-"""Frame shards: index tails, frames by index, blobs and listings, through Spark's file sources."""
+"""Frame shards: index tails and frames by ranged reads, and what becomes of them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnweave.sources.files import listing, read_range
+
 ENTRIES, CRC_BYTES = 1000, 4
 INDEX_BYTES = ENTRIES * 16 + CRC_BYTES
 EMPTY = np.uint64(2**64 - 1)
@@ -21,53 +26,49 @@ def shard_index(tail: bytes) -> tuple[np.ndarray, np.ndarray]:
     return offset, np.where(empty, -1, size)
 
 
-def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, bytes, modified) of the files below a folder; contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    return files.load(path).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
-
-
-def stored_keys(files: DataFrame) -> DataFrame:
-    """The episode keys among file names."""
-    key = F.regexp_extract("path", r"([0-9a-f]{24})\.[^/]*$", 1)
-    return files.select(key.alias("episode_hash")).where("episode_hash <> ''").distinct()
-
-
 def frame_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(episode_hash, frame_idx, offset, bytes, ok, error) of the frames that shards under
+    """(episode_hash, frame_idx, path, offset, bytes, ok, error) of the frames that shards under
     ``path/<episode>/.../<n>`` hold, shards in numeric order; a shard that can't be read gives one
-    row with its error."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    tails = files.select(
-        F.regexp_extract("path", r"([0-9a-f]{24})/", 1).alias("episode_hash"),
-        F.regexp_extract("path", r"(\d+)[^/0-9]*$", 1).cast("int").alias("shard"),
-        F.substring("content", -INDEX_BYTES, INDEX_BYTES).alias("tail"),
-    )
+    row with its error. Of each shard only the index at its end is read."""
+    shards = listing(spark, path).select(
+        F.regexp_extract("path", r"/([0-9a-f]{24})/", 1).alias("episode_hash"),
+        F.regexp_extract("path", r"(\d+)[^/0-9]*$", 1).cast("int").alias("shard"), "path",
+    )
 
     def run(batches):
         for batch in batches:
-            for key, shard, tail in zip(*(batch[c].to_pylist() for c in ("episode_hash", "shard", "tail")), strict=True):
+            for key, shard, where in zip(*(batch[c].to_pylist() for c in ("episode_hash", "shard", "path")), strict=True):
                 try:
+                    tail = read_range(where, -INDEX_BYTES, INDEX_BYTES)
                     if len(tail) != INDEX_BYTES:
                         raise ValueError(f"index of {len(tail)} bytes")
                     offset, size = shard_index(tail)
                     at = np.flatnonzero(size >= 0)
-                    columns = [[key] * len(at), (shard or 0) * ENTRIES + at, offset[at], size[at], [True] * len(at), [None] * len(at)]
+                    n = len(at)
+                    columns = [[key] * n, (shard or 0) * ENTRIES + at, [where] * n, offset[at], size[at], [True] * n, [None] * n]
                 except Exception as e:  # a bad shard is a row, not a failed task
-                    columns = [[key], [None], [None], [None], [False], [f"{type(e).__name__}: {e}"]]
+                    columns = [[key], [None], [where], [None], [None], [False], [f"{type(e).__name__}: {e}"]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    names = ["episode_hash", "frame_idx", "offset", "bytes", "ok", "error"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-    return tails.mapInArrow(run, "episode_hash string, frame_idx long, offset long, bytes long, ok boolean, error string")
+    names = ["episode_hash", "frame_idx", "path", "offset", "bytes", "ok", "error"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+    return shards.mapInArrow(
+        run, "episode_hash string, frame_idx long, path string, offset long, bytes long, ok boolean, error string"
+    )
+
 
+def exploded_sizes(episodes: DataFrame, key: str, sizes: str = "sizes") -> tuple[DataFrame, DataFrame]:
+    """(frames, episodes): a stored list of sizes as rows (key, frame_idx, bytes), and the episodes
+    without it."""
+    frames = episodes.select(key, F.posexplode(sizes).alias("frame_idx", "bytes"))
+    return frames, episodes.drop(sizes)
 
-def fetch_frames(shards: DataFrame, wanted: DataFrame) -> DataFrame:
+
+def fetch_frames(index: DataFrame, wanted: DataFrame) -> DataFrame:
     """(episode_hash, frame_idx, content): the wanted frames' bytes, from their picture marker on.
-    ``shards``: episode_hash, shard, content; frames that aren't there are left out."""
-    lists = wanted.withColumn("shard", F.floor(F.col("frame_idx") / ENTRIES).cast("int")).groupBy("episode_hash", "shard").agg(
-        F.collect_set("frame_idx").alias("wanted")
-    )
+    ``index``: rows of ``frame_sizes``; frames that aren't there are left out, and only the wanted
+    frames' own bytes are read."""
+    found = index.where("ok").join(wanted.select("episode_hash", "frame_idx").distinct(), ["episode_hash", "frame_idx"])
 
     def run(batches):
         import zstandard
@@ -75,18 +76,52 @@ def fetch_frames(shards: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                offset, size = shard_index(row["content"][-INDEX_BYTES:])
-                for frame in sorted(row["wanted"]):
-                    at = frame % ENTRIES
-                    if size[at] < 0:
-                        continue
-                    raw = row["content"][offset[at] : offset[at] + size[at]]
-                    if raw[:4] == b"\x28\xb5\x2f\xfd":
-                        raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=1 << 26)
-                    start = raw.find(b"\xff\xd8")
-                    rows.append({"episode_hash": row["episode_hash"], "frame_idx": frame, "content": raw[max(start, 0) :]})
+                raw = read_range(row["path"], row["offset"], row["bytes"])
+                if raw[:4] == b"\x28\xb5\x2f\xfd":
+                    raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+                start = raw.find(b"\xff\xd8\xff")
+                rows.append({"episode_hash": row["episode_hash"], "frame_idx": row["frame_idx"], "content": raw[max(start, 0) :]})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("episode_hash", pa.string()), ("frame_idx", pa.int64()), ("content", pa.binary())]))
 
-    joined = shards.join(lists, ["episode_hash", "shard"]).select("episode_hash", "content", "wanted")
-    return joined.mapInArrow(run, "episode_hash string, frame_idx long, content binary")
+    return found.select("episode_hash", "frame_idx", "path", "offset", "bytes").mapInArrow(
+        run, "episode_hash string, frame_idx long, content binary"
+    )
+
+
+def decoded(frames: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(episode_hash, frame_idx, height, width, channels, pixels): pictures by the given decoder; one
+    that it can't read has nulls. Rows that a ``box`` column crops are cut."""
+
+    def run(frames_):
+        for frame in frames_:
+            rows = []
+            for row in frame.to_dict("records"):
+                try:
+                    picture = np.atleast_3d(decode(bytes(row["content"])))
+                    rows.append((row["episode_hash"], row["frame_idx"], *picture.shape, picture.astype(np.uint8).tobytes()))
+                except Exception:  # whatever a decoder raises
+                    rows.append((row["episode_hash"], row["frame_idx"], None, None, None, None))
+            yield pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("height", "width", "channels")})
+
+    names = ["episode_hash", "frame_idx", "height", "width", "channels", "pixels"]
+    return frames.mapInPandas(run, "episode_hash string, frame_idx long, height long, width long, channels long, pixels binary")
+
+
+def embedded(frames: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], batch_size: int = 32) -> DataFrame:
+    """``frames`` with ``emb``: the unit vector that the encoder makes of each frame's content, in
+    batches. ``make_encoder`` runs once per worker; an encoder takes an array of bytes objects."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, FloatType
+
+    def make():
+        encode = make_encoder()
+
+        def predict(content: np.ndarray) -> np.ndarray:
+            vectors = np.asarray(encode(content), np.float32)
+            return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-8)
+
+        return predict
+
+    encode = predict_batch_udf(make, return_type=ArrayType(FloatType()), batch_size=batch_size)
+    return frames.withColumn("emb", encode("content"))

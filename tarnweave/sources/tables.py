@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import is_episode_key
+from tarnweave.operators.catalog import with_membership
 
 
 def read_database(spark: SparkSession, url: str, table: str, properties: dict[str, str], key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16) -> DataFrame:
@@ -48,6 +49,11 @@ def json_rows(manifest: DataFrame) -> DataFrame:
     return manifest.select(F.to_json(F.struct(*clean), {"ignoreNullFields": "false"}).alias("json"))
 
 
+def published(rows: DataFrame, stored: DataFrame, key: str, path: str) -> DataFrame:
+    """The manifest as it is served: without the column ``path``, with ``has_clip``."""
+    return with_membership(rows.drop(path), stored, key, "has_clip")
+
+
 def write_json(manifest: DataFrame, path: str) -> None:
     json_rows(manifest).write.mode("overwrite").text(path)
 

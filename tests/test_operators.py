@@ -1,15 +1,21 @@
 """Hand-made cases at the edges of each operator."""
 
+import functools
+import http.server
+import json
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars
-from tarnweave.operators import ablation, catalog, reports, rules, scoring, series, statistics
-from tarnweave.sources import shards, tables
+from tarnweave.operators import ablation, catalog, ranking, reports, rules, scoring, series, statistics
+from tarnweave.sources import arrays, files, shards, tables
 
 
 def test_constant_sizes_and_faint_runs(spark):
@@ -27,7 +33,30 @@ def test_still_and_flipped_pose(spark):
     df = spark.createDataFrame(rows, "episode string, frame_idx int, x double, y double, z double, q array<double>, dt double")
     got = series.motion_features(df, ["episode"]).first()
     assert got["straightness"] == 0 and got["ang_path"] == 0 and (got["act_start"], got["act_end"]) == (0, 1)
-    assert series.spectral_arc(np.zeros(50), 30.0) == 0
+
+
+def test_spectral_smoothness_against_a_transform(spark):
+    rng = np.random.default_rng(2)
+    profiles = {"short": [1.0, 2.0, 3.0], "still": [0.0] * 50, "bell": list(np.exp(-((np.arange(64) - 30) ** 2) / 80)), "rough": list(rng.random(65)), "four": [1.0, 5.0, 2.0, 4.0]}
+    rows = [(k, i, float(x)) for k, v in profiles.items() for i, x in enumerate(v)] + [("bell", 99, None)]
+    got = {r["e"]: r["sparc"] for r in series.spectral_smoothness(spark.createDataFrame(rows, "e string, frame_idx int, speed double"), "e").collect()}
+    assert got["short"] == got["still"] == 0
+    for k in ("bell", "rough", "four"):
+        v = np.array(profiles[k])
+        size = 16 * 2 ** int(np.ceil(np.log2(len(v))))
+        a = np.abs(np.fft.rfft(v, size))
+        a, f = a / a.max(), np.arange(size // 2 + 1) * 30.0 / size
+        loud = [i for i in range(len(f)) if f[i] <= 10 and a[i] >= 0.05]
+        arc = sum(np.hypot((f[i] - f[i - 1]) / (f[loud[-1]] - f[loud[0]]), a[i] - a[i - 1]) for i in range(loud[0] + 1, loud[-1] + 1))
+        assert got[k] == pytest.approx(-arc, abs=1e-9)
+
+
+def test_equal_motion_of_ten_frames(spark):
+    speeds = [(0, i, 1.0 if i in (3, 4) else 0.0) for i in range(10)] + [(1, i, 1.0) for i in range(3)] + [(3, i, 1.0) for i in range(10)]
+    spans = spark.createDataFrame([(0, 0, 10), (1, 2, 6), (2, 5, 5), (3, 4, 6)], "e long, lo long, hi long")
+    got = series.equal_motion_frames(spans, spark.createDataFrame(speeds, "e long, t int, v double"), "e", "t", "v").collect()
+    frames = {e: sorted(r["frame"] for r in got if r["e"] == e) for e in range(4)}
+    assert frames == {0: [3, 4], 1: [2, 3, 4, 5, 6], 2: [5, 6], 3: [4, 5]}
 
 
 def test_padded_stamps(spark):
@@ -38,7 +67,7 @@ def test_padded_stamps(spark):
 
 def test_z_scores_of_odd_groups(spark):
     rows = [("a", 1.0)] * 9 + [("a", 1.5), ("a", 1e9), ("lone", 7.0), (None, 3.0)]
-    df = spark.createDataFrame(rows, "operator string, v double").withColumn("z", scoring.robust_z(F.col("v"), "operator"))
+    df = scoring.with_robust_z(spark.createDataFrame(rows, "operator string, v double"), {"z": F.col("v")}, "operator")
     z = {(r["operator"], r["v"]): r["z"] for r in df.collect()}
     assert z[("lone", 7.0)] == 0 and z[(None, 3.0)] is None and abs(z[("a", 1e9)]) <= 4
 
@@ -80,7 +109,8 @@ def test_staircase_flags_up_to_the_last(spark):
 def test_robust_pvalues_find_masked_outliers():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.standard_normal((180, 3)), rng.standard_normal((20, 3)) * 0.1 + 8])
-    p = statistics.robust_pvalues(x, 1)
+    p, null = statistics.robust_pvalues(x, 1)
+    assert len(null) == 20 * len(x) and (null < 0.01).mean() == pytest.approx(0.01, abs=0.002)
     assert (p[180:] < 1e-6).all() and (p[:180] < 0.01).mean() < 0.06
 
 
@@ -104,22 +134,94 @@ def test_history_windows_leave_out_the_last_start(spark):
 
 def test_empty_manifest_summary(spark):
     empty = spark.createDataFrame([], "decision string, reason string, operator string")
-    assert reports.summary(empty, ["too_short"], "operator").first()["drop_pct"] == 0
+    got = reports.summary(empty, "operator").first()
+    assert got["drop_pct"] == got["keep_pct"] == got["operators"] == 0
+    nobody = spark.createDataFrame([("keep", None, None), ("drop", "x", "a")], "decision string, reason string, operator string")
+    assert tuple(reports.summary(nobody, "operator").first())[-2:] == (1, 2)
 
 
 def test_shard_index_and_frames(spark, tmp_path):
     table = np.full((1000, 2), 2**64 - 1, "<u8")
-    body = b"xx\xff\xd8abc" + b"\xff\xd8d"
-    table[0], table[3] = (0, 7), (7, 3)
-    folder = tmp_path / ("a" * 24)
-    folder.mkdir()
+    body = b"xx\xff\xd8\xffabc" + zstandard.ZstdCompressor().compress(b"12\xff\xd8\xffdef")
+    table[0], table[3] = (0, 8), (8, len(body) - 8)
+    key = "a" * 24
+    folder = tmp_path / ("b" * 24 + "c") / key
+    folder.mkdir(parents=True)
     (folder / "0").write_bytes(body + table.tobytes() + b"crc!")
+    (folder / "10").write_bytes(body + table.tobytes() + b"crc!")
     (folder / "1").write_bytes(b"short")
-    got = shards.frame_sizes(spark, str(tmp_path)).collect()
-    assert sorted((r["frame_idx"], r["bytes"]) for r in got if r["ok"]) == [(0, 7), (3, 3)] and sum(not r["ok"] for r in got) == 1
-    blob = spark.createDataFrame([("a" * 24, 0, body + table.tobytes() + b"crc!")], "episode_hash string, shard int, content binary")
-    wanted = spark.createDataFrame([("a" * 24, 0), ("a" * 24, 1), ("a" * 24, 3)], "episode_hash string, frame_idx long")
-    assert {r["frame_idx"]: bytes(r["content"]) for r in shards.fetch_frames(blob, wanted).collect()} == {0: b"\xff\xd8abc", 3: b"\xff\xd8d"}
+    index = shards.frame_sizes(spark, str(tmp_path))
+    got = index.collect()
+    assert sorted((r["frame_idx"], r["bytes"]) for r in got if r["ok"]) == [(0, 8), (3, len(body) - 8), (10000, 8), (10003, len(body) - 8)]
+    assert [r["episode_hash"] for r in got if not r["ok"]] == [key] and {r["episode_hash"] for r in got} == {key}
+    wanted = spark.createDataFrame([(key, 0), (key, 1), (key, 10003)], "episode_hash string, frame_idx long")
+    frames = {r["frame_idx"]: bytes(r["content"]) for r in shards.fetch_frames(index, wanted).collect()}
+    assert frames == {0: b"\xff\xd8\xffabc", 10003: b"\xff\xd8\xffdef"}
+    content = spark.createDataFrame([(key, 0, b"ab"), (key, 1, b"")], "episode_hash string, frame_idx long, content binary")
+    pictures = shards.decoded(content, lambda raw: np.frombuffer(raw, np.uint8).reshape(1, -1) if raw else 1 / 0).collect()
+    assert [(r["height"], r["width"], r["pixels"]) for r in sorted(pictures, key=lambda r: r["frame_idx"])] == [(1, 2, b"ab"), (None, None, None)]
+    assert files.listing(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_sizes_explode_and_arrays_fail_by_row(spark, tmp_path):
+    frames, rest = shards.exploded_sizes(spark.createDataFrame([("e", [5, 7])], "k string, sizes array<long>"), "k")
+    assert [tuple(r) for r in frames.orderBy("frame_idx").collect()] == [("e", 0, 5), ("e", 1, 7)] and rest.columns == ["k"]
+    root = tmp_path / ("d" * 24 + ".zarr")
+    meta = {"zarr_format": 3, "node_type": "array", "shape": [3, 2], "data_type": "int64", "chunk_grid": {"configuration": {"chunk_shape": [2, 2]}}, "codecs": [{"name": "bytes"}]}
+    for name, codec in (("good", "bytes"), ("bad", "blosc")):
+        (root / name / "c" / "0").mkdir(parents=True)
+        (root / name / "c" / "1").mkdir()
+        (root / name / "zarr.json").write_text(json.dumps(meta | {"codecs": [{"name": codec}]}))
+        for c in (0, 1):
+            (root / name / "c" / str(c) / "0").write_bytes(np.arange(4, dtype="<i8").tobytes())
+    (root / "zarr.json").write_text('{"node_type": "group", "attributes": {"fps": 30}}')
+    got = arrays.read_arrays(spark, str(tmp_path)).collect()
+    assert sorted((r["row"], r["values"]) for r in got if r["ok"]) == [(0, [0, 1]), (1, [2, 3]), (2, [0, 1])]
+    assert len([r for r in got if not r["ok"] and "blosc" in r["error"]]) == 2
+    shown = {r["array"]: r for r in arrays.described(spark, str(tmp_path)).collect()}
+    assert shown["good"]["head"] == [0, 1] and "fps" in shown[""]["attributes"]
+
+
+def test_copies_and_the_served_manifest(spark, tmp_path):
+    (tmp_path / "in" / "images").mkdir(parents=True)
+    (tmp_path / "in" / "poses").write_bytes(b"abc")
+    (tmp_path / "in" / "images" / "0").write_bytes(b"12345")
+    pairs = files.to_cache(files.listing(spark, str(tmp_path / "in")), "/in/", str(tmp_path / "out"), poses_only=True).withColumn("k", F.lit(1))
+    done = files.copy_missing(pairs, "k")
+    assert files.copied_bytes(done) == 3 and (tmp_path / "out" / "poses").read_bytes() == b"abc"
+    with pytest.raises(FileNotFoundError):
+        files.copied_bytes(done.limit(0))
+    (tmp_path / "manifest.json").write_text('[{"k": "a", "score": 0.5}, {"k": "b", "score": null}]')
+    (tmp_path / "other.json").write_text("{}")
+    handler = functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path))
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), handler) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        url = f"http://127.0.0.1:{server.server_port}"
+        rows = files.fetch_manifest(spark, f"{url}/manifest.json", "k string, score double").collect()
+        assert sorted((r["k"], r["score"]) for r in rows) == [("a", 0.5), ("b", None)]
+        for name in ("other.json", "none.json"):
+            with pytest.raises(Exception):
+                files.fetch_manifest(spark, f"{url}/{name}", "k string").collect()
+        server.shutdown()
+
+
+def test_running_sums_over_parts(spark):
+    df = spark.createDataFrame([(i * 37 % 101, i % 3) for i in range(101)], "x long, g long").repartition(7)
+    got = sorted((r["x"], r["at"]) for r in ranking.running(df, ["x"], "at").collect())
+    assert got == [(i, i + 1) for i in range(101)]
+    by = ranking.running_by(df, "g", [F.desc("x")], "at").collect()
+    for g in range(3):
+        rows = sorted((r["at"], r["x"]) for r in by if r["g"] == g)
+        assert [x for _, x in rows] == sorted((x for _, x in rows), reverse=True) and [a for a, _ in rows] == list(range(1, len(rows) + 1))
+
+
+def test_tiny_clusters_are_tested_too(spark):
+    rows = [(i, [float(i % 2 * 50 + i * 0.1), float(i % 3)]) for i in range(12)] + [(99, None)]
+    table = spark.createDataFrame(rows, "k long, x array<double>")
+    got = statistics.cluster_outliers(table, "k", "x", restarts=1, ks=range(2, 4)).collect()
+    assert len(got) == 12 and all(r["p"] is not None and 0 <= r["p"] <= 1 for r in got)
+    none = statistics.cluster_outliers(table.where("k < 2"), "k", "x").collect()
+    assert [(r["p"], r["outlier"]) for r in none] == [(None, False)] * 2
 
 
 def test_manifest_files(spark, tmp_path):
@@ -156,3 +258,17 @@ def test_silhouette_uses_every_row(spark):
     few = spark.createDataFrame([(1, [0.0], "a"), (2, [1.0], "b"), (3, [1.0], "b"), (4, None, "b"), (None, [9.0], "a")], "k long, v array<double>, c string")
     assert statistics.silhouette(few, "k", "v", "c").first()[0] == 0.5
     assert statistics.silhouette(few.limit(0), "k", "v", "c").first()[0] is None
+
+
+def test_kmeans_finds_separate_groups(spark):
+    rng = np.random.default_rng(4)
+    centres = np.array([[0, 0], [20, 0], [0, 20], [20, 20]])
+    x = np.concatenate([c + rng.standard_normal((60, 2)) for c in centres])
+    table = spark.createDataFrame(pd.DataFrame({"k": range(240), "y": x.tolist()})).repartition(3)
+    found = statistics.kmeans(table, "k", "y", [2, 4], 3)
+    assert sorted(map(tuple, np.rint(found[4] / 20).astype(int))) == [(0, 0), (0, 1), (1, 0), (1, 1)] and found[2].shape == (2, 2)
+    means = np.array([x[60 * i : 60 * i + 60].mean(axis=0) for i in range(4)])
+    assert np.allclose(sorted(map(tuple, found[4])), sorted(map(tuple, means)))
+    labelled, k = statistics.choose_clusters(table, "k", "y", restarts=2)
+    groups = {r["k"]: r["cluster"] for r in labelled.collect()}
+    assert k == 4 and all(len({groups[i] for i in range(60 * g, 60 * g + 60)}) == 1 for g in range(4))
