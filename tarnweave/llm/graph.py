@@ -9,6 +9,10 @@ from tarnweave.llm.hot import join_by_weight
 from tarnweave.session import stash
 
 
+#: Pairs of ids up to which their least neighbours, four numbers each, are broadcast.
+SMALL = 1 << 16
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     """Row count and an order-free checksum; bounded, whatever the size of ``edges``."""
     h = F.xxhash64("u", "v")
@@ -18,7 +22,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def _with_least(pairs: DataFrame, total: int) -> DataFrame:
     """(u, v, m, n): each pair with the least v of its u. Hubs aren't gathered in one task."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    return join_by_weight(pairs, least, "u", "n", total)
+    return join_by_weight(pairs, least, "u", "n", total, SMALL)
 
 
 def _stars(edges: DataFrame, total: int) -> DataFrame:

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 PARTS = 4096
 
 
-def join_by_weight(rows: DataFrame, classes: DataFrame, key: str | list[str], weight: str, total: int | None = None) -> DataFrame:
+def join_by_weight(rows: DataFrame, classes: DataFrame, key: str | list[str], weight: str, total: int | None = None, small: int = 0) -> DataFrame:
     """``rows`` joined with ``classes``, which has one row per key and says how many rows have it.
 
     Keys with more than one in ``PARTS`` of all rows are fewer than ``PARTS``, whatever the size of
     the tables: they are broadcast, so their rows stay where they are. All others meet by
     sort-merge, where none can fill a task. Rows whose key isn't in ``classes`` go. ``total`` is at
-    least the sum of weights, counted here where not given."""
+    least the sum of weights, counted here where not given; up to ``small`` in all, which bounds the
+    number of classes too, all of them are broadcast."""
     if total is None:
         total = classes.agg(F.sum(weight)).first()[0] or 0
     keys = [key] if isinstance(key, str) else key
+    if total <= small:
+        return rows.join(F.broadcast(classes), keys)
     is_hot = F.col(weight) * PARTS > F.lit(total)
     hot = F.broadcast(classes.where(is_hot))
     others = rows.join(F.broadcast(classes.where(is_hot).select(*keys)), keys, "left_anti")
