@@ -82,6 +82,19 @@ def pose_groups(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def clips(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a clip for every other user, and files of other names."""
+    folder = new_folder(spark)
+    users = read_table(spark, sf_dir, "events").select("user_id", _key(F.col("user_id")).alias("key")).distinct()
+
+    def write(part: pd.DataFrame) -> None:
+        even = part["user_id"].iloc[0] % 2 == 0
+        write_file(f"{folder}/{part['key'].iloc[0]}{'.mp4' if even else 'x.mp4'}", b"clip")
+
+    _written(users, ["user_id"], write)
+    return folder
+
+
 def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(episode, source, target): a file of ten bytes per user, missing for every third."""
     folder = new_folder(spark)

@@ -827,6 +827,37 @@ def encode_stub(spark, sf_dir):
     return e.select("page_id", F.size("emb").alias("width"), (F.abs(length - 1) < 1e-5).alias("unit"))
 
 
+@query(f"WITH {_SHARDS} SELECT lpad(lower(to_hex(episode + 1)), 24, '0') AS episode_hash FROM sh WHERE episode % 2 = 0 GROUP BY 1")
+def stored_clips(spark, sf_dir):
+    return files.stored_keys(files.listing(spark, fixtures.clips(spark, sf_dir), "*.mp4"))
+
+
+@query("SELECT user_id, lpad(lower(to_hex(user_id)), 24, '0') AS key FROM events WHERE user_id % 3 = 0 GROUP BY 1, 2")
+def valid_keys(spark, sf_dir):
+    u = read_table(spark, sf_dir, "events").select("user_id").distinct()
+    key = F.lpad(F.lower(F.hex("user_id")), 24, "0")
+    odd = F.when(F.col("user_id") % 3 == 0, key).when(F.col("user_id") % 3 == 1, F.upper(F.concat(F.lit("g"), F.substring(key, 2, 23)))).otherwise(F.concat(key, F.lit("\n")))
+    return tables.valid_keys(u.withColumn("key", odd), "key")
+
+
+@query(f"WITH {I.EPISODES_SQL} SELECT episode, CASE WHEN episode % 4 = 1 THEN -1 WHEN declared > 0 THEN declared ELSE -1 END::BIGINT AS declared FROM ep")
+def declared_counts(spark, sf_dir):
+    odd = F.when(F.col("episode") % 4 == 1, F.lit(float("nan"))).otherwise(F.col("declared").cast("double"))
+    return I.episodes(spark, sf_dir).select("episode", rules.declared_count(odd).alias("declared"))
+
+
+@query(f"WITH {I.EPISODES_SQL} SELECT episode, operator, n_frames FROM ep WHERE episode = 17")
+def episode_lookup(spark, sf_dir):
+    return tables.lookup(I.episodes(spark, sf_dir), "episode", 17).select("episode", "operator", "n_frames")
+
+
+@query(f"WITH {I.MANIFEST_SQL} SELECT episode, decision, nullif(reason, '') AS reason, round(score, 4) + 0 AS score FROM mf")
+def csv_round_trip(spark, sf_dir):
+    folder = fixtures.new_folder(spark)
+    tables.write_csv(_manifest(spark, sf_dir).select("episode", "decision", "reason", "score"), folder)
+    return rounded(tables.read_csv(spark, folder, "episode long, decision string, reason string, score double"), 4)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in _FOUND.items()}
 

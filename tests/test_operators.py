@@ -272,3 +272,16 @@ def test_kmeans_finds_separate_groups(spark):
     labelled, k = statistics.choose_clusters(table, "k", "y", restarts=2)
     groups = {r["k"]: r["cluster"] for r in labelled.collect()}
     assert k == 4 and all(len({groups[i] for i in range(60 * g, 60 * g + 60)}) == 1 for g in range(4))
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    from tarnweave.streaming.events import windowed_counts
+
+    rows = [("a", 1.0, f"2024-01-01 0{h}:{m:02d}:00") for h in range(3) for m in (5, 25, 45)] + [("b", 3.0, "2024-01-01 01:10:00")]
+    batch = spark.createDataFrame(rows, "event_type string, value double, ts string").withColumn("ts", F.to_timestamp("ts"))
+    batch.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
+    query = windowed_counts(stream).writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.table("windows").collect())
+    assert got == sorted(tuple(r) for r in windowed_counts(batch).collect()) and len(got) == 4
