@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarnweave.llm import sql
 from tarnweave.llm.chat import formatted
+from tarnweave.llm.curve import CurveParams, pack_along_curve
 from tarnweave.llm.embedding_dedup import near_vectors
+from tarnweave.llm.hard_negatives import hard_negatives
 from tarnweave.llm.html_extract import extract
 from tarnweave.llm.line_dedup import remove_repeated_chunks
 from tarnweave.llm.minhash import MinHashParams, near_duplicates
 from tarnweave.llm.mixing import mix
 from tarnweave.llm.packing import PackParams, pack
+from tarnweave.llm.phrases import collocations
 from tarnweave.llm.pii import replace_pii
 from tarnweave.llm.quality_rules import quality_rules
 from tarnweave.llm.sharding import shard
@@ -69,10 +73,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_along_curve(read_table(spark, sf_dir, "documents"), CurveParams(public_tokenizers.path(TOKENIZER)))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), label=shifted)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op4_embedding_near_dedup, op5_minhash_near_dedup,
         op6_pii_surrogates, op7_source_mixing, op8_sharding, op9_chat_formatting, op10_html_extraction,
+        op11_curve_packing, op12_hard_negatives, op13_phrase_collocations,
     )
     return {f.__name__: f for f in own}
 
@@ -83,4 +101,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash_near_dedup": sql.NEAR_DUPLICATES,
         "op7_source_mixing": sql.MIX,
         "op9_chat_formatting": sql.FORMATTED,
+        "op12_hard_negatives": sql.HARD_NEGATIVES,
+        "op13_phrase_collocations": sql.COLLOCATIONS,
     }

@@ -66,3 +66,64 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
  sum(length('<|turn:' || {_ESCAPED.format(c='role')} || '|>' || {_ESCAPED.format(c='text')} || '<|end|>' || chr(10)))::BIGINT AS formatted_chars
 FROM r GROUP BY 1
 """
+
+HARD_NEGATIVES = """
+with usable as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.id as anchor_id, a.label = b.label as same, b.id as other, list_dot_product(a.v, b.v)::bigint as score
+  from usable a join usable b on a.id % 50 = 0 and a.id <> b.id
+), positives as (
+  select anchor_id, other as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+), negatives as (
+  select p.*, n.other as negative_id, n.score as negative_score,
+         row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other) as rank
+  from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+    and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
+COLLOCATIONS = r"""
+with plain as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), pieces as (
+  select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from plain
+), worded as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]'), lambda w: w <> '') as words from pieces
+), totals as (
+  select lang, sum(len(words)) as n from worded group by lang
+), runs as (
+  select lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) as phrase
+  from worded, range(1, 6) as t(k) where len(words) >= k
+), counted as (
+  select lang, k, phrase, count(*) as f from runs group by lang, k, phrase
+), candidates as (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as parts from counted where k > 1 and f >= 100
+), inner_runs as (
+  select lang, a, unnest(flatten(list_transform(range(2, k), lambda w: list_transform(range(1, k - w + 2), lambda i: array_to_string(parts[i:i + w - 1], ' '))))) as phrase
+  from candidates where k > 2
+), around as (
+  select lang, phrase, max(a) as most from inner_runs group by lang, phrase
+), cuts as (
+  select c.lang, c.phrase, c.a, t.j, x.f as l, y.f as r, n.n, (1000::hugeint * c.a * n.n) // (x.f::hugeint * y.f) as score
+  from candidates c join range(1, 5) as t(j) on t.j < c.k
+  join counted x on x.lang = c.lang and x.phrase = array_to_string(c.parts[1:t.j], ' ')
+  join counted y on y.lang = c.lang and y.phrase = array_to_string(c.parts[t.j + 1:c.k], ' ')
+  join totals n on n.lang = c.lang
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1
+), kept as (
+  select l.* from lowest l left join around o on o.lang = l.lang and o.phrase = l.phrase
+  where o.most is null or 100 * o.most < 100 * l.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+       n::bigint as n, score::bigint as score
+from kept qualify rank <= 2000
+"""
