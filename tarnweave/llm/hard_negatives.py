@@ -265,7 +265,7 @@ def _cells(rows: DataFrame, p: NegativeParams) -> tuple[DataFrame, list]:
             node = nodes.pop()
             nodes += node.children
             leaves += [] if node.children else [node.centre]
-    centres = np.array(leaves[: p.most_cells]).reshape(-1, width)
+    centres = np.array(leaves[: p.most_cells]) if leaves else np.zeros((0, 0))
 
     @F.pandas_udf("struct<cell int, distance double>")
     def nearest(vec: pd.Series) -> pd.DataFrame:
@@ -292,7 +292,7 @@ def _rounds(anchors: DataFrame, rows: DataFrame, cells: list, same: bool, most:
     size = max(counts, default=0) + 1
     home = np.eye(size, dtype=bool)
     found = _first(_meet(anchors, rows, home, counts, same, most, p, waves), most)
-    if len(cells) == 1:
+    if len(cells) <= 1:
         return found
     found = stash(found)
     last = found.where(F.col("rank") == most).groupBy("id", "twin").agg(F.map_from_entries(F.collect_list(F.struct("slot", F.col("score").cast("double")))).alias("last"))
