@@ -12,7 +12,9 @@ from itertools import islice
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ from tarnweave.session import stash
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 END = WordHashes()["\n"]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-#: Bytes of a row of the sketch on its way to be summed.
-CHUNK = 1 << 14
+#: Cells of a row of the sketch on its way to be summed.
+CHUNK = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -32,17 +34,20 @@ class PhraseParams:
     """``words``: most words of a phrase. ``least``: least count of a candidate. ``cover``: a
     candidate goes if a longer one around it has this percentage of its count. ``top``: rows of each
     language. ``load``: occurrences for a cell of the sketch, whose cells are a power of two
-    of at most ``most_cells``: beyond that more phrases pass it and are counted in vain.
-    ``shard_chars``: text that a task goes through at a time. ``patterns``: phrases of an automaton."""
+    from ``cells`` to ``most_cells``: beyond that more phrases pass it and are counted in vain.
+    ``shard_chars``: text that a task goes through at a time. ``patterns``: phrases of an automaton.
+    ``bucket_words``: words of text for a bucket that counts are merged in."""
 
     words: int = 5
     least: int = 100
     cover: int = 100
     top: int = 2000
     load: int = 16
-    most_cells: int = 1 << 27
+    cells: int = 1 << 26
+    most_cells: int = 1 << 30
     shard_chars: int = 12 << 20
     patterns: int = 1 << 17
+    bucket_words: int = 1 << 21
 
 
 class Shard:
@@ -113,51 +118,52 @@ def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sketched(texts: DataFrame, p: PhraseParams, bits: int) -> DataFrame:
-    """(chunk, cells): counts of the phrases that fall into each cell, one row for each task and
-    stretch of cells that aren't all empty. A count stops at ``least``, which is all that is asked."""
+    """(chunk, bits): for each stretch of cells whether the phrases that fall into a cell may reach
+    ``least``. What a shard adds is as long as its distinct phrases are many, packed, however many
+    cells there are; a count stops at ``least``, which is all that is asked."""
     kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if p.least <= np.iinfo(k).max)
+    chunk = min(CHUNK, 1 << bits)
 
     def run(batches):
-        counts = np.zeros(1 << bits, kind)
+        pack = zstandard.ZstdCompressor(level=1).compress
         for shard in _shards(batches, p):
-            for _, hashes, whole in shard.phrases(p.words):
-                cells = np.sort(_cells(hashes[whole], bits).astype(np.uint32))
-                if len(cells):
-                    first = np.flatnonzero(np.diff(cells, prepend=cells[0] ^ np.uint32(1)))
-                    seen = np.diff(first, append=len(cells))
-                    at = cells[first]
-                    counts[at] = np.minimum(counts[at].astype(np.int64) + seen, p.least)
-        rows = counts.reshape(-1, min(CHUNK, 1 << bits))
-        for k in range(0, len(rows), 64):
-            used = k + np.flatnonzero(rows[k : k + 64].any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([rows[c].tobytes() for c in used], pa.binary())], ["chunk", "cells"])
-
-    def add(key, tables):
-        total = np.zeros(min(CHUNK, 1 << bits), np.int64)
-        for batch in tables:
-            for raw in batch["cells"].to_pylist():
-                total += np.frombuffer(raw, kind)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(total >= p.least).tobytes()])], ["chunk", "bits"])
+            cells = np.sort(np.concatenate([_cells(h[whole], bits).astype(np.uint32) for _, h, whole in shard.phrases(p.words)]))
+            first = np.flatnonzero(np.diff(cells, prepend=cells[:1] ^ np.uint32(1)))
+            seen, cells = np.minimum(np.diff(first, append=len(cells)), p.least).astype(kind), cells[first]
+            edges = np.searchsorted(cells, np.arange(0, (1 << bits) + 1, chunk))
+            used = np.flatnonzero(np.diff(edges))
+            for k in range(0, len(used), 256):
+                rows = []
+                for c in used[k : k + 256].tolist():
+                    row = np.zeros(chunk, kind)
+                    row[cells[edges[c] : edges[c + 1]] - c * chunk] = seen[edges[c] : edges[c + 1]]
+                    rows.append(pack(row.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(used[k : k + 256]), pa.array(rows, pa.binary())], ["chunk", "cells"])
 
     def added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return add(key, batches)
+        total, unpack = np.zeros(chunk, np.int64), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for raw in batch["cells"].to_pylist():
+                total += np.frombuffer(unpack(raw), kind)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(total >= p.least).tobytes()])], ["chunk", "bits"])
 
     return texts.mapInArrow(run, "chunk long, cells binary").groupBy("chunk").applyInArrow(added, "chunk long, bits binary")
 
 
 def _may_reach(texts: DataFrame, p: PhraseParams, bits: int) -> np.ndarray:
     """A bit for each cell: may its phrases reach ``least``? Its size is fixed by ``bits``."""
-    size = min(CHUNK, 1 << bits)
-    out = np.zeros((1 << bits) // size * (size // 8), np.uint8)
+    size = min(CHUNK, 1 << bits) // 8
+    out = np.zeros((1 << bits) // 8, np.uint8)
     for row in _sketched(texts, p, bits).collect():
-        out[row["chunk"] * (size // 8) : (row["chunk"] + 1) * (size // 8)] = np.frombuffer(row["bits"], np.uint8)
+        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
-def _candidates(shard: Shard, marked: np.ndarray, p: PhraseParams, bits: int) -> list[tuple[str, int]]:
-    """(guarded phrase, width) of the phrases of a shard that the sketch, and their own parts, let pass."""
+def _candidates(shard: Shard, marked: np.ndarray, p: PhraseParams, bits: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The phrases of a shard that the sketch, and their own parts, let pass, each with a space on
+    both sides; their widths and hashes."""
     text, (begin, end) = shard.text(), shard.spans()
-    out, passed = [], None
+    out, widths, kept, passed = [], [], [], None
     for width, hashes, whole in shard.phrases(p.words):
         cells = _cells(hashes, bits)
         able = whole & ((marked[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1).astype(bool)
@@ -165,17 +171,20 @@ def _candidates(shard: Shard, marked: np.ndarray, p: PhraseParams, bits: int) ->
             able &= passed[:-1] & passed[1:]  # a phrase stands no more often than its parts
         passed = able
         at = np.flatnonzero(able)
-        at = at[np.unique(hashes[at], return_index=True)[1]]
-        out += [(text[b - 1 : e + 1], width) for b, e in zip(begin[at].tolist(), end[at + width - 1].tolist(), strict=True)]
-    return out
+        own, first = np.unique(hashes[at], return_index=True)
+        at = at[first]
+        out += [text[b - 1 : e + 1] for b, e in zip(begin[at].tolist(), end[at + width - 1].tolist(), strict=True)]
+        widths.append(np.full(len(at), width, np.int32))
+        kept.append(own)
+    return out, np.concatenate(widths), np.concatenate(kept)
 
 
-def _counted(text: str, phrases: list[tuple[str, int]], size: int) -> np.ndarray:
+def _counted(text: str, phrases: list[str], size: int) -> np.ndarray:
     """How often each phrase stands in ``text``, overlaps included."""
     counts = np.zeros(len(phrases), np.int64)
     for k in range(0, len(phrases), size):
         automaton = ahocorasick.Automaton()
-        for i, (phrase, _) in enumerate(phrases[k : k + size], k):
+        for i, phrase in enumerate(phrases[k : k + size], k):
             automaton.add_word(phrase, i)
         automaton.make_automaton()
         ends = automaton.iter(text)
@@ -184,29 +193,38 @@ def _counted(text: str, phrases: list[tuple[str, int]], size: int) -> np.ndarray
     return counts
 
 
-def phrase_counts(texts: DataFrame, p: PhraseParams, marked: np.ndarray, bits: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, p: PhraseParams, marked: np.ndarray, bits: int, buckets: int) -> DataFrame:
     """(lang, phrase, width, a) of all phrases of up to ``words`` words with at least ``least``
-    occurrences."""
+    occurrences. What a shard counts travels in ``buckets`` by hash, a row each, which are merged."""
     shared = texts.sparkSession.sparkContext.broadcast(marked)
 
     def run(batches):
         for shard in _shards(batches, p):
-            phrases = _candidates(shard, shared.value, p, bits)
+            phrases, widths, hashes = _candidates(shard, shared.value, p, bits)
             counts = _counted(shard.text(), phrases, p.patterns)
-            for k in range(0, len(phrases), 65_536):
-                part = phrases[k : k + 65_536]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard.lang] * len(part)),
-                        pa.array([x[1:-1] for x, _ in part]),
-                        pa.array([w for _, w in part], pa.int32()),
-                        pa.array(counts[k : k + 65_536]),
-                    ],
-                    ["lang", "phrase", "width", "f"],
-                )
-
-    found = texts.mapInArrow(run, "lang string, phrase string, width int, f long")
-    return found.groupBy("lang", "phrase", "width").agg(F.sum("f").alias("a")).where(F.col("a") >= p.least)
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            table = [pa.array([x[1:-1] for x in phrases], pa.string()).take(pa.array(order)), pa.array(widths[order]), pa.array(counts[order])]
+            used, first = np.unique(bucket[order], return_index=True)
+            lists = [pa.ListArray.from_arrays(pa.array([*first, len(order)], pa.int32()), c) for c in table]
+            for k in range(0, len(used), 64):
+                part = [pa.array([shard.lang] * len(used[k : k + 64])), pa.array(used[k : k + 64]), *(x.slice(k, 64) for x in lists)]
+                yield pa.RecordBatch.from_arrays(part, ["lang", "bucket", "phrases", "widths", "counts"])
+
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = {"phrases": "phrase", "widths": "width", "counts": "f"}
+        total = None
+        for batch in batches:
+            part = pa.table({n: batch[c].flatten() for c, n in names.items()})
+            part = part if total is None else pa.concat_tables([total, part])
+            total = part.group_by(["phrase", "width"]).aggregate([("f", "sum")]).rename_columns(["phrase", "width", "f"])
+        if total is not None:
+            total = total.filter(pc.greater_equal(total["f"], p.least))
+            lang = pa.array([key[0].as_py()] * len(total), pa.string())
+            yield from pa.table({"lang": lang, "phrase": total["phrase"], "width": total["width"], "a": total["f"]}).combine_chunks().to_batches()
+
+    found = texts.mapInArrow(run, "lang string, bucket long, phrases array<string>, widths array<int>, counts array<long>")
+    return found.groupBy("lang", "bucket").applyInArrow(merge, "lang string, phrase string, width int, a long")
 
 
 def _exact(c: Column) -> Column:
@@ -231,8 +249,8 @@ def collocations(docs: DataFrame, params: PhraseParams | None = None, text_col:
     totals = texts.groupBy("lang").agg(F.sum(lower.cast("long")).alias("n"))
     totals = stash(totals.where("n > 0"))
     words = totals.agg(F.sum("n")).first()[0] or 0
-    bits = min(p.most_cells.bit_length() - 1, max(10, (words * p.words // p.load).bit_length()))
-    counted = stash(phrase_counts(texts, p, _may_reach(texts, p, bits), bits))
+    bits = min(p.most_cells, max(p.cells, words * p.words // p.load)).bit_length() - 1
+    counted = stash(phrase_counts(texts, p, _may_reach(texts, p, bits), bits, -(-words // p.bucket_words) or 1))
     candidates = counted.where("width > 1").withColumn("parts", F.split("phrase", " "))
     run = lambda first, size: F.array_join(F.slice("parts", first, size), " ")
 

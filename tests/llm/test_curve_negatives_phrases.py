@@ -150,7 +150,7 @@ def brute_collocations(rows, p):
 TALK = ["of", "the", "New", "York", "ÉTÉ", "été", "a", "a", "b", "x y", "q\x1cz", "日本"]
 
 
-@pytest.mark.parametrize("p", [phrases.PhraseParams(least=4, top=25), phrases.PhraseParams(least=6, cover=80, patterns=7, shard_chars=300), phrases.PhraseParams(least=3, words=3, load=1 << 20, most_cells=1 << 10)])
+@pytest.mark.parametrize("p", [phrases.PhraseParams(least=4, top=25), phrases.PhraseParams(least=6, cover=80, patterns=7, shard_chars=300), phrases.PhraseParams(least=3, words=3, cells=1 << 5, most_cells=1 << 10, bucket_words=50), phrases.PhraseParams(least=300, top=9)])
 def test_collocations(spark, p):
     glue = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r"]
     say = lambda k: "".join(RNG.choice(TALK) + RNG.choice(glue) for _ in range(k))
