@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -11,12 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnweave.llm.packing import Encoder, PackParams
+from tarnweave.llm.packing import Encoder, PackParams, _Table
 from tarnweave.llm.text import mix64
 from tarnweave.session import stash
 
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
+#: Bytes that a worker's tables of words and of their parts hold before they start anew.
+WORD_BYTES, PART_BYTES = 128 << 20, 48 << 20
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
 
@@ -65,6 +68,27 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
+class WordEncoder(Encoder):
+    """Remembers the ids of whole words between white space, which no part of the tokenizer's
+    pattern crosses, and those of parts."""
+
+    def __init__(self, p: PackParams):
+        super().__init__(p)
+        self.table = _Table(self._part, PART_BYTES)
+        self.words = _Table(lambda word: b"".join(map(self.table.__getitem__, self.find(word))), WORD_BYTES)
+
+    def text(self, text: str) -> bytes:
+        if self.find is None or self.odd.search(text):
+            return self.whole(text)
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
+
+
+@cache
+def _encoder(p: PackParams) -> WordEncoder:
+    """One for all tasks of a worker."""
+    return WordEncoder(p)
+
+
 class Projector:
     """Token ids -> a few coordinates: a signed hash of the ids into ``width`` components, damped
     by the square root and brought to unit length, times fixed Gaussian directions."""
@@ -87,7 +111,7 @@ def _tokenised(docs: DataFrame, p: CurveParams) -> DataFrame:
     """(id, n, raw, crc, at): ids as little-endian words of 2 bytes where all fit, else of 4."""
 
     def run(batches):
-        encoder, project = Encoder(PackParams(p.tokenizer, p.capacity, p.end_id)), Projector(p)
+        encoder, project = _encoder(PackParams(p.tokenizer, p.capacity, p.end_id)), Projector(p)
         end = np.array([p.end_id], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch["id"], batch["text"]
