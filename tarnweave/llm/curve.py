@@ -19,7 +19,7 @@ from tarnweave.session import stash
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
 #: Bytes that a worker's tables of words and of their parts hold before they start anew.
-WORD_BYTES, PART_BYTES = 128 << 20, 48 << 20
+WORD_BYTES, PART_BYTES = 56 << 20, 48 << 20
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
 
