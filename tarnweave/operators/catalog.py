@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnweave.operators.ranking import running
+from tarnweave.operators.selection import quantiles
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -17,10 +18,9 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample deviation, extremes and interpolated quartiles."""
     x = F.col(column).cast("double")
-    return df.agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        *(F.percentile(x, q).alias(f"p{round(100 * q)}") for q in (0.25, 0.5, 0.75)), F.max(x).alias("max"),
-    )
+    whole = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+    found = quantiles(df, {"p": x}, [0.25, 0.5, 0.75], extras=whole)
+    return found.select("n", "mean", "std", "min", F.col("p_0").alias("p25"), F.col("p_1").alias("p50"), F.col("p_2").alias("p75"), "max")
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import split_flags
 from tarnweave.operators.scoring import axes_failed
+from tarnweave.operators.selection import quantiles
 
 
 def fairness(manifest: DataFrame, group: str) -> DataFrame:
@@ -48,7 +49,7 @@ def warnings(manifest: DataFrame, hard: list[str]) -> DataFrame:
 
 def timings(results: DataFrame, fetch: str = "fetch_s", compute: str = "gpu_s") -> DataFrame:
     """One row: median seconds of either step and the share of the second."""
-    middle = results.agg(F.median(fetch).alias("fetch"), F.median(compute).alias("compute"))
+    middle = quantiles(results, {"fetch": F.col(fetch), "compute": F.col(compute)}, [0.5]).select(F.col("fetch_0").alias("fetch"), F.col("compute_0").alias("compute"))
     return middle.withColumn("share", F.try_divide(F.col("compute"), F.col("fetch") + F.col("compute")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import clip, row_mean
+from tarnweave.operators.selection import quantiles
 
 Z_LIMIT, AXIS_LIMIT, ETA_LIMIT = 4.0, 1.0, 0.35
 #: Direction of each feature, + means higher is better.
@@ -37,11 +38,12 @@ def with_robust_z(df: DataFrame, values: dict[str, Column], group: str) -> DataF
     Medians and deviations are one row per group, joined back: small enough for a broadcast, which
     is left to their measured size, and no row moves for it."""
     held = df.select("*", *(v.cast("double").alias(f"__v_{n}") for n, v in values.items()))
-    of_group = held.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("__group")).agg(
-        *(f.alias(f"__{k}_{n}") for n in values for k, f in (("m", F.median(f"__v_{n}")), ("s", F.stddev_samp(f"__v_{n}"))))
-    )
+    of_group = quantiles(
+        held.where(F.col(group).isNotNull()).withColumnRenamed(group, "__group"), {f"__m_{n}": F.col(f"__v_{n}") for n in values}, [0.5], ["__group"],
+        {f"__s_{n}": F.stddev_samp(f"__v_{n}") for n in values},
+    )
     spread = lambda n: F.coalesce(F.nullif(F.col(f"__s_{n}"), F.lit(0.0)), F.lit(1.0))
-    z = [clip((F.col(f"__v_{n}") - F.col(f"__m_{n}")) / spread(n), -Z_LIMIT, Z_LIMIT).alias(n) for n in values]
+    z = [clip((F.col(f"__v_{n}") - F.col(f"__m_{n}_0")) / spread(n), -Z_LIMIT, Z_LIMIT).alias(n) for n in values]
     joined = held.join(of_group, F.col(group) == F.col("__group"), "left")
     return joined.select(*(c for c in df.columns if c not in values), *z)
 
@@ -109,8 +111,8 @@ def composite_score(episodes: DataFrame, signs: dict[str, int], group: str) -> D
     used = usable_features(episodes, signs, group)
     if not used:
         return episodes.withColumn("score", F.lit(None).cast("double"))
-    middle = episodes.agg(*(F.median(F.col(f).cast("double")).alias(f) for f in used)).first()
-    filled = {f"__z_{f}": F.coalesce(F.col(f).cast("double"), F.lit(middle[f])) for f in used}
+    middle = quantiles(episodes, {f: F.col(f) for f in used}, [0.5]).first()  # one row
+    filled = {f"__z_{f}": F.coalesce(F.col(f).cast("double"), F.lit(middle[f"{f}_0"])) for f in used}
     scored = with_robust_z(episodes, filled, group)
     return scored.select(*episodes.columns, row_mean(*(signs[f] * F.col(f"__z_{f}") for f in used)).alias("score"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.operators import robust
 from tarnweave.operators.ranking import running
 from tarnweave.session import stash
 
@@ -165,84 +164,6 @@ def rare_clusters(df: DataFrame, cluster: str, least: float = 0.01) -> DataFrame
     return df.join(marked, F.col(cluster).eqNullSafe(F.col("__c"))).drop("__c")
 
 
-def chi2_sf(x: np.ndarray, dims: int) -> np.ndarray:
-    """Survival function of chi squared with a whole number of degrees of freedom."""
-    half = np.maximum(np.asarray(x, float), 0) / 2
-    if dims % 2 == 0:
-        term = total = np.ones_like(half)
-        for k in range(1, dims // 2):
-            term = term * half / k
-            total = total + term
-        return np.exp(-half) * total
-    total = np.vectorize(math.erfc)(np.sqrt(half)) if half.ndim else math.erfc(math.sqrt(half))
-    term = np.sqrt(half / math.pi) * 2 * np.exp(-half)
-    for k in range(1, (dims - 1) // 2 + 1):
-        total = total + term
-        term = term * half / (k + 0.5)
-    return total
-
-
-def chi2_quantile(q: float, dims: int) -> float:
-    lo, hi = 0.0, 200.0 + 20 * dims
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if 1 - float(chi2_sf(np.array([mid]), dims)[0]) < q else (lo, mid)
-    return (lo + hi) / 2
-
-
-def _distances(x: np.ndarray, of: np.ndarray, covariance: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    centre = of.mean(axis=0)
-    c = np.atleast_2d(np.cov(of, rowvar=False, bias=True)) if covariance is None else covariance
-    sign, logdet = np.linalg.slogdet(c)
-    d = x - centre
-    return np.einsum("ij,ij->i", d @ np.linalg.pinv(c), d), logdet if sign > 0 else -np.inf
-
-
-def robust_distances(x: np.ndarray, rng: np.random.Generator, starts: int = 30) -> np.ndarray:
-    """Squared distances by the minimum covariance determinant (FAST-MCD, Rousseeuw and Van Driessen
-    1999): random starts, concentration steps, consistency factor, one reweighting."""
-    n, p = x.shape
-    h = (n + p + 1) // 2
-    best, inside = np.inf, np.arange(n)
-    short = []
-    for _ in range(starts):
-        chosen = rng.choice(n, min(n, p + 1), replace=False)
-        for _ in range(2):
-            d, _ = _distances(x, x[chosen])
-            chosen = np.argpartition(d, min(h, n) - 1)[:h]
-        short.append((_distances(x, x[chosen])[1], chosen))
-    short.sort(key=lambda s: s[0])
-    for _, chosen in short[:5]:
-        last = np.inf
-        for _ in range(30):
-            d, det = _distances(x, x[chosen])
-            chosen = np.argpartition(d, min(h, n) - 1)[:h]
-            if det >= last - 1e-12:
-                break
-            last = det
-        det = _distances(x, x[chosen])[1]
-        if det < best:
-            best, inside = det, chosen
-    d, _ = _distances(x, x[inside])
-    d = d / (np.median(d) / chi2_quantile(0.5, p)) if np.median(d) > 0 else d
-    good = d < chi2_quantile(0.975, p)
-    if good.sum() > p:
-        d, _ = _distances(x, x[good])
-        d = d / (np.median(d) / chi2_quantile(0.5, p)) if np.median(d) > 0 else d
-    return d
-
-
-def robust_pvalues(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """p-values of squared robust distances, scaled so that Gaussian data of the same shape has the
-    99 % quantile that chi squared has; and those of that data itself. Of rows that are all at one
-    place none is far."""
-    n, p = x.shape
-    rng = np.random.default_rng([seed, n, p])
-    null = np.concatenate([robust_distances(rng.standard_normal((n, p)), rng, 10) for _ in range(NULL_TRIALS)])
-    scale = np.quantile(null, NULL_QUANTILE) / chi2_quantile(NULL_QUANTILE, p) or 1.0
-    return chi2_sf(robust_distances(x, rng) / scale, p), chi2_sf(null / scale, p)
-
-
 def _first_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k-means++ (Arthur and Vassilvitskii 2007): each further centre with odds by squared distance."""
     centres = [sample[rng.integers(len(sample))]]
@@ -351,22 +272,39 @@ def whitened(rows: DataFrame, key: str, vector: str, n: int, width: int) -> tupl
 def cluster_pvalues(labelled: DataFrame, key: str, dims: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """(key, cluster, p) of rows (key, y, cluster, rare), and (p) of outlier-free data of the same
     shapes. Rows of rare clusters have p 0 and no such data; the others' distances are taken in so
-    many dimensions that the smallest cluster can bear, two at least."""
-    sizes = [r["count"] for r in labelled.where("not rare").groupBy("cluster").count().collect()]  # one row per cluster
-    used = max(2, min(dims, min(sizes) // 5)) if sizes else dims
-    kind = dict(labelled.dtypes)[key]
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part["y"].to_numpy())[:, :used]
-        cluster, null = int(part["cluster"].iloc[0]), np.empty(0)
-        p = np.zeros(len(x))
-        if not part["rare"].iloc[0]:
-            p, null = robust_pvalues(x, seed + cluster)
-        real = pd.DataFrame({key: part[key], "cluster": cluster, "p": p, "simulated": False})
-        return pd.concat([real, pd.DataFrame({key: None, "cluster": cluster, "p": null, "simulated": True})])
-
-    tested = stash(labelled.groupBy("cluster").applyInPandas(run, f"{key} {kind}, cluster int, p double, simulated boolean"))
-    return tested.where("not simulated").drop("simulated"), tested.where("simulated").select("p")
+    many dimensions that the smallest cluster can bear, two at least.
+
+    p is that of the squared robust distance by chi squared, scaled so that Gaussian data of the
+    same shape, fitted in the same way, has its NULL_QUANTILE there. Where all rows of a cluster are
+    in one place none is far. A cluster of hardly more rows than dimensions is its own fit: its
+    distances are about equal, as are those of its counterparts, so each row has a p near 1 - NULL_QUANTILE."""
+    tested = labelled.where("not rare").select("cluster", "y")
+    smallest = tested.groupBy("cluster").count().agg(F.min("count")).first()[0]
+    used = max(2, min(dims, smallest // 5)) if smallest else dims
+    used = min(used, dims)
+    groups = robust.Groups(tested, used, NULL_TRIALS, seed)
+    fits = robust.robust_fits(groups) if groups.sizes else {}
+    scales = robust.null_scales(groups, fits, NULL_QUANTILE) if fits else {}
+
+    def far(x: np.ndarray, group: tuple[int, int]) -> np.ndarray:
+        return robust.chi2_sf(fits[group](x) / scales[group[0]], used)
+
+    def real(batches):
+        for batch in batches:
+            x = _vectors(batch["y"])[:, :used] if batch.num_rows else np.zeros((0, used))
+            cluster, p = batch["cluster"].to_numpy(zero_copy_only=False), np.zeros(len(x))
+            for c in np.unique(cluster):
+                if (int(c), -1) in fits:
+                    p[cluster == c] = far(x[cluster == c], (int(c), -1))
+            yield pa.RecordBatch.from_arrays([batch[key], batch["cluster"], pa.array(p)], [key, "cluster", "p"])
+
+    def null(batches):
+        for batch in batches:
+            for group, x in robust.blocks_of(batch, used):
+                yield pa.RecordBatch.from_arrays([pa.array(far(x, group))], ["p"])
+
+    found = labelled.select(key, F.col("cluster").cast("int").alias("cluster"), "y").mapInArrow(real, f"{key} {dict(labelled.dtypes)[key]}, cluster int, p double")
+    return found, groups.drawn().mapInArrow(null, "p double") if fits else found.select("p").limit(0)
 
 
 def cluster_tests(df: DataFrame, key: str, vector: str, least: float = 0.01, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> tuple[DataFrame, DataFrame]:

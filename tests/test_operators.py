@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars
-from tarnweave.operators import ablation, catalog, ranking, reports, rules, scoring, series, statistics
+from tarnweave.operators import ablation, catalog, ranking, reports, robust, rules, scoring, selection, series, statistics
 from tarnweave.sources import arrays, files, shards, tables
 
 
@@ -75,14 +75,14 @@ def test_z_scores_of_odd_groups(spark):
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=5))
 def test_chi2_is_a_survival_function(x):
     for dims in (1, 2, 5, 10):
-        p = statistics.chi2_sf(np.abs(np.array(x)), dims)
+        p = robust.chi2_sf(np.abs(np.array(x)), dims)
         assert ((p >= 0) & (p <= 1 + 1e-12)).all()
 
 
 def test_chi2_known_values():
-    assert statistics.chi2_sf(np.array([3.841459]), 1)[0] == pytest.approx(0.05, abs=1e-6)
-    assert statistics.chi2_sf(np.array([18.307038]), 10)[0] == pytest.approx(0.05, abs=1e-6)
-    assert statistics.chi2_sf(np.array([7.814728]), 3)[0] == pytest.approx(0.05, abs=1e-6)
+    assert robust.chi2_sf(np.array([3.841459]), 1)[0] == pytest.approx(0.05, abs=1e-6)
+    assert robust.chi2_sf(np.array([18.307038]), 10)[0] == pytest.approx(0.05, abs=1e-6)
+    assert robust.chi2_sf(np.array([7.814728]), 3)[0] == pytest.approx(0.05, abs=1e-6)
 
 
 def test_rules_first_match_and_halves(spark):
@@ -106,12 +106,87 @@ def test_staircase_flags_up_to_the_last(spark):
     assert got == {1: True, 2: True, 3: True, 4: False, 5: False}
 
 
-def test_robust_pvalues_find_masked_outliers():
+def plain_robust_fit(x, starts):
+    """Concentration steps over one array from each start, the best made consistent and reweighted."""
+    n, p = x.shape
+    h = (n + p + 1) // 2
+    fit = lambda rows: (rows.mean(axis=0), np.cov(rows, rowvar=False, bias=True))
+    far = lambda m, c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    best = (np.inf, None)
+    for start in starts:
+        rows, last = np.argsort(start(x))[:h], np.inf
+        while (det := np.linalg.slogdet(fit(x[rows])[1])[1]) < last - 1e-12:
+            last, kept = det, rows
+            rows = np.argsort(far(*fit(x[rows])))[:h]
+        best = min(best, (last, kept), key=lambda b: b[0])
+    d = far(*fit(x[best[1]]))
+    d /= np.median(d) / robust.chi2_quantile(0.5, p)
+    d = far(*fit(x[d < robust.chi2_quantile(0.975, p)]))
+    return best[0], d / (np.median(d) / robust.chi2_quantile(0.5, p))
+
+
+@pytest.mark.parametrize("subset", [400, 4000])
+def test_robust_fit_of_blocks_is_that_of_one_array(spark, monkeypatch, subset):
+    monkeypatch.setattr(robust, "SUBSET_ROWS", subset)
+    monkeypatch.setattr(robust, "BLOCK_ROWS", 300)
+    rng = np.random.default_rng(0)
+    x = {0: np.concatenate([rng.standard_normal((1900, 3)) * [1, 2, 5], rng.standard_normal((100, 3)) * 0.1 + 9]), 4: rng.standard_normal((500, 3)) @ rng.standard_normal((3, 3))}
+    df = spark.createDataFrame([(c, r.tolist()) for c, rows in x.items() for r in rows], "cluster int, y array<double>")
+    groups = robust.Groups(df, 3, 1, 5)
+    begun, best, fits = groups.begun(), robust.concentrated(groups), robust.robust_fits(groups)
+    drawn = np.concatenate([np.reshape(r["x"], (-1, 3)) for r in groups.drawn().where("cluster = 0").collect()])
+    for group, rows in (((0, -1), x[0]), ((4, -1), x[4]), ((0, 0), drawn)):
+        det, far = plain_robust_fit(rows, begun[group])
+        assert best[group].logdet == pytest.approx(det, abs=1e-9) and np.allclose(fits[group](rows), far)
+    assert (fits[0, -1](x[0])[1900:] > 20).all()
+    assert len(drawn) == 2000 and set(fits) == {(c, t) for c in x for t in (-1, 0)}
+
+
+def test_ranks_by_refinement(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.standard_normal(1000), np.zeros(40), [3.0] * 30, [1e200]])
+    groups = robust.Groups(spark.createDataFrame([(1, [v]) for v in x.tolist()], "cluster int, y array<double>"), 1, 0, 0)
+    fit = {(1, -1): [robust.Fit(np.zeros(1), np.eye(1), 0.0)]}
+    square = np.sort(x * x)
+    for k in (0, 1, 38, 39, 40, 700, 1069, 1070):
+        got = groups.ranked(fit, lambda g, i: g, {(1, -1): k})[1, -1]
+        assert got == (square[k], square[min(k + 1, len(x) - 1)])
+
+
+def test_robust_pvalues_find_masked_outliers(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.standard_normal((180, 3)), rng.standard_normal((20, 3)) * 0.1 + 8])
-    p, null = statistics.robust_pvalues(x, 1)
-    assert len(null) == 20 * len(x) and (null < 0.01).mean() == pytest.approx(0.01, abs=0.002)
-    assert (p[180:] < 1e-6).all() and (p[:180] < 0.01).mean() < 0.06
+    rows = [(i, r.tolist(), 0, False) for i, r in enumerate(x)] + [(900 + i, [1.0, 2.0, 3.0], 1, False) for i in range(12)] + [(-1, [0.0] * 3, 2, True)]
+    found, null = statistics.cluster_pvalues(spark.createDataFrame(rows, "k long, y array<double>, cluster int, rare boolean"), "k", 3, 1)
+    p = {r["k"]: r["p"] for r in found.collect()}
+    null = np.array([r["p"] for r in null.collect()])
+    assert len(null) == 20 * 212 and len(p) == 213 and p[-1] == 0
+    assert (null < 0.01).mean() == pytest.approx(0.01, abs=0.003)
+    assert all(p[k] < 1e-6 for k in range(180, 200)) and np.mean([p[k] < 0.01 for k in range(180)]) < 0.06
+    assert all(p[900 + i] == 1 for i in range(12))
+
+
+@pytest.mark.parametrize(("cells", "few"), [(1024, 512), (4, 3), (16, 1)])
+def test_quantiles_by_refinement(spark, cells, few):
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(["a", "b", None], p=[0.9, 0.07, 0.03]), float(v), float(int(v * 3)), None) for v in rng.standard_normal(700) ** 3]
+    rows += [("a", 1e300, None, None), ("b", -1e300, float("nan"), None), ("c", None, None, None), ("d", 5.0, 1.0, None), ("a", float("inf"), 7.0, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, z double")
+    values, shares = {c: F.col(c) for c in "xyz"}, [0.0, 0.25, 0.5, 0.9, 1.0]
+    clean = lambda g, i: np.array([r[i] for r in rows if (g is ... or r[0] == g) and r[i] is not None and r[i] == r[i]])
+    for by in (None, ["g"]):
+        got = {r["g"] if by else ...: r for r in selection.quantiles(df, values, shares, by, {"n": F.count("*")}, cells, few).collect()}
+        assert set(got) == ({"a", "b", "c", "d", None} if by else {...})
+        for g, r in got.items():
+            assert r["n"] == sum(g is ... or x[0] == g for x in rows)
+            for i, c in enumerate("xyz", 1):
+                held = clean(g, i)
+                for k, s in enumerate(shares):
+                    assert (r[f"{c}_{k}"] is None) == (not len(held))
+                    if len(held):
+                        at = s * (len(held) - 1)
+                        low, high = np.sort(held)[[int(at), min(int(at) + 1, len(held) - 1)]]
+                        assert r[f"{c}_{k}"] == pytest.approx(low * (1 - at % 1) + (high * (at % 1) if at % 1 else 0), rel=1e-12)
 
 
 def test_gram_gives_the_ridge_solution(spark):
