@@ -1,13 +1,20 @@
-"""Array groups (Zarr version 3, regular chunks along the first axis) as long tables."""
+"""Array groups (Zarr version 3, regular chunk grids) as long tables."""
 
 from __future__ import annotations
 
+import gzip
+import json
+import re
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tarnweave.sources.files import listing, read_range
+from tarnweave.sources.files import located
 
 _META = (
     "node_type string, shape array<long>, data_type string, chunk_grid struct<configuration:struct<chunk_shape:array<long>>>,"
@@ -35,53 +42,157 @@ def attributes(meta: DataFrame, schema: str) -> DataFrame:
     return meta.where("node_type = 'group' and array = ''").select("episode_hash", F.from_json("attributes", schema).alias("a")).select("episode_hash", "a.*")
 
 
-def read_arrays(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
-    """(episode_hash, array, row, values, ok, error): the arrays' rows, flattened, up to the group's
-    total_frames where it says so. A chunk that can't be read is one row with its error; chunks that
-    aren't stored have no rows. A task reads its chunks only."""
-    meta = metadata(spark, path)
-    frames = attributes(meta, "total_frames long")
-    arrays = meta.where("node_type = 'array'")
-    if names is not None:
-        arrays = arrays.where(F.col("array").isin(names))
-    chunks = listing(spark, path).select(
-        F.regexp_extract("path", _KEY, 1).alias("episode_hash"), F.regexp_extract("path", _KEY + r"(.*)/c/[0-9/]+$", 2).alias("array"),
-        F.regexp_extract("path", r"/c/(\d+)[0-9/]*$", 1).alias("chunk"), "path", "bytes",
-    ).where("array <> '' and chunk <> ''")
-    todo = chunks.join(arrays, ["episode_hash", "array"]).join(frames, "episode_hash", "left")
-
-    def decoded(row: dict) -> tuple[np.ndarray, int]:
-        raw = read_range(row["path"], 0, row["bytes"])
-        if unknown := set(row["codecs"]) - {"bytes", "zstd"}:
-            raise ValueError(f"codecs {sorted(unknown)}")
-        if row["shape"][1:] != row["chunk_shape"][1:]:
-            raise ValueError("chunks along another axis than the first")
-        if "zstd" in row["codecs"]:
+SCHEMA = "episode_hash string, array string, row long, values array<double>, ok boolean, error string"
+_GROUP = re.compile(r"([0-9a-f]{24})(?:\..*)?")
+#: Bounds that a filter on ``row`` gives, as what they add to a half-open range.
+_LOWER, _UPPER = {"GreaterThanOrEqual": 0, "GreaterThan": 1}, {"LessThan": 0, "LessThanOrEqual": 1}
+
+
+def fill_value(said) -> float:
+    """A stored fill value as a number; JSON has names for what isn't finite."""
+    return float({"NaN": "nan", "Infinity": "inf", "-Infinity": "-inf"}.get(said, said) if isinstance(said, str) else said or 0)
+
+
+def decoded_chunk(raw: bytes, meta: dict) -> np.ndarray:
+    """One stored chunk as numbers, by the codecs that its array names, last first."""
+    order = "<"
+    for codec in reversed(meta["codecs"]):
+        name, options = codec["name"], codec.get("configuration") or {}
+        if name == "zstd":
             import zstandard
 
             raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
-        table = np.frombuffer(raw, np.dtype(row["data_type"]).newbyteorder("<")).reshape(row["chunk_shape"][0], -1)
-        first = int(row["chunk"]) * row["chunk_shape"][0]
-        last = min(row["shape"][0], row["total_frames"] if row["total_frames"] is not None else row["shape"][0])
-        return table[: max(0, last - first)].astype(float), first
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                key, name = row["episode_hash"], row["array"]
+        elif name == "gzip":
+            raw = gzip.decompress(raw)
+        elif name == "crc32c":
+            raw = raw[:-4]
+        elif name == "bytes":
+            order = ">" if options.get("endian") == "big" else "<"
+        else:
+            raise ValueError(f"codec {name}")
+    shape = meta["chunk_grid"]["configuration"]["chunk_shape"]
+    return np.frombuffer(raw, np.dtype(meta["data_type"]).newbyteorder(order)).reshape(shape)
+
+
+def band(meta: dict, first: int, read: Callable[[str], bytes | None], limit: int, separator: str = "/") -> np.ndarray:
+    """The rows (up to ``limit``) of the chunks that begin at row ``first``, each chunk at the place that its
+    index says, the fill value where none is stored."""
+    shape, grid = meta["shape"], meta["chunk_grid"]["configuration"]["chunk_shape"]
+    rows = min(first + grid[0], limit) - first
+    out = np.full([rows, *shape[1:]], fill_value(meta.get("fill_value")))
+    for rest in np.ndindex(*(-(-n // c) for n, c in zip(shape[1:], grid[1:], strict=True))):
+        raw = read(separator.join(map(str, ("c", first // grid[0], *rest))))
+        if raw is not None:
+            place = tuple(slice(k * c, min((k + 1) * c, n)) for k, c, n in zip(rest, grid[1:], shape[1:], strict=True))
+            there = out[(slice(None), *place)]
+            there[...] = decoded_chunk(raw, meta)[tuple(map(slice, there.shape))]
+    return out
+
+
+class ArrayGroups(DataSource):
+    """Groups of arrays, one below each episode's folder under ``path``, as rows of SCHEMA. Options:
+    ``path``, ``episodes_per_task``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "array_groups"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> ArrayReader:
+        return ArrayReader(self.options["path"], int(self.options.get("episodes_per_task", 4)))
+
+
+class ArrayReader(DataSourceReader):
+    """Filters on episode, array and row choose folders, arrays and chunks before anything is read of
+    them; all of them are applied again to the rows. The driver lists the episodes' folders, no more."""
+
+    def __init__(self, path: str, per_task: int):
+        self.path, self.per_task = path.rstrip("/"), per_task
+        self.episodes: set | None = None
+        self.names: set | None = None
+        self.low, self.high = 0, None
+
+    def pushFilters(self, filters):
+        for f in filters:
+            column = f.attribute[0] if getattr(f, "attribute", None) else None
+            if column in ("episode_hash", "array") and type(f).__name__ in ("EqualTo", "In"):
+                chosen = set(f.value) if type(f).__name__ == "In" else {f.value}
+                kind = "episodes" if column == "episode_hash" else "names"
+                before = getattr(self, kind)
+                setattr(self, kind, chosen if before is None else before & chosen)
+            elif column == "row" and isinstance(getattr(f, "value", None), int):
+                name = type(f).__name__
+                if name in _LOWER or name == "EqualTo":
+                    self.low = max(self.low, f.value + _LOWER.get(name, 0))
+                if name in _UPPER or name == "EqualTo":
+                    high = f.value + _UPPER.get(name, 1)
+                    self.high = high if self.high is None else min(self.high, high)
+            yield f
+
+    def partitions(self) -> list[InputPartition]:
+        system, root = located(self.path)
+        found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        groups = [(m[1], i.base_name) for i in found if i.type == fs.FileType.Directory and (m := _GROUP.fullmatch(i.base_name))]
+        names = sorted(name for key, name in groups if self.episodes is None or key in self.episodes)
+        return [InputPartition(names[k : k + self.per_task]) for k in range(0, len(names), self.per_task)] or [InputPartition([])]
+
+    def read(self, partition) -> Iterator[pa.RecordBatch]:
+        system, root = located(self.path)
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.bool_(), pa.string()]
+        batch = lambda columns: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [c.split()[0] for c in SCHEMA.split(", ")])
+
+        def content(name: str) -> bytes | None:
+            try:
+                with system.open_input_file(name) as f:
+                    return f.read()
+            except FileNotFoundError:
+                return None
+
+        for folder in partition.value:
+            key, base = _GROUP.fullmatch(folder)[1], f"{root}/{folder}"
+            try:
+                group = json.loads(content(f"{base}/zarr.json") or b"{}").get("attributes", {})
+                names = sorted(self.names if self.names is not None else self._arrays(system, base))
+            except Exception as e:  # a bad group is a row, not a failed task
+                yield batch([[key], [None], [None], [None], [False], [f"{type(e).__name__}: {e}"]])
+                continue
+            for name in names:
                 try:
-                    table, first = decoded(row)
-                    n = len(table)
-                    columns = [[key] * n, [name] * n, np.arange(first, first + n), table.tolist(), [True] * n, [None] * n]
-                except Exception as e:  # a bad chunk is a row, not a failed task
-                    columns = [[key], [name], [None], [None], [False], [f"{type(e).__name__}: {e}"]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], out)
-
-    out = ["episode_hash", "array", "row", "values", "ok", "error"]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.bool_(), pa.string()]
-    return todo.select("episode_hash", "array", "chunk", "path", "bytes", "shape", "data_type", "chunk_shape", "codecs", "total_frames").mapInArrow(
-        run, "episode_hash string, array string, row long, values array<double>, ok boolean, error string"
-    )
+                    stored = content(f"{base}/{name}/zarr.json")
+                    if stored is None:
+                        continue
+                    meta = json.loads(stored)
+                    if meta["node_type"] != "array" or not meta["shape"]:
+                        continue
+                    key_encoding = (meta.get("chunk_key_encoding") or {}).get("configuration") or {}
+                    frames = group.get("total_frames")
+                    limit = min(n for n in (meta["shape"][0], frames, self.high) if n is not None)
+                    step = meta["chunk_grid"]["configuration"]["chunk_shape"][0]
+                    for first in range(self.low // step * step, limit, step):
+                        table = band(meta, first, lambda chunk: content(f"{base}/{name}/{chunk}"), limit, key_encoding.get("separator", "/"))  # noqa: B023
+                        n = len(table)
+                        rows = table.reshape(n, -1)
+                        values = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+                        yield batch([[key] * n, [name] * n, np.arange(first, first + n), values, [True] * n, [None] * n])
+                except Exception as e:  # a bad array is a row, not a failed task
+                    yield batch([[key], [name], [None], [None], [False], [f"{type(e).__name__}: {e}"]])
+
+    @staticmethod
+    def _arrays(system: fs.FileSystem, base: str) -> list[str]:
+        found = system.get_file_info(fs.FileSelector(base, recursive=True))
+        return [i.path[len(base) + 1 : -len("/zarr.json")] for i in found if i.base_name == "zarr.json" and len(i.path) > len(base) + len("/zarr.json")]
+
+
+def read_arrays(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """(episode_hash, array, row, values, ok, error): the arrays' rows, flattened, up to the group's
+    total_frames where it says so; chunks that aren't stored hold the fill value. An array that can't
+    be read is one row with its error. Filters by array, episode and row are pushed to the reader."""
+    spark.dataSource.register(ArrayGroups)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    rows = spark.read.format("array_groups").option("path", path).load()
+    return rows if names is None else rows.where(F.col("array").isin(names))
 
 
 def pose_rows(arrays: DataFrame) -> DataFrame:

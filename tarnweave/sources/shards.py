@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnweave.sources.files import listing, read_range
+from tarnweave.sources.files import listing, located, read_range
 
 ENTRIES, CRC_BYTES = 1000, 4
 INDEX_BYTES = ENTRIES * 16 + CRC_BYTES
@@ -26,11 +27,12 @@ def shard_index(tail: bytes) -> tuple[np.ndarray, np.ndarray]:
     return offset, np.where(empty, -1, size)
 
 
-def frame_sizes(spark: SparkSession, path: str) -> DataFrame:
+def frame_sizes(spark: SparkSession, path: str, camera: str | None = None) -> DataFrame:
     """(episode_hash, frame_idx, path, offset, bytes, ok, error) of the frames that shards under
     ``path/<episode>/.../<n>`` hold, shards in numeric order; a shard that can't be read gives one
-    row with its error. Of each shard only the index at its end is read."""
-    shards = listing(spark, path).select(
+    row with its error. Of each shard only the index at its end is read; ``camera`` names the array."""
+    files = listing(spark, path)
+    shards = (files.where(F.col("path").contains(f"/{camera}/c/")) if camera else files).select(
         F.regexp_extract("path", r"/([0-9a-f]{24})/", 1).alias("episode_hash"),
         F.regexp_extract("path", r"(\d+)[^/0-9]*$", 1).cast("int").alias("shard"), "path",
     )
@@ -64,29 +66,68 @@ def exploded_sizes(episodes: DataFrame, key: str, sizes: str = "sizes") -> tuple
     return frames, episodes.drop(sizes)
 
 
-def fetch_frames(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(episode_hash, frame_idx, content): the wanted frames' bytes, from their picture marker on.
-    ``index``: rows of ``frame_sizes``; frames that aren't there are left out, and only the wanted
-    frames' own bytes are read."""
+def _runs(rows: list[dict], gap: int, most: int) -> list[list[dict]]:
+    """Rows of one shard in the order of their offsets, those together that one read may serve."""
+    out: list[list[dict]] = []
+    for row in rows:
+        last = out[-1] if out else None
+        if last and row["offset"] <= last[-1]["offset"] + last[-1]["bytes"] + gap and row["offset"] + row["bytes"] - last[0]["offset"] <= most:
+            last.append(row)
+        else:
+            out.append([row])
+    return out
+
+
+def fetch_frames(index: DataFrame, wanted: DataFrame, gap: int = 4096, most: int = 8 << 20) -> DataFrame:
+    """(episode_hash, frame_idx, content, ok, error, read): the wanted frames' bytes, from their
+    picture marker on. ``index``: rows of ``frame_sizes``; frames that aren't there are left out.
+
+    A shard's frames meet in one task, which opens it once and takes frames that adjoin, or have no
+    more than ``gap`` bytes between them, by one read of up to ``most`` bytes; ``read`` says what a
+    read took, at its first frame. A frame that can't be read is a row with its error."""
     found = index.where("ok").join(wanted.select("episode_hash", "frame_idx").distinct(), ["episode_hash", "frame_idx"])
+    dealt = found.select("episode_hash", "frame_idx", "path", "offset", "bytes").repartition("path").sortWithinPartitions("path", "offset")
 
-    def run(batches):
-        import zstandard
+    def shown(raw: bytes) -> bytes:
+        if raw[:4] == b"\x28\xb5\x2f\xfd":
+            import zstandard
 
+            raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+        start = raw.find(b"\xff\xd8\xff")
+        if start < 0:
+            raise ValueError("no picture in the frame")
+        return raw[start:]
+
+    def run(batches):
+        handle, opened = None, None
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                raw = read_range(row["path"], row["offset"], row["bytes"])
-                if raw[:4] == b"\x28\xb5\x2f\xfd":
-                    raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
-                start = raw.find(b"\xff\xd8\xff")
-                rows.append({"episode_hash": row["episode_hash"], "frame_idx": row["frame_idx"], "content": raw[max(start, 0) :]})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("episode_hash", pa.string()), ("frame_idx", pa.int64()), ("content", pa.binary())]))
-
-    return found.select("episode_hash", "frame_idx", "path", "offset", "bytes").mapInArrow(
-        run, "episode_hash string, frame_idx long, content binary"
-    )
+            rows = batch.to_pylist()
+            for path, own in groupby(rows, key=lambda r: r["path"]):
+                for together in _runs(list(own), gap, most):
+                    first, end = together[0]["offset"], max(r["offset"] + r["bytes"] for r in together)
+                    try:
+                        if opened != path:
+                            system, name = located(path)
+                            handle, opened = system.open_input_file(name), path
+                        handle.seek(first)
+                        raw, failed = handle.read(end - first), None
+                    except Exception as e:  # whatever a store raises
+                        raw, failed, opened = b"", e, None
+                    out = []
+                    for row in together:
+                        at = row["offset"] - first
+                        read = len(raw) if row is together[0] else 0
+                        try:
+                            if failed:
+                                raise failed
+                            out.append((row["episode_hash"], row["frame_idx"], shown(raw[at : at + row["bytes"]]), True, None, read))
+                        except Exception as e:  # a bad frame is a row, not a failed task
+                            out.append((row["episode_hash"], row["frame_idx"], None, False, f"{type(e).__name__}: {e}", read))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    names = ["episode_hash", "frame_idx", "content", "ok", "error", "read"]
+    kinds = [pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.int64()]
+    return dealt.mapInArrow(run, "episode_hash string, frame_idx long, content binary, ok boolean, error string, read long")
 
 
 def decoded(frames: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
