@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnweave.llm.packing import Encoder, PackParams, _Table
@@ -19,7 +21,8 @@ from tarnweave.session import stash
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
 #: Bytes that a worker's tables of words and of their parts hold before they start anew.
-WORD_BYTES, PART_BYTES = 56 << 20, 48 << 20
+WORD_BYTES, PART_BYTES = 80 << 20, 56 << 20
+BATCH_ROWS = 1024
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
 
@@ -107,6 +110,18 @@ class Projector:
         return v @ self.directions / max(np.sqrt(v @ v), 1e-9)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts go to the workers by BATCH_ROWS at a time while the block runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _tokenised(docs: DataFrame, p: CurveParams) -> DataFrame:
     """(id, n, raw, crc, at): ids as little-endian words of 2 bytes where all fit, else of 4."""
 
@@ -206,7 +221,8 @@ def pack_along_curve(docs: DataFrame, params: CurveParams, id_col: str = "doc_id
     on their own; null ids stay null, others must be whole numbers. An empty table gives an empty
     result; other columns are ignored, whatever their names."""
     p = params
-    rows = stash(_tokenised(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), p))
+    with _small_batches(docs.sparkSession):
+        rows = stash(_tokenised(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), p))
     rows, count, total = keyed(rows, p)
     parts = min(MOST_RANGES, max(1, -(-total // p.range_tokens)))
     cuts = [k / parts for k in range(1, parts)] if count else []
