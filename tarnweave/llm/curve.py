@@ -11,7 +11,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnweave.llm.packing import Encoder, PackParams, _Table
@@ -21,7 +21,7 @@ from tarnweave.session import stash
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
 #: Bytes that a worker's tables of words and of their parts hold before they start anew.
-WORD_BYTES, PART_BYTES = 80 << 20, 56 << 20
+WORD_BYTES, PART_BYTES = 112 << 20, 64 << 20
 BATCH_ROWS = 1024
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
@@ -143,29 +143,34 @@ def _tokenised(docs: DataFrame, p: CurveParams) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, raw binary, crc long, at array<long>")
 
 
-def keyed(rows: DataFrame, p: CurveParams) -> tuple[DataFrame, int, int]:
-    """``rows`` with their ``key`` on the curve; how many there are, and their tokens.
+def cells_of(rows: DataFrame, p: CurveParams) -> tuple[list[Column], int, int]:
+    """Each row's cell along each axis, an expression; how many rows there are, and their tokens.
 
     Coordinates are centred and scaled over all rows and pass a logistic curve, so that cells fill
-    about evenly. The key's low bits are a hash of id and content."""
+    about evenly."""
     at = [F.col("at")[j] for j in range(p.dims)]
     moments = [f(x.cast("decimal(38,0)")) for x in at for f in (F.sum, lambda x: F.sum(x * x))]
     count, tokens, *sums = rows.agg(F.count("*"), F.sum("n"), *moments).first()
-    if not count:
-        return rows.withColumn("key", F.lit(0).cast("long")), 0, 0
     cells = []
-    for j, x in enumerate(at):
+    for j, x in enumerate(at if count else []):
         mean = float(sums[2 * j]) / count
         spread = max(float(sums[2 * j + 1]) / count - mean * mean, 0.0) ** 0.5 or 1.0
         share = F.lit(1.0) / (F.exp((x - F.lit(mean)) * F.lit(-1.702 / spread)) + 1.0)
         cells.append(F.least(F.floor(share * (1 << p.bits)), F.lit((1 << p.bits) - 1)).cast("long"))
+    return cells, count, tokens or 0
+
+
+def keyed(rows: DataFrame, cells: list[Column], bounds: np.ndarray, p: CurveParams) -> DataFrame:
+    """``rows`` with ``at``: their key on the curve and the range between ``bounds`` that it is in.
+    The key's low bits are a hash of id and content."""
 
-    @F.pandas_udf("long")
-    def place(*axes: pd.Series) -> pd.Series:
-        return pd.Series(hilbert(np.column_stack(axes), p.bits))
+    @F.pandas_udf("struct<key long, range int>")
+    def place(tie: pd.Series, *axes: pd.Series) -> pd.DataFrame:
+        key = hilbert(np.column_stack(axes), p.bits) << p.tie_bits | tie.to_numpy()
+        return pd.DataFrame({"key": key, "range": np.searchsorted(bounds, key, "right").astype(np.int32)})
 
     tie = F.shiftrightunsigned(F.xxhash64("id", "crc", "n"), 64 - p.tie_bits)
-    return rows.withColumn("key", F.shiftleft(place(*cells), p.tie_bits).bitwiseOR(tie)), count, tokens
+    return rows.withColumn("at", place(tie, *cells))
 
 
 def _ends(total: int, capacity: int) -> np.ndarray:
@@ -223,20 +228,18 @@ def pack_along_curve(docs: DataFrame, params: CurveParams, id_col: str = "doc_id
     p = params
     with _small_batches(docs.sparkSession):
         rows = stash(_tokenised(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), p))
-    rows, count, total = keyed(rows, p)
+    cells, count, total = cells_of(rows, p)
+    if not count:
+        return _cut(rows.selectExpr("id", "n", "raw", "0L as begin"), 0, p).withColumnRenamed("id", id_col)
     parts = min(MOST_RANGES, max(1, -(-total // p.range_tokens)))
-    cuts = [k / parts for k in range(1, parts)] if count else []
-    bounds = np.unique(np.array(rows.approxQuantile("key", cuts, 0.25 / parts) if cuts else [], np.int64))
-
-    @F.pandas_udf("int")
-    def stretch(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), "right").astype(np.int32))
-
-    rows = rows.withColumn("range", stretch("key"))
-    sums = {r["range"]: r["n"] for r in rows.groupBy("range").agg(F.sum("n").alias("n")).collect()}
+    shares = [k / parts for k in range(1, parts)]
+    keys = keyed(rows, cells, np.empty(0, np.int64), p).select("at.key")
+    bounds = np.unique(np.array(keys.approxQuantile("key", shares, 0.25 / parts) if shares else [], np.int64))
+    dealt = keyed(rows, cells, bounds, p).select("id", "n", "raw", "crc", "at.key", "at.range")
+    sums = {r["range"]: r["total"] for r in dealt.groupBy("range").agg(F.sum("n").alias("total")).collect()}
     before = np.cumsum([0] + [sums.get(k, 0) for k in range(len(bounds))])
     firsts = F.broadcast(docs.sparkSession.createDataFrame([(k, int(x)) for k, x in enumerate(before)], "range int, first long"))
     along = Window.partitionBy("range").orderBy("key", "id", "crc", "n").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("upto", F.sum("n").over(along)).join(firsts, "range")
+    placed = dealt.withColumn("upto", F.sum("n").over(along)).join(firsts, "range")
     placed = placed.select("id", "n", "raw", (F.col("first") + F.col("upto") - F.col("n")).alias("begin"))
     return _cut(placed, total, p).withColumnRenamed("id", id_col)
