@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,85 @@ def squared_error(sums: dict, w: np.ndarray) -> float:
     return float((s - 2 * (w * h).sum() + (w * (g @ w)).sum()) / (sums["n"] * y))
 
 
+def gram_arrays(trajectories: DataFrame, key: str, order: str = "frame_idx", values: str = "values", history: int = 1, horizon: int = 15) -> DataFrame:
+    """(key, width, n, sums): of each trajectory's windows (``history`` rows of all dimensions, and the
+    way to ``horizon`` steps on; the last possible start is left out) the sums that a ridge needs,
+    end to end: of products of (1, observed), of those with the actions, and of squared actions.
+
+    An episode comes as one array and leaves as one; its windows exist in the worker alone."""
+    steps = F.array_sort(F.collect_list(F.struct(order, F.col(values).alias("v"))))
+    whole = trajectories.groupBy(key).agg(steps.alias("t")).select(key, F.flatten("t.v").alias("t"), F.size(F.col("t.v")[0]).alias("width"))
+
+    @F.pandas_udf("struct<n long, sums array<double>>")
+    def sums(t: pd.Series, width: pd.Series) -> pd.DataFrame:
+        rows = []
+        for flat, d in zip(t, width, strict=True):
+            x = np.asarray(flat, float).reshape(-1, d)
+            n = len(x) - horizon - history
+            if n < 1:
+                rows.append((0, []))
+                continue
+            seen = np.lib.stride_tricks.sliding_window_view(x, history, axis=0)[:n].transpose(0, 2, 1).reshape(n, -1)
+            action = x[history - 1 + horizon :][:n] - x[history - 1 :][:n]
+            known = np.column_stack([np.ones(n), seen])
+            rows.append((n, np.concatenate([(known.T @ known).ravel(), (known.T @ action).ravel(), [(action**2).sum()]])))
+        return pd.DataFrame(rows, columns=["n", "sums"])
+
+    found = whole.select(key, "width", sums("t", "width").alias("s"))
+    return found.select(key, F.col("width").cast("long").alias("width"), "s.n", "s.sums").where("n > 0")
+
+
+def added_arrays(rows: DataFrame, by: str) -> dict:
+    """value of ``by`` -> (n, sums) over its rows: partial sums of arrays in each task, then of those."""
+
+    def partial(batches):
+        held: dict = {}
+        for batch in batches:
+            for k, n, s in zip(batch[by].to_pylist(), batch["n"].to_pylist(), batch["sums"], strict=True):
+                row = np.concatenate([[n], s.values.to_numpy(zero_copy_only=False)])
+                held[k] = held[k] + row if k in held else row
+        for k, row in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([int(row[0])], pa.int64()), pa.array([row[1:]])], [by, "n", "sums"])
+
+    schema = f"{by} long, n long, sums array<double>"
+    total = rows.select(F.col(by).cast("long").alias(by), "n", "sums").mapInArrow(partial, schema).groupBy(by).applyInArrow(lambda table: next(_added(table, by)), schema)
+    return {r[by]: (r["n"], np.array(r["sums"])) for r in total.collect()}  # a row for each model
+
+
+def _added(table: pa.Table, by: str):
+    sums = np.stack([s.values.to_numpy(zero_copy_only=False) for s in table["sums"]]).sum(axis=0)
+    yield pa.table({by: table[by][:1], "n": pa.array([sum(table["n"].to_pylist())], pa.int64()), "sums": pa.array([sums])})
+
+
+def _parts(sums: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gram matrix, cross products and squared actions out of one array of ``gram_arrays``."""
+    p = next(p for p in range(1, len(sums)) if p * p + p * d + 1 == len(sums))
+    return sums[: p * p].reshape(p, p), sums[p * p : -1].reshape(p, d), float(sums[-1])
+
+
+def sweep_trajectories(sums: DataFrame, scores: DataFrame, key: str, group: str, seeds: int = 5, most: int = 6) -> tuple[DataFrame, float]:
+    """(rows of ``sweep``, the error of all of the pool): the same judgement from ``gram_arrays``, of
+    any number of dimensions. Only episodes of the most dimensions are compared: a model has one width."""
+    widest = sums.agg(F.max("width")).first()[0]
+    known = stash(sums.where((F.col("n") >= MIN_STEPS) & (F.col("width") == widest)).join(scores.select(key, group, "score", "hard"), key))
+    held = heldout_operators(known, group, most)
+    test_n, test = added_arrays(known.join(held, group, "left_semi").withColumn("arm", F.lit(0)), "arm")[0]
+    pool = stash(known.join(held, group, "left_anti"))
+    rankable = stash(pool.where(~F.coalesce(F.col("hard"), F.lit(False))))
+    size = rankable.count()
+    fitted = rankable.select(key, "n", "sums").join(arms(rankable, key, "score", size, seeds), key)
+    every = pool.withColumn("arm", F.lit(-1)).select("arm", "n", "sums").unionByName(fitted.select("arm", "n", "sums"))
+    tg, th, ts = _parts(test, widest)
+
+    def error(n: int, s: np.ndarray) -> float:
+        g, h, _ = _parts(s, widest)
+        w = np.linalg.solve(g + RIDGE * n * np.eye(len(g)), h)
+        return float((ts - 2 * (w * th).sum() + (w * (tg @ w)).sum()) / (test_n * widest))
+
+    mse = {arm: error(n, s) for arm, (n, s) in added_arrays(every, "arm").items()}
+    return _swept(sums, mse, size, seeds), mse[-1]
+
+
 def heldout_operators(df: DataFrame, group: str, most: int = 6) -> DataFrame:
     """Every third operator by number of rows, ``most`` of them."""
     counted = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
@@ -84,6 +165,10 @@ def sweep(sums: DataFrame, scores: DataFrame, key: str, group: str, x: int, y: i
     chosen = arms(pool, key, "score", size, seeds).groupBy(key).agg(F.collect_list("arm").alias("arms"))
     fitted = pool.select(key, *names).join(chosen, key).select(*names, F.explode("arms").alias("arm")).groupBy("arm").agg(*added)
     mse = {r["arm"]: squared_error(test, solve(r.asDict(), x, y)) for r in fitted.collect()}  # one row per model
+    return _swept(sums, mse, size, seeds)
+
+
+def _swept(sums: DataFrame, mse: dict[int, float], size: int, seeds: int) -> DataFrame:
     rows = []
     for tenth in range(1, 11):
         others = [mse[100 * tenth + 1 + s] for s in range(seeds)]

@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnweave.operators import robust
@@ -20,8 +20,8 @@ ALPHAS = (0.01, 0.05, 0.10, 0.25)
 #: Rows of a block, between two of which distances are measured at once, and parts
 #: that the blocks on one side of the comparison are dealt to.
 BLOCK_ROWS, BLOCK_PARTS = 512, 8
-#: Fixed value: rows that the first centres of k-means are drawn from, at most.
-START_ROWS = 4096
+#: Fixed value: rounds in which the first centres of k-means are gathered.
+START_ROUNDS = 5
 
 
 def cutoffs(tests: DataFrame, p: str, alphas: list[float]) -> dict[float, float | None]:
@@ -164,17 +164,72 @@ def rare_clusters(df: DataFrame, cluster: str, least: float = 0.01) -> DataFrame
     return df.join(marked, F.col(cluster).eqNullSafe(F.col("__c"))).drop("__c")
 
 
-def _first_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ (Arthur and Vassilvitskii 2007): each further centre with odds by squared distance."""
-    centres = [sample[rng.integers(len(sample))]]
-    near = ((sample - centres[0]) ** 2).sum(axis=1)
+def _first_centres(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ (Arthur and Vassilvitskii 2007) among weighted points: each further centre with odds
+    by weight times squared distance."""
+    odds = weights / weights.sum()
+    centres = [points[rng.choice(len(points), p=odds)]]
+    near = ((points - centres[0]) ** 2).sum(axis=1)
     for _ in range(k - 1):
-        odds = near / near.sum() if near.sum() > 0 else None
-        centres.append(sample[rng.choice(len(sample), p=odds)])
-        near = np.minimum(near, ((sample - centres[-1]) ** 2).sum(axis=1))
+        by = near * weights
+        centres.append(points[rng.choice(len(points), p=by / by.sum() if by.sum() > 0 else odds)])
+        near = np.minimum(near, ((points - centres[-1]) ** 2).sum(axis=1))
     return np.array(centres)
 
 
+def _race(hashes: np.ndarray, *salt: int) -> np.ndarray:
+    """Exponential variates that follow from rows' hashes: the rows with the least of these over their
+    weights are a sample by weight."""
+    x = hashes.view(np.uint64) ^ np.uint64(int(np.random.SeedSequence(salt).generate_state(1, np.uint64)[0]))
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return -np.log(((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53))
+
+
+def start_points(points: DataFrame, key: str, vector: str, most: int, restarts: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each restart points to begin from and their weights: k-means|| (Bahmani and others 2012).
+
+    All rows take part: START_ROUNDS times, those far from what was chosen so far enter by odds of
+    their squared distance, 2 * ``most`` of them; a point weighs as many rows as are nearest to it. A
+    round is a job over the rows for all restarts, of which a few rows each reach the driver."""
+    hashed = points.select(F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(vector).cast("array<double>").alias("v"))
+    chosen: list[np.ndarray] = []
+    for turn in range(START_ROUNDS + 1):
+        take = 2 * most if turn else 1
+
+        def draw(batches, chosen=chosen, turn=turn, take=take):
+            for batch in batches:
+                if batch.num_rows:
+                    x, h = _vectors(batch["v"]), batch["h"].to_numpy()
+                    for r in range(restarts):
+                        far = _nearest(x, chosen[r])[1] if turn else np.ones(len(x))
+                        at = np.full(len(x), np.inf)
+                        np.divide(_race(h, seed, r, turn), far, out=at, where=far > 0)
+                        first = np.argsort(at, kind="stable")[:take]
+                        first = first[np.isfinite(at[first])]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), r, np.int32)), pa.array(at[first]), batch["v"].take(pa.array(first))], ["r", "at", "v"])
+
+        drawn = hashed.mapInArrow(draw, "r int, at double, v array<double>")
+        place = F.row_number().over(Window.partitionBy("r").orderBy("at", "v"))
+        found = drawn.withColumn("place", place).where(F.col("place") <= take).select("r", "v").collect()  # 2 * most for each restart
+        new = [np.array([x["v"] for x in found if x["r"] == r]).reshape(-1, len(found[0]["v"]) if found else 0) for r in range(restarts)]
+        chosen = [np.concatenate([c, n]) if n.size else c for c, n in zip(chosen, new, strict=True)] if turn else new
+
+    def weigh(batches):
+        totals = [np.zeros(len(c)) for c in chosen]
+        for batch in batches:
+            if batch.num_rows:
+                for c, total in zip(chosen, totals, strict=True):
+                    total += np.bincount(_nearest(_vectors(batch["v"]), c)[0], minlength=len(c))
+        for r, total in enumerate(totals):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(total), r, np.int32)), pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["r", "i", "n"])
+
+    weights = [np.zeros(len(c)) for c in chosen]
+    for r, i, n in hashed.mapInArrow(weigh, "r int, i int, n double").groupBy("r", "i").agg(F.sum("n")).collect():  # a row for each point
+        weights[r][i] = n
+    return list(zip(chosen, weights, strict=True))
+
+
 def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     square = ((x[:, None] - centres) ** 2).sum(axis=2)
     at = square.argmin(axis=1)
@@ -190,11 +245,10 @@ def kmeans(points: DataFrame, key: str, vector: str, ks: list[int], restarts: in
 
     All runs of all k go through the rows together, one job a round, until no run moves its centres
     by more than ``tolerance`` of the vectors' variance; what reaches the driver is a count and a sum
-    per centre. Starts are drawn from a sample of START_ROWS rows at most; rounds take all rows."""
-    start = points.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(START_ROWS).select(vector).toPandas()
-    sample = np.stack(start[vector].to_numpy()).astype(float)
-    d = sample.shape[1]
-    runs = {(k, r): _first_centres(sample, k, np.random.default_rng([seed, k, r])) for k in ks for r in range(restarts)}
+    per centre. Starts and rounds take all rows."""
+    starts = start_points(points, key, vector, max(ks), restarts, seed)
+    d = starts[0][0].shape[1]
+    runs = {(k, r): _first_centres(*starts[r], k, np.random.default_rng([seed, k, r])) for k in ks for r in range(restarts)}
     spread = points.agg(*(F.var_pop(F.element_at(vector, i + 1)) for i in range(d))).first()
     least, costs, moving = tolerance * float(np.mean(spread)), {}, list(runs)
     added = [F.sum(c).alias(c) for c in ("n", "cost", *(f"s{i}" for i in range(d)))]

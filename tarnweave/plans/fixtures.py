@@ -116,3 +116,51 @@ def byte_encoder():
         return np.array(counts, float) + 1
 
     return encode
+
+
+def recordings(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of whole episodes: twenty embeddings each as poses of both hands and the head, keypoints
+    and stamps, of which eighteen are frames, and a shard of pictures. Hands, head and stamps aren't
+    there for all; a block of the head's array isn't stored; some arrays and pictures can't be read."""
+    folder = new_folder(spark)
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 20).alias("e"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+
+    def stored(root: str, name: str, table: np.ndarray, chunks: list[int], codecs=("bytes",), fill=0.0, absent=()) -> None:
+        import zstandard
+
+        meta = {"zarr_format": 3, "node_type": "array", "shape": table.shape, "data_type": str(table.dtype), "fill_value": fill}
+        meta |= {"chunk_grid": {"name": "regular", "configuration": {"chunk_shape": chunks}}, "codecs": [{"name": c} for c in codecs]}
+        write_file(f"{root}/{name}/zarr.json", json.dumps(meta).encode())
+        for at in np.ndindex(*(-(-n // c) for n, c in zip(table.shape, chunks, strict=True))):
+            if at not in absent:
+                part = table[tuple(slice(i * c, (i + 1) * c) for i, c in zip(at, chunks, strict=True))]
+                raw = np.pad(part, [(0, c - n) for n, c in zip(part.shape, chunks, strict=True)]).tobytes()
+                raw = zstandard.ZstdCompressor().compress(raw) if "zstd" in codecs else raw
+                write_file(f"{root}/{name}/c/{'/'.join(map(str, at))}", raw)
+
+    def write(part: pd.DataFrame) -> None:
+        part = part.sort_values("vec_id")
+        k, ids, x = int(part["e"].iloc[0]), part["vec_id"].to_numpy(), np.stack(part["v"].to_numpy())
+        root = f"{folder}/{k + 1:024x}"
+        attributes = {"total_frames": 18} | ({"fps": 25.0} if k % 4 == 1 else {})
+        write_file(f"{root}/zarr.json", json.dumps({"zarr_format": 3, "node_type": "group", "attributes": attributes}).encode())
+        stored(root, "right.obs_ee_pose", x[:, 7:14], [6, 7], ("bytes", "blosc") if k % 7 == 6 else ("bytes",))
+        if k % 3:
+            stored(root, "left.obs_ee_pose", x[:, :7], [6, 7], ("bytes", "zstd"))
+        if k % 5:
+            stored(root, "obs_head_pose", x[:, 14:21], [5, 3], ("bytes", "zstd"), 0.25, {(1, 1)} if k % 5 == 1 else ())
+        if k % 3 == 1:
+            stored(root, "left.obs_keypoints", x[:, :63].astype("<f4"), [8, 63])
+        if k % 2 == 0:
+            t = np.arange(len(x), dtype="<i8")
+            stored(root, "obs_rgb_timestamps_ns", np.where(t < 17, 10**12 + t * 40_000_000, 0), [7])
+        table, body = np.full((reader.ENTRIES, 2), 2**64 - 1, "<u8"), b""
+        for t, i in enumerate(ids[:18]):
+            size = int(i % 40 + 5)
+            if t % 9 != 4:
+                table[t] = len(body), size
+                body += b"broken".ljust(size, b".")[:size] if k % 11 == 5 else b"xx\xff\xd8\xff" + b"p" * (size - 5)
+        write_file(f"{root}/images.front_1/c/0", body + table.tobytes() + b"crc!")
+
+    _written(e, ["e"], write)
+    return folder

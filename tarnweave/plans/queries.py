@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars as S
 from tarnweave.operators import ablation, catalog, geometry, ranking, reports, rules, scoring, series, statistics
-from tarnweave.plans import fixtures
+from tarnweave.plans import fixtures, scans
 from tarnweave.plans import manifest as plan
 from tarnweave.plans import stand_ins as I
 from tarnweave.session import read_table
@@ -120,10 +120,17 @@ def manifest_sorted(spark, sf_dir):
     return rounded(placed.select("at_row", "episode", "operator", "decision", "score", "reason", "flags"))
 
 
-@query("SELECT doc_id, source, lang FROM documents WHERE source = 'src0' AND lang = 'en' AND trim(coalesce(text, '')) <> '' AND doc_id % 10 <> 0")
+@query("SELECT doc_id, source, lang FROM documents WHERE source = 'src1' AND lang = 'en' AND trim(coalesce(text, '')) <> '' AND doc_id % 3 <> 0")
 def catalog_slice(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents").withColumn("is_deleted", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 10 == 0).otherwise(F.nullif(F.col("doc_id") % 10 == 0, F.lit(False))))
-    return catalog.live_slice(d, F.col("source") == "src0", F.col("lang") == "en", "text", "is_deleted").select("doc_id", "source", "lang")
+    gone = F.when(F.col("doc_id") % 3 == 0, True).when(F.col("doc_id") % 3 == 1, False)  # null where unknown: not deleted
+    d = read_table(spark, sf_dir, "documents").withColumn("is_deleted", gone)
+    return catalog.live_slice(d, F.col("source") == "src1", F.col("lang") == "en", "text", "is_deleted").select("doc_id", "source", "lang")
+
+
+@query("SELECT doc_id FROM documents WHERE source = 'src1' AND lang = 'en' AND trim(coalesce(text, '')) <> ''")
+def catalog_slice_without_deletions(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return catalog.live_slice(d, F.col("source") == "src1", F.col("lang") == "en", "text", "is_deleted").select("doc_id")
 
 
 @query("""WITH o AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS pos, greatest(1, count(*) OVER () // 24) AS k FROM documents)
@@ -372,8 +379,8 @@ def project_points(spark, sf_dir):
     return _seen(spark, sf_dir).select("vec_id", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
 
 
-@query(f"""WITH {_SEEN}, s AS (SELECT episode, min(u) AS lu, max(u) AS hu, min(v) AS lv, max(v) AS hv FROM pr WHERE depth > 0.01 AND u BETWEEN 0 AND 639 AND v BETWEEN 0 AND 479 GROUP BY 1 HAVING count(*) >= 4),
-d AS (SELECT *, least(greatest(greatest(hu - lu, hv - lv) * 1.8::DOUBLE, 96), 480) AS d FROM s), b AS (SELECT episode, d, least(greatest((lu + hu) / 2 - d / 2, 0), 640 - d) AS x, least(greatest((lv + hv) / 2 - d / 2, 0), 480 - d) AS y FROM d)
+@query(f"""WITH {_SEEN}, s AS (SELECT episode, avg(u) AS mu, avg(v) AS mv, greatest(max(u) - min(u), max(v) - min(v)) AS reach FROM pr WHERE depth > 0.01 AND u > -640 AND u < 1280 GROUP BY 1 HAVING count(*) >= 4),
+d AS (SELECT *, least(greatest(reach * 1.8::DOUBLE, 96), 480) AS d FROM s), b AS (SELECT episode, d, least(greatest(mu - d / 2, 0), 640 - d) AS x, least(greatest(mv - d / 2, 0), 480 - d) AS y FROM d)
 SELECT episode, trunc(x)::BIGINT AS "left", trunc(y)::BIGINT AS top, trunc(x + d)::BIGINT AS "right", trunc(y + d)::BIGINT AS bottom FROM b""")
 def hand_box(spark, sf_dir):
     return geometry.hand_box(_seen(spark, sf_dir), "episode", 640, 480)
@@ -567,17 +574,25 @@ def eligible_rows(spark, sf_dir):
     return known.where((reason == "") & F.col("has_progress")).select("episode")
 
 
+def _whitened(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """All components of the vectors, standardised and turned to principal components, as the plan does."""
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    head = e.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    return statistics.whitened(e, "vec_id", "v", head["n"], head["d"])
+
+
 @query()
 def kmeans_choose_k(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("y"))
-    labelled, _ = statistics.choose_clusters(e, "vec_id", "y")
+    points, _ = _whitened(spark, sf_dir)
+    labelled, _ = statistics.choose_clusters(points, "vec_id", "y")
     return labelled.select("vec_id", "cluster")
 
 
 @query()
 def mcd_pvalues(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("y"), F.lit(0).alias("cluster"), F.lit(False).alias("rare"))
-    tested, _ = statistics.cluster_pvalues(e, "vec_id", 4)
+    points, dims = _whitened(spark, sf_dir)
+    labels = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster"))
+    tested, _ = statistics.cluster_pvalues(points.join(labels, "vec_id").withColumn("rare", F.lit(False)), "vec_id", dims)
     return rounded(tested.select("vec_id", "p"))
 
 
@@ -753,12 +768,46 @@ def sweep_counts(spark, sf_dir):
     return ablation.sweep_counts(sums, scores, "episode", "operator")
 
 
-@query("""WITH s(keep_frac, n, quality_mse, gain) AS (SELECT (k + 1) / 10.0::DOUBLE, 10 * (k + 1), 2.0::DOUBLE - 0.1::DOUBLE * k, CASE WHEN k IN (3, 6) THEN 5.0::DOUBLE ELSE k END FROM (SELECT unnest(range(10)) AS k)),
-t AS (SELECT count(*) AS orders FROM region) SELECT 0.1::DOUBLE * 10 AS best_frac, 100::BIGINT AS best_n, 9.0::DOUBLE AS best_gain, (SELECT round(min(keep_frac), 6) FROM s WHERE quality_mse <= 1.45) AS parity_frac FROM t""")
+@query("""WITH s AS (SELECT l_linenumber / 10.0::DOUBLE AS keep_frac, count(*) AS n, avg(l_discount::DOUBLE) AS quality_mse, max(l_orderkey * 31 % 97 + l_linenumber)::DOUBLE AS gain FROM lineitem GROUP BY l_linenumber),
+b AS (SELECT * FROM s ORDER BY gain DESC, keep_frac LIMIT 1) SELECT round(keep_frac, 6) AS best_frac, n AS best_n, gain AS best_gain, (SELECT round(min(keep_frac), 6) FROM s WHERE quality_mse <= 0.05) AS parity_frac FROM b""")
 def sweep_verdict(spark, sf_dir):
-    k = F.col("id")
-    swept = spark.range(10).select(((k + 1) / 10.0).alias("keep_frac"), (10 * (k + 1)).alias("n"), (2.0 - 0.1 * k).alias("quality_mse"), F.when(k.isin(3, 6), 5.0).otherwise(k.cast("double")).alias("gain"))
-    return rounded(ablation.verdict(swept, 1.45))
+    found = read_table(spark, sf_dir, "lineitem").groupBy("l_linenumber").agg(
+        F.count("*").alias("n"), F.avg(F.col("l_discount").cast("double")).alias("quality_mse"),
+        F.max(F.col("l_orderkey") * 31 % 97 + F.col("l_linenumber")).cast("double").alias("gain"),
+    )
+    return rounded(ablation.verdict(found.withColumn("keep_frac", F.col("l_linenumber") / 10.0), 0.05))
+
+
+def _trajectories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both hands' poses of 25 embeddings an episode, cut to the active span; and the episodes' scores."""
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 25).alias("episode"), (F.col("vec_id") % 25).alias("frame_idx"), F.col("embedding").cast("array<double>").alias("v"))
+    side = lambda name, first: e.select("episode", F.lit(name).alias("side"), "frame_idx", F.slice("v", first, 7).alias("pose"))
+    spans = e.select("episode").distinct().select("episode", F.lit(25).cast("long").alias("n"), F.lit(0.0).alias("act_start"), F.lit(1.0).alias("act_end"))
+    made = series.trajectories(side("left", 1).unionByName(side("right", 8)), spans, "episode")
+    smooth = series.frame_similarity(e.select("episode", F.col("frame_idx").alias("t"), F.col("v").alias("emb")), "episode")
+    scores = smooth.select("episode", (F.col("episode") % 7).alias("operator"), F.element_at("sims", 1).alias("score"), (F.col("episode") % 9 == 4).alias("hard"))
+    return made, scores
+
+
+_TRACKS = """tr AS (SELECT vec_id // 25 AS episode, vec_id % 25 AS t, embedding::DOUBLE[] AS v, count(*) OVER (PARTITION BY vec_id // 25) AS n FROM embeddings),
+tw AS (SELECT a.episode, a.v[1:14] AS x0, b.v[1:14] AS x1, list_transform(list_zip(c.v[1:14], b.v[1:14]), lambda z: z[1] - z[2]) AS y FROM tr a JOIN tr b ON a.episode = b.episode AND b.t = a.t + 1 JOIN tr c ON c.episode = a.episode AND c.t = a.t + 6 WHERE a.t < a.n - 7)"""
+
+
+@query(f"""WITH {_TRACKS} SELECT episode, count(*) AS n, 28 AS seen, round(sum(x0[3] * x1[14]), 6) AS g_3_28, round(sum(x1[1]), 6) AS g_0_15, round(sum(x0[14] * y[2]), 6) AS h_14_2, round(sum(list_inner_product(y, y)), 6) AS s FROM tw GROUP BY 1""")
+def trajectory_gram(spark, sf_dir):
+    made, _ = _trajectories(spark, sf_dir)
+    sums = ablation.gram_arrays(made, "episode", history=2, horizon=5)
+    at = lambda i: F.get("sums", F.lit(i))
+    return rounded(sums.select(
+        "episode", "n", F.lit(28).alias("seen"), at(3 * 29 + 28).alias("g_3_28"), at(15).alias("g_0_15"), at(29 * 29 + 14 * 14 + 1).alias("h_14_2"), at(29 * 29 + 29 * 14).alias("s")
+    ))
+
+
+@query()
+def trajectory_sweep(spark, sf_dir):
+    made, scores = _trajectories(spark, sf_dir)
+    swept, full = ablation.sweep_trajectories(ablation.gram_arrays(made, "episode", history=2, horizon=5), scores, "episode", "operator", most=2)
+    return swept.withColumn("full_mse", F.lit(full)).join(ablation.verdict(swept, full))
 
 
 # --- files, shards and arrays -------------------------------------------------------------------------------
@@ -792,6 +841,71 @@ def described_groups(spark, sf_dir):
     return found.select("episode_hash", "array", size.alias("shape"), F.array_size("head").alias("n_head"))
 
 
+_BODIES = {"left": (0, "e % 3 <> 0"), "right": (7, "true"), "head": (14, "e % 5 <> 0")}
+#: A block of the head's array isn't stored for every fifth episode: rows 5 to 9 of columns 4 to 6 hold the fill value.
+_COLUMN = lambda first, i: f"CASE WHEN {first} = 14 AND e % 5 = 1 AND t BETWEEN 5 AND 9 AND {i} BETWEEN 4 AND 6 THEN 0.25 ELSE x[{first + i}] END::DOUBLE"
+_RECORDED = f"""rc AS (SELECT vec_id // 20 AS e, vec_id % 20 AS t, vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id % 20 < 18),
+fp AS (SELECT e, CASE WHEN e % 4 = 1 THEN 25.0::DOUBLE ELSE 30.0::DOUBLE END AS fps_attr, CASE WHEN e % 2 = 0 THEN 17 / (16 * 0.04::DOUBLE) WHEN e % 4 = 1 THEN 25.0::DOUBLE ELSE 30.0::DOUBLE END AS fps FROM rc GROUP BY 1),
+bo AS ({' UNION ALL '.join(f"SELECT e, '{b}' AS body, t, {', '.join(f'{_COLUMN(first, i)} AS c{i}' for i in range(1, 8))} FROM rc WHERE {there} AND e % 7 <> 6" for b, (first, there) in _BODIES.items())}),
+b1 AS (SELECT bo.*, fps, sqrt((c1 - lag(c1) OVER w) ** 2 + (c2 - lag(c2) OVER w) ** 2 + (c3 - lag(c3) OVER w) ** 2) AS step,
+ 2 * acos(least(1, abs(c4 * lag(c4) OVER w + c5 * lag(c5) OVER w + c6 * lag(c6) OVER w + c7 * lag(c7) OVER w))) AS angle FROM bo JOIN fp USING (e) WINDOW w AS (PARTITION BY e, body ORDER BY t)),
+b2 AS (SELECT *, step * fps AS speed, (step * fps - lag(step * fps) OVER w) * fps AS accel FROM b1 WINDOW w AS (PARTITION BY e, body ORDER BY t)),
+b3 AS (SELECT *, (accel - lag(accel) OVER w) * fps AS jerk FROM b2 WINDOW w AS (PARTITION BY e, body ORDER BY t)),
+b4 AS (SELECT *, row_number() OVER (PARTITION BY e, body ORDER BY t) - 1 AS pos, count(*) OVER (PARTITION BY e, body) AS n, speed > 0.15 * max(speed) OVER (PARTITION BY e, body) AS active FROM b3 WHERE step IS NOT NULL),
+en AS (SELECT e, body, sqrt((last(c1 ORDER BY t) - first(c1 ORDER BY t)) ** 2 + (last(c2 ORDER BY t) - first(c2 ORDER BY t)) ** 2 + (last(c3 ORDER BY t) - first(c3 ORDER BY t)) ** 2) AS net FROM bo GROUP BY 1, 2),
+fs AS (SELECT e, body, fps, pos, n, speed, (16 * pow(2, length(bin(n - 1))))::BIGINT AS size FROM b4),
+fk AS (SELECT e, body, k, sqrt(sum(speed * cos(2 * pi() * (k * pos % size) / size)) ** 2 + sum(speed * sin(2 * pi() * (k * pos % size) / size)) ** 2) AS a FROM fs, LATERAL (SELECT unnest(range(size)) AS k) WHERE k <= size * 10 / fps GROUP BY 1, 2, 3),
+fr AS (SELECT *, a / max(a) OVER (PARTITION BY e, body) AS share FROM fk),
+fl AS (SELECT *, min(CASE WHEN share >= 0.05 THEN k END) OVER w AS lo, max(CASE WHEN share >= 0.05 THEN k END) OVER w AS hi FROM fr WINDOW w AS (PARTITION BY e, body)),
+fd AS (SELECT e, body, sqrt((1.0::DOUBLE / (hi - lo)) ** 2 + (share - lag(share) OVER (PARTITION BY e, body ORDER BY k)) ** 2) AS arc FROM fl WHERE k BETWEEN lo AND hi AND lo < hi),
+sp AS (SELECT e, body, -sum(arc) AS sparc FROM fd GROUP BY 1, 2),
+ft AS (SELECT b4.e, b4.body, sum(step) AS path_len, max(speed) AS speed_max, avg(speed) AS speed_mean, coalesce(sqrt(avg(jerk * jerk)), 0) AS jerk_rms, max(sparc) AS sparc, avg((speed < 0.01)::INT) AS idle_frac, sum(angle) AS ang_path,
+ max(net) AS net_disp, coalesce(max(net) / nullif(sum(step), 0), 0) AS straightness, coalesce(min(pos) FILTER (active) / count(*), 0) AS act_start, coalesce(max(pos) FILTER (active) / count(*), 1) AS act_end
+ FROM b4 JOIN en ON en.e = b4.e AND en.body = b4.body LEFT JOIN sp ON sp.e = b4.e AND sp.body = b4.body GROUP BY 1, 2)"""
+_HANDS = f"""kp AS (SELECT e, t, list_transform(range(21), lambda i: {{'x': x[3 * i + 1]::FLOAT::DOUBLE, 'y': x[3 * i + 2]::FLOAT::DOUBLE, 'z': x[3 * i + 3]::FLOAT::DOUBLE}}) AS p FROM rc WHERE e % 3 = 1 AND e % 7 <> 6),
+hs AS (SELECT e, avg(s) AS hand_span_mean, coalesce(stddev_pop(s) / nullif(avg(s), 0), 0) AS hand_span_cv FROM (SELECT e, sqrt({_SPAN}) AS s FROM kp) GROUP BY 1)"""
+_HASH = "lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash"
+_DIGITS = {"jerk_rms": 3}
+
+
+@query(f"""WITH {_RECORDED}, {_HANDS} SELECT lpad(lower(to_hex(fp.e + 1)), 24, '0') AS episode_hash, fp.e % 7 <> 6 AS ok, fp.e % 7 = 6 AS broken, CASE WHEN fp.e % 7 <> 6 THEN 18 END AS n_frames, CASE WHEN fp.e % 7 <> 6 THEN fps_attr END AS fps_attr,
+ CASE WHEN fp.e % 7 <> 6 THEN round(fps, 6) END AS fps_true, {', '.join(f"round(max({m}) FILTER (body = '{b}'), {_DIGITS.get(m, 6)}) + 0 AS {b}_{m}" for b in scans.STREAMS for m in scans.MEASURES)}, round(max(hand_span_mean), 6) AS left_hand_span_mean, round(max(hand_span_cv), 6) AS left_hand_span_cv
+ FROM fp LEFT JOIN ft ON ft.e = fp.e LEFT JOIN hs ON hs.e = fp.e GROUP BY fp.e, fps_attr, fps""")
+def pose_scan(spark, sf_dir):
+    found = scans.pose_scan(*scans.stored_groups(spark, fixtures.recordings(spark, sf_dir)))
+    measured = [F.round(f"{b}_{m}", _DIGITS.get(m, 6)).alias(f"{b}_{m}") for b in scans.STREAMS for m in scans.MEASURES]
+    return rounded(found.select(
+        "episode_hash", "ok", F.contains("error", F.lit("blosc")).alias("broken"), "n_frames", "fps_attr", "fps_true", *measured, "left_hand_span_mean", "left_hand_span_cv"
+    ))
+
+
+_WAYS = f"""{_RECORDED}, wy AS (SELECT e, t - 1 AS pos, max(step) AS w FROM b1 WHERE step IS NOT NULL AND body <> 'head' GROUP BY 1, 2),
+wc AS (SELECT e, pos, sum(CASE WHEN pos BETWEEN 1 AND 14 THEN w ELSE 0 END) OVER (PARTITION BY e) AS total, sum(CASE WHEN pos BETWEEN 1 AND 14 THEN w ELSE 0 END) OVER (PARTITION BY e ORDER BY pos) AS upto FROM wy),
+wt AS (SELECT unnest(range(8)) AS k), wp AS (SELECT DISTINCT e, frame FROM (SELECT e, min(pos) AS frame FROM wc, wt WHERE upto / total >= (k + 0.5::DOUBLE) / 8 GROUP BY e, k)
+ UNION SELECT e, CASE WHEN k = 7 THEN 15 ELSE trunc(1 + k * 2.0::DOUBLE)::BIGINT END FROM fp, wt WHERE e % 7 = 6)"""
+
+
+def _recorded_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 20).alias("e")).distinct()
+    return e.select(fixtures._key(F.col("e")).alias("episode_hash"), F.lit(18).cast("long").alias("n_frames"), F.lit(0.1).alias("act_start"), F.lit(0.9).alias("act_end"))
+
+
+@query(f"WITH {_WAYS} SELECT {_HASH}, frame AS frame_idx FROM wp")
+def wanted_frames(spark, sf_dir):
+    _, rows = scans.stored_groups(spark, fixtures.recordings(spark, sf_dir))
+    return scans.wanted_frames(rows, _recorded_episodes(spark, sf_dir), 8)
+
+
+@query(f"""WITH {_WAYS}, ct AS (SELECT wp.e, frame, (vec_id % 40 + 1)::DOUBLE AS s FROM wp JOIN rc ON rc.e = wp.e AND rc.t = frame WHERE frame % 9 <> 4),
+me AS (SELECT e, count(*) AS n, sum(frame) AS f, avg(s / sqrt(18 + s * s)) AS m FROM ct GROUP BY 1)
+SELECT lpad(lower(to_hex(fp.e + 1)), 24, '0') AS episode_hash, fp.e % 11 <> 5 AS ok, CASE WHEN fp.e % 11 <> 5 THEN n END AS n, CASE WHEN fp.e % 11 <> 5 THEN f END::BIGINT AS frames, CASE WHEN fp.e % 11 <> 5 THEN round(m, 4) END AS mean FROM fp LEFT JOIN me ON me.e = fp.e""")
+def embed_scan(spark, sf_dir):
+    found = scans.embed_scan(spark, fixtures.recordings(spark, sf_dir), _recorded_episodes(spark, sf_dir), fixtures.byte_encoder, count=8)
+    size = F.when(F.col("ok"), F.size("frame_idx")).cast("long")
+    total = F.aggregate("frame_idx", F.lit(0).cast("long"), lambda s, x: s + x)
+    return found.select("episode_hash", "ok", size.alias("n"), total.alias("frames"), F.round(F.get("mean", F.lit(3)), 4).alias("mean"))
+
+
 @query("SELECT vec_id // 10 AS episode, vec_id % 10 AS row, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")
 def array_archives(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("episode"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))

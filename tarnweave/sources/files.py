@@ -90,6 +90,31 @@ def to_cache(files: DataFrame, prefix: str, folder: str, poses_only: bool = Fals
     return rows.select("source", F.concat(F.lit(f"{folder.rstrip('/')}/"), "inside").alias("target"))
 
 
+def sync_folder(spark: SparkSession, source: str, target: str, state: str, pattern: str = "*", poses_only: bool = False, per_batch: int = 10_000) -> DataFrame:
+    """Copies what has come into ``source`` since the last call and gives (path, ok, bytes, error) of
+    every file ever seen, errors as rows.
+
+    A streaming file source remembers in ``state`` what it has handed out, so a start that finds
+    nothing new copies nothing; a batch that a lost driver began is run again, which changes nothing:
+    files that are there stay, and a batch's rows replace those of its earlier try."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    names = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    files = names.option("maxFilesPerTrigger", per_batch).load(source).select("path")
+
+    def copy(batch: DataFrame, number: int) -> None:
+        pairs = to_cache(batch, f"{source.rstrip('/')}/", target, poses_only).withColumn("path", F.col("source"))
+        copy_missing(pairs, "path").write.mode("overwrite").parquet(f"{state}/results/batch={number}")
+
+    query = files.writeStream.foreachBatch(copy).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    done = f"{state}/results"
+    kinds = "path string, ok boolean, bytes long, error string"
+    there = spark._jvm.org.apache.hadoop.fs.Path(done)
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).parquet(done).select("path", "ok", "bytes", "error")
+
+
 def copied_bytes(results: DataFrame) -> int:
     """Bytes of all copies that went well; an error if nothing was found."""
     total = results.agg(F.sum(F.when(F.col("ok"), F.col("bytes")))).first()[0]

@@ -132,7 +132,7 @@ def fetch_frames(index: DataFrame, wanted: DataFrame, gap: int = 4096, most: int
 
 def decoded(frames: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
     """(episode_hash, frame_idx, height, width, channels, pixels): pictures by the given decoder; one
-    that it can't read has nulls. Rows that a ``box`` column crops are cut."""
+    that it can't read has nulls."""
 
     def run(frames_):
         for frame in frames_:
@@ -149,20 +149,40 @@ def decoded(frames: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFra
     return frames.mapInPandas(run, "episode_hash string, frame_idx long, height long, width long, channels long, pixels binary")
 
 
-def embedded(frames: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], batch_size: int = 32) -> DataFrame:
+def cropped(pictures: DataFrame) -> DataFrame:
+    """Rows of ``decoded`` with columns left, top, right and bottom: pictures cut to the box, whole
+    where it is null; height, width and pixels follow."""
+
+    def run(frames):
+        for frame in frames:
+            for i, row in enumerate(frame.to_dict("records")):
+                if row["pixels"] is not None and not pd.isna(row["left"]):
+                    picture = np.frombuffer(row["pixels"], np.uint8).reshape(int(row["height"]), int(row["width"]), int(row["channels"]))
+                    part = picture[int(row["top"]) : int(row["bottom"]), int(row["left"]) : int(row["right"])]
+                    at = frame.index[i]
+                    frame.loc[at, ["height", "width"]] = part.shape[:2]
+                    frame.at[at, "pixels"] = part.tobytes()
+            yield frame
+
+    return pictures.mapInPandas(run, pictures.schema)
+
+
+def embedded(frames: DataFrame, make_encoder: Callable[[], Callable[..., np.ndarray]], batch_size: int = 32, shapes: bool = False) -> DataFrame:
     """``frames`` with ``emb``: the unit vector that the encoder makes of each frame's content, in
-    batches. ``make_encoder`` runs once per worker; an encoder takes an array of bytes objects."""
+    batches. ``make_encoder`` runs once per worker; an encoder takes an array of bytes objects, and
+    with ``shapes`` arrays of heights and widths."""
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
+    def unit(vectors) -> np.ndarray:
+        vectors = np.asarray(vectors, np.float32)
+        return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-8)
+
     def make():
         encode = make_encoder()
-
-        def predict(content: np.ndarray) -> np.ndarray:
-            vectors = np.asarray(encode(content), np.float32)
-            return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-8)
-
-        return predict
+        if shapes:
+            return lambda content, height, width: unit(encode(content, height, width))
+        return lambda content: unit(encode(content))
 
     encode = predict_batch_udf(make, return_type=ArrayType(FloatType()), batch_size=batch_size)
-    return frames.withColumn("emb", encode("content"))
+    return frames.withColumn("emb", encode("content", "height", "width") if shapes else encode("content"))
