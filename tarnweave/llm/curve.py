@@ -21,8 +21,10 @@ from tarnweave.session import stash
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
 #: Bytes that a worker's tables of words and of their parts hold before they start anew.
-WORD_BYTES, PART_BYTES = 112 << 20, 64 << 20
+WORD_BYTES, PART_BYTES = 168 << 20, 96 << 20
 BATCH_ROWS = 1024
+#: ASCII but for controls that aren't white space everywhere.
+_PLAIN = bytes([*range(9, 14), *range(32, 127)])
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
 
@@ -77,11 +79,18 @@ class WordEncoder(Encoder):
 
     def __init__(self, p: PackParams):
         super().__init__(p)
+        self.openers = {t.content[:1] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.table = _Table(self._part, PART_BYTES)
         self.words = _Table(lambda word: b"".join(map(self.table.__getitem__, self.find(word))), WORD_BYTES)
 
+    def _plain(self, text: str) -> bool:
+        """Nothing that ``odd`` finds: for ASCII alone by its bytes, which is faster."""
+        if not text.isascii() or any(c in text for c in self.openers):
+            return not self.odd.search(text)
+        return not text.encode().translate(None, _PLAIN)
+
     def text(self, text: str) -> bytes:
-        if self.find is None or self.odd.search(text):
+        if self.find is None or not self._plain(text):
             return self.whole(text)
         return b"".join(map(self.words.__getitem__, text.lower().split()))
 
