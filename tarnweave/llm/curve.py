@@ -20,11 +20,11 @@ from tarnweave.session import stash
 
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
-#: Bytes that a worker's tables of words and of their parts hold before they start anew.
-WORD_BYTES, PART_BYTES = 168 << 20, 96 << 20
+#: Bytes that a worker's tables of words and of parts that aren't words hold before they start anew.
+WORD_BYTES, PART_BYTES = 240 << 20, 16 << 20
 BATCH_ROWS = 1024
-#: ASCII but for controls that aren't white space everywhere.
-_PLAIN = bytes([*range(9, 14), *range(32, 127)])
+#: Latin-1 but for controls and spaces that aren't white space everywhere.
+_PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
 #: Ranges of the curve, at most; their bounds and sums are all that the driver holds.
 MOST_RANGES = 65_536
 
@@ -75,19 +75,28 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 class WordEncoder(Encoder):
     """Remembers the ids of whole words between white space, which no part of the tokenizer's
-    pattern crosses, and those of parts."""
+    pattern crosses. A word of letters alone is a part itself; others are put together of theirs."""
 
     def __init__(self, p: PackParams):
         super().__init__(p)
         self.openers = {t.content[:1] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.table = _Table(self._part, PART_BYTES)
-        self.words = _Table(lambda word: b"".join(map(self.table.__getitem__, self.find(word))), WORD_BYTES)
+        self.words = _Table(self._word, WORD_BYTES)
+
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._part(word)
+        return b"".join(self.words[p] if p.isalpha() else self.table[p] for p in self.find(word))
 
     def _plain(self, text: str) -> bool:
-        """Nothing that ``odd`` finds: for ASCII alone by its bytes, which is faster."""
-        if not text.isascii() or any(c in text for c in self.openers):
+        """Nothing that ``odd`` finds: for Latin-1 alone by its bytes, which is faster."""
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return not self.odd.search(text)
+        if any(c in text for c in self.openers):
             return not self.odd.search(text)
-        return not text.encode().translate(None, _PLAIN)
+        return not raw.translate(None, _PLAIN)
 
     def text(self, text: str) -> bytes:
         if self.find is None or not self._plain(text):
