@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import split_flags
-from tarnweave.operators.scoring import axes_failed
+from tarnweave.operators.scoring import axes_failed, eta_squared
 from tarnweave.operators.selection import quantiles
+from tarnweave.operators.statistics import normalised_mutual_information
 
 
 def fairness(manifest: DataFrame, group: str) -> DataFrame:
@@ -147,9 +150,31 @@ def current(manifest: DataFrame, shown: DataFrame, key: str, selected: str | Non
     return wanted.unionByName(first).orderBy("__first").limit(1).drop("__first")
 
 
-def report(manifest: DataFrame, axes: list[str], hard: list[str], group: str = "operator") -> dict[str, DataFrame]:
-    """Every part of the scoring report as a table of its own."""
-    return {
+def report(manifest: DataFrame, axes: list[str], hard: list[str], group: str = "operator", episodes: DataFrame | None = None, signs: dict[str, int] | None = None, floor: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every part of the scoring report as a table of its own; with the scored ``episodes`` and their
+    features' ``signs`` the choice of features, with clusters those and whether they follow the group,
+    with a null floor that."""
+    parts = {
         "decisions": decisions(manifest), "reasons": reason_tally(manifest), "failed_axes": failed_axes(manifest, axes),
         "warnings": warnings(manifest, hard), "fairness": fairness(manifest, group), "spread": keep_rate_spread(manifest, group),
     }
+    if episodes is not None:
+        parts["features"] = eta_squared(episodes, list(signs or {}), group)
+    if "cluster" in manifest.columns:
+        clustered = manifest.where(F.col("cluster").isNotNull())
+        parts["clusters"] = cluster_report(clustered, "cluster", group, (F.col("decision") == "drop") & ~F.col("hard"), "score")
+        parts["nmi"] = normalised_mutual_information(clustered, "cluster", group)
+    return parts | ({"floor": floor} if floor is not None else {})
+
+
+def report_rows(parts: dict[str, DataFrame]) -> DataFrame:
+    """(part, item, measure, value): the parts of ``report`` as one long table. A part's first column
+    names its items, or ``all`` where it is one row of numbers."""
+    long = []
+    for name, part in parts.items():
+        named = part.dtypes[0][1] == "string" or name in ("clusters", "fairness", "failed_axes", "floor")
+        item = F.coalesce(F.col(part.columns[0]).cast("string"), F.lit("")) if named else F.lit("all")
+        measures = [c for c, k in part.dtypes[int(named) :] if k in ("int", "bigint", "double", "boolean")]
+        values = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in measures))
+        long.append(part.select(F.lit(name).alias("part"), item.alias("item"), F.explode(values).alias("m")).select("part", "item", "m.*"))
+    return reduce(DataFrame.unionByName, long)

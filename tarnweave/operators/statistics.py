@@ -151,6 +151,70 @@ def silhouettes(df: DataFrame, key: str, vector: str, labels: list[str]) -> Data
     return every.select("label", F.when(F.lit(rows) > 0, F.coalesce("s", F.lit(0.0)) / F.lit(max(rows, 1))).alias("silhouette"))
 
 
+def silhouette_bounds(rows: DataFrame, vector: str, labels: list[str]) -> dict[str, tuple[float, float]]:
+    """label -> bounds of its silhouette, without comparing rows with one another.
+
+    Rows that all labellings put together are a cell, of which only number, centre and variance are
+    known: there are no more cells than ways to combine the labels, however many rows. The mean distance of
+    a row from a cell is at least that from its centre (a norm is convex) and at most the root of that
+    squared plus the variance (a root is concave); each labelling's clusters are unions of cells."""
+    d = rows.select(F.max(F.size(vector))).first()[0] or 0
+    at = [F.element_at(vector, i + 1).cast("double") for i in range(d)]
+    sums = rows.groupBy(*labels).agg(F.count("*").alias("n"), *(f(x) for x in at for f in (F.sum, lambda x: F.sum(x * x)))).collect()
+    wide = len(labels)
+    of, n = np.array([r[:wide] for r in sums]).reshape(-1, wide), np.array([r[wide] for r in sums], float)
+    moments = np.array([r[wide + 1 :] for r in sums], float).reshape(len(sums), d, 2) / np.maximum(n, 1)[:, None, None]
+    centres, square = moments[:, :, 0], moments[:, :, 1].sum(axis=1)
+    variance = np.maximum(square - (centres**2).sum(axis=1), 0) + 1e-9 * square
+    names = [np.unique(of[:, j]) for j in range(wide)]
+    weights = [n[:, None] * (of[:, j, None] == names[j]) for j in range(wide)]
+
+    def bound(batches):
+        total = np.zeros((wide, 2))
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                low = _gaps(_vectors(part[vector]), centres)
+                high = np.sqrt(low**2 + variance) * (1 + 1e-9)
+                low = low * (1 - 1e-9)
+                for j in range(wide):
+                    size = weights[j].sum(axis=0)
+                    own = np.searchsorted(names[j], part[labels[j]].to_numpy(zero_copy_only=False))
+                    i = np.arange(len(own))
+                    near, far = low @ weights[j], high @ weights[j]
+                    alone = size[own] == 1
+                    within = [x[i, own] / np.maximum(size[own] - 1, 1) for x in (near, far)]
+                    across = []
+                    for x in (near, far):
+                        x = x / size
+                        x[i, own] = np.inf
+                        across.append(x.min(axis=1))
+                    for e, (a, b) in enumerate(((within[1], across[0]), (within[0], across[1]))):
+                        top = np.maximum(a, b)
+                        worth = np.divide(b - a, top, out=np.zeros_like(a), where=(top > 0) & np.isfinite(b))
+                        total[j, e] += np.where(alone, 0, worth).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(wide, dtype=np.int32)), pa.array(total[:, 0]), pa.array(total[:, 1])], ["j", "lo", "hi"])
+
+    found = rows.select(vector, *labels).mapInArrow(bound, "j int, lo double, hi double").groupBy("j").agg(F.sum("lo"), F.sum("hi")).collect()
+    return {labels[j]: (lo / n.sum(), hi / n.sum()) for j, lo, hi in found}
+
+
+def best_labelling(rows: DataFrame, key: str, vector: str, labels: list[str]) -> str:
+    """The label column of the best silhouette, the first of equal ones. Rows are compared with one
+    another only for labellings that bounds leave open."""
+    bounds = silhouette_bounds(rows, vector, labels)
+    reach = max(lo for lo, _ in bounds.values())
+    still = [x for x in labels if bounds[x][1] >= reach - 1e-9]
+    if len(still) == 1:
+        return still[0]
+    worth = {r["label"]: r["silhouette"] for r in silhouettes(rows, key, vector, still).collect()}
+    best = still[0]
+    for x in still[1:]:
+        if worth[x] > worth[best] + 1e-12:
+            best = x
+    return best
+
+
 def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
     """(silhouette) of one labelling; null for a table without rows."""
     return silhouettes(df, key, vector, [cluster]).select("silhouette")
@@ -212,8 +276,10 @@ def start_points(points: DataFrame, key: str, vector: str, most: int, restarts:
         drawn = hashed.mapInArrow(draw, "r int, at double, v array<double>")
         place = F.row_number().over(Window.partitionBy("r").orderBy("at", "v"))
         found = drawn.withColumn("place", place).where(F.col("place") <= take).select("r", "v").collect()  # 2 * most for each restart
-        new = [np.array([x["v"] for x in found if x["r"] == r]).reshape(-1, len(found[0]["v"]) if found else 0) for r in range(restarts)]
-        chosen = [np.concatenate([c, n]) if n.size else c for c, n in zip(chosen, new, strict=True)] if turn else new
+        if not found:  # every place of a row has been chosen
+            break
+        new = [[x["v"] for x in found if x["r"] == r] for r in range(restarts)]
+        chosen = [np.concatenate([c, n]) if n else c for c, n in zip(chosen, new, strict=True)] if turn else [np.array(n) for n in new]
 
     def weigh(batches):
         totals = [np.zeros(len(c)) for c in chosen]
@@ -302,11 +368,7 @@ def choose_clusters(df: DataFrame, key: str, vector: str, seed: int = 0, ks=CLUS
 
     schema = ", ".join(f"`{c}` {t}" for c, t in kind.items()) + "".join(f", __k{k} int" for k in tried)
     labelled = stash(df.mapInArrow(assign, schema))
-    worth = {r["label"]: r["silhouette"] for r in silhouettes(labelled, key, vector, [f"__k{k}" for k in tried]).collect()}
-    best = tried[0]
-    for k in tried[1:]:
-        if worth[f"__k{k}"] > worth[f"__k{best}"] + 1e-12:
-            best = k
+    best = int(best_labelling(labelled, key, vector, [f"__k{k}" for k in tried]).removeprefix("__k"))
     return labelled.select(*df.columns, F.col(f"__k{best}").alias("cluster")), best
 
 

@@ -154,6 +154,15 @@ def recordings(spark: SparkSession, sf_dir: str) -> str:
         if k % 2 == 0:
             t = np.arange(len(x), dtype="<i8")
             stored(root, "obs_rgb_timestamps_ns", np.where(t < 17, 10**12 + t * 40_000_000, 0), [7])
+        if k % 2:
+            import zstandard
+
+            meta = {"zarr_format": 3, "node_type": "array", "shape": [3], "data_type": "string", "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": [2]}}, "codecs": [{"name": "vlen-utf8"}, {"name": "zstd"}], "fill_value": ""}
+            write_file(f"{root}/annotations/zarr.json", json.dumps(meta).encode())
+            for c in range(2):
+                said = [f"span {s} of {k}: é".encode() if s < 3 else b"" for s in (2 * c, 2 * c + 1)]
+                raw = len(said).to_bytes(4, "little") + b"".join(len(x).to_bytes(4, "little") + x for x in said)
+                write_file(f"{root}/annotations/c/{c}", zstandard.ZstdCompressor().compress(raw))
         table, body = np.full((reader.ENTRIES, 2), 2**64 - 1, "<u8"), b""
         for t, i in enumerate(ids[:18]):
             size = int(i % 40 + 5)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars as S
@@ -526,13 +526,13 @@ def ablation_sweep(spark, sf_dir):
 
 @query()
 def keep_drop(spark, sf_dir):
-    made, _ = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir), "shape", 0.05)
+    made, _ = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir))
     return rounded(made)
 
 
 @query()
 def keep_drop_floor(spark, sf_dir):
-    _, floor = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir), "raw", 0.05)
+    _, floor = plan.keep_drop(*_scans(spark, sf_dir), _frames_of(spark, sf_dir))
     return rounded(floor)
 
 
@@ -545,9 +545,20 @@ def _scans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return motion, seen, e.select("episode", "operator")
 
 
+_ITEMS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+_PARTS = ["l_quantity / 50", "l_extendedprice / 100000", "l_discount * 10", "l_tax * 10", "l_linenumber / 7"]
+
+
 def _frames_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "embeddings")
-    return e.select((F.floor(F.col("vec_id") / 10) + 1).alias("episode"), (F.col("vec_id") % 10).alias("t"), F.col("embedding").alias("emb"))
+    """(episode, t, emb): the first eight items of each customer that has so many, as frames; every
+    other frame of some customers is turned around, which no other's is."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("episode"))
+    rows = read_table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    own = Window.partitionBy("episode")
+    numbered = rows.withColumns({"t": F.row_number().over(own.orderBy(*_ITEMS)) - 1, "n": F.count("*").over(own)})
+    turned = F.when((F.col("episode") % 151 == 7) & (F.col("t") % 2 == 1), -1.0).otherwise(1.0)
+    parts = F.array(*(turned * F.col(x.split()[0]).cast("double") * F.lit(float(x.split()[2]) if x.split()[1] == "*" else 1 / float(x.split()[2])) for x in _PARTS))
+    return numbered.where("n >= 8 and t < 8").select("episode", F.col("t").cast("long").alias("t"), parts.alias("emb"))
 
 
 @query(f"""WITH {I.EPISODES_SQL} SELECT episode, operator, n_frames, declared, round(size_cv, 6) AS size_cv FROM ep""")
@@ -555,7 +566,8 @@ def joined_scans(spark, sf_dir):
     return rounded(plan.joined_scans(*_scans(spark, sf_dir)).select("episode", "operator", "n_frames", "declared", "size_cv"))
 
 
-_DIPS = """v AS (SELECT vec_id // 10 + 1 AS episode, vec_id % 10 AS t, embedding::DOUBLE[] AS e FROM embeddings),
+_DIPS = f"""v AS (SELECT o_custkey AS episode, row_number() OVER (PARTITION BY o_custkey ORDER BY {', '.join(_ITEMS)}) - 1 AS t, CASE WHEN o_custkey % 151 = 7 AND t % 2 = 1 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS u, [{', '.join(f"u * {x.split()[0]}::DOUBLE {' '.join(x.split()[1:])}" for x in _PARTS)}] AS e
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey QUALIFY count(*) OVER (PARTITION BY o_custkey) >= 8 AND t < 8),
 l AS (SELECT *, last(e) OVER (PARTITION BY episode ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS le FROM v),
 dp AS (SELECT episode, first(c ORDER BY t) - min(c) AS dip FROM (SELECT episode, t, list_inner_product(e, le) / sqrt(list_inner_product(e, e)) / sqrt(list_inner_product(le, le)) AS c FROM l) GROUP BY 1)"""
 
@@ -599,6 +611,38 @@ def mcd_pvalues(spark, sf_dir):
 # --- reports --------------------------------------------------------------------------------------------
 
 
+_REPORT = f"""{I.TESTED_SQL},
+a1 AS (SELECT 'decisions' AS part, decision AS item, count(*)::DOUBLE AS n, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM mf GROUP BY 2),
+a2 AS (SELECT 'failed_axes' AS part, failed::VARCHAR AS item, count(*) FILTER (decision = 'keep')::DOUBLE AS keep, count(*) FILTER (decision = 'drop')::DOUBLE AS "drop" FROM (SELECT decision, {' + '.join(f'coalesce((ax_{a} > 1)::INT, 0)' for a in I.AXES)} AS failed FROM mf) GROUP BY 2),
+a3 AS (SELECT 'fairness' AS part, operator::VARCHAR AS item, count(*)::DOUBLE AS n, avg((decision = 'keep')::INT) AS keep_rate, avg(hard::INT) AS hard_rate FROM mf WHERE operator IS NOT NULL GROUP BY 2),
+a4 AS (SELECT cluster, operator, count(*) AS c, count(*) FILTER (decision = 'drop' AND NOT hard) AS o, sum(score) AS s, count(score) AS k FROM mf WHERE cluster IS NOT NULL GROUP BY 1, 2),
+a5 AS (SELECT 'clusters' AS part, cluster::VARCHAR AS item, sum(c)::DOUBLE AS n, sum(o)::DOUBLE AS outliers, max(c) FILTER (operator IS NOT NULL)::DOUBLE / sum(c) AS top_share, sum(s) / sum(k) AS mean_score FROM a4 GROUP BY 2),
+a6 AS (SELECT c / sum(c) OVER () AS p, sum(c) OVER (PARTITION BY cluster) / sum(c) OVER () AS pa, sum(c) OVER (PARTITION BY operator) / sum(c) OVER () AS pb FROM (SELECT cluster, operator, sum(c)::DOUBLE AS c FROM a4 WHERE operator IS NOT NULL GROUP BY 1, 2)),
+a7 AS (SELECT sum(p * ln(p / (pa * pb))) / ((-sum(p * ln(pa)) - sum(p * ln(pb))) / 2) AS nmi FROM a6),
+a8 AS (SELECT count(*) FILTER (decision = 'keep' AND flags <> '')::DOUBLE / nullif(count(*) FILTER (decision = 'keep'), 0) AS kept_flagged,
+ count(*) FILTER (reason = 'below_average')::DOUBLE / nullif(count(*) FILTER (reason <> '' AND NOT hard), 0) AS no_defect, count(*) FILTER (progress_dip IS NULL)::DOUBLE AS untested FROM mf)"""
+_LONG = {"a1": ("n", "share"), "a2": ("keep", '"drop"'), "a3": ("n", "keep_rate", "hard_rate"), "a5": ("n", "outliers", "top_share", "mean_score")}
+
+
+@query(f"""WITH {_REPORT} SELECT part, item, measure, round(value, 6) + 0 AS value FROM ({' UNION ALL '.join(f"SELECT part, item, '{m.strip(chr(34))}' AS measure, {m} AS value FROM {t}" for t, ms in _LONG.items() for m in ms)}
+ UNION ALL SELECT 'reasons', reason, 'n', count(*)::DOUBLE FROM mf WHERE reason <> '' GROUP BY 2 UNION ALL SELECT 'spread', 'all', 'lowest', min(keep_rate) FROM a3 UNION ALL SELECT 'spread', 'all', 'highest', max(keep_rate) FROM a3
+ UNION ALL SELECT 'nmi', 'all', 'nmi', nmi FROM a7 UNION ALL SELECT 'nmi', 'all', 'tracks', (nmi > 0.3)::INT::DOUBLE FROM a7 UNION ALL SELECT 'features', feature, 'eta2', eta2 FROM et WHERE known > 0
+ {' '.join(f"UNION ALL SELECT 'warnings', 'all', '{m}', {m} FROM a8" for m in ("kept_flagged", "no_defect", "untested"))})""")
+def scoring_report(spark, sf_dir):
+    parts = reports.report(_tested(spark, sf_dir), [f"ax_{a}" for a in I.AXES], rules.HARD_REASONS, "operator", I.episodes(spark, sf_dir), I.SIGNS)
+    return rounded(reports.report_rows(parts))
+
+
+@query(f"WITH {I.MANIFEST_SQL} SELECT episode, decision, nullif(reason, '') AS reason, n_frames, episode % 4 = 0 AS has_clip FROM mf")
+def manifest_sinks(spark, sf_dir):
+    folder = fixtures.new_folder(spark)
+    rows = _manifest(spark, sf_dir).withColumn("mp4_path", F.lit("x"))
+    tables.write_manifest(rows, rows.where("episode % 4 = 0").select("episode"), "episode", folder)
+    served = tables.read_json(spark, f"{folder}/json")
+    whole = spark.read.parquet(f"{folder}/parquet").select("episode")
+    return whole.join(served.select("episode", "decision", "reason", "n_frames", "has_clip"), "episode", "left")
+
+
 @query(f"WITH {I.TESTED_SQL} SELECT decision, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM mf GROUP BY 1")
 def decision_shares(spark, sf_dir):
     return rounded(reports.decisions(_tested(spark, sf_dir)))
@@ -906,6 +950,17 @@ def embed_scan(spark, sf_dir):
     return found.select("episode_hash", "ok", size.alias("n"), total.alias("frames"), F.round(F.get("mean", F.lit(3)), 4).alias("mean"))
 
 
+@query("""WITH e AS (SELECT DISTINCT vec_id // 20 AS e FROM embeddings) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, s AS span, 'span ' || s || ' of ' || e || ': é' AS text FROM e, (SELECT unnest(range(3)) AS s) WHERE e % 2 = 1""")
+def language_spans(spark, sf_dir):
+    return arrays.annotations(spark, fixtures.recordings(spark, sf_dir)).where("ok").select("episode_hash", "span", "text")
+
+
+@query("""WITH e AS (SELECT vec_id // 20 AS e, max(CASE WHEN vec_id % 20 = 9 THEN vec_id % 40 + 5 END) AS size FROM embeddings GROUP BY 1) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, 9::BIGINT AS frame_idx, CASE WHEN e % 11 <> 5 THEN size - 2 END::BIGINT AS bytes, e % 11 <> 5 AS ok FROM e""")
+def middle_frames(spark, sf_dir):
+    index = shards.frame_sizes(spark, fixtures.recordings(spark, sf_dir), scans.CAMERA)
+    return shards.fetch_frames(index, arrays.middle_frame(index)).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("bytes"), "ok")
+
+
 @query("SELECT vec_id // 10 AS episode, vec_id % 10 AS row, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")
 def array_archives(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("episode"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))

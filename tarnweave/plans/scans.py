@@ -15,6 +15,8 @@ from tarnweave.operators import geometry, series
 from tarnweave.operators.catalog import long_enough
 from tarnweave.session import stash
 from tarnweave.sources import arrays, shards
+from tarnweave.sources.files import copy_missing
+from tarnweave.sources.tables import lookup
 
 KEY = "episode_hash"
 #: Names of the stored arrays, and the measures of a stream of poses.
@@ -163,3 +165,31 @@ def embedding_rows(embedded: DataFrame, count: int = FRAMES) -> DataFrame:
     """(key, t, emb) of the episodes that have all ``count`` frames: what the outlier test takes."""
     whole = embedded.where(F.col("ok") & (F.size("emb") == count))
     return whole.select(KEY, F.posexplode("emb").alias("t", "emb"))
+
+
+def described(spark: SparkSession, path: str, keys: list[str]) -> dict[str, DataFrame]:
+    """What the stored groups of some episodes hold, each part a table: ``arrays`` with shapes, kinds,
+    chunks, attributes and first numbers; ``rates``, with ``off`` where the declared one is more than a
+    tenth from the stamps' own; ``spans`` of language; ``middle``, the frame in the middle as stored."""
+    one = lambda df: df.where(F.col(KEY).isin(keys))
+    groups = one(arrays.attributes(arrays.metadata(spark, path), "total_frames long, fps double"))
+    stamps = one(arrays.read_arrays(spark, path, [STAMPS])).where("ok").select(KEY, "row", F.get("values", F.lit(0)).cast("long").alias("ns"))
+    rates = series.true_rate(stamps.join(groups, KEY), KEY, "row", "ns", F.coalesce("fps", F.lit(0.0)))
+    index = one(shards.frame_sizes(spark, path, CAMERA))
+    return {
+        "arrays": one(arrays.described(spark, path)),
+        "rates": series.rate_check(rates),
+        "spans": one(arrays.annotations(spark, path)),
+        "middle": shards.fetch_frames(index, arrays.middle_frame(index)),
+    }
+
+
+def episode(spark: SparkSession, catalog: DataFrame, path: str, key: str, cache: str | None = None) -> dict[str, DataFrame]:
+    """One episode: its catalog row (an error if there is none), and the copy of its clip to
+    ``cache`` where that is given and the row has one, else what its group holds."""
+    row = lookup(catalog, KEY, key)
+    if cache and "mp4_path" in catalog.columns:
+        clip = row.where(F.col("mp4_path").isNotNull()).select(KEY, F.col("mp4_path").alias("source"), F.concat(F.lit(f"{cache}/"), KEY, F.lit(".mp4")).alias("target"))
+        if not clip.isEmpty():
+            return {"row": row, "clip": copy_missing(clip, KEY)}
+    return {"row": row} | described(spark, path, [key])

@@ -30,7 +30,7 @@ FEATURES = {
     "act_start": "CAST(c_custkey * 7 % 100 AS DOUBLE) / 100",
     "act_end": "CAST(c_custkey * 13 % 150 AS DOUBLE) / 100",
     "n_frames": "c_custkey * 11 % 400",
-    "declared": "CASE WHEN c_custkey % 5 <> 0 THEN c_custkey * 11 % 398 END",
+    "declared": "CASE WHEN c_custkey % 5 <> 0 THEN c_custkey * 11 % 400 + CASE WHEN c_custkey % 17 = 0 THEN 1 ELSE 0 END END",
 }
 _THERE = [f for f in SIGNS if f in FEATURES or f == "act_span"]
 

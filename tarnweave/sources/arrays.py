@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tarnweave.sources.files import located
+from tarnweave.sources.files import listing, located, read_range
 
 _META = (
     "node_type string, shape array<long>, data_type string, chunk_grid struct<configuration:struct<chunk_shape:array<long>>>,"
@@ -216,6 +216,40 @@ def described(spark: SparkSession, path: str, most: int = 4000) -> DataFrame:
     )
 
 
+def annotations(spark: SparkSession, path: str, name: str = "annotations") -> DataFrame:
+    """(episode_hash, span, text, ok, error): the language spans of each episode, texts of any length
+    one after the other; an array that can't be read is one row with its error."""
+    meta = metadata(spark, path).where(F.col("array") == name).select("episode_hash", "codecs", F.col("shape")[0].alias("n"), F.col("chunk_shape")[0].alias("step"))
+    chunks = listing(spark, path).where(F.col("path").contains(f"/{name}/c/")).select(
+        F.regexp_extract("path", _KEY, 1).alias("episode_hash"), F.regexp_extract("path", r"/c/(\d+)$", 1).cast("long").alias("chunk"), "path", "bytes"
+    )
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                try:
+                    raw = read_range(row["path"], 0, row["bytes"])
+                    if "zstd" in row["codecs"]:
+                        import zstandard
+
+                        raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+                    if "vlen-utf8" not in row["codecs"]:
+                        raise ValueError(f"codecs {row['codecs']}")
+                    texts, at, first = [], 4, row["chunk"] * row["step"]
+                    for _ in range(min(int.from_bytes(raw[:4], "little"), row["n"] - first)):
+                        size = int.from_bytes(raw[at : at + 4], "little")
+                        texts.append(raw[at + 4 : at + 4 + size].decode())
+                        at += 4 + size
+                    k = len(texts)
+                    columns = [[row["episode_hash"]] * k, range(first, first + k), texts, [True] * k, [None] * k]
+                except Exception as e:  # a bad chunk is a row, not a failed task
+                    columns = [[row["episode_hash"]], [None], [None], [False], [f"{type(e).__name__}: {e}"]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["episode_hash", "span", "text", "ok", "error"])
+
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
+    return chunks.join(meta, "episode_hash").mapInArrow(run, "episode_hash string, span long, text string, ok boolean, error string")
+
+
 def middle_frame(index: DataFrame) -> DataFrame:
     """(episode_hash, frame_idx): the frame in the middle of each episode of ``frame_sizes`` rows."""
     return index.where("ok").groupBy("episode_hash").agg(F.floor((F.max("frame_idx") + 1) / 2).alias("frame_idx"))

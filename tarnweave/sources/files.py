@@ -97,12 +97,13 @@ def sync_folder(spark: SparkSession, source: str, target: str, state: str, patte
     A streaming file source remembers in ``state`` what it has handed out, so a start that finds
     nothing new copies nothing; a batch that a lost driver began is run again, which changes nothing:
     files that are there stay, and a batch's rows replace those of its earlier try."""
+    below = f"{located(source)[1].rstrip('/')}/"  # schemes may be written in several ways
     schema = "path string, modificationTime timestamp, length long, content binary"
     names = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     files = names.option("maxFilesPerTrigger", per_batch).load(source).select("path")
 
     def copy(batch: DataFrame, number: int) -> None:
-        pairs = to_cache(batch, f"{source.rstrip('/')}/", target, poses_only).withColumn("path", F.col("source"))
+        pairs = to_cache(batch, below, target, poses_only).withColumn("path", F.col("source"))
         copy_missing(pairs, "path").write.mode("overwrite").parquet(f"{state}/results/batch={number}")
 
     query = files.writeStream.foreachBatch(copy).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()

@@ -27,12 +27,22 @@ def lookup(episodes: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def write_csv(manifest: DataFrame, path: str, digits: int = 4) -> None:
-    """One CSV file, decisions in order, best scores first, floats with fixed digits. Small numbers
-    lose their value here: keep Parquet for those."""
+    """CSV files that, by their names, follow each other in order: decisions, best scores first; floats
+    with fixed digits. Each range of the order is a file of its own task. Small numbers lose their
+    value here: keep Parquet for those."""
     floats = {c for c, k in manifest.dtypes if k in ("double", "float")}
     shown = [F.format_string(f"%.{digits}f", c).alias(c) if c in floats else F.col(c) for c in manifest.columns]
     ordered = manifest.orderBy("decision", F.col("score").desc_nulls_last(), manifest.columns[0])
-    ordered.select(*shown).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    ordered.select(*shown).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_manifest(manifest: DataFrame, stored: DataFrame, key: str, path: str, clip_column: str = "mp4_path") -> None:
+    """All forms of a manifest below ``path``: ``parquet`` with full precision, ``csv`` in order, and
+    ``json`` as it is served, a row a line, without the clip's place but with whether it is stored."""
+    manifest.write.mode("overwrite").parquet(f"{path}/parquet")
+    kept = manifest.sparkSession.read.parquet(f"{path}/parquet")  # the others are of these very rows
+    write_csv(kept.drop(clip_column), f"{path}/csv")
+    write_json(published(kept, stored, key, clip_column), f"{path}/json")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -59,7 +69,8 @@ def write_json(manifest: DataFrame, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True)
+    """Rows of JSON manifests: files of one array, or of a row a line as ``write_json`` has them."""
+    return spark.read.json(path, multiLine=True) if path.endswith(".json") else spark.read.json(path)
 
 
 def valid_keys(df: DataFrame, key: str) -> DataFrame:

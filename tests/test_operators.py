@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars
 from tarnweave.operators import ablation, catalog, ranking, reports, robust, rules, scoring, selection, series, statistics
+from tarnweave.plans import scans
 from tarnweave.sources import arrays, files, shards, tables
 
 
@@ -269,7 +270,7 @@ def write_array(root, name, table, chunks, codecs=("bytes",), fill=0, absent=(),
             part = table[tuple(slice(i * c, (i + 1) * c) for i, c in zip(at, chunks, strict=True))]
             raw = np.pad(part, [(0, c - n) for n, c in zip(part.shape, chunks, strict=True)]).tobytes()
             for c in codecs[1:]:
-                raw = {"zstd": zstandard.ZstdCompressor().compress, "gzip": gzip.compress, "crc32c": lambda x: x + b"sum!"}[c](raw)
+                raw = {"zstd": zstandard.ZstdCompressor().compress, "gzip": gzip.compress, "crc32c": lambda x: x + b"sum!"}.get(c, bytes)(raw)
             place = root / name / "c" / "/".join(map(str, at))
             place.parent.mkdir(parents=True, exist_ok=True)
             place.write_bytes(raw)
@@ -326,6 +327,212 @@ def test_frames_share_reads_and_fail_alone(spark, tmp_path):
     assert {(r["episode_hash"][0], r["ok"]) for r in shards.fetch_frames(lost, wanted).where("frame_idx <> 7").collect()} == {("a", True), ("b", False)}
 
 
+def plain_box(u, v, depth, width, height):
+    seen = [(a, b) for a, b, d in zip(u, v, depth, strict=True) if d > 0.01 and -width < a < 2 * width]
+    if len(seen) < 4:
+        return None
+    x, y = zip(*seen, strict=True)
+    side = min(max(1.8 * max(max(x) - min(x), max(y) - min(y)), 96.0), min(width, height))
+    left = min(max(np.mean(x) - side / 2, 0.0), width - side)
+    top = min(max(np.mean(y) - side / 2, 0.0), height - side)
+    return int(left), int(top), int(left + side), int(top + side)
+
+
+def test_embedding_scan_of_cropped_pictures(spark, tmp_path):
+    """Stored groups and shards through reading, cropping and encoding, against plain Python."""
+    rng, n, w, h = np.random.default_rng(6), 24, 300, 200
+    lens = [[90.0, 0.0, 150.0, 0.0], [0.0, 90.0, 100.0, 0.0], [0.0, 0.0, 1.0, 0.0]]
+    head = np.tile([0.0, 0, 0, 1, 0, 0, 0], (n, 1))
+    points = rng.normal([0.1, 0.0, 1.0], 0.25, (n, 21, 3))
+    points[5] = -1.0  # behind the camera
+    hand = np.cumsum(rng.random((n, 7)), axis=0)
+    pictures = rng.integers(0, 255, (n, h, w), dtype=np.uint8)
+    keys = ["a" * 24, "b" * 24, "c" * 24, "d" * 24]
+    for key in keys:
+        root = tmp_path / key
+        write_array(root, "right.obs_ee_pose", hand, (10, 7))
+        write_array(root, "obs_head_pose", head, (10, 4))
+        write_array(root, "left.obs_keypoints", points.reshape(n, 63), (7, 63))
+        (root / "zarr.json").write_text(json.dumps({"node_type": "group", "attributes": {"total_frames": n, "intrinsics": {"front_1": lens}}}))
+        (root / "images.front_1" / "c").mkdir(parents=True)
+        table, body = np.full((1000, 2), 2**64 - 1, "<u8"), b""
+        for i in range(n):
+            if key != "d" * 24 or i == 999:
+                frame = b"\xff\xd8\xff" + (pictures[i].tobytes() if key != "c" * 24 else b"short")
+                table[i] = len(body), len(frame)
+                body += frame
+        (root / "images.front_1" / "c" / "0").write_bytes(body + table.tobytes() + b"crc!")
+    write_array(tmp_path / keys[1], "right.obs_ee_pose", hand, (10, 7), ("bytes", "blosc"))
+
+    def decode(raw):
+        return np.frombuffer(raw[3:], np.uint8).reshape(200, 300)
+
+    def make():
+        return lambda content, height, width: np.array([[len(c), a, b, np.frombuffer(bytes(c), np.uint8).sum()] for c, a, b in zip(content, height, width, strict=True)], float)
+
+    episodes = spark.createDataFrame([(k, n, 0.0, 1.0) for k in keys] + [("e" * 24, 9, 0.0, 1.0)], "episode_hash string, n_frames long, act_start double, act_end double")
+    got = {r["episode_hash"][0]: r for r in scans.embed_scan(spark, str(tmp_path), episodes, make, decode, hand_crop=True, count=6).collect()}
+    assert set(got) == set("abcd") and {k: r["ok"] for k, r in got.items()} == {"a": True, "b": True, "c": False, "d": False}
+    way = np.cumsum(np.sqrt((np.diff(hand[:, :3], axis=0) ** 2).sum(axis=1)))
+    frames = {"a": sorted({int(np.searchsorted(way / way[-1], (k + 0.5) / 6)) for k in range(6)}), "b": sorted({int(k * 23 / 5) for k in range(6)})}
+    for key, picked in frames.items():
+        assert got[key]["frame_idx"] == picked
+        cut = 0
+        for i, emb in zip(picked, got[key]["emb"], strict=True):
+            p = points[i]
+            box = plain_box(90 * p[:, 0] / p[:, 2] + 150, 90 * p[:, 1] / p[:, 2] + 100, p[:, 2], w, h)
+            part = pictures[i] if box is None else pictures[i][box[1] : box[3], box[0] : box[2]]
+            cut += box is not None
+            v = np.array([part.size, *part.shape, part.sum()], float)
+            assert np.allclose(emb, v / np.linalg.norm(v), atol=1e-6)
+        assert got[key]["cropped"] == cut and np.allclose(got[key]["mean"], np.mean(got[key]["emb"], axis=0), atol=1e-6)
+
+
+@pytest.mark.parametrize("history", [1, 3])
+def test_sweep_of_trajectories_against_plain_models(spark, history):
+    rng, horizon = np.random.default_rng(8), 5
+    tracks = {e: np.cumsum(rng.normal(size=(int(rng.integers(26, 40)), 14)), axis=0) for e in range(60)}
+    tracks[60] = rng.normal(size=(30, 7))  # one hand: another width
+    tracks[61] = rng.normal(size=(9, 14))  # too short
+    rows = spark.createDataFrame([(e, i, r.tolist()) for e, t in tracks.items() for i, r in enumerate(t)], "e long, frame_idx long, values array<double>")
+    scores = {e: (e, e % 9, float(rng.normal()), e % 10 == 3) for e in tracks}
+    scored = spark.createDataFrame(list(scores.values()), "e long, operator int, score double, hard boolean")
+    sums = ablation.gram_arrays(rows, "e", history=history, horizon=horizon)
+    swept, full = ablation.sweep_trajectories(sums, scored, "e", "operator", most=2)
+
+    def xy(t):
+        n = len(t) - horizon - history
+        return np.array([np.concatenate([[1.0], *t[j : j + history]]) for j in range(n)]), np.array([t[j + history - 1 + horizon] - t[j + history - 1] for j in range(n)])
+
+    pairs = {e: xy(tracks[e]) for e in range(60)}
+    by = sorted(range(9), key=lambda o: (-sum(e % 9 == o for e in pairs), o))
+    held = {by[0], by[3]}
+    pool = [e for e in pairs if e % 9 not in held]
+    best = sorted((e for e in pool if not scores[e][3]), key=lambda e: -scores[e][2])
+    stack = lambda es: (np.concatenate([pairs[e][0] for e in es]), np.concatenate([pairs[e][1] for e in es]))
+    tx, ty = stack([e for e in pairs if e % 9 in held])
+
+    def error(es):
+        x, y = stack(es)
+        return ((tx @ np.linalg.solve(x.T @ x + 1e-3 * len(x) * np.eye(x.shape[1]), x.T @ y) - ty) ** 2).mean()
+
+    assert full == pytest.approx(error(pool))
+    got = {round(10 * r["keep_frac"]): r for r in swept.collect()}
+    for tenth in range(1, 11):
+        n = min(len(best), max(len(best) * tenth // 10, 20))
+        assert got[tenth]["n"] == n and got[tenth]["quality_mse"] == pytest.approx(error(best[:n]))
+    assert got[10]["random_mse"] == pytest.approx(got[10]["quality_mse"])
+
+
+def test_starts_find_a_rare_far_group(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(30_000, 2)), rng.normal([500, 500], 0.1, (3, 2)), [[-400.0, 300.0]]])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, y array<double>")
+    for points, weights in statistics.start_points(df, "k", "y", 3, 2, 4):
+        assert weights.sum() == len(x) and weights[points[:, 0] > 400].sum() == 3 and weights[points[:, 0] < -300].sum() == 1
+    centres = statistics.kmeans(df, "k", "y", [3], 2, 4)[3]
+    assert sorted(map(tuple, centres.round(-1).tolist())) == [(-400, 300), (0, 0), (500, 500)]
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(9)], "k long, y array<double>")
+    assert np.allclose(statistics.kmeans(same, "k", "y", [2], 1)[2], [1, 2])
+
+
+def test_one_episode_described(spark, tmp_path):
+    keys = ["a" * 24, "b" * 24]
+    for k, key in enumerate(keys):
+        root = tmp_path / key
+        write_array(root, "obs_head_pose", np.arange(70.0).reshape(10, 7) + k, (4, 7))
+        write_array(root, "obs_rgb_timestamps_ns", np.array([1, 2, 3, 4, 5, 6, 7, 8, 0, 0]) * (50_000_000 if k else 36_000_000), (10,))
+        (root / "zarr.json").write_text(json.dumps({"node_type": "group", "attributes": {"total_frames": 9, "fps": 30.0, "task": "cup"}}))
+        (root / "images.front_1" / "c").mkdir(parents=True)
+        table = np.full((1000, 2), 2**64 - 1, "<u8")
+        body = b"".join(b"\xff\xd8\xff" + bytes([i]) for i in range(9))
+        table[:9] = [[4 * i, 4] for i in range(9)]
+        (root / "images.front_1" / "c" / "0").write_bytes(body + table.tobytes() + b"crc!")
+        spans = [f"take {k}", "é", ""]
+        for c, part in enumerate((spans[:2], [spans[2], "padding"])):
+            raw = b"".join(len(x.encode()).to_bytes(4, "little") + x.encode() for x in part)
+            place = root / "annotations" / "c" / str(c)
+            place.parent.mkdir(parents=True, exist_ok=True)
+            place.write_bytes(len(part).to_bytes(4, "little") + raw)
+        meta = {"node_type": "array", "shape": [3], "data_type": "string", "chunk_grid": {"configuration": {"chunk_shape": [2]}}, "codecs": [{"name": "vlen-utf8"}]}
+        (root / "annotations" / "zarr.json").write_text(json.dumps(meta))
+    catalog_rows = spark.createDataFrame([(keys[0], "x", None), (keys[1], "y", str(tmp_path / "clip"))], "episode_hash string, operator string, mp4_path string")
+    (tmp_path / "clip").write_bytes(b"film")
+    found = scans.episode(spark, catalog_rows, str(tmp_path), keys[1])
+    assert found["row"].first()["operator"] == "y" and [r["text"] for r in found["spans"].orderBy("span").collect()] == ["take 1", "é", ""]
+    rate = found["rates"].first()
+    assert rate["fps_true"] == pytest.approx(8 / 0.35) and rate["off"] and rate["fps_attr"] == 30
+    middle = found["middle"].first()
+    assert (middle["frame_idx"], bytes(middle["content"])) == (4, b"\xff\xd8\xff\x04")
+    shown = {r["array"]: r for r in found["arrays"].collect()}
+    assert shown["obs_head_pose"]["head"] == [1, 2, 3, 4, 5, 6, 7] and "cup" in shown[""]["attributes"]
+    assert not scans.described(spark, str(tmp_path), [keys[0]])["rates"].first()["off"]
+    clip = scans.episode(spark, catalog_rows, str(tmp_path), keys[1], str(tmp_path / "cache"))
+    assert clip["clip"].first()["bytes"] == 4 and (tmp_path / "cache" / f"{keys[1]}.mp4").exists()
+    assert "arrays" in scans.episode(spark, catalog_rows, str(tmp_path), keys[0], str(tmp_path / "cache"))
+    with pytest.raises(KeyError):
+        scans.episode(spark, catalog_rows, str(tmp_path), "c" * 24)
+    (tmp_path / keys[0] / "annotations" / "c" / "0").write_bytes(b"\xff" * 9)
+    assert [r["ok"] for r in arrays.annotations(spark, str(tmp_path)).where(F.col("episode_hash") == keys[0]).orderBy("span").collect()] == [False, True]
+
+
+def test_database_is_read_in_parts(spark):
+    rows = spark.range(50).selectExpr("id as EPISODE", "id % 3 as LAB")
+    url, driver = "jdbc:derby:memory:catalog;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows.write.jdbc(url, "EPISODES", mode="overwrite", properties=driver)
+    whole = tables.read_database(spark, url, "EPISODES", driver)
+    parts = tables.read_database(spark, url, "EPISODES", driver, "EPISODE", (0, 50), 5)
+    assert whole.count() == parts.count() == 50 and parts.rdd.getNumPartitions() == 5
+    some = parts.where("LAB = 1")
+    assert some.count() == 17 and "LAB" in some._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+
+
+def test_manifest_in_all_forms(spark, tmp_path):
+    rows = [(k, d, s, r, 1e-12, "x") for k, d, s, r in (("b", "keep", 1.0, ""), ("c", "keep", None, ""), ("a", "keep", 2.0, ""), ("d", "drop", 5.0, "too_short"))]
+    df = spark.createDataFrame(rows, "episode string, decision string, score double, reason string, p double, mp4_path string")
+    tables.write_manifest(df, df.where("episode = 'a'").select("episode"), "episode", str(tmp_path))
+    lines = [line for f in sorted((tmp_path / "csv").glob("part-*.csv")) for line in f.read_text().splitlines()[1:]]
+    assert [x.split(",")[0] for x in lines] == ["d", "a", "b", "c"] and lines[1].split(",")[2:5:2] == ["2.0000", "0.0000"]
+    served = {r["episode"]: r for r in tables.read_json(spark, str(tmp_path / "json")).collect()}
+    assert served["a"]["has_clip"] and not served["b"]["has_clip"] and served["b"]["reason"] is None and "mp4_path" not in served["a"]
+    assert spark.read.parquet(str(tmp_path / "parquet")).first()["p"] == 1e-12
+    (tmp_path / "m.json").write_text('[{"episode": "a"}, {"episode": "b"}]')
+    assert tables.read_json(spark, str(tmp_path / "m.json")).count() == 2
+
+
+def test_bounds_hold_and_spare_comparisons(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(c, 0.3, (80, 3)) for c in ([0, 0, 0], [9, 0, 0], [0, 9, 9])] + [rng.normal(4, 3, (1, 3))])
+    truth = [*np.repeat([0, 1, 2], 80).tolist(), 3]
+    rows = [(i, v.tolist(), t, t % 2, i % 3, 0) for i, (v, t) in enumerate(zip(x, truth, strict=True))]
+    df = spark.createDataFrame(rows, "k long, y array<double>, a int, b int, c int, d int")
+    exact = {r["label"]: r["silhouette"] for r in statistics.silhouettes(df, "k", "y", ["a", "b", "c", "d"]).collect()}
+    bounds = statistics.silhouette_bounds(df, "y", ["a", "b", "c", "d"])
+    assert all(lo - 1e-9 <= exact[c] <= hi + 1e-9 for c, (lo, hi) in bounds.items()) and bounds["a"][1] - bounds["a"][0] < 0.1
+    compared = []
+    whole = statistics.silhouettes
+    monkeypatch.setattr(statistics, "silhouettes", lambda df, key, vector, labels: compared.append(labels) or whole(df, key, vector, labels))
+    assert statistics.best_labelling(df, "k", "y", ["b", "c", "a"]) == "a" and not compared
+    twice = df.withColumn("e", 7 - F.col("a"))
+    assert statistics.best_labelling(twice, "k", "y", ["c", "e", "a", "b"]) == "e" and compared == [["e", "a"]]
+
+
+def test_sync_copies_what_is_new(spark, tmp_path):
+    source, target, state = (tmp_path / n for n in ("from", "to", "state"))
+    (source / "images").mkdir(parents=True)
+    (source / "a").write_bytes(b"abc")
+    (source / "images" / "b").write_bytes(b"picture")
+    sync = lambda: sorted((r["path"].split("/")[-1], r["ok"], r["bytes"]) for r in files.sync_folder(spark, f"file://{source}", str(target), str(state)).collect())
+    assert sync() == [("a", True, 3), ("b", True, 7)] and (target / "images" / "b").read_bytes() == b"picture"
+    (target / "a").unlink()
+    assert sync() == [("a", True, 3), ("b", True, 7)] and not (target / "a").exists()  # nothing new: nothing copied
+    (source / "c").write_bytes(b"12345")
+    (target / "d" / "x").mkdir(parents=True)
+    (source / "d").write_bytes(b"in the way")
+    got = sync()
+    assert got[:3] == [("a", True, 3), ("b", True, 7), ("c", True, 5)] and got[3][:2] == ("d", False)
+
+
 def test_copies_and_the_served_manifest(spark, tmp_path):
     (tmp_path / "in" / "images").mkdir(parents=True)
     (tmp_path / "in" / "poses").write_bytes(b"abc")
