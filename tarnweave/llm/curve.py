@@ -21,7 +21,7 @@ from tarnweave.session import stash
 #: Projections are kept as whole multiples of this, so that their sums don't depend on the order.
 UNIT = 1 << 20
 #: Bytes that a worker's tables of words and of parts that aren't words hold before they start anew.
-WORD_BYTES, PART_BYTES = 240 << 20, 16 << 20
+WORD_BYTES, PART_BYTES = 144 << 20, 8 << 20
 BATCH_ROWS = 1024
 #: Latin-1 but for controls and spaces that aren't white space everywhere.
 _PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
