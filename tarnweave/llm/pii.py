@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnweave.llm.hot import join_by_weight
@@ -247,7 +247,7 @@ def surrogates(parts: DataFrame, key: str, attempts: int = 64) -> DataFrame:
     No two parts of a kind get the same surrogate and none gets one that is itself a part: of
     parts that do, the first by order keeps it and the others draw again, names and mail addresses
     growing longer. Parts that find none in ``attempts`` draws, as hardly any of their form is
-    free, are an error."""
+    free, exchange their values among themselves: those surrogates are real values, of other parts."""
     real = stash(parts.select("kind", "norm").distinct())
     tasks = max(1, -(-real.count() // _DRAWN))
     space = F.regexp_replace("kind", ":.*", "").alias("space")
@@ -271,8 +271,34 @@ def surrogates(parts: DataFrame, key: str, attempts: int = 64) -> DataFrame:
         )
         if pending.isEmpty():
             return taken
-    kinds = [r["kind"] for r in pending.select("kind").distinct().collect()]  # a handful of kinds
-    raise RuntimeError(f"no surrogates of the same form are left for some of: {', '.join(sorted(kinds))}")
+    return _exchanged(pending.select("kind", "norm"), taken, key, tasks)
+
+
+def _exchanged(left: DataFrame, taken: DataFrame, key: str, tasks: int) -> DataFrame:
+    """``taken`` with the parts that found no free surrogate, as those of their form are all in use:
+    they exchange their own values in a keyed ring, so that each gets another's and no two the same.
+
+    Rings are of parts of a kind and form; within ``tasks`` shares of these first, then of those that
+    were alone in theirs. One that is alone in its form changes places with a part that has one."""
+    form = F.regexp_replace(F.regexp_replace("norm", "[0-9]", "9"), r"[\p{L}\p{M}]", "a")
+    place = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "norm").cast("binary"), 256)
+    open_, done = left.select("kind", "norm", form.alias("form"), place.alias("place")), taken
+    for shares in (tasks, 1):
+        share = F.pmod(F.xxhash64("place"), F.lit(shares))
+        ring = Window.partitionBy("kind", "form", share).orderBy("place")
+        around = F.first("norm").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        given = stash(open_.withColumn("core", F.coalesce(F.lead("norm").over(ring), around)))
+        done = done.unionByName(given.where("core <> norm").select("kind", "norm", "core"))
+        open_ = given.where("core = norm").drop("core")
+    other = taken.withColumn("form", F.regexp_replace(F.regexp_replace("norm", "[0-9]", "9"), r"[\p{L}\p{M}]", "a"))
+    other = other.groupBy("kind", "form").agg(F.min(F.struct("norm", "core")).alias("t"))
+    pairs = stash(open_.join(other, ["kind", "form"], "left"))
+    if not pairs.where("t is null").isEmpty():
+        raise RuntimeError("a part has the only value of its kind and form")
+    swapped = pairs.select("kind", "norm", F.col("t.core").alias("core")).unionByName(
+        pairs.select("kind", F.col("t.norm").alias("norm"), F.col("norm").alias("core"))
+    )
+    return done.join(swapped.select("kind", "norm"), ["kind", "norm"], "left_anti").unionByName(swapped)
 
 
 def _formed(parts: DataFrame) -> DataFrame:

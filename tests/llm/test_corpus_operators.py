@@ -289,8 +289,12 @@ def test_surrogates_end_where_a_form_is_used_up(spark):
     every = spark.createDataFrame([("email", f"{i}@{j}.com") for i in range(10) for j in range(10)], "kind string, norm string")
     cores = [r["core"] for r in pii.surrogates(every, "k").collect()]
     assert len(set(cores)) == 100 and not set(cores) & {r["norm"] for r in every.collect()}
-    with pytest.raises(RuntimeError, match="ssn"):
-        pii.surrogates(spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, norm string"), "k", 2)
+    # where all values of a form are real, or draws end, parts exchange theirs: each gets another's, all distinct
+    for n, attempts in ((10, 1), (3, 1)):
+        real = [("ssn", str(i)) for i in range(n)]
+        got = {r["norm"]: r["core"] for r in pii.surrogates(spark.createDataFrame(real, "kind string, norm string"), "k", attempts).collect()}
+        assert set(got) == {x for _, x in real} and len(set(got.values())) == n
+        assert all(k != v and len(v) == 1 for k, v in got.items())
 
 
 def test_surrogates_at_the_edges(spark):
