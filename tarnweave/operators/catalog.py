@@ -104,7 +104,9 @@ def joined_with_misses(df: DataFrame, catalog: DataFrame, key: str, path: str) -
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
-    """Counts by row and the given values, 0 where there are none."""
+    """Counts by row and the given values, 0 where there are none; no rows where a column isn't there."""
+    if not has_columns(df, row, column):
+        return df.sparkSession.createDataFrame([], f"`{row}` string" + "".join(f", `{column}_{v}` long" for v in values))
     return df.groupBy(row).agg(*(F.count_if(F.col(column) == v).alias(f"{column}_{v}") for v in values))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions.scalars import clip, row_mean
 from tarnweave.operators.selection import quantiles
+from tarnweave.session import stash
 
 Z_LIMIT, AXIS_LIMIT, ETA_LIMIT = 4.0, 1.0, 0.35
 #: Direction of each feature, + means higher is better.
@@ -70,9 +71,9 @@ def eta_squared(episodes: DataFrame, features: list[str], group: str) -> DataFra
     if not there:
         return episodes.sparkSession.createDataFrame([], "feature string, eta2 double, usage string")
     x = {f: F.col(f).cast("double") for f in there}
-    groups = episodes.groupBy(group).agg(
+    groups = stash(episodes.groupBy(group).agg(
         *(g.alias(f"{k}_{f}") for f, c in x.items() for k, g in (("n", F.count(c)), ("m", F.avg(c)), ("v", F.var_pop(c))))
-    )
+    ))
     named = F.col(group).isNotNull()
     weighed = lambda f, c: F.sum(F.col(f"n_{f}") * c)
     inside = groups.agg(

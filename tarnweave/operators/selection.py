@@ -11,10 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnweave.functions.scalars import missing_to_null
 from tarnweave.session import stash
 
 #: Cells of a histogram, and values of a cell that are few enough to be sorted.
-CELLS, FEW = 1024, 512
+CELLS, FEW = 1024, 4096
 
 
 def _met(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
@@ -54,7 +55,7 @@ def quantiles(
     Nulls and NaN are left out; a column without values gives null. Null keys are a group of their
     own; without keys the table is one group."""
     by, names = by or [], list(values)
-    clean = [F.when(~F.isnan(v.cast("double")), v.cast("double")) for v in values.values()]
+    clean = [missing_to_null(v.cast("double")) for v in values.values()]
     entries = F.array(*(F.struct(F.lit(j).alias("j"), c.alias("v")) for j, c in enumerate(clean)))
     rows = df.select(*by, F.explode(entries).alias("e")).select(*by, "e.j", "e.v").where("v is not null")
     bounds = [F.struct(F.lit(j).alias("j"), F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"__{j}") for j, c in enumerate(clean)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import wraps
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,20 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
+def once(make):
+    """A session's files of a table are written once: they follow from it."""
+    made: dict[tuple[str, str], str] = {}
+
+    @wraps(make)
+    def folder(spark: SparkSession, sf_dir: str) -> str:
+        at = (shared_dir(spark), sf_dir)
+        if at not in made:
+            made[at] = make(spark, sf_dir)
+        return made[at]
+
+    return folder
+
+
 def _written(rows: DataFrame, keys: list[str], write) -> None:
     """``write(frame)`` for each group of rows, in tasks."""
 
@@ -33,6 +48,7 @@ def _key(c):
     return F.lpad(F.lower(F.hex(c + 1)), 24, "0")
 
 
+@once
 def shards(spark: SparkSession, sf_dir: str) -> str:
     """A folder of shards: an episode's events as frames, twenty to a shard, some slots empty, every
     other frame compressed, and one shard that is no shard."""
@@ -53,6 +69,7 @@ def shards(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+@once
 def pose_groups(spark: SparkSession, sf_dir: str) -> str:
     """A folder of array groups: ten embeddings an episode as a pose array, in chunks of four rows,
     compressed for every other episode, of which eight are frames."""
@@ -82,6 +99,7 @@ def pose_groups(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+@once
 def clips(spark: SparkSession, sf_dir: str) -> str:
     """A folder with a clip for every other user, and files of other names."""
     folder = new_folder(spark)
@@ -118,6 +136,7 @@ def byte_encoder():
     return encode
 
 
+@once
 def recordings(spark: SparkSession, sf_dir: str) -> str:
     """A folder of whole episodes: twenty embeddings each as poses of both hands and the head, keypoints
     and stamps, of which eighteen are frames, and a shard of pictures. Hands, head and stamps aren't

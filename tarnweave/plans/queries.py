@@ -13,7 +13,7 @@ from tarnweave.operators import ablation, catalog, geometry, ranking, reports, r
 from tarnweave.plans import fixtures, scans
 from tarnweave.plans import manifest as plan
 from tarnweave.plans import stand_ins as I
-from tarnweave.session import read_table
+from tarnweave.session import read_table, stash
 from tarnweave.sources import arrays, files, shards, tables
 from tarnweave.streaming.events import windowed_counts
 
@@ -37,6 +37,11 @@ def _sql_round(*names: str) -> str:
     return ", ".join(f"round({n}, 6) + 0 AS {n}" for n in names)
 
 
+def _episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in episodes, stored: several passes read them."""
+    return stash(I.episodes(spark, sf_dir))
+
+
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.build_manifest(I.episodes(spark, sf_dir))
 
@@ -63,22 +68,22 @@ def longest_faint_run(spark, sf_dir):
 
 @query(f"WITH {I.EPISODES_SQL} SELECT episode, round({I._z('right_straightness')}, 6) AS z FROM ep WINDOW w AS (PARTITION BY operator)")
 def robust_z(spark, sf_dir):
-    return rounded(scoring.with_robust_z(I.episodes(spark, sf_dir), {"z": F.col("right_straightness")}, "operator").select("episode", "z"))
+    return rounded(scoring.with_robust_z(_episodes(spark, sf_dir), {"z": F.col("right_straightness")}, "operator").select("episode", "z"))
 
 
 @query(f"WITH {I.AXES_SQL} SELECT episode, {_sql_round(*(f'ax_{a}' for a in I.AXES))} FROM ax")
 def axis_scores(spark, sf_dir):
-    return rounded(scoring.axis_scores(I.episodes(spark, sf_dir), "operator", I.AXES).select("episode", *(f"ax_{a}" for a in I.AXES)))
+    return rounded(scoring.axis_scores(_episodes(spark, sf_dir), "operator", I.AXES).select("episode", *(f"ax_{a}" for a in I.AXES)))
 
 
 @query(f"WITH {I.EPISODES_SQL}, {I.ETA_SQL} SELECT feature, round(eta2, 6) AS eta2, CASE WHEN eta2 <= 0.35 THEN 'USE' ELSE 'DROP' END AS usage FROM et WHERE known > 0")
 def eta_squared(spark, sf_dir):
-    return rounded(scoring.eta_squared(I.episodes(spark, sf_dir), list(I.SIGNS), "operator").orderBy("eta2", "feature"))
+    return rounded(scoring.eta_squared(_episodes(spark, sf_dir), list(I.SIGNS), "operator").orderBy("eta2", "feature"))
 
 
 @query(f"WITH {I.EPISODES_SQL}, {I.SCORE_SQL} SELECT episode, round(score, 6) AS score FROM sc")
 def composite_score(spark, sf_dir):
-    return rounded(scoring.composite_score(I.episodes(spark, sf_dir), I.SIGNS, "operator").select("episode", "score"))
+    return rounded(scoring.composite_score(_episodes(spark, sf_dir), I.SIGNS, "operator").select("episode", "score"))
 
 
 @query(f"WITH {I.EPISODES_SQL} SELECT episode, {I.REASON_SQL} AS reason FROM ep")
@@ -92,7 +97,7 @@ def integrity_rules(spark, sf_dir):
 @query(f"WITH {I.AXES_SQL} SELECT episode, {I.LABEL_SQL} AS label FROM ax")
 def failure_label(spark, sf_dir):
     names = [f"ax_{a}" for a in I.AXES]
-    return scoring.axis_scores(I.episodes(spark, sf_dir), "operator", I.AXES).select("episode", rules.failure_label(names).alias("label"))
+    return scoring.axis_scores(_episodes(spark, sf_dir), "operator", I.AXES).select("episode", rules.failure_label(names).alias("label"))
 
 
 def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,7 +416,7 @@ def ridge_gram(spark, sf_dir):
 
 @query(f"""WITH {I.EPISODES_SQL}, {I.SCORE_SQL}, r AS (SELECT episode, row_number() OVER (ORDER BY score DESC NULLS LAST, episode) AS pos, count(*) OVER () AS n FROM sc) SELECT episode FROM r WHERE pos <= greatest(floor(n * 0.3::DOUBLE), 20)""")
 def top_fraction(spark, sf_dir):
-    scored = scoring.composite_score(I.episodes(spark, sf_dir), I.SIGNS, "operator").select("episode", "score")
+    scored = scoring.composite_score(_episodes(spark, sf_dir), I.SIGNS, "operator").select("episode", "score")
     return ablation.top_fraction(scored, "score", "episode", 0.3).select("episode")
 
 
@@ -950,6 +955,20 @@ def embed_scan(spark, sf_dir):
     return found.select("episode_hash", "ok", size.alias("n"), total.alias("frames"), F.round(F.get("mean", F.lit(3)), 4).alias("mean"))
 
 
+@query(f"""WITH {_RECORDED}, fz AS (SELECT e AS episode, t AS frame_idx, (vec_id % 40 + 5)::DOUBLE AS bytes FROM rc WHERE t % 9 <> 4), {_QUALITY.replace("FROM fr ", "FROM fz ")},
+ql AS (SELECT z.episode AS e, avg((z < -2)::INT) AS low_detail_frac, avg((z < -1)::INT) AS faint_frac, first(dev) / avg(bytes) AS size_cv FROM z GROUP BY 1)
+SELECT lpad(lower(to_hex(fp.e + 1)), 24, '0') AS episode_hash, fp.e % 3 AS operator, 18::BIGINT AS n_frames, round(max(path_len) FILTER (body = 'right'), 6) AS right_path_len, round(max(sparc) FILTER (body = 'left'), 6) + 0 AS left_sparc,
+ round(max(low_detail_frac), 6) AS low_detail_frac, round(max(faint_frac), 6) AS faint_frac, round(max(size_cv), 6) AS size_cv FROM fp JOIN ql ON ql.e = fp.e LEFT JOIN ft ON ft.e = fp.e WHERE fp.e % 7 <> 6 GROUP BY fp.e""")
+def scans_joined(spark, sf_dir):
+    folder = fixtures.recordings(spark, sf_dir)
+    motion = scans.pose_scan(*scans.stored_groups(spark, folder)).where("ok")
+    visual = series.frame_quality(shards.frame_sizes(spark, folder, scans.CAMERA).where("ok"), scans.KEY, "frame_idx", "bytes")
+    e = read_table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 20).alias("e")).distinct()
+    known = e.select(fixtures._key(F.col("e")).alias(scans.KEY), (F.col("e") % 3).alias("operator"))
+    joined = plan.joined_scans(motion, visual, known, scans.KEY)
+    return rounded(joined.select(scans.KEY, "operator", "n_frames", "right_path_len", "left_sparc", "low_detail_frac", "faint_frac", "size_cv"))
+
+
 @query("""WITH e AS (SELECT DISTINCT vec_id // 20 AS e FROM embeddings) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, s AS span, 'span ' || s || ' of ' || e || ': é' AS text FROM e, (SELECT unnest(range(3)) AS s) WHERE e % 2 = 1""")
 def language_spans(spark, sf_dir):
     return arrays.annotations(spark, fixtures.recordings(spark, sf_dir)).where("ok").select("episode_hash", "span", "text")

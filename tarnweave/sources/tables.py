@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnweave.functions.scalars import is_episode_key
+from tarnweave.functions.scalars import is_episode_key, missing_to_null
 from tarnweave.operators.catalog import with_membership
 
 
@@ -19,8 +19,9 @@ def read_database(spark: SparkSession, url: str, table: str, properties: dict[st
 
 
 def lookup(episodes: DataFrame, key: str, value: str) -> DataFrame:
-    """The first row of a key; an error if there is none."""
-    found = episodes.where(F.col(key) == F.lit(value)).limit(1)
+    """The first row of a key, by its other columns where there are several; an error if there is none."""
+    order = [c for c, k in episodes.dtypes if not k.startswith("map")]
+    found = episodes.where(F.col(key) == F.lit(value)).orderBy(*order).limit(1)
     if found.isEmpty():
         raise KeyError(value)
     return found
@@ -52,7 +53,7 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def json_rows(manifest: DataFrame) -> DataFrame:
     """(json): each row as an object, missing numbers and empty reasons as null."""
     clean = [
-        F.when(~F.isnan(c), F.col(c)).alias(c) if k in ("double", "float")
+        missing_to_null(F.col(c)).alias(c) if k in ("double", "float")
         else F.nullif(F.col(c), F.lit("")).alias(c) if c == "reason" else F.col(c)
         for c, k in manifest.dtypes
     ]

@@ -209,6 +209,18 @@ def test_history_windows_leave_out_the_last_start(spark):
     assert {(h, r[0]): r[1] for h, rows in counts.items() for r in rows} == {(1, "a"): 14, (1, "b"): 1, (3, "a"): 12}
 
 
+def test_crosstab_of_columns_that_are_there(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None)], "g string, v string")
+    assert sorted(map(tuple, catalog.crosstab(df, "g", "v", ["x", "y"]).collect())) == [("a", 1, 1), ("b", 0, 0)]
+    none = catalog.crosstab(df, "g", "w", ["x"])
+    assert none.columns == ["g", "w_x"] and none.count() == 0
+
+
+def test_lookup_takes_the_first_of_several(spark):
+    df = spark.createDataFrame([("k", 2), ("k", 1), ("l", 0)], "key string, n int")
+    assert tables.lookup(df, "key", "k").collect() == [("k", 1)]
+
+
 def test_empty_manifest_summary(spark):
     empty = spark.createDataFrame([], "decision string, reason string, operator string")
     got = reports.summary(empty, "operator").first()
