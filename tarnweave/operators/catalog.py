@@ -17,10 +17,9 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample deviation, extremes and interpolated quartiles."""
-    x = F.col(column).cast("double")
-    whole = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
-    found = quantiles(df, {"p": x}, [0.25, 0.5, 0.75], extras=whole)
-    return found.select("n", "mean", "std", "min", F.col("p_0").alias("p25"), F.col("p_1").alias("p50"), F.col("p_2").alias("p75"), "max")
+    found = quantiles(df, {"p": F.col(column)}, [0.25, 0.5, 0.75])
+    names = {"n": "n", "mean": "mean", "std": "sd", "min": "lo", "p25": "0", "p50": "1", "p75": "2", "max": "hi"}
+    return found.select(*(F.col(f"p_{c}").alias(n) for n, c in names.items()))
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from tarnweave.functions.scalars import missing_to_null
 from tarnweave.session import stash
 
-#: Cells of a histogram, and values of a cell that are few enough to be sorted.
-CELLS, FEW = 1024, 4096
+#: Cells of a histogram, and values of a cell that are few enough to be sorted, in each
+#: of many groups and in one table.
+CELLS, FEW, FEW_OF_ALL = 1024, 4096, 1 << 16
 
 
 def _met(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
@@ -32,58 +33,54 @@ def _refined(rows: DataFrame, state: DataFrame, by: list[str], cells: int) -> Da
     at = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
     cell = F.when(F.isnan(at), cells - 1).otherwise(F.least(F.floor(at * cells), F.lit(cells - 1)))
     counted = _met(rows, state, by).groupBy(*by, "j", "i", cell.alias("cell")).agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), *(F.first(c).alias(c) for c in ("rank", "part", "next"))
+        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), *(F.first(c).alias(c) for c in ("s", "rank", "part", "next"))
     )
     along = Window.partitionBy(*by, "j", "i").orderBy("cell")
     placed = counted.withColumns({"upto": F.sum("n").over(along), "after": F.lead("lo").over(along)})
     here = placed.where("upto > rank and upto - n <= rank")
-    return here.select(*by, "j", "i", "n", "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "part", F.coalesce("after", "next").alias("next"))
-
-
-def quantiles(
-    df: DataFrame,
-    values: dict[str, Column],
-    shares: list[float],
-    by: list[str] | None = None,
-    extras: dict[str, Column] | None = None,
-    cells: int = CELLS,
-    few: int = FEW,
-) -> DataFrame:
-    """A row per group: its keys, for each value and share ``{name}_{i}``, the quantile of the i-th
-    share with linear interpolation, and ``extras``, aggregates taken in the first pass.
-
-    Nulls and NaN are left out; a column without values gives null. Null keys are a group of their
-    own; without keys the table is one group."""
-    by, names = by or [], list(values)
-    clean = [missing_to_null(v.cast("double")) for v in values.values()]
-    entries = F.array(*(F.struct(F.lit(j).alias("j"), c.alias("v")) for j, c in enumerate(clean)))
-    rows = df.select(*by, F.explode(entries).alias("e")).select(*by, "e.j", "e.v").where("v is not null")
-    bounds = [F.struct(F.lit(j).alias("j"), F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"__{j}") for j, c in enumerate(clean)]
-    first = stash(df.groupBy(*by).agg(*bounds, *(e.alias(n) for n, e in (extras or {}).items())))
-    every = first.select(*by, F.explode(F.array(*(f"__{j}" for j in range(len(names))))).alias("w")).select(*by, "w.*").where("n > 0")
-    place = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(float(s)) * (F.col("n") - 1)).alias("at")) for i, s in enumerate(shares)))
-    state = every.withColumn("t", F.explode(place)).select(
-        *by, "j", "t.i", "n", "lo", "hi", F.floor("t.at").alias("rank"), (F.col("t.at") % 1).alias("part"), F.lit(None).cast("double").alias("next")
+    return here.select(*by, "j", "i", "s", "n", "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "part", F.coalesce("after", "next").alias("next"))
+
+
+def long_form(df: DataFrame, values: list[Column], by: list[str]) -> DataFrame:
+    """(keys, j, v): a row for each value that isn't null or NaN, j its place in the list."""
+    entries = F.array(*(F.struct(F.lit(j).alias("j"), missing_to_null(v.cast("double")).alias("v")) for j, v in enumerate(values)))
+    return df.select(*by, F.explode(entries).alias("e")).select(*by, "e.j", "e.v").where("v is not null")
+
+
+def order_statistics(rows: DataFrame, by: list[str], shares: list[float], cells: int = CELLS, few: int | None = None) -> DataFrame:
+    """(keys, j, s, q) of ``long_form`` rows: a row for each group and column that has values. s holds
+    n, mean, sd (of a sample), lo and hi, taken in the first pass; q the quantiles of the shares with
+    linear interpolation. Null keys are a group of their own; without keys the table is one."""
+    few = few or (FEW if by else FEW_OF_ALL)
+    moments = F.struct(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    first = stash(rows.groupBy(*by, "j").agg(moments.alias("s")))
+    place = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(float(x)) * (F.col("s.n") - 1)).alias("at")) for i, x in enumerate(shares)))
+    state = first.withColumn("t", F.explode(place)).select(
+        *by, "j", "t.i", "s", "s.n", "s.lo", "s.hi", F.floor("t.at").alias("rank"), (F.col("t.at") % 1).alias("part"), F.lit(None).cast("double").alias("next")
     )
     wide = (F.col("lo") < F.col("hi")) & (F.col("n") > few)
-    while state.where(wide).limit(1).count():
+    while not state.where(wide).isEmpty():
         state = stash(_refined(rows, state.where(wide), by, cells).unionByName(state.where(~wide)))
 
     apart = F.col("lo") < F.col("hi")
     pick = lambda low, high: low * (1 - F.col("part")) + F.when(F.col("part") > 0, high * F.col("part")).otherwise(0.0)
     beyond = F.when(F.col("rank") + 1 < F.col("n"), F.col("lo")).otherwise(F.col("next"))
-    settled = state.where(~apart).select(*by, "j", "i", pick(F.col("lo"), beyond).alias("q"))
+    settled = state.where(~apart).select(*by, "j", "i", "s", pick(F.col("lo"), beyond).alias("q"))
     held = _met(rows, state.where(apart), by).groupBy(*by, "j", "i").agg(
-        F.array_sort(F.collect_list("v")).alias("s"), *(F.first(c).alias(c) for c in ("rank", "part", "next"))
-    )  # FEW values of a target at most
-    nth = lambda k: F.try_element_at("s", (F.col("rank") + k).cast("int"))
-    sorted_ = held.select(*by, "j", "i", pick(nth(1), F.coalesce(nth(2), "next")).alias("q"))
-    found = settled.unionByName(sorted_).groupBy(*by).agg(
-        *(F.max(F.when((F.col("j") == j) & (F.col("i") == i), F.col("q"))).alias(f"{n}_{i}") for j, n in enumerate(names) for i in range(len(shares)))
-    )
-    kept = first.select(*by, *(extras or {}))
-    if not by:
-        return found.join(kept) if extras else found  # one row and one row
-    to = found.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(by)), *(c for c in found.columns if c not in by))
-    joined = kept.join(to, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by))), "left")
-    return joined.drop(*(f"__k{i}" for i in range(len(by))))
+        F.array_sort(F.collect_list("v")).alias("sorted"), *(F.first(c).alias(c) for c in ("s", "rank", "part", "next"))
+    )  # few values of a target at most
+    nth = lambda k: F.try_element_at("sorted", (F.col("rank") + k).cast("int"))
+    found = settled.unionByName(held.select(*by, "j", "i", "s", pick(nth(1), F.coalesce(nth(2), "next")).alias("q")))
+    return found.groupBy(*by, "j").agg(F.first("s").alias("s"), F.array_sort(F.collect_list(F.struct("i", "q"))).alias("q")).withColumn("q", F.col("q.q"))
+
+
+def quantiles(df: DataFrame, values: dict[str, Column], shares: list[float], cells: int = CELLS, few: int | None = None) -> DataFrame:
+    """One row for the table: for each value and share ``{name}_{i}``, the quantile of the i-th share
+    (null without values), and ``{name}_n``, ``_mean``, ``_sd``, ``_lo`` and ``_hi``."""
+    found = order_statistics(long_form(df, list(values.values()), []), [], shares, cells, few)
+    one = lambda j, c: F.max(F.when(F.col("j") == j, c))
+    columns = []
+    for j, name in enumerate(values):
+        columns += [one(j, F.get("q", F.lit(i))).alias(f"{name}_{i}") for i in range(len(shares))]
+        columns += [(F.coalesce(one(j, F.col("s.n")), F.lit(0)) if c == "n" else one(j, F.col(f"s.{c}"))).alias(f"{name}_{c}") for c in ("n", "mean", "sd", "lo", "hi")]
+    return found.agg(*columns)

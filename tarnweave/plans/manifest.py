@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.operators import catalog, rules, series, statistics
-from tarnweave.operators.scoring import AXES, SIGNS, axis_scores, composite_score
+from tarnweave.operators.scoring import AXES, SIGNS, scores
 from tarnweave.session import stash
 
 
@@ -29,7 +29,7 @@ def with_progress(joined: DataFrame, frames: DataFrame | None, key: str = "episo
 def judged(episodes: DataFrame, signs: dict[str, int], axes: dict[str, dict[str, int]], group: str = "operator") -> DataFrame:
     """Axis and composite scores and the integrity rules' reason; axes cover dropped episodes too."""
     known = stash(episodes)
-    scored = axis_scores(composite_score(known, signs, group), group, axes)
+    scored = scores(known, group, signs, axes)
     dip = F.col("progress_dip")
     return scored.withColumn(
         "reason", rules.integrity_reason(F.col("n_frames"), F.col("declared"), dip.isNotNull(), dip, F.col("act_span"))
