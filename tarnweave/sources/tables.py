@@ -20,7 +20,7 @@ def read_database(spark: SparkSession, url: str, table: str, properties: dict[st
 
 def lookup(episodes: DataFrame, key: str, value: str) -> DataFrame:
     """The first row of a key, by its other columns where there are several; an error if there is none."""
-    order = [c for c, k in episodes.dtypes if not k.startswith("map")]
+    order = [c for c, k in episodes.dtypes if "map<" not in k]
     found = episodes.where(F.col(key) == F.lit(value)).orderBy(*order).limit(1)
     if found.isEmpty():
         raise KeyError(value)
