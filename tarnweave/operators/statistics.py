@@ -50,7 +50,8 @@ def null_floor(tests: DataFrame, nulls: DataFrame, p: str = "p", alphas: tuple[f
     shares = []
     for table in (tests, nulls):
         cut = cutoffs(table, p, list(alphas))
-        flagged = [F.avg(F.coalesce(F.col(p) <= F.lit(cut[a]).cast("double"), F.lit(False)).cast("double")) for a in alphas]
+        is_in = [F.coalesce(F.col(p) <= F.lit(cut[a]).cast("double"), F.lit(False)).cast("double") for a in alphas]
+        flagged = [F.coalesce(F.avg(F.when(F.col(p).isNotNull(), x)), F.avg(x)) for x in is_in]  # what isn't tested doesn't count
         shares.append(table.agg(*flagged).first())
     return tests.sparkSession.createDataFrame(list(zip(alphas, *shares, strict=True)), "alpha double, flagged double, floor double")
 
@@ -427,16 +428,21 @@ def cluster_tests(df: DataFrame, key: str, vector: str, least: float = 0.01, see
     """(key, cluster, p) of every row with a vector, and the (p) of the null floor.
 
     Vectors are standardised and whitened by PCA, clustered, and tested by robust distance within
-    their cluster. K-means needs more rows than clusters: below three rows nothing can be tested,
-    and clusters and p are null."""
+    their cluster. Vectors of another length than most have, as episodes of too few frames give, and
+    those with components that aren't finite take no part: their clusters and p are null. K-means needs
+    more rows than clusters: below three rows nothing can be tested, and all are null."""
     rows = df.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias("__x"))
-    head = rows.agg(F.count("*").alias("n"), F.max(F.size("__x")).alias("d")).first()
-    if head["n"] < 3:
-        none = rows.select(key, F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("double").alias("p"))
-        return none, none.select("p").limit(0)
-    points, dims = whitened(rows, key, "__x", head["n"], head["d"])
+    finite = F.forall("__x", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    width = F.when(finite, F.size("__x"))
+    head = rows.groupBy(width.alias("d")).agg(F.count("*").alias("n")).where("d > 0").orderBy(F.desc("n"), F.desc("d")).first()
+    none = lambda x: x.select(key, F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("double").alias("p"))
+    if head is None or head["n"] < 3:
+        return none(rows), none(rows).select("p").limit(0)
+    part = width.eqNullSafe(F.lit(head["d"]))
+    points, dims = whitened(rows.where(part), key, "__x", head["n"], head["d"])
     labelled, _ = choose_clusters(points, key, "y", seed, ks, restarts)
-    return cluster_pvalues(rare_clusters(labelled, "cluster", least), key, dims, seed)
+    tested, nulls = cluster_pvalues(rare_clusters(labelled, "cluster", least), key, dims, seed)
+    return tested.unionByName(none(rows.where(~part))), nulls
 
 
 def cluster_outliers(df: DataFrame, key: str, vector: str, alpha: float = 0.01, least: float = 0.01, seed: int = 0, ks=CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
