@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,14 +71,25 @@ def split_flags(c: Column) -> Column:
     return F.filter(F.split(c, "[+]"), lambda x: x != "")
 
 
+def _printed(c: Column, form: str) -> Column:
+    """A double as text by its exact value, as C and ECMAScript round it: ``format_string`` rounds the
+    shortest decimals that stand for it, so that 1.355, which is a little less, becomes 1.36."""
+
+    @F.pandas_udf("string")
+    def text(x: pd.Series) -> pd.Series:
+        return pd.Series([format(v, form).replace("nan", "NaN").replace("inf", "Infinity") for v in x])
+
+    return text(c.cast("double"))
+
+
 def fixed(c: Column, digits: int = 3) -> Column:
     """A number as text, or a dash."""
-    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).otherwise("—")
+    return F.when(c.isNotNull(), _printed(c, f".{digits}f")).otherwise("—")
 
 
 def exponential(c: Column, digits: int = 2) -> Column:
     """A number as text with an exponent without leading zeros, or a dash."""
-    return F.when(c.isNotNull(), F.regexp_replace(F.format_string(f"%.{digits}e", c), r"e([+-])0(?=[0-9])", "e$1")).otherwise("—")
+    return F.when(c.isNotNull(), F.regexp_replace(_printed(c, f".{digits}e"), r"e([+-])0(?=[0-9])", "e$1")).otherwise("—")
 
 
 def bar_is_bad(z: Column, limit: float = 1.25) -> Column:

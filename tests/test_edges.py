@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tarnweave.functions import scalars
 from tarnweave.operators import statistics
 from tarnweave.plans import queries as curation
 
@@ -18,3 +19,12 @@ def test_outliers_among_vectors_of_several_lengths(spark):
     got, plain = run(rows + odd), run(rows)
     assert set(got) == set(range(35)) and all(got[k]["p"] == pytest.approx(plain[k]["p"], abs=1e-6) and got[k]["cluster"] is not None for k in plain)
     assert all(got[k]["cluster"] is None and got[k]["p"] is None and not got[k]["outlier"] for k, _ in odd)
+
+
+def test_numbers_are_printed_by_their_exact_value(spark):
+    values = [9.485 / 7, 1.005, 0.0625, 2.5e-11, -9.995, 0.0, 1e22, 123456.7895, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [tuple(r) for r in df.select(scalars.fixed(F.col("v")), scalars.exponential(F.col("v"))).collect()]
+    assert got[0] == ("1.355", "1.35e+0") and got[-1] == ("—", "—")
+    for v, (a, b) in zip(values[:-1], got, strict=False):
+        assert a == f"{v:.3f}" and float(b) == float(f"{v:.2e}")
