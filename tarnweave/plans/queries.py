@@ -976,8 +976,10 @@ def language_spans(spark, sf_dir):
 
 @query("""WITH e AS (SELECT vec_id // 20 AS e, max(CASE WHEN vec_id % 20 = 9 THEN vec_id % 40 + 5 END) AS size FROM embeddings GROUP BY 1) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, 9::BIGINT AS frame_idx, CASE WHEN e % 11 <> 5 THEN size - 2 END::BIGINT AS bytes, e % 11 <> 5 AS ok FROM e""")
 def middle_frames(spark, sf_dir):
-    index = shards.frame_sizes(spark, fixtures.recordings(spark, sf_dir), scans.CAMERA)
-    return shards.fetch_frames(index, arrays.middle_frame(index)).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("bytes"), "ok")
+    folder = fixtures.recordings(spark, sf_dir)
+    index = shards.frame_sizes(spark, folder, scans.CAMERA)
+    groups = arrays.attributes(arrays.metadata(spark, folder), "total_frames long")
+    return shards.fetch_frames(index, arrays.middle_frame(index, groups), absent=True).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("bytes"), "ok")
 
 
 @query("SELECT vec_id // 10 AS episode, vec_id % 10 AS row, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")

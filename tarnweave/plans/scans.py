@@ -180,7 +180,7 @@ def described(spark: SparkSession, path: str, keys: list[str]) -> dict[str, Data
         "arrays": one(arrays.described(spark, path)),
         "rates": series.rate_check(rates),
         "spans": one(arrays.annotations(spark, path)),
-        "middle": shards.fetch_frames(index, arrays.middle_frame(index)),
+        "middle": shards.fetch_frames(index, arrays.middle_frame(index, groups), absent=True),
     }
 
 

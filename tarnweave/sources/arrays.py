@@ -250,6 +250,9 @@ def annotations(spark: SparkSession, path: str, name: str = "annotations") -> Da
     return chunks.join(meta, "episode_hash").mapInArrow(run, "episode_hash string, span long, text string, ok boolean, error string")
 
 
-def middle_frame(index: DataFrame) -> DataFrame:
-    """(episode_hash, frame_idx): the frame in the middle of each episode of ``frame_sizes`` rows."""
-    return index.where("ok").groupBy("episode_hash").agg(F.floor((F.max("frame_idx") + 1) / 2).alias("frame_idx"))
+def middle_frame(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """(episode_hash, frame_idx): the frame in the middle of each episode of ``frame_sizes`` rows, by the
+    number that its group (episode_hash, total_frames) declares, else by the last one stored."""
+    last = index.where("ok").groupBy("episode_hash").agg((F.max("frame_idx") + 1).alias("n"))
+    declared = groups.groupBy("episode_hash").agg(F.max("total_frames").alias("declared"))
+    return last.join(declared, "episode_hash", "left").select("episode_hash", F.floor(F.coalesce("declared", "n") / 2).alias("frame_idx"))

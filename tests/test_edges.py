@@ -66,3 +66,7 @@ def test_motion_that_meets_a_target_in_any_order_of_adding(spark):
 
 def test_pose_arrays_of_a_group_cut_short(spark, cut_short):
     assert same(spark, cut_short, "pose_arrays") and same(spark, cut_short, "described_groups")
+
+
+def test_middle_frames_by_the_declared_number(spark, cut_short):
+    assert same(spark, cut_short, "middle_frames")
