@@ -26,7 +26,13 @@ _KEY = r"/([0-9a-f]{24})(?:\.[^/]*)?/"
 def metadata(spark: SparkSession, path: str) -> DataFrame:
     """(episode_hash, array, node_type, shape, data_type, chunk_shape, codecs, attributes): groups and
     arrays under ``path/<episode>/``; a group's array name is empty."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "zarr.json").load(path)
+
+    def content(batches):
+        for batch in batches:
+            read = [read_range(p, 0, n) for p, n in zip(batch["path"].to_pylist(), batch["bytes"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["path"], pa.array(read, pa.binary())], ["path", "content"])
+
+    files = listing(spark, path, "zarr.json").select("path", "bytes").mapInArrow(content, "path string, content binary")
     m = F.from_json(F.col("content").cast("string"), _META)
     return files.select(
         F.regexp_extract("path", _KEY, 1).alias("episode_hash"), F.regexp_extract("path", _KEY + r"(.*?)/?zarr\.json$", 2).alias("array"),

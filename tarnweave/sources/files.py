@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import fnmatch
 import io
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,12 @@ def read_range(path: str, start: int, length: int) -> bytes:
 def write_file(path: str, content: bytes) -> None:
     """Write to a file beside, then rename: a file is whole or isn't there, however often a task runs."""
     system, name = located(path)
-    system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(f"{name}.part") as f:
+    try:
+        out = system.open_output_stream(f"{name}.part")
+    except FileNotFoundError:
+        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        out = system.open_output_stream(f"{name}.part")
+    with out as f:
         f.write(content)
     system.move(f"{name}.part", name)
 
@@ -43,15 +48,57 @@ def size_of(path: str) -> int | None:
     return info.size if info.type == fs.FileType.File else None
 
 
+def _shown(name: str) -> bool:
+    """Not one of the names that Spark's file sources leave out."""
+    return not name.startswith(".") and (not name.startswith("_") or "=" in name)
+
+
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, bytes, modified) of the files below a folder; contents aren't read. A folder that
-    isn't there gives no rows."""
-    schema = "path string, bytes long, modified timestamp"
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
-        return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    return files.load(path).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    """(path, bytes, modified) of the files below a folder whose names match (``*``, ``?``, ``[]``);
+    contents aren't read. A folder that isn't there gives no rows.
+
+    One task reads the folder's own names, others all that is below them: no name reaches the driver,
+    whose index of files would hold each of them."""
+    system, root = located(path.rstrip("/"))
+    prefix = "file:" if isinstance(system, fs.LocalFileSystem) else path.rstrip("/").removesuffix(root)
+    names, kinds = ["path", "folder", "bytes", "modified"], [pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC")]
+    tasks = 2 * max(4, spark.sparkContext.defaultParallelism)
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    def rows_of(infos: Iterable[fs.FileInfo], below: str) -> Iterator[tuple]:
+        for i in infos:
+            if i.type in (fs.FileType.File, fs.FileType.Directory) and all(map(_shown, i.path[len(below) :].strip("/").split("/"))):
+                yield f"{prefix}{i.path}", i.type == fs.FileType.Directory, i.size, i.mtime
+
+    def top(batches):
+        system, root = located(path.rstrip("/"))
+        for batch in batches:
+            if batch.num_rows:
+                own = system.get_file_info(root)
+                found = [own] if own.type == fs.FileType.File else system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+                rows = list(rows_of(found, root.rsplit("/", 1)[0] if own.type == fs.FileType.File else root))
+                for k in range(0, len(rows), 8192):
+                    yield packed(rows[k : k + 8192])
+
+    def below(batches):
+        system, _ = located(path.rstrip("/"))
+        matches = re.compile(fnmatch.translate(pattern)).match
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in names), strict=True):
+                inner = row[0].removeprefix(prefix)
+                some = rows_of(system.get_file_info(fs.FileSelector(inner, recursive=True, allow_not_found=True)), inner) if row[1] else [row]
+                held += [r for r in some if not r[1] and matches(r[0].rsplit("/", 1)[-1])]
+                if len(held) >= 8192:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    schema = "path string, folder boolean, bytes long, modified timestamp"
+    return spark.range(0, 1, 1, 1).mapInArrow(top, schema).repartition(tasks).mapInArrow(below, schema).drop("folder")
 
 
 def stored_keys(files: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tarnweave.functions import scalars
 from tarnweave.operators import series, statistics
 from tarnweave.plans import queries as curation
+from tarnweave.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +71,16 @@ def test_pose_arrays_of_a_group_cut_short(spark, cut_short):
 
 def test_middle_frames_by_the_declared_number(spark, cut_short):
     assert same(spark, cut_short, "middle_frames")
+
+
+def test_a_listing_is_made_by_tasks(spark, tmp_path):
+    kept = ["a.mp4", "e1/c/0.mp4", "e1/k=1/_x=2/b.mp4", "é e/5%20.mp4"]
+    for name in [*kept, "e1/c/1.npz", ".h/a.mp4", "e1/_tmp/a.mp4", "e1/.a.mp4"]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * len(name))
+    found = files.listing(spark, str(tmp_path), "*.mp4")
+    assert {(r["path"], r["bytes"]) for r in found.collect()} == {(f"file:{tmp_path}/{n}", len(n)) for n in kept}
+    assert found.where("modified > timestamp '2000-01-01'").count() == 4
+    assert not found.inputFiles()  # the driver has no index of them
+    assert files.listing(spark, f"file://{tmp_path}/e1/c/", "*").count() == 2
+    assert files.read_range(found.where("path like '%20.mp4'").first()["path"], 0, 9) == b"x" * 9
