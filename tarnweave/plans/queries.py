@@ -872,7 +872,7 @@ def shard_index(spark, sf_dir):
 
 @query(f"WITH {_SHARDS} SELECT lpad(lower(to_hex(episode + 1)), 24, '0') AS episode_hash, i // 20 * 1000 + i % 20 AS frame_idx, (bytes - 2)::BIGINT AS shown FROM sh WHERE i % 7 <> 3 AND i % 5 = 0")
 def shard_frames(spark, sf_dir):
-    index = shards.frame_sizes(spark, fixtures.shards(spark, sf_dir))
+    index = stash(shards.frame_sizes(spark, fixtures.shards(spark, sf_dir)))
     wanted = index.where("frame_idx % 5 = 0").select("episode_hash", "frame_idx").unionByName(index.select("episode_hash", F.lit(999).cast("long").alias("frame_idx")).distinct())
     return shards.fetch_frames(index, wanted).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("shown"))
 
@@ -977,7 +977,7 @@ def language_spans(spark, sf_dir):
 @query("""WITH e AS (SELECT vec_id // 20 AS e, max(CASE WHEN vec_id % 20 = 9 THEN vec_id % 40 + 5 END) AS size FROM embeddings GROUP BY 1) SELECT lpad(lower(to_hex(e + 1)), 24, '0') AS episode_hash, 9::BIGINT AS frame_idx, CASE WHEN e % 11 <> 5 THEN size - 2 END::BIGINT AS bytes, e % 11 <> 5 AS ok FROM e""")
 def middle_frames(spark, sf_dir):
     folder = fixtures.recordings(spark, sf_dir)
-    index = shards.frame_sizes(spark, folder, scans.CAMERA)
+    index = stash(shards.frame_sizes(spark, folder, scans.CAMERA))
     groups = arrays.attributes(arrays.metadata(spark, folder), "total_frames long")
     return shards.fetch_frames(index, arrays.middle_frame(index, groups), absent=True).select("episode_hash", "frame_idx", F.length("content").cast("long").alias("bytes"), "ok")
 
