@@ -20,8 +20,10 @@ from tarnweave.session import stash
 
 #: Low bits of each minimum that the signature keeps.
 BITS = 4
-#: Shingles of unpacked sets that a worker keeps at hand before it starts anew.
-SETS_HELD = 1_000_000
+#: Words whose hashes a worker remembers: few, as most of those that are rare don't come again.
+WORDS_HELD = 1 << 17
+#: Pairs of a bucket that a worker looks at together.
+PAIRS_AT_ONCE = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -110,12 +112,18 @@ def document_set(table: WordHashes, text: str | None, width: int) -> np.ndarray:
     return shingles(hash_array(table, words_of(lower_ascii(text or ""))), width)
 
 
+def common(one: np.ndarray, two: np.ndarray) -> int:
+    """Members that two sets have in common, each sorted and without repeats."""
+    both = np.sort(np.concatenate([one, two]), kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 _PROFILE = "id long, n_shingles long, digest binary, signature binary, bands array<long>"
 
 
 def _profile(docs: DataFrame, p: MinHashParams) -> DataFrame:
     def run(batches):
-        table = WordHashes()
+        table = WordHashes(WORDS_HELD)
         for batch in batches:
             n, digest, sig, bands = [], [], [], []
             for text in batch["text"]:
@@ -158,7 +166,7 @@ def _within_reach(table: pa.Table, starts: np.ndarray, p: MinHashParams):
     task's own, so that a pair is looked at once; with their mismatches."""
     lanes, bands = _lanes(table["signature"]), _matrix(table["bands"], p.bands)
     bucket = table["bucket"].to_numpy()
-    for i, j in buckets.pairs(table, starts):
+    for i, j in buckets.pairs(table, starts, PAIRS_AT_ONCE):
         differ = mismatches(lanes[i], lanes[j])
         near = differ <= p.most_mismatches
         i, j, differ = i[near], j[near], differ[near]
@@ -198,7 +206,7 @@ def _with_sets(promising: DataFrame, docs: DataFrame, p: MinHashParams) -> DataF
     texts = wanted.join(of_item.hint("merge"), "item")
 
     def run(batches):
-        table = WordHashes()
+        table = WordHashes(WORDS_HELD)
         last, seen = None, set()
         for batch in batches:
             for item, text, tasks in zip(batch["item"], batch["text"], batch["tasks"], strict=True):
@@ -240,18 +248,9 @@ def _confirmed(with_sets: DataFrame, p: MinHashParams) -> DataFrame:
         for table, starts in buckets.whole_tasks(batches):
             item = table["item"].to_numpy()
             raw = table["shingles"]
-            sets: dict[int, set] = {}
-            held = 0
-
-            def members(k, raw=raw, sets=sets):
-                nonlocal held
-                if k not in sets:
-                    if held > SETS_HELD:
-                        sets.clear()
-                        held = 0
-                    sets[k] = set(np.frombuffer(raw[k].as_py(), np.uint64).tolist())
-                    held += len(sets[k])
-                return sets[k]
+
+            def members(k, raw=raw):
+                return np.frombuffer(raw[k].as_buffer(), np.uint64)
 
             root = list(range(table.num_rows))
 
@@ -268,7 +267,7 @@ def _confirmed(with_sets: DataFrame, p: MinHashParams) -> DataFrame:
                     if find(x) == find(y):
                         continue
                     one, two = members(x), members(y)
-                    both = len(one & two)
+                    both = common(one, two)
                     if 100 * both >= p.percent * (len(one) + len(two) - both):
                         root[find(x)] = find(y)
                         a.append(item[x])
