@@ -649,3 +649,33 @@ def test_windows_of_a_stream(spark, tmp_path):
     query.awaitTermination(120)
     got = sorted(tuple(r) for r in spark.table("windows").collect())
     assert got == sorted(tuple(r) for r in windowed_counts(batch).collect()) and len(got) == 4
+
+
+def test_kmeans_rounds_take_all_runs_through_one_product():
+    """Counts, distances and sums as by differences, ties to the first centre, far from the origin too."""
+    rng = np.random.default_rng(4)
+    shifted = rng.standard_normal((500, 6)) + 1e4
+    tied = rng.integers(0, 3, (500, 3)).astype(float)
+    for x, runs in ((shifted, [shifted[rng.choice(500, k)] + 0.1 for k in (2, 5, 8)]), (tied, [rng.integers(0, 3, (k, 3)).astype(float) for k in (2, 6)])):
+        for centres, got in zip(runs, statistics._moments(x, runs), strict=True):
+            square = ((x[:, None] - centres) ** 2).sum(axis=2)
+            at, cost = square.argmin(axis=1), square.min(axis=1)
+            assert all((a == b).all() for a, b in zip(statistics._nearest(x, centres), (at, cost), strict=True))
+            expected = np.zeros((len(centres), x.shape[1] + 2))
+            np.add.at(expected, at, np.column_stack([np.ones(len(x)), cost, x]))
+            assert (got[:, 0] == expected[:, 0]).all() and np.allclose(got, expected, rtol=1e-7)
+
+
+def test_kmeans_rounds_read_whole_blocks(spark):
+    df = spark.createDataFrame([(i, [float(i % 3), float(i)]) for i in range(300)], "k long, y array<double>").coalesce(1)
+    blocks = statistics._packed(df, "k", "y", 0)
+    assert blocks.count() == 1
+    hashes, rows = next(statistics._unpacked(blocks.toArrow().to_batches()))
+    assert len(hashes) == 300 and sorted(rows[:, 1].tolist()) == list(range(300))
+
+
+def test_distances_of_blocks_are_whole_for_close_and_equal_rows():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((40, 4)) + 1e3
+    y = np.concatenate([x[:10], x[10:20] + 1e-9, rng.standard_normal((30, 4))])
+    assert np.allclose(statistics._gaps(x, y), np.sqrt(((x[:, None] - y) ** 2).sum(axis=2)), rtol=1e-6, atol=0)
