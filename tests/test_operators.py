@@ -144,6 +144,50 @@ def test_robust_fit_of_blocks_is_that_of_one_array(spark, monkeypatch, subset):
     assert len(drawn) == 2000 and set(fits) == {(c, t) for c in x for t in (-1, 0)}
 
 
+def test_concentration_passes_a_step(spark, monkeypatch):
+    monkeypatch.setattr(robust, "SUBSET_ROWS", 400)
+    rng, met = np.random.default_rng(1), []
+    x = rng.standard_normal((4000, 3)) @ rng.standard_normal((3, 3))
+    groups = robust.Groups(spark.createDataFrame([(2, r.tolist()) for r in x], "cluster int, y array<double>"), 3, 0, 5)
+    collect = type(groups.real).collect
+    monkeypatch.setattr(type(groups.real), "collect", lambda df: met.append(1) or collect(df))
+    begun = groups.begun()
+    met.clear()
+    monkeypatch.setattr(groups, "begun", lambda: {g: list(fits) for g, fits in begun.items()})
+    best = robust.concentrated(groups)
+    assert best[2, -1].logdet == pytest.approx(plain_robust_fit(x, begun[2, -1])[0], abs=1e-9)
+    # the longest chain of steps on one array, and its last, which gains nothing
+    steps = 0
+    for fit in begun[2, -1]:
+        last, n = np.inf, 0
+        while (fit := robust.Fit.to(x[np.argsort(fit(x))[: (len(x) + 4) // 2]])).logdet < last - 1e-12:
+            last, n = fit.logdet, n + 1
+        steps = max(steps, n + 1)
+    assert 8 < steps < robust.STEPS and len(met) < 2 * steps
+
+
+def test_steps_whatever_is_guessed(spark, monkeypatch):
+    monkeypatch.setattr(robust, "FEW", 5)
+    monkeypatch.setattr(robust, "BLOCK_ROWS", 200)
+    rng = np.random.default_rng(4)
+    x = {1: rng.standard_normal((900, 2)), 3: np.concatenate([np.full((300, 2), 2.0), rng.standard_normal((99, 2))]), 6: np.full((50, 2), 7.0)}
+    groups = robust.Groups(spark.createDataFrame([(c, r.tolist()) for c, rows in x.items() for r in rows], "cluster int, y array<double>"), 2, 0, 0)
+    fits = {(c, -1): [robust.Fit(np.array(m), np.eye(2), 0.0) for m in ([0.1, 0.2], [2.0, 2.0])] for c in x}
+    want = {}
+    for (c, t), two in fits.items():
+        for k, fit in enumerate(two):
+            far = fit(x[c])
+            limit = np.sort(far)[robust.nearest(len(far), 2) - 1]
+            want[c, t, k] = limit, robust.Fit.to(x[c][far <= limit])
+    for guess in (None, lambda v: (v * 0.9, v * 1.1), lambda v: (v, v), lambda v: (v * 1.1 + 0.1, v * 2 + 1), lambda v: (0.0, v / 2)):
+        got = groups.stepped(fits, {name: guess(limit) for name, (limit, _) in want.items()} if guess else {})
+        assert set(got) == set(want)
+        for name, (limit, fit) in want.items():
+            assert got[name][0] == limit and np.allclose(got[name][1].centre, fit.centre)
+            assert name[0] == 6 or np.allclose(got[name][1].precision, fit.precision)
+            assert got[name][1].logdet == pytest.approx(fit.logdet, abs=1e-9)
+
+
 def test_ranks_by_refinement(spark):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.standard_normal(1000), np.zeros(40), [3.0] * 30, [1e200]])
