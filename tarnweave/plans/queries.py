@@ -361,7 +361,8 @@ def equal_motion_frames(spark, sf_dir):
     tenth = F.floor(F.count("*") / 10)
     end = F.when(F.col("episode") % 13 == 0, tenth).otherwise(F.count("*") - tenth)
     spans = f.groupBy("episode").agg(tenth.alias("lo"), end.alias("hi"))
-    return series.equal_motion_frames(spans, f.where("episode % 11 <> 0 or frame_idx < 3"), "episode", "frame_idx", "speed")
+    known = f.where("episode % 11 <> 0 or frame_idx < 3")
+    return series.equal_motion_frames(spans, known, "episode", "frame_idx", "speed", slack=0.0)  # the SQL compares as is
 
 
 _K = [[500.0, 0.0, 320.0, 0.0], [0.0, 500.0, 240.0, 0.0], [0.0, 0.0, 1.0, 0.0]]

@@ -65,6 +65,17 @@ def test_motion_that_meets_a_target_in_any_order_of_adding(spark):
     assert all(first[e] == 19 for e in range(200))
 
 
+def test_motion_whose_sums_miss_a_target_as_in_sql(spark, tmp_path):
+    cents = [2277, 4294, 1794, 6982, 4322, 385, 2364, 8579, 4725, 3430, 2357, 908]  # 29 / 64 after the sixth, but for rounding
+    at = pd.date_range("2024-01-01", periods=len(cents), freq="min").astype("datetime64[us]")
+    pd.DataFrame({"event_id": range(len(cents)), "ts": at, "user_id": 1, "value": [c / 100 for c in cents]}).to_parquet(tmp_path / "events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.execute(curation.oracle_sql()["equal_motion_frames"]).fetchall()
+    got = curation.queries()["equal_motion_frames"](spark, str(tmp_path)).select("episode", "frame").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_pose_arrays_of_a_group_cut_short(spark, cut_short):
     assert same(spark, cut_short, "pose_arrays") and same(spark, cut_short, "described_groups")
 
