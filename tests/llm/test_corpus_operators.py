@@ -127,6 +127,29 @@ def test_quality_threshold_parts_labelled_kinds(spark):
     assert sorted(r["doc_id"] for r in twice.where("kept").collect()) == sorted([r["doc_id"] for r in rows if r["kept"]] * 2)
 
 
+def test_quality_rules_take_all_labels(spark):
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice([f"{'xy'[i % 2]}{k}" for k in range(40)], 40)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    others = spark.range(1000, 141_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))  # of no document
+    want = quality_rules.quality_rules(docs(spark, texts), labels).orderBy("doc_id").collect()
+    assert quality_rules.quality_rules(docs(spark, texts), others.union(labels)).orderBy("doc_id").collect() == want
+
+
+def test_quality_threshold_against_plain_counts(spark):
+    rng = np.random.default_rng(8)
+    for n in (2, 3, 40, 3000):
+        rows = [(float(x) / 8, bool(g)) for x, g in zip(rng.integers(-40, 40, n), rng.random(n) < 0.7)]
+        rows[:2] = [(rows[0][0], True), (rows[1][0], False)]
+        good, bad = (np.array([x for x, g in rows if g == side]) for side in (True, False))
+        cuts = [c for c in sorted({x for x, _ in rows}) if c <= np.quantile(good, 0.125, method="lower")]
+        cut = cuts[np.argmax([(1 - (good < c).sum() / len(good)) - (1 - (bad < c).sum() / len(bad)) for c in cuts])]
+        want = (cut + max(bad[bad < cut])) / 2 if (bad < cut).any() else cut
+        seen = spark.createDataFrame(rows, "llr double, good boolean").repartition(3)
+        assert quality_rules.threshold(seen, 0.875) == want
+        assert quality_rules.threshold(seen.where("good"), 0.875) == quality_rules.threshold(seen.where("not good"), 0.875) == float("-inf")
+
+
 def test_likelihood_ratio_by_hand():
     raw, target = np.array([6, 2, 2]), np.array([1, 3, 0])
     expected = [np.log((t + 1) / 7 / ((r + 1) / 13)) for r, t in zip(raw, target, strict=True)]
