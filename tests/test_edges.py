@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions import scalars
 from tarnweave.operators import series, statistics
+from tarnweave.plans import manifest
 from tarnweave.plans import queries as curation
 from tarnweave.sources import files
 
@@ -95,3 +96,27 @@ def test_a_listing_is_made_by_tasks(spark, tmp_path):
     assert not found.inputFiles()  # the driver has no index of them
     assert files.listing(spark, f"file://{tmp_path}/e1/c/", "*").count() == 2
     assert files.read_range(found.where("path like '%20.mp4'").first()["path"], 0, 9) == b"x" * 9
+
+
+def test_silhouettes_of_several_blocks_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(statistics, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(statistics, "SLICE_ROWS", 16)
+    rng = np.random.default_rng(4)
+    x, one, two = rng.normal(size=(230, 3)), rng.integers(0, 4, 230), np.r_[7, np.full(229, 3)]
+    rows = [(k, v.tolist(), int(a), int(b)) for k, (v, a, b) in enumerate(zip(x, one, two))]
+    got = statistics.silhouettes(spark.createDataFrame(rows, "k long, v array<double>, a int, b int"), "k", "v", ["a", "b"])
+    gap = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    for r in got.collect():
+        c, worth = {"a": one, "b": two}[r["label"]], []
+        for i in range(len(x)):
+            mean = {k: gap[i, (c == k) & (np.arange(len(x)) != i)].mean() for k in set(c) if ((c == k) & (np.arange(len(x)) != i)).any()}
+            own, other = mean.pop(c[i], None), min(mean.values())
+            worth.append(0 if own is None else (other - own) / max(other, own))
+        assert r["silhouette"] == pytest.approx(np.mean(worth), abs=1e-12)
+
+
+def test_the_null_floor_needs_no_scores(spark, monkeypatch):
+    monkeypatch.setattr(manifest, "scores", None)
+    floor = curation.queries()["keep_drop_floor"](spark, "/root/testdata/sf0.001").collect()
+    monkeypatch.undo()
+    assert floor == curation.rounded(manifest.keep_drop(*curation._scans(spark, "/root/testdata/sf0.001"), curation._frames_of(spark, "/root/testdata/sf0.001"))[1]).collect()
